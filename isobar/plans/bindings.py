@@ -179,3 +179,137 @@ def daily2(spark: SparkSession, sf_dir: str) -> DataFrame:
           F.when(dayno % 5 != 0, F.col(c)).alias(c) if c == "precipitation_sum" else F.col(c)
           for c in schemas.DAILY_MEASURES]
     ).select(*[f.name for f in schemas.DAILY.fields])
+
+
+# --- text payloads derived from the tables ------------------------------------
+# Each payload is built by Spark from the driver tables and then parsed back
+# by the library's own readers/operators, so the full text path is exercised.
+
+MSG_EMPTY_MOD = 11      # events with event_id % 11 = 0 carry an empty array
+MSG_SECOND_MOD = 7      # events with event_id % 7 = 0 carry a second element
+WIND_EVEN = "2 * ((event_id * 11) % 300)"
+GUST_EVEN = "2 * ((event_id * 11) % 300) + 2 * ((event_id * 3) % 100)"
+
+
+def _tenths(expr: str, scale: int = 1):
+    return F.expr(expr).cast("double") / F.lit(float(10 ** scale))
+
+
+def observation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON message per event (``value``), shaped like the live feed."""
+    ev = table(spark, sf_dir, "events")
+    ts = F.date_trunc("minute", F.col("ts")).cast(T.TimestampNTZType())
+    metric = F.struct(
+        _tenths(OBS_INT["temp10"]).alias("temp"), _tenths(OBS_INT["heat10"]).alias("heatIndex"),
+        _tenths(OBS_INT["dewpt10"]).alias("dewpt"), _tenths(OBS_INT["chill10"]).alias("windChill"),
+        _tenths(WIND_EVEN).alias("windSpeed"), _tenths(GUST_EVEN).alias("windGust"),
+        _tenths(OBS_INT["pressure100"], 2).alias("pressure"),
+        _tenths(OBS_INT["rate100"], 2).alias("precipRate"),
+        _tenths(OBS_INT["rain100"], 2).alias("precipTotal"), _tenths(OBS_INT["elev10"]).alias("elev"))
+    item = F.struct(
+        F.expr(OBS_STATION).alias("stationID"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("obsTimeUtc"),
+        ts.alias("obsTimeLocal"), F.lit("n").alias("neighborhood"), F.lit("sw").alias("softwareType"),
+        F.lit("FR").alias("country"), _tenths(OBS_INT["solar10"]).alias("solarRadiation"),
+        F.lit(2.16).alias("lon"), F.lit(5.0).alias("realtimeFrequency"),
+        F.unix_timestamp(ts.cast("timestamp")).alias("epoch"), F.lit(48.69).alias("lat"),
+        _tenths(OBS_INT["uv10"]).alias("uv"), F.expr(OBS_INT["winddir"]).cast("int").alias("winddir"),
+        F.expr(OBS_INT["humidity"]).cast("double").alias("humidity"), F.lit(1).alias("qcStatus"),
+        metric.alias("metric"))
+    second = item.withField("metric", metric.withField("temp", F.lit(-40.0)))
+    arr = (F.when(F.col("event_id") % MSG_EMPTY_MOD == 0, F.array().cast(T.ArrayType(schemas.OBS_ITEM)))
+           .when(F.col("event_id") % MSG_SECOND_MOD == 0, F.array(item, second))
+           .otherwise(F.array(item)))
+    return ev.select(F.to_json(F.struct(arr.alias("observations"))).alias("value"))
+
+
+def history_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One daily-history reply per daily row; all-NULL days reply empty."""
+    d = daily(spark, sf_dir)
+
+    def dbl(c):
+        return F.col(c).cast("double")
+    metric = F.struct(
+        dbl("temp_high").alias("tempHigh"), dbl("temp_avg").alias("tempAvg"),
+        dbl("temp_low").alias("tempLow"), dbl("dewpoint_high").alias("dewptHigh"),
+        dbl("dewpoint_avg").alias("dewptAvg"), dbl("dewpoint_low").alias("dewptLow"),
+        dbl("pressure_high").alias("pressureMax"), dbl("pressure_low").alias("pressureMin"),
+        dbl("wind_speed_max").alias("windspeedHigh"),
+        (F.col("wind_speed_max").cast("double") / 2).alias("windspeedAvg"),
+        dbl("gust_speed_max").alias("windgustHigh"), dbl("precipitation_sum").alias("precipTotal"))
+    item = F.struct(dbl("humidity_high").alias("humidityHigh"), dbl("humidity_avg").alias("humidityAvg"),
+                    dbl("humidity_low").alias("humidityLow"), metric.alias("metric"))
+    arr = F.when(F.col("temp_high").isNull(), F.array().cast(T.ArrayType(schemas.HIST_ITEM))) \
+        .otherwise(F.array(item))
+    return d.select("station", F.col("date").alias("request_date"),
+                    F.to_json(F.struct(arr.alias("observations"))).alias("value"))
+
+
+CONSOLE_SWAP_MOD = 13   # "<time> <date>" layout
+CONSOLE_GLITCH_MOD = 50  # rows with event_id % 50 = 7 show the previous day's date
+
+
+def _sentinel(col: str, use_dash_dot) -> F.Column:
+    return F.when(F.col(col).isNull(), F.when(use_dash_dot, F.lit("--.-")).otherwise(F.lit("--"))) \
+        .otherwise(F.col(col).cast("string"))
+
+
+def console_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Console export lines (all text) for the deduplicated observations."""
+    raw = obs_raw(spark, sf_dir)
+    from ..operators.upsert import first_arrival
+    o = first_arrival(raw, ["station", "obs_ts"], "arrival")
+    eid = F.col("arrival")
+    shown = F.when(eid % CONSOLE_GLITCH_MOD == 7, F.col("obs_ts") - F.expr("INTERVAL 1 DAY")) \
+        .otherwise(F.col("obs_ts"))
+    time_txt = F.when(eid % CONSOLE_SWAP_MOD == 0, F.date_format(shown, "HH:mm yyyy-MM-dd")) \
+        .otherwise(F.date_format(shown, "yyyy-MM-dd HH:mm"))
+    even = eid % 2 == 0
+    cols = {c: F.lit("0") for c in schemas.CONSOLE_COLUMNS}
+    cols.update({
+        "No": eid.cast("string"), "Time": time_txt,
+        "IndoorTemperature": F.lit("21.0"), "IndoorHumidity": F.lit("45"),
+        "OutdoorTemperature": _sentinel("temp", even), "OutdoorHumidity": _sentinel("humidity", even),
+        "Wind": _sentinel("wind_speed", even), "Gust": _sentinel("wind_gust", even),
+        "DewPoint": _sentinel("dewpt", even), "RELBarometer": _sentinel("pressure", even),
+        "ABSBarometer": _sentinel("pressure", even), "DailyRain": _sentinel("precip_total", even),
+    })
+    return o.select(
+        "station", F.concat_ws("_", F.col("station"), F.date_format("obs_ts", "yyyyMM")).alias("source_file"),
+        *[cols[c].alias(c) for c in schemas.CONSOLE_COLUMNS])
+
+
+OFFICIAL_TM_GAP_MOD = 7     # TM left empty (mean falls back to (TX+TN)/2)
+OFFICIAL_FXY_INT_MOD = 11   # FXY written as a whole number
+OFFICIAL_PMERM_GAP_MOD = 13  # PMERM left empty
+
+
+def official_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two official files (text) for the daily rows."""
+    d = daily(spark, sf_dir)
+    dn = F.datediff(F.col("date"), F.lit(_dt.date(1970, 1, 1)))
+
+    def txt(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+    wind10 = (F.col("wind_speed_max") * 10).cast("long")
+    gust10 = (F.col("gust_speed_max") * 10).cast("long")
+    fxy = F.when(dn % OFFICIAL_FXY_INT_MOD == 0, F.expr("CAST(wind_speed_max * 10 AS BIGINT) div 10").cast("string")) \
+        .otherwise((wind10.cast(T.DecimalType(18, 0)) / 10).cast(schemas.D41).cast("string"))
+    fxi = (gust10.cast(T.DecimalType(18, 0)) / 10).cast(schemas.D41).cast("string")
+    num = F.concat(F.lit("5900"), F.substring("station", 1, 1))
+    rr_cols = {c: F.lit("") for c in schemas.OFFICIAL_RR_COLUMNS}
+    rr_cols.update({
+        "NUM_POSTE": num, "NOM_USUEL": F.col("station"), "LAT": F.lit("50.57"),
+        "LON": F.lit("3.10"), "ALTI": F.lit("47"), "AAAAMMJJ": F.date_format("date", "yyyyMMdd"),
+        "RR": txt("precipitation_sum"), "TN": txt("temp_low"), "TX": txt("temp_high"),
+        "TM": F.when(dn % OFFICIAL_TM_GAP_MOD == 0, F.lit("")).otherwise(txt("temp_avg")),
+        "FXY": F.coalesce(fxy, F.lit("")), "FXI": F.coalesce(fxi, F.lit("")),
+        "QRR": F.lit("1"), "QTN": F.lit("1"), "QTX": F.lit("1"), "QTM": F.lit("1"),
+    })
+    rr = d.select(*[rr_cols[c].alias(c) for c in schemas.OFFICIAL_RR_COLUMNS])
+    other = d.select(
+        num.alias("NUM_POSTE"), F.date_format("date", "yyyyMMdd").alias("AAAAMMJJ"),
+        F.when(dn % OFFICIAL_PMERM_GAP_MOD == 0, F.lit("")).otherwise(txt("pressure_avg")).alias("PMERM"),
+        txt("pressure_low").alias("PMERMIN"), txt("humidity_low").alias("UN"),
+        txt("humidity_high").alias("UX"), txt("humidity_avg").alias("UM"))
+    return rr, other

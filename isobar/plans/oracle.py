@@ -487,3 +487,124 @@ def q_doy_normals_fixed() -> str:
     return _base() + f"""SELECT station, period_id, strftime(date, '%m-%d') AS DayOfYear,
   {', '.join(cols)}
 FROM j GROUP BY station, period_id, strftime(date, '%m-%d')"""
+
+
+# --- payload ingest ----------------------------------------------------------
+
+def q_observation_flatten() -> str:
+    w = "((event_id * 11) % 300)"
+    g = "((event_id * 3) % 100)"
+    o = B.OBS_INT
+    return f"""SELECT {B.OBS_STATION} AS station, date_trunc('minute', ts) AS obs_ts,
+  {tenths(o['temp10'])} AS temp,
+  CAST({o['humidity']} AS BIGINT) AS humidity,
+  CAST({o['rate100']} AS DOUBLE) / 100 AS precip_rate,
+  CAST({o['rain100']} AS DOUBLE) / 100 AS precip_total,
+  CAST({o['pressure100']} AS DOUBLE) / 100 AS pressure,
+  {tenths(o['heat10'])} AS heat_index,
+  {tenths(f'3 * {w}')} AS wind_speed,
+  {tenths(f'3 * ({w} + {g})')} AS wind_gust,
+  {tenths(o['chill10'])} AS wind_chill,
+  CAST({o['winddir']} AS BIGINT) AS wind_dir,
+  {tenths(o['dewpt10'])} AS dewpt,
+  {tenths(o['elev10'])} AS elev,
+  {tenths(o['solar10'])} AS solar_radiation,
+  {tenths(o['uv10'])} AS uv,
+  strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
+  CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS epoch
+FROM events WHERE event_id % {B.MSG_EMPTY_MOD} <> 0"""
+
+
+def q_history_map() -> str:
+    def r(x):
+        return f"CAST(round(CAST({x} AS DOUBLE) / 10) AS BIGINT)"
+    return with_(daily_ctes()) + f"""SELECT station, date,
+  {tenths('temp_high')} AS temperature_high_c, {tenths('temp_avg')} AS temperature_avg_c,
+  {tenths('temp_low')} AS temperature_low_c, {tenths('dewpoint_high')} AS dewpoint_high_c,
+  {tenths('dewpoint_avg')} AS dewpoint_avg_c, {tenths('dewpoint_low')} AS dewpoint_low_c,
+  CAST(humidity_high AS BIGINT) AS humidity_high, CAST(humidity_avg AS BIGINT) AS humidity_avg,
+  CAST(humidity_low AS BIGINT) AS humidity_low,
+  {r('pressure_high')} AS pressure_max_hpa, {r('pressure_low')} AS pressure_min_hpa,
+  {r('wind_speed_max')} AS wind_speed_max_kmh,
+  CAST(round(CAST(wind_speed_max AS DOUBLE) / 20) AS BIGINT) AS wind_speed_avg_kmh,
+  {r('gust_speed_max')} AS gust_speed_max_kmh,
+  CAST(precipitation_sum AS DOUBLE) / 100 AS precipitation_sum_cm
+FROM daily WHERE temp_high IS NOT NULL"""
+
+
+def _console_base() -> str:
+    shown = (f"CASE WHEN arrival % {B.CONSOLE_GLITCH_MOD} = 7 THEN CAST(obs_ts AS DATE) - 1 "
+             f"ELSE CAST(obs_ts AS DATE) END")
+    return f"""con AS (
+  SELECT station, station || '_' || strftime(obs_ts, '%Y%m') AS source_file,
+    arrival AS No, {shown} AS date,
+    temp10, humidity, dewpt10, pressure100, wind10, gust10, rain100
+  FROM obs)"""
+
+
+def _console_stats() -> str:
+    def m0(c):
+        return tenths(hu(f"CAST(sum({c}) AS BIGINT) * 10", f"count({c})"))
+    return f"""{tenths('max(temp10)')} AS temp_max, {mean1('temp10')} AS temp_avg,
+  {tenths('min(temp10)')} AS temp_min,
+  CAST(max(humidity) AS DOUBLE) AS humidity_max, {m0('humidity')} AS humidity_avg,
+  CAST(min(humidity) AS DOUBLE) AS humidity_min,
+  {tenths('max(dewpt10)')} AS dewpoint_max, {mean1('dewpt10')} AS dewpoint_avg,
+  {tenths('min(dewpt10)')} AS dewpoint_min,
+  CAST(max(pressure100) AS DOUBLE) / 100 AS pressure_max,
+  CAST(min(pressure100) AS DOUBLE) / 100 AS pressure_min,
+  {tenths('max(wind10)')} AS wind_max, {mean1('wind10')} AS wind_avg,
+  {tenths('max(gust10)')} AS gust_max,
+  CAST({hu('max(rain100)', '10')} AS DOUBLE) / 100 AS rain_cm"""
+
+
+STAT_FIELDS = ["temp_max", "temp_avg", "temp_min", "humidity_max", "humidity_avg", "humidity_min",
+               "dewpoint_max", "dewpoint_avg", "dewpoint_min", "pressure_max", "pressure_min",
+               "wind_max", "wind_avg", "gust_max", "rain_cm"]
+
+
+def _line() -> str:
+    parts = ["strftime(date, '%d/%m/%Y')"] + \
+        [f"coalesce(replace(CAST({c} AS VARCHAR), '.', ','), 'None')" for c in STAT_FIELDS]
+    return "concat_ws(';', " + ", ".join(parts) + ") AS line"
+
+
+def q_console_daily() -> str:
+    return with_(obs_ctes(), _console_base(), f"""st AS (
+  SELECT station, date, {_console_stats()} FROM con GROUP BY station, date)""") + \
+        f"SELECT *, {_line()} FROM st"
+
+
+def q_console_runs() -> str:
+    return with_(obs_ctes(), _console_base(), f"""fl AS (
+  SELECT *, CASE WHEN lag(date) OVER (PARTITION BY station, source_file ORDER BY No)
+                      IS NOT DISTINCT FROM date THEN 0 ELSE 1 END AS is_new
+  FROM con),
+rn AS (
+  SELECT *, sum(is_new) OVER (PARTITION BY station, source_file ORDER BY No
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+  FROM fl),
+st AS (
+  SELECT station, source_file, CAST(run AS BIGINT) AS run, date, {_console_stats()}
+  FROM rn GROUP BY station, source_file, run, date)""") + f"SELECT *, {_line()} FROM st"
+
+
+def q_official_import() -> str:
+    dn = "date_diff('day', DATE '1970-01-01', date)"
+    tm = (f"CASE WHEN {dn} % {B.OFFICIAL_TM_GAP_MOD} = 0 THEN "
+          f"(CASE WHEN temp_high IS NOT NULL AND temp_low IS NOT NULL THEN (temp_high + temp_low) // 2 END) "
+          f"ELSE temp_avg END")
+    pavg = f"CASE WHEN {dn} % {B.OFFICIAL_PMERM_GAP_MOD} = 0 THEN NULL ELSE pressure_avg END"
+    fxy = (f"CASE WHEN {dn} % {B.OFFICIAL_FXY_INT_MOD} = 0 THEN 36 * (wind_speed_max // 10) "
+           f"ELSE (wind_speed_max * 36) // 10 END")
+    return with_(daily_ctes()) + f"""SELECT station, date,
+  {tenths(tm)} AS temp_avg, {tenths('temp_high')} AS temp_high, {tenths('temp_low')} AS temp_low,
+  CAST(NULL AS DOUBLE) AS dewpoint_avg, CAST(NULL AS DOUBLE) AS dewpoint_high,
+  CAST(NULL AS DOUBLE) AS dewpoint_low,
+  CAST(humidity_avg AS BIGINT) AS humidity_avg, CAST(humidity_high AS BIGINT) AS humidity_high,
+  CAST(humidity_low AS BIGINT) AS humidity_low,
+  {tenths(pavg)} AS pressure_avg, {tenths(f'2 * ({pavg}) - pressure_low')} AS pressure_high,
+  {tenths('pressure_low')} AS pressure_low,
+  {tenths(fxy)} AS wind_speed_max, {tenths('(gust_speed_max * 36) // 10')} AS gust_speed_max,
+  {tenths('precipitation_sum')} AS precipitation_sum, CAST(NULL AS DOUBLE) AS solar_radiation_avg
+FROM daily"""

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import RECORD_METRICS, closed_left_metrics, load_normals_config
-from ..operators import doy, normals, rollup, upsert
+from ..operators import doy, ingest, normals, official, rollup, upsert
 from . import bindings as B
 from . import oracle as O
 
@@ -132,6 +132,36 @@ def q_doy_normals_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return finalize(doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark)))
 
 
+# --- payload ingest ------------------------------------------------------------
+
+def q_observation_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    msgs = B.observation_messages(spark, sf).select(
+        F.from_json("value", schemas.OBS_MESSAGE).alias("m")).select("m.*")
+    return finalize(ingest.flatten_observations(msgs))
+
+
+def q_history_map(spark: SparkSession, sf: str) -> DataFrame:
+    msgs = B.history_messages(spark, sf).select(
+        "station", "request_date", F.from_json("value", schemas.HIST_MESSAGE).alias("m")) \
+        .select("station", "request_date", "m.*")
+    return finalize(ingest.map_history(msgs))
+
+
+def q_console_daily(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = ingest.parse_console(B.console_rows(spark, sf))
+    return finalize(ingest.console_daily(parsed, by="date"))
+
+
+def q_console_runs(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = ingest.parse_console(B.console_rows(spark, sf))
+    return finalize(ingest.console_daily(parsed, by="run"))
+
+
+def q_official_import(spark: SparkSession, sf: str) -> DataFrame:
+    rr, other = B.official_files(spark, sf)
+    return finalize(official.import_official(rr, other))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "daily_rollup_spine": q_daily_rollup_spine,
@@ -149,6 +179,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_summary": q_period_summary,
     "doy_normals_config": q_doy_normals_config,
     "doy_normals_fixed": q_doy_normals_fixed,
+    "observation_flatten": q_observation_flatten,
+    "history_map": q_history_map,
+    "console_daily": q_console_daily,
+    "console_runs": q_console_runs,
+    "official_import": q_official_import,
 }
 
 
@@ -171,4 +206,9 @@ def oracles() -> dict[str, str]:
         "period_summary": O.q_period_summary(),
         "doy_normals_config": O.q_doy_normals_config(job.crossref),
         "doy_normals_fixed": O.q_doy_normals_fixed(),
+        "observation_flatten": O.q_observation_flatten(),
+        "history_map": O.q_history_map(),
+        "console_daily": O.q_console_daily(),
+        "console_runs": O.q_console_runs(),
+        "official_import": O.q_official_import(),
     }
