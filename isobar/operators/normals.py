@@ -191,7 +191,7 @@ def records_long(daily: DataFrame, periods: DataFrame,
                     F.col("e.Date").alias("Date"), F.col("e.Value").alias("Value")))
 
 
-def monthly_normals(daily: DataFrame, periods: DataFrame) -> DataFrame:
+def monthly_normals(daily: DataFrame, periods: DataFrame, sort: bool = True) -> DataFrame:
     """One row per (station, period, month) with data, months in order."""
     months = month_stats(daily, [], [])
     pm = _join_periods(months, periods)
@@ -208,8 +208,8 @@ def monthly_normals(daily: DataFrame, periods: DataFrame) -> DataFrame:
         ratio_half_up(F.sum("rain_total"), ny, 1).cast(T.DoubleType()).alias("Avg_Monthly_Precipitation"),
         ratio_half_even_int(F.sum("wet1"), ny).alias("Avg_Days_Precipitation_1"),
     )
-    return out.withColumn("month_name", F.element_at(names, F.col("month"))) \
-        .orderBy("station", "period_id", "month")
+    out = out.withColumn("month_name", F.element_at(names, F.col("month")))
+    return out.orderBy("station", "period_id", "month") if sort else out
 
 
 def period_summary(daily: DataFrame, periods: DataFrame,

@@ -608,3 +608,55 @@ def q_official_import() -> str:
   {tenths(fxy)} AS wind_speed_max, {tenths('(gust_speed_max * 36) // 10')} AS gust_speed_max,
   {tenths('precipitation_sum')} AS precipitation_sum, CAST(NULL AS DOUBLE) AS solar_radiation_avg
 FROM daily"""
+
+
+# --- documents -----------------------------------------------------------------
+
+def q_summary_long() -> str:
+    from ..config import METRIC_DESCRIPTIONS, MONTH_NAMES
+    ny = "count(DISTINCT year)"
+    desc = ", ".join(f"('{k}', '{v}')" for k, v in METRIC_DESCRIPTIONS.items())
+    scal_cols = ["Avg_TempAvg", "Avg_TempHigh", "Avg_TempLow", "Yearly_Avg_Precipitation",
+                 "Avg_Daily_Precipitation"] + [m.name for m in DAY_COUNT_METRICS]
+    kv = [f"SELECT s.station, s.period_id, '_comments_' || c.metric AS metric, c.description AS value "
+          f"FROM scal s, descr c"]
+    kv += [f"SELECT station, period_id, '{c}', CAST({c} AS VARCHAR) FROM scal" for c in scal_cols]
+    for m in RECORD_METRICS:
+        kv.append(f"""SELECT s.station, s.period_id, '{m.name}', coalesce((
+    SELECT '[' || string_agg('{{"Date":"' || r.Date || '","Value":"' || r.Value || '"}}', ',' ORDER BY r.Date) || ']'
+    FROM recs r WHERE r.station = s.station AND r.period_id = s.period_id AND r.metric = '{m.name}'), '[]')
+  FROM scal s""")
+    leaves = ["Avg_TempAvg", "Avg_TempHigh", "Avg_TempLow", "Max_TempHigh_Max", "Max_TempHigh_Min",
+              "Min_TempLow_Max", "Min_TempLow_Min", "Avg_Monthly_Precipitation",
+              "Avg_Days_Precipitation_1"]
+    for leaf in leaves:
+        kv.append(f"""SELECT s.station, s.period_id, mn.name || '_{leaf}', CAST(mo.{leaf} AS VARCHAR)
+  FROM scal s CROSS JOIN mnames mn
+  LEFT JOIN mon mo ON mo.station = s.station AND mo.period_id = s.period_id AND mo.month = mn.month""")
+    mnames = ", ".join(f"({i + 1}, '{n}')" for i, n in enumerate(MONTH_NAMES))
+    mon_sql = q_monthly_normals().split("\nSELECT ", 1)
+    mon_body = "SELECT " + mon_sql[1]
+    return _base() + f""", recs AS ({_records_union()}),
+scal AS (
+  SELECT station, period_id, {ny} AS n_years,
+    {mean1('temp_avg')} AS Avg_TempAvg,
+    {mean1('temp_high')} AS Avg_TempHigh,
+    {mean1('temp_low')} AS Avg_TempLow,
+    {tenths(hu('CAST(coalesce(sum(precipitation_sum), 0) AS BIGINT)', ny))} AS Yearly_Avg_Precipitation,
+    {mean1('precipitation_sum')} AS Avg_Daily_Precipitation,
+    {_count_cols(DAY_COUNT_METRICS)}
+  FROM j GROUP BY station, period_id),
+mon AS ({mon_body}),
+descr(metric, description) AS (VALUES {desc}),
+mnames(month, name) AS (VALUES {mnames}),
+kv AS (
+{chr(10).join(('  ' if i == 0 else '  UNION ALL ') + q for i, q in enumerate(kv))})
+SELECT kv.metric, kv.station, kv.period_id, kv.value, descr.description
+FROM kv LEFT JOIN descr ON descr.metric = kv.metric"""
+
+
+def q_normals_union() -> str:
+    body = q_doy_normals_fixed().split("\nSELECT ", 1)
+    sel = body[1].replace("strftime(date, '%m-%d') AS DayOfYear,",
+                          "strftime(date, '%m-%d') AS DayOfYear, 'Normals_' || period_id AS source_table,", 1)
+    return body[0] + "\nSELECT " + sel

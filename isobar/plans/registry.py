@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import RECORD_METRICS, closed_left_metrics, load_normals_config
-from ..operators import doy, ingest, normals, official, rollup, upsert
+from ..operators import catalog, doy, document, ingest, normals, official, rollup, upsert
 from . import bindings as B
 from . import oracle as O
 
@@ -162,6 +162,26 @@ def q_official_import(spark: SparkSession, sf: str) -> DataFrame:
     return finalize(official.import_official(rr, other))
 
 
+# --- documents and catalog -------------------------------------------------------
+
+def q_summary_long(spark: SparkSession, sf: str) -> DataFrame:
+    d, p = B.daily(spark, sf), B.periods(spark)
+    docs = document.statistics_documents(normals.period_summary(d, p),
+                                         normals.monthly_normals(d, p, sort=False))
+    return document.describe(document.flatten_document(docs))
+
+
+def q_normals_union(spark: SparkSession, sf: str) -> DataFrame:
+    allp = doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark))
+    for per in B.PERIODS:
+        allp.filter(F.col("period_id") == per.period_id) \
+            .createOrReplaceTempView(f"Normals_{per.period_id}")
+    names = catalog.discover_tables(spark, "Normals_*")
+    out = catalog.consolidate(spark, names)
+    return finalize(out.withColumn("source_table", F.concat(
+        F.lit("Normals_"), F.substring_index("source_table", "_", -2))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "daily_rollup_spine": q_daily_rollup_spine,
@@ -184,6 +204,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "console_daily": q_console_daily,
     "console_runs": q_console_runs,
     "official_import": q_official_import,
+    "summary_long": q_summary_long,
+    "normals_union": q_normals_union,
 }
 
 
@@ -211,4 +233,6 @@ def oracles() -> dict[str, str]:
         "console_daily": O.q_console_daily(),
         "console_runs": O.q_console_runs(),
         "official_import": O.q_official_import(),
+        "summary_long": O.q_summary_long(),
+        "normals_union": O.q_normals_union(),
     }
