@@ -12,15 +12,18 @@ from ..functions.rounding import exact_mean
 
 # --- observation messages -----------------------------------------------------
 
-def flatten_observations(messages: DataFrame, wind_factor: float = 1.5) -> DataFrame:
+def flatten_observations(messages: DataFrame, wind_factor: float = 1.5,
+                         keep: list[str] | None = None) -> DataFrame:
     """First observation of each message to an ``observations`` row.
 
     An empty array (or ``{}``) yields no row; later elements are ignored.
     Wind speed and gust are multiplied by the station calibration factor.
     Values are typed as the observation table (decimal rounding half up).
+    ``keep`` lists envelope columns carried along (e.g. an arrival sequence).
     """
+    keep = keep or []
     first = F.get(F.col("observations"), 0)
-    o = messages.select(first.alias("o")).filter(F.col("o").isNotNull())
+    o = messages.select(*keep, first.alias("o")).filter(F.col("o").isNotNull())
     m = "o.metric."
     d = dict((f.name, f.dataType) for f in schemas.OBSERVATIONS.fields)
 
@@ -45,6 +48,7 @@ def flatten_observations(messages: DataFrame, wind_factor: float = 1.5) -> DataF
         num("o.uv", "uv"),
         F.col("o.obsTimeUtc").alias("obs_time_utc"),
         F.col("o.epoch").alias("epoch"),
+        *keep,
     )
 
 

@@ -195,8 +195,11 @@ def _tenths(expr: str, scale: int = 1):
     return F.expr(expr).cast("double") / F.lit(float(10 ** scale))
 
 
-def observation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON message per event (``value``), shaped like the live feed."""
+def observation_messages(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -> DataFrame:
+    """One JSON message per event (``value``), shaped like the live feed.
+
+    ``with_arrival`` adds the landing sequence (the event id) to the envelope.
+    """
     ev = table(spark, sf_dir, "events")
     ts = F.date_trunc("minute", F.col("ts")).cast(T.TimestampNTZType())
     metric = F.struct(
@@ -220,7 +223,8 @@ def observation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     arr = (F.when(F.col("event_id") % MSG_EMPTY_MOD == 0, F.array().cast(T.ArrayType(schemas.OBS_ITEM)))
            .when(F.col("event_id") % MSG_SECOND_MOD == 0, F.array(item, second))
            .otherwise(F.array(item)))
-    return ev.select(F.to_json(F.struct(arr.alias("observations"))).alias("value"))
+    env = [arr.alias("observations")] + ([F.col("event_id").alias("arrival")] if with_arrival else [])
+    return ev.select(F.to_json(F.struct(*env)).alias("value"))
 
 
 def history_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,7 +191,7 @@ def sun_sql(date: str, lat: str, lon: str) -> tuple[str, str]:
     return f"CAST(floor({rise}) AS BIGINT)", f"CAST(floor({sset}) AS BIGINT)"
 
 
-def sun_cte(src: str = "obs") -> str:
+def sun_cte(src: str = "obs") -> str:  # noqa: D401
     rise, sset = sun_sql("d.date", "s.lat", "s.lon")
     return f"""days AS (SELECT DISTINCT station, CAST(obs_ts AS DATE) AS date FROM {src}),
 sun0 AS (
@@ -215,11 +215,11 @@ FROM obs o JOIN sun s ON o.station = s.station AND CAST(o.obs_ts AS DATE) = s.da
 GROUP BY s.station, s.date, s.sunrise, s.sunset, s.rise_s, s.set_s"""
 
 
-def _solar_cte() -> str:
+def _solar_cte(src: str = "obs") -> str:
     return f"""solar AS (
   SELECT s.station, s.date,
     {mean1('CASE WHEN o.obs_ts BETWEEN s.sunrise AND s.sunset THEN o.solar10 END')} AS solar_radiation_avg
-  FROM obs o JOIN sun s ON o.station = s.station AND CAST(o.obs_ts AS DATE) = s.date
+  FROM {src} o JOIN sun s ON o.station = s.station AND CAST(o.obs_ts AS DATE) = s.date
   GROUP BY s.station, s.date)"""
 
 
@@ -660,3 +660,34 @@ def q_normals_union() -> str:
     sel = body[1].replace("strftime(date, '%m-%d') AS DayOfYear,",
                           "strftime(date, '%m-%d') AS DayOfYear, 'Normals_' || period_id AS source_table,", 1)
     return body[0] + "\nSELECT " + sel
+
+
+# --- streaming ----------------------------------------------------------------
+
+def obs_msg_cte() -> str:
+    """Observations as the message path delivers them (first element, wind x 1.5)."""
+    o = B.OBS_INT
+    w = "((event_id * 11) % 300)"
+    g = "((event_id * 3) % 100)"
+    return f"""obs_msg AS (
+  SELECT {B.OBS_STATION} AS station, date_trunc('minute', ts) AS obs_ts,
+    {o['temp10']} AS temp10, {o['humidity']} AS humidity, {o['rate100']} AS rate100,
+    {o['rain100']} AS rain100, {o['pressure100']} AS pressure100, {o['heat10']} AS heat10,
+    3 * {w} AS wind10, 3 * ({w} + {g}) AS gust10, {o['chill10']} AS chill10,
+    {o['winddir']} AS winddir, {o['dewpt10']} AS dewpt10, {o['elev10']} AS elev10,
+    {o['solar10']} AS solar10, {o['uv10']} AS uv10,
+    strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
+    CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS epoch
+  FROM events WHERE event_id % {B.MSG_EMPTY_MOD} <> 0
+  QUALIFY row_number() OVER (PARTITION BY station, obs_ts ORDER BY event_id) = 1)"""
+
+
+def q_stream_dedup() -> str:
+    return with_(obs_msg_cte()) + f"""SELECT station, obs_ts, {obs_out()}, obs_time_utc, epoch
+FROM obs_msg"""
+
+
+def q_stream_daily() -> str:
+    return with_(obs_msg_cte(), stations_cte(), sun_cte("obs_msg"), _solar_cte("obs_msg")) + \
+        f"""SELECT r.*, solar.solar_radiation_avg
+FROM ({rollup_select('obs_msg')}) r JOIN solar USING (station, date)"""

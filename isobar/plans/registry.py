@@ -182,6 +182,38 @@ def q_normals_union(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Normals_"), F.substring_index("source_table", "_", -2))))
 
 
+# --- streaming ---------------------------------------------------------------------
+
+STREAM_FILES = 8
+STREAM_FILES_PER_TRIGGER = 3
+
+
+def _run_stream(spark: SparkSession, sf: str, with_daily: bool):
+    from ..session import scratch_path
+    from ..streaming import pipeline
+    root = scratch_path(spark, "stream")
+    landing, obs_path = f"{root}/landing", f"{root}/observations"
+    daily_path = f"{root}/daily" if with_daily else None
+    (B.observation_messages(spark, sf, with_arrival=True)
+     .repartition(STREAM_FILES).write.text(landing))
+    q = pipeline.run_ingest(spark, landing, obs_path, f"{root}/_checkpoint", daily_path,
+                            B.stations(spark) if with_daily else None,
+                            files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    q.awaitTermination()
+    return obs_path, daily_path
+
+
+def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    obs_path, _ = _run_stream(spark, sf, with_daily=False)
+    cols = [f.name for f in schemas.OBSERVATIONS.fields] + ["obs_time_utc", "epoch"]
+    return finalize(spark.read.parquet(obs_path).select(*cols))
+
+
+def q_stream_daily(spark: SparkSession, sf: str) -> DataFrame:
+    _, daily_path = _run_stream(spark, sf, with_daily=True)
+    return finalize(spark.read.parquet(daily_path).select(*[f.name for f in schemas.DAILY.fields]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "daily_rollup_spine": q_daily_rollup_spine,
@@ -206,6 +238,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "official_import": q_official_import,
     "summary_long": q_summary_long,
     "normals_union": q_normals_union,
+    "stream_dedup": q_stream_dedup,
+    "stream_daily": q_stream_daily,
 }
 
 
@@ -235,4 +269,6 @@ def oracles() -> dict[str, str]:
         "official_import": O.q_official_import(),
         "summary_long": O.q_summary_long(),
         "normals_union": O.q_normals_union(),
+        "stream_dedup": O.q_stream_dedup(),
+        "stream_daily": O.q_stream_daily(),
     }
