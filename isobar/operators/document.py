@@ -32,6 +32,21 @@ def _comments_map() -> Column:
     return F.create_map(*[x for k, v in METRIC_DESCRIPTIONS.items() for x in (F.lit(k), F.lit(v))])
 
 
+def build_documents(daily: DataFrame, periods: DataFrame) -> DataFrame:
+    """Period summary and monthly normals from one shared month aggregate.
+
+    The month-level statistics (stations x years x 12 rows, whatever the size
+    of ``daily``) feed two outputs; they are checkpointed to the shared
+    checkpoint folder so the daily table is scanned once, not per output.
+    """
+    from ..session import ensure_checkpoint_dir
+    from . import normals
+    ensure_checkpoint_dir(daily.sparkSession)
+    months = normals.month_stats(daily).checkpoint(eager=True)
+    return statistics_documents(normals.period_summary(daily, periods, months=months),
+                                normals.monthly_normals(daily, periods, sort=False, months=months))
+
+
 def month_struct(monthly: DataFrame) -> DataFrame:
     """Monthly normals rows -> one row per (station, period) with 12 struct fields."""
     body = F.struct(

@@ -22,8 +22,11 @@ def flatten_observations(messages: DataFrame, wind_factor: float = 1.5,
     ``keep`` lists envelope columns carried along (e.g. an arrival sequence).
     """
     keep = keep or []
-    first = F.get(F.col("observations"), 0)
-    o = messages.select(*keep, first.alias("o")).filter(F.col("o").isNotNull())
+    # explode of the first-element slice: an empty or missing array gives no
+    # row, and the parsed message is evaluated once (a filter on it would be
+    # pushed below the projection and parse the payload twice).
+    first = F.slice(F.coalesce(F.col("observations"), F.array()), 1, 1)
+    o = messages.select(*keep, F.explode(first).alias("o"))
     m = "o.metric."
     d = dict((f.name, f.dataType) for f in schemas.OBSERVATIONS.fields)
 
@@ -60,10 +63,10 @@ def map_history(messages: DataFrame, station: str | None = None) -> DataFrame:
     ``request_date`` (and ``station`` when present) must be columns of
     ``messages``; rain arrives in mm and is stored in cm.
     """
-    first = F.get(F.col("observations"), 0)
+    first = F.slice(F.coalesce(F.col("observations"), F.array()), 1, 1)
     st = F.col("station") if "station" in messages.columns else F.lit(station)
     h = messages.select(st.alias("station"), F.col("request_date").alias("date"),
-                        first.alias("o")).filter(F.col("o").isNotNull())
+                        F.explode(first).alias("o"))
     d = dict((f.name, f.dataType) for f in schemas.DAILY_HISTORY.fields)
     m = "o.metric."
 

@@ -132,24 +132,37 @@ def _entries(dates: Column, value: Column) -> Column:
     return F.transform(dates, entry)
 
 
-def _records_over(rows: DataFrame, keys: list[str], records: list[RecordMetric]) -> DataFrame:
-    """Extreme over ``keys`` groups, with all dates that reach it (sorted)."""
+def _with_period_extremes(rows: DataFrame, keys: list[str], records: list[RecordMetric]) -> DataFrame:
+    """Each record's extreme over the ``keys`` group, as window columns."""
     w = Window.partitionBy(*keys)
     d = rows
     for r in records:
         agg = F.max if r.kind == "max" else F.min
         d = d.withColumn(f"_p_{r.name}", agg(f"rv_{r.name}").over(w))
+    return d
+
+
+def _record_aggs(records: list[RecordMetric]) -> list[Column]:
+    """All dates reaching the group extreme (sorted), as Date/Value entries."""
     aggs = []
     for r in records:
         pv = F.col(f"_p_{r.name}")
         dates = F.array_sort(F.flatten(F.collect_list(
             F.when(F.col(f"rv_{r.name}") == pv, F.col(f"rd_{r.name}")))))
         aggs.append(_entries(dates, F.first(pv).cast(T.StringType())).alias(r.name))
-    return d.groupBy(*keys).agg(*aggs)
+    return aggs
+
+
+def _records_over(rows: DataFrame, keys: list[str], records: list[RecordMetric]) -> DataFrame:
+    """Extreme over ``keys`` groups, with all dates that reach it (sorted).
+
+    The window and the aggregate share one exchange on ``keys``.
+    """
+    return _with_period_extremes(rows, keys, records).groupBy(*keys).agg(*_record_aggs(records))
 
 
-def _period_frame(daily: DataFrame, periods: DataFrame, ranges, records):
-    months = month_stats(daily, ranges, records)
+def _period_frame(daily: DataFrame, periods: DataFrame, ranges, records, months=None):
+    months = months if months is not None else month_stats(daily, ranges, records)
     years = year_stats(months, ranges, records)
     return months, _join_periods(years, periods)
 
@@ -191,9 +204,14 @@ def records_long(daily: DataFrame, periods: DataFrame,
                     F.col("e.Date").alias("Date"), F.col("e.Value").alias("Value")))
 
 
-def monthly_normals(daily: DataFrame, periods: DataFrame, sort: bool = True) -> DataFrame:
-    """One row per (station, period, month) with data, months in order."""
-    months = month_stats(daily, [], [])
+def monthly_normals(daily: DataFrame, periods: DataFrame, sort: bool = True,
+                    months: DataFrame | None = None) -> DataFrame:
+    """One row per (station, period, month) with data, months in order.
+
+    ``months`` may be a :func:`month_stats` frame shared with other outputs
+    of the same job, so the daily table is aggregated once.
+    """
+    months = months if months is not None else month_stats(daily, [], [])
     pm = _join_periods(months, periods)
     ny = F.count(F.lit(1))
     names = F.array(*[F.lit(n) for n in MONTH_NAMES])
@@ -214,10 +232,11 @@ def monthly_normals(daily: DataFrame, periods: DataFrame, sort: bool = True) ->
 
 def period_summary(daily: DataFrame, periods: DataFrame,
                    ranges: list[RangeMetric] = DAY_COUNT_METRICS,
-                   metrics: list[RecordMetric] = RECORD_METRICS) -> DataFrame:
+                   metrics: list[RecordMetric] = RECORD_METRICS,
+                   months: DataFrame | None = None) -> DataFrame:
     """One wide row per (station, period): means, records, day counts."""
-    _, py = _period_frame(daily, periods, ranges, metrics)
+    _, py = _period_frame(daily, periods, ranges, metrics, months)
     keys = ["station", "period_id"]
-    scal = py.groupBy(*keys, "year_start", "year_end").agg(*_period_aggs(ranges))
-    recs = _records_over(py, keys, metrics)
-    return scal.join(recs, keys, "inner")
+    rows = _with_period_extremes(py, keys, metrics)
+    return rows.groupBy(*keys, "year_start", "year_end").agg(
+        *_period_aggs(ranges), *_record_aggs(metrics))

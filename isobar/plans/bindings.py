@@ -82,7 +82,15 @@ SOURCE_FROM = _dt.datetime(2024, 1, 15)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Each is a single parquet row group, which Spark cannot
+    split; when the scan has fewer partitions than cores the rows are spread
+    round-robin so per-row work runs on all cores. With many input files (the
+    production layout) the scan is already wide and this is a no-op."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _dec(expr: str, scale: int, to: T.DecimalType):

@@ -165,14 +165,13 @@ def q_official_import(spark: SparkSession, sf: str) -> DataFrame:
 # --- documents and catalog -------------------------------------------------------
 
 def q_summary_long(spark: SparkSession, sf: str) -> DataFrame:
-    d, p = B.daily(spark, sf), B.periods(spark)
-    docs = document.statistics_documents(normals.period_summary(d, p),
-                                         normals.monthly_normals(d, p, sort=False))
+    docs = document.build_documents(B.daily(spark, sf), B.periods(spark))
     return document.describe(document.flatten_document(docs))
 
 
 def q_normals_union(spark: SparkSession, sf: str) -> DataFrame:
-    allp = doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark))
+    # materialise once (shared checkpoint folder), then expose one view per period
+    allp = doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark)).checkpoint(eager=True)
     for per in B.PERIODS:
         allp.filter(F.col("period_id") == per.period_id) \
             .createOrReplaceTempView(f"Normals_{per.period_id}")
