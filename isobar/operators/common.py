@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 # Rows a broadcast side may have after its size check; beyond it the join
 # falls back to a shuffled hash/sort-merge join chosen by Catalyst.
@@ -18,7 +19,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     when the side turns out to be large; then no hint is added and Catalyst
     plans a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
+    if df.isLocal():
+        # a driver-side relation (configuration): its rows are already here
+        n = len(df.limit(max_rows + 1).collect())
+    else:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -29,9 +34,18 @@ def period_years(periods: DataFrame) -> DataFrame:
     still pass it through :func:`bounded_broadcast`.
     """
     extra = ["station"] if "station" in periods.columns else []
+    cols = extra + ["period_id", "year_start", "year_end"]
+    if periods.isLocal():
+        # configuration built on the driver: expand it there, keeping the
+        # result a local relation whose size check needs no Spark job
+        rows = [tuple(r[c] for c in cols) + (y,)
+                for r in periods.select(*cols).collect()
+                for y in range(r["year_start"], r["year_end"] + 1)]
+        schema = T.StructType([periods.schema[c] for c in cols]
+                              + [T.StructField("year", T.IntegerType(), False)])
+        return periods.sparkSession.createDataFrame(rows, schema)
     return periods.select(
-        *extra, "period_id", "year_start", "year_end",
-        F.explode(F.sequence(F.col("year_start"), F.col("year_end"))).alias("year"))
+        *cols, F.explode(F.sequence(F.col("year_start"), F.col("year_end"))).alias("year"))
 
 
 def check_date_range(start: _dt.date, end: _dt.date, today: _dt.date | None = None) -> None:

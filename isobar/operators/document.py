@@ -39,10 +39,9 @@ def build_documents(daily: DataFrame, periods: DataFrame) -> DataFrame:
     of ``daily``) feed two outputs; they are checkpointed to the shared
     checkpoint folder so the daily table is scanned once, not per output.
     """
-    from ..session import ensure_checkpoint_dir
+    from ..session import materialize
     from . import normals
-    ensure_checkpoint_dir(daily.sparkSession)
-    months = normals.month_stats(daily).checkpoint(eager=True)
+    months = materialize(normals.month_stats(daily), "month-stats")
     return statistics_documents(normals.period_summary(daily, periods, months=months),
                                 normals.monthly_normals(daily, periods, sort=False, months=months))
 

@@ -68,10 +68,12 @@ def month_stats(daily: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
         import datetime as _dt
         d = d.filter((F.col("date") >= F.lit(_dt.date(years[0], 1, 1)))
                      & (F.col("date") <= F.lit(_dt.date(years[1], 12, 31))))
-    d = d.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
+    d = d.select("*", F.year("date").alias("year"), F.month("date").alias("month"))
     w = Window.partitionBy("station", "year")
-    for c in _record_columns(records):
-        d = d.withColumn(f"_ymax_{c}", F.max(c).over(w)).withColumn(f"_ymin_{c}", F.min(c).over(w))
+    ext = [e for c in _record_columns(records)
+           for e in (F.max(c).over(w).alias(f"_ymax_{c}"), F.min(c).over(w).alias(f"_ymin_{c}"))]
+    if ext:
+        d = d.select("*", *ext)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in MEAN_COLUMNS:
         aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}")]
@@ -134,12 +136,11 @@ def _entries(dates: Column, value: Column) -> Column:
 
 def _with_period_extremes(rows: DataFrame, keys: list[str], records: list[RecordMetric]) -> DataFrame:
     """Each record's extreme over the ``keys`` group, as window columns."""
+    if not records:
+        return rows
     w = Window.partitionBy(*keys)
-    d = rows
-    for r in records:
-        agg = F.max if r.kind == "max" else F.min
-        d = d.withColumn(f"_p_{r.name}", agg(f"rv_{r.name}").over(w))
-    return d
+    return rows.select("*", *[(F.max if r.kind == "max" else F.min)(f"rv_{r.name}").over(w)
+                              .alias(f"_p_{r.name}") for r in records])
 
 
 def _record_aggs(records: list[RecordMetric]) -> list[Column]:

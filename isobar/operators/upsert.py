@@ -139,9 +139,8 @@ def write_upsert(target_path: str, source: DataFrame, keys: list[str],
     target = spark.read.parquet(target_path)
     merged = upsert(target, source, keys, fields, partition_cols, skip_empty)
     if checkpoint:
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        merged = merged.checkpoint(eager=True)
+        from ..session import materialize
+        merged = materialize(merged, "upsert")
     (merged.repartition(*partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target_path))
@@ -154,9 +153,8 @@ def append_if_absent(target_path: str, new: DataFrame, keys: list[str],
     spark = new.sparkSession
     target = spark.read.parquet(target_path)
     rows = insert_if_absent(target, new, keys, order_col)
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    rows = rows.checkpoint(eager=True)
+    from ..session import materialize
+    rows = materialize(rows, "append")
     n = rows.count()
     w = rows.write.mode("append")
     if partition_cols:

@@ -10,6 +10,7 @@ every order contributes to a daily row.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -88,7 +89,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     production layout) the scan is already wide and this is a no-op."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if os.environ.get("ISOBAR_SPREAD", "1") == "1" and len(df.inputFiles()) < cores:
         df = df.repartition(cores)
     return df
 

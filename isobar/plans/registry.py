@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..config import RECORD_METRICS, closed_left_metrics, load_normals_config
 from ..operators import catalog, doy, document, ingest, normals, official, rollup, upsert
+from ..session import materialize
 from . import bindings as B
 from . import oracle as O
 
@@ -171,7 +172,7 @@ def q_summary_long(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_normals_union(spark: SparkSession, sf: str) -> DataFrame:
     # materialise once (shared checkpoint folder), then expose one view per period
-    allp = doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark)).checkpoint(eager=True)
+    allp = materialize(doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark)), "doy-normals")
     for per in B.PERIODS:
         allp.filter(F.col("period_id") == per.period_id) \
             .createOrReplaceTempView(f"Normals_{per.period_id}")

@@ -71,3 +71,17 @@ def is_local_path(path: str) -> bool:
 def makedirs_if_local(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` once as parquet under the shared checkpoint
+    folder and return a DataFrame reading it back.
+
+    Unlike ``Dataset.checkpoint(eager=True)`` the input is computed once, and
+    the stored copy is columnar, so later scans prune columns. A lost
+    executor only costs a task retry of the write.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -12,7 +12,7 @@
 * T3 ``finalized_daily``: a pure streaming windowed aggregation in append
   mode; a day is emitted once the watermark passes its end.
 
-Writes go through ``checkpoint()`` under ``spark.checkpoint.dir`` so a job
+Intermediate results are written under ``spark.checkpoint.dir`` first so a job
 never reads the files it replaces and executor loss only costs a retry.
 """
 
@@ -25,7 +25,7 @@ from .. import schemas
 from ..operators.ingest import flatten_observations
 from ..operators.rollup import day_aggregates, daily_rollup
 from ..operators.upsert import first_arrival, upsert
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 OBS_KEYS = ["station", "obs_ts"]
 OBS_PARTS = ["station", "obs_date"]
@@ -49,7 +49,6 @@ def merge_observations(batch: DataFrame, target_path: str) -> DataFrame:
     Returns the (station, date) pairs the batch touched.
     """
     spark = batch.sparkSession
-    ensure_checkpoint_dir(spark)
     b = first_arrival(batch, OBS_KEYS, "arrival").withColumn("obs_date", F.to_date("obs_ts"))
     try:
         tgt = spark.read.parquet(target_path)
@@ -59,10 +58,10 @@ def merge_observations(batch: DataFrame, target_path: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
         merged = b
-    merged = merged.checkpoint(eager=True)
+    merged = materialize(merged, "obs-merge")
     (merged.repartition(*OBS_PARTS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*OBS_PARTS).parquet(target_path))
-    return b.select(F.col("station"), F.col("obs_date").alias("date")).distinct()
+    return merged.select(F.col("station"), F.col("obs_date").alias("date")).distinct()
 
 
 def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_path: str,
@@ -70,11 +69,11 @@ def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_
     """Recompute the touched days from stored observations, upsert them."""
     obs = spark.read.parquet(obs_path)
     cut = obs.join(touched.withColumnRenamed("date", "obs_date"), OBS_PARTS, "left_semi")
-    days = daily_rollup(cut.drop("obs_date", "arrival"), stations) \
-        .withColumn("year", F.year("date")).checkpoint(eager=True)
+    days = materialize(daily_rollup(cut.drop("obs_date", "arrival"), stations)
+                       .withColumn("year", F.year("date")), "daily-refresh")
     try:
         target = spark.read.parquet(daily_path)
-        merged = upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS).checkpoint(eager=True)
+        merged = materialize(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
     except Exception as exc:
         if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
             raise
@@ -98,7 +97,7 @@ def run_ingest(spark: SparkSession, landing: str, obs_path: str, checkpoint: str
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        touched = merge_observations(batch, obs_path).checkpoint(eager=True)
+        touched = materialize(merge_observations(batch, obs_path), "touched")
         if daily_path is not None:
             refresh_daily(batch.sparkSession, touched, obs_path, daily_path, stations)
 
