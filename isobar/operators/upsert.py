@@ -22,17 +22,29 @@ def first_arrival(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def _touched(target: DataFrame, source: DataFrame, partition_cols: list[str] | None):
+    """Target rows in the partitions the source touches (semi join -> DPP)."""
+    if not partition_cols:
+        return target
+    parts = source.select(*partition_cols).distinct()
+    return target.join(parts, partition_cols, "left_semi")
+
+
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str],
-                     order_col: str | None = None) -> DataFrame:
+                     order_col: str | None = None,
+                     partition_cols: list[str] | None = None) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``target`` (first wins).
 
-    Returns only the rows to append; existing rows are never touched.
+    Returns only the rows to append; existing rows are never touched. With
+    ``partition_cols`` (present in both frames) only the target partitions the
+    new rows fall into are read for the anti join.
     """
     if order_col is not None:
         new = first_arrival(new, keys, order_col).drop(order_col)
     else:
         new = new.dropDuplicates(keys)
-    return new.join(target.select(*keys), keys, "left_anti")
+    existing = _touched(target, new, partition_cols).select(*keys)
+    return new.join(existing, keys, "left_anti")
 
 
 def _merge_columns(columns: list[str], keys: list[str], fields: list[str] | None):
@@ -55,14 +67,6 @@ def _merge_columns(columns: list[str], keys: list[str], fields: list[str] | None
     return exprs
 
 
-def _touched(target: DataFrame, source: DataFrame, partition_cols: list[str] | None):
-    """Target rows in the partitions the source touches (semi join -> DPP)."""
-    if not partition_cols:
-        return target
-    parts = source.select(*partition_cols).distinct()
-    return target.join(parts, partition_cols, "left_semi")
-
-
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            fields: list[str] | None = None, partition_cols: list[str] | None = None,
            skip_empty: bool = False) -> DataFrame:
@@ -104,7 +108,8 @@ def upsert_table(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 def change_set(target: DataFrame, source: DataFrame, keys: list[str],
-               fields: list[str] | None = None) -> DataFrame:
+               fields: list[str] | None = None,
+               partition_cols: list[str] | None = None) -> DataFrame:
     """W4 dry run: what an upsert would do, per source key; nothing is written.
 
     ``action`` is ``insert`` for a new key and ``update`` for an existing
@@ -112,8 +117,10 @@ def change_set(target: DataFrame, source: DataFrame, keys: list[str],
     """
     columns = target.columns
     validate_fields(fields, columns)
-    written = [c for c in columns if c not in keys and (fields is None or c in fields)]
-    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in written]) \
+    written = [c for c in columns if c not in keys and c not in (partition_cols or [])
+               and (fields is None or c in fields)]
+    t = _touched(target, source, partition_cols) \
+        .select(*keys, *[F.col(c).alias(f"_t_{c}") for c in written]) \
         .withColumn("_in_tgt", F.lit(True))
     s = source.select(*columns)
     j = s.join(t, keys, "left")
@@ -135,8 +142,14 @@ def write_upsert(target_path: str, source: DataFrame, keys: list[str],
     reads the files it is replacing; a retried job recomputes the same rows,
     so the write is idempotent.
     """
+    from ..session import read_parquet_if_exists
     spark = source.sparkSession
-    target = spark.read.parquet(target_path)
+    target = read_parquet_if_exists(spark, target_path)
+    if target is None:  # first load: nothing to merge with
+        (source.repartition(*partition_cols).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_cols).parquet(target_path))
+        return
     merged = upsert(target, source, keys, fields, partition_cols, skip_empty)
     if checkpoint:
         from ..session import materialize

@@ -85,3 +85,13 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_parquet_if_exists(spark: SparkSession, path: str):
+    """The parquet table at ``path``, or None when nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except Exception as exc:  # AnalysisException: PATH_NOT_FOUND
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return None
+        raise

@@ -25,7 +25,7 @@ from .. import schemas
 from ..operators.ingest import flatten_observations
 from ..operators.rollup import day_aggregates, daily_rollup
 from ..operators.upsert import first_arrival, upsert
-from ..session import materialize
+from ..session import materialize, read_parquet_if_exists
 
 OBS_KEYS = ["station", "obs_ts"]
 OBS_PARTS = ["station", "obs_date"]
@@ -50,14 +50,12 @@ def merge_observations(batch: DataFrame, target_path: str) -> DataFrame:
     """
     spark = batch.sparkSession
     b = first_arrival(batch, OBS_KEYS, "arrival").withColumn("obs_date", F.to_date("obs_ts"))
-    try:
-        tgt = spark.read.parquet(target_path)
+    tgt = read_parquet_if_exists(spark, target_path)
+    if tgt is None:  # first batch: no table yet
+        merged = b
+    else:
         touched = tgt.join(b.select(*OBS_PARTS).distinct(), OBS_PARTS, "left_semi")
         merged = first_arrival(touched.unionByName(b), OBS_KEYS, "arrival")
-    except Exception as exc:  # first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
-        merged = b
     merged = materialize(merged, "obs-merge")
     (merged.repartition(*OBS_PARTS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*OBS_PARTS).parquet(target_path))
@@ -71,13 +69,11 @@ def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_
     cut = obs.join(touched.withColumnRenamed("date", "obs_date"), OBS_PARTS, "left_semi")
     days = materialize(daily_rollup(cut.drop("obs_date", "arrival"), stations)
                        .withColumn("year", F.year("date")), "daily-refresh")
-    try:
-        target = spark.read.parquet(daily_path)
-        merged = materialize(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-            raise
+    target = read_parquet_if_exists(spark, daily_path)
+    if target is None:
         merged = days
+    else:
+        merged = materialize(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
     (merged.repartition(*DAILY_PARTS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*DAILY_PARTS).parquet(daily_path))
 
