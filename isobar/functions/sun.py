@@ -27,8 +27,6 @@ TRANSIT_M, TRANSIT_L = 0.0053, 0.0069
 OBLIQUITY = 23.4397
 HORIZON = -0.833
 
-_EPOCH_NTZ = _dt.datetime(1970, 1, 1)
-
 
 def _sin_deg(x: Column) -> Column:
     return F.sin(F.radians(x))
@@ -36,7 +34,7 @@ def _sin_deg(x: Column) -> Column:
 
 def _ntz_from_unix_seconds(secs: Column) -> Column:
     """UTC wall clock of a unix second count, independent of session zone."""
-    return F.timestamp_add("SECOND", secs, F.lit(_EPOCH_NTZ))
+    return F.timestamp_add("SECOND", secs, F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
 
 
 def solar_event_unix(date: Column, lat: Column, lon: Column) -> tuple[Column, Column]:

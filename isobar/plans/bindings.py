@@ -224,7 +224,8 @@ def observation_messages(spark: SparkSession, sf_dir: str, with_arrival: bool =
         ts.alias("obsTimeLocal"), F.lit("n").alias("neighborhood"), F.lit("sw").alias("softwareType"),
         F.lit("FR").alias("country"), _tenths(OBS_INT["solar10"]).alias("solarRadiation"),
         F.lit(2.16).alias("lon"), F.lit(5.0).alias("realtimeFrequency"),
-        F.unix_timestamp(ts.cast("timestamp")).alias("epoch"), F.lit(48.69).alias("lat"),
+        F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts).alias("epoch"),
+        F.lit(48.69).alias("lat"),
         _tenths(OBS_INT["uv10"]).alias("uv"), F.expr(OBS_INT["winddir"]).cast("int").alias("winddir"),
         F.expr(OBS_INT["humidity"]).cast("double").alias("humidity"), F.lit(1).alias("qcStatus"),
         metric.alias("metric"))
