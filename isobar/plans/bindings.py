@@ -136,9 +136,33 @@ def periods(spark: SparkSession) -> DataFrame:
     return periods_frame(spark, PERIODS)
 
 
+def _orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        "o_orderpriority", "o_orderdate", "o_custkey", "o_orderkey")
+
+
+# Wide variant: one station per supplier over ``lineitem`` ship dates, so the
+# number of stations and daily rows grows with the scale factor.
+WIDE_SOURCE = {"o_orderpriority": "concat('L', CAST(l_suppkey AS STRING))",
+               "o_orderdate": "l_shipdate", "o_custkey": "l_partkey", "o_orderkey": "l_orderkey"}
+
+
+def _lineitem_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(*[F.expr(v).alias(k) for k, v in WIDE_SOURCE.items()])
+
+
+def daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table with one station per supplier (from ``lineitem``)."""
+    return _daily_from(_lineitem_source(spark, sf_dir))
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily table from ``orders`` (5 stations x order dates)."""
-    o = table(spark, sf_dir, "orders")
+    return _daily_from(_orders_source(spark, sf_dir))
+
+
+def _daily_from(o: DataFrame) -> DataFrame:
     g = (o.groupBy(F.col("o_orderpriority").alias("station"),
                    F.to_date("o_orderdate").alias("date"))
          .agg(*[F.expr(v).alias(k) for k, v in DAILY_AGG.items()]))

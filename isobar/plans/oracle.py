@@ -69,8 +69,12 @@ def periods_cte() -> str:
     return f"periods(period_id, year_start, year_end) AS (VALUES {rows})"
 
 
-def daily_ctes(name: str = "daily") -> str:
+def daily_ctes(name: str = "daily", wide: bool = False) -> str:
     aggs = ",\n    ".join(f"{v} AS {k}" for k, v in B.DAILY_AGG.items())
+    src = "orders"
+    if wide:
+        cols = ", ".join(f"{v.replace('STRING', 'VARCHAR')} AS {k}" for k, v in B.WIDE_SOURCE.items())
+        src = f"(SELECT {cols} FROM lineitem)"
     dead = "date_diff('day', DATE '1970-01-01', date) % 23 = 0"
 
     def v(e):
@@ -78,7 +82,7 @@ def daily_ctes(name: str = "daily") -> str:
     return f"""d0 AS (
   SELECT o_orderpriority AS station, CAST(o_orderdate AS DATE) AS date,
     {aggs}
-  FROM orders GROUP BY 1, 2),
+  FROM {src} GROUP BY 1, 2),
 {name} AS (
   SELECT station, date,
     {v('(least(a, b) + greatest(a, b)) // 2')} AS temp_avg,
@@ -317,8 +321,8 @@ j AS (
   FROM daily d JOIN py ON year(d.date) = py.year)"""
 
 
-def _base() -> str:
-    return with_(daily_ctes(), periods_cte(), _period_join())
+def _base(wide: bool = False) -> str:
+    return with_(daily_ctes(wide=wide), periods_cte(), _period_join())
 
 
 def q_period_means() -> str:
@@ -395,13 +399,13 @@ def q_monthly_normals() -> str:
 FROM j GROUP BY station, period_id, month"""
 
 
-def q_period_summary() -> str:
+def q_period_summary(wide: bool = False) -> str:
     ny = "count(DISTINCT year)"
     rec = ",\n  ".join(
         f"max(CASE WHEN r.metric = '{m.name}' THEN r.Value END) AS {m.name}_Value,\n"
         f"  string_agg(CASE WHEN r.metric = '{m.name}' THEN r.Date END, ',' ORDER BY r.Date) AS {m.name}_Dates"
         for m in RECORD_METRICS)
-    return _base() + f""", recs AS ({_records_union()}),
+    return _base(wide) + f""", recs AS ({_records_union()}),
 scal AS (
   SELECT station, period_id, CAST(year_start AS BIGINT) AS year_start,
     CAST(year_end AS BIGINT) AS year_end, {ny} AS n_years,
@@ -467,7 +471,7 @@ FIXED_DOY_GROUPS = [
 ]
 
 
-def q_doy_normals_fixed() -> str:
+def q_doy_normals_fixed(wide: bool = False) -> str:
     cols = []
     for name, (a, h, lo) in FIXED_DOY_GROUPS:
         is_int = name == "Humidity"
@@ -484,7 +488,7 @@ def q_doy_normals_fixed() -> str:
     cols.append(f"{mean_spark5('precipitation_sum')} AS AvgPrecipitationSum")
     cols.append(f"{tenths('min(precipitation_sum)')} AS MinPrecipitationSum")
     cols.append(f"{tenths('max(precipitation_sum)')} AS MaxPrecipitationSum")
-    return _base() + f"""SELECT station, period_id, strftime(date, '%m-%d') AS DayOfYear,
+    return _base(wide) + f"""SELECT station, period_id, strftime(date, '%m-%d') AS DayOfYear,
   {', '.join(cols)}
 FROM j GROUP BY station, period_id, strftime(date, '%m-%d')"""
 

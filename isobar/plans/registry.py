@@ -133,6 +133,15 @@ def q_doy_normals_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return finalize(doy.doy_normals_fixed(B.daily(spark, sf), B.periods(spark)))
 
 
+def q_period_summary_wide(spark: SparkSession, sf: str) -> DataFrame:
+    s = normals.period_summary(B.daily_wide(spark, sf), B.periods(spark))
+    return finalize(flat_summary(s))
+
+
+def q_doy_normals_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return finalize(doy.doy_normals_fixed(B.daily_wide(spark, sf), B.periods(spark)))
+
+
 # --- payload ingest ------------------------------------------------------------
 
 def q_observation_flatten(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,6 +240,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_summary": q_period_summary,
     "doy_normals_config": q_doy_normals_config,
     "doy_normals_fixed": q_doy_normals_fixed,
+    "period_summary_wide": q_period_summary_wide,
+    "doy_normals_wide": q_doy_normals_wide,
     "observation_flatten": q_observation_flatten,
     "history_map": q_history_map,
     "console_daily": q_console_daily,
@@ -262,6 +273,8 @@ def oracles() -> dict[str, str]:
         "period_summary": O.q_period_summary(),
         "doy_normals_config": O.q_doy_normals_config(job.crossref),
         "doy_normals_fixed": O.q_doy_normals_fixed(),
+        "period_summary_wide": O.q_period_summary(wide=True),
+        "doy_normals_wide": O.q_doy_normals_fixed(wide=True),
         "observation_flatten": O.q_observation_flatten(),
         "history_map": O.q_history_map(),
         "console_daily": O.q_console_daily(),
