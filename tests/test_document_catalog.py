@@ -55,3 +55,5 @@ def test_discover_and_consolidate(spark):
     assert u.count() == 5
     assert {r.source_table.lower() for r in u.collect()} == {"lille_normals_2000_2001",
                                                              "lille_normals_2001_2002"}
+    for v in ("Normals_2000_2001", "Normals_2001_2002", "NormalsX"):
+        spark.catalog.dropTempView(v)
