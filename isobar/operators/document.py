@@ -85,30 +85,44 @@ def write_documents(docs: DataFrame, path: str) -> None:
      .partitionBy("station", "period_id").text(path))
 
 
-def _leaves(dtype: T.DataType, col: Column, key: str, sep: str) -> list[Column]:
-    """(metric, value) pairs of one struct field, recursing like flatten_dict."""
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _leaves(dtype: T.DataType, ref: str, key: str, sep: str) -> list[str]:
+    """SQL for the (metric, value) arrays of one field, recursing like flatten_dict.
+
+    Nested structs are walked, map entries become ``<key><sep><map key>``,
+    arrays stay whole as JSON text, scalars are cast to text.
+    """
     if isinstance(dtype, T.StructType):
         out = []
         for f in dtype.fields:
             k = f"{key}{sep}{f.name}" if key else f.name
-            out.extend(_leaves(f.dataType, col[f.name], k, sep))
+            out.extend(_leaves(f.dataType, f"{ref}.{_q(f.name)}", k, sep))
         return out
     if isinstance(dtype, T.MapType):
-        return [F.transform(F.map_entries(col), lambda e: F.struct(
-            F.concat(F.lit(key + sep), e["key"]).alias("metric"),
-            e["value"].cast(T.StringType()).alias("value")))]
-    if isinstance(dtype, (T.ArrayType,)):
-        val = F.to_json(col)
-    else:
-        val = col.cast(T.StringType())
-    return [F.array(F.struct(F.lit(key).alias("metric"), val.alias("value")))]
+        return [f"transform(map_entries({ref}), e -> named_struct('metric', "
+                f"concat({_lit(key + sep)}, e.key), 'value', CAST(e.value AS STRING)))"]
+    val = f"to_json({ref})" if isinstance(dtype, T.ArrayType) else f"CAST({ref} AS STRING)"
+    return [f"named_struct('metric', {_lit(key)}, 'value', {val})"]
 
 
 def flatten_document(docs: DataFrame, sep: str = "_") -> DataFrame:
-    """Nested document -> (metric, value) rows; lists stay whole (JSON)."""
-    dtype = docs.schema["doc"].dataType
-    parts = _leaves(dtype, F.col("doc"), "", sep)
-    return docs.select("station", "period_id", F.explode(F.concat(*parts)).alias("kv")) \
+    """Nested document -> (metric, value) rows; lists stay whole (JSON).
+
+    The whole walk is one generated SQL expression (one parse, one analysis)
+    rather than hundreds of Column calls.
+    """
+    parts = _leaves(docs.schema["doc"].dataType, "doc", "", sep)
+    scalars = [p for p in parts if p.startswith("named_struct")]
+    arrays = [p for p in parts if not p.startswith("named_struct")]
+    expr = "concat(" + ", ".join([f"array({', '.join(scalars)})"] + arrays) + ")"
+    return docs.select("station", "period_id", F.explode(F.expr(expr)).alias("kv")) \
         .select("station", "period_id", F.col("kv.metric").alias("metric"),
                 F.col("kv.value").alias("value"))
 

@@ -52,6 +52,21 @@ def range_predicate(m: RangeMetric) -> Column:
     return cond
 
 
+def _num(v) -> str:
+    """A decimal literal in Spark SQL (unsuffixed decimals parse as DECIMAL)."""
+    t = f"{Decimal(str(v)):f}"
+    return t if "." in t else t + ".0"
+
+
+def range_predicate_sql(m: RangeMetric) -> str:
+    parts = [f"{m.column} IS NOT NULL"]
+    if m.lo is not None:
+        parts.append(f"{m.column} {'>=' if m.lo_closed else '>'} {_num(m.lo)}")
+    if m.hi is not None:
+        parts.append(f"{m.column} {'<=' if m.hi_closed else '<'} {_num(m.hi)}")
+    return " AND ".join(parts)
+
+
 def _record_columns(records: list[RecordMetric]) -> list[str]:
     return sorted({r.column for r in records})
 
@@ -74,19 +89,21 @@ def month_stats(daily: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
            for e in (F.max(c).over(w).alias(f"_ymax_{c}"), F.min(c).over(w).alias(f"_ymin_{c}"))]
     if ext:
         d = d.select("*", *ext)
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    # aggregate list as SQL text: one parse per expression instead of a
+    # chain of Column calls (plan construction stays cheap on the driver)
+    aggs = ["count(1) AS n_rows"]
     for c in MEAN_COLUMNS:
-        aggs += [F.sum(c).alias(f"s_{c}"), F.count(c).alias(f"n_{c}")]
-    aggs.append(F.coalesce(F.sum(RAIN), _lit("0.0")).alias("rain_total"))
-    aggs += [F.count_if(range_predicate(m)).alias(f"c_{m.name}") for m in ranges]
-    aggs.append(F.count_if(F.col(RAIN) >= _lit(1)).alias("wet1"))
+        aggs += [f"sum({c}) AS s_{c}", f"count({c}) AS n_{c}"]
+    aggs.append(f"coalesce(sum({RAIN}), 0.0) AS rain_total")
+    aggs += [f"count_if({range_predicate_sql(m)}) AS c_{m.name}" for m in ranges]
+    aggs.append(f"count_if({RAIN} >= 1.0) AS wet1")
     for c in ("temp_high", "temp_low"):
-        aggs += [F.max(c).alias(f"mmax_{c}"), F.min(c).alias(f"mmin_{c}")]
+        aggs += [f"max({c}) AS mmax_{c}", f"min({c}) AS mmin_{c}"]
     for r in records:
-        ext = F.col(f"_y{r.kind}_{r.column}")
-        aggs.append(F.max(ext).alias(f"rv_{r.name}"))
-        aggs.append(F.collect_list(F.when(F.col(r.column) == ext, F.col("date"))).alias(f"rd_{r.name}"))
-    return d.groupBy("station", "year", "month").agg(*aggs)
+        ext = f"_y{r.kind}_{r.column}"
+        aggs.append(f"max({ext}) AS rv_{r.name}")
+        aggs.append(f"collect_list(CASE WHEN {r.column} = {ext} THEN date END) AS rd_{r.name}")
+    return d.groupBy("station", "year", "month").agg(*[F.expr(a) for a in aggs])
 
 
 def year_stats(months: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
@@ -94,11 +111,11 @@ def year_stats(months: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
     """Month rows folded to (station, year); the rows are already tiny."""
     sums = ["n_rows", "rain_total", "wet1"] + [f"s_{c}" for c in MEAN_COLUMNS] + \
         [f"n_{c}" for c in MEAN_COLUMNS] + [f"c_{m.name}" for m in ranges]
-    aggs = [F.sum(c).alias(c) for c in sums]
+    aggs = [f"sum({c}) AS {c}" for c in sums]
     for r in records:
-        aggs.append(F.max(f"rv_{r.name}").alias(f"rv_{r.name}"))
-        aggs.append(F.flatten(F.collect_list(f"rd_{r.name}")).alias(f"rd_{r.name}"))
-    return months.groupBy("station", "year").agg(*aggs)
+        aggs.append(f"max(rv_{r.name}) AS rv_{r.name}")
+        aggs.append(f"flatten(collect_list(rd_{r.name})) AS rd_{r.name}")
+    return months.groupBy("station", "year").agg(*[F.expr(a) for a in aggs])
 
 
 def _join_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
@@ -123,7 +140,9 @@ def _period_aggs(ranges: list[RangeMetric]) -> list[Column]:
         ratio_half_up(F.sum("rain_total"), ny, 1).cast(T.DoubleType()).alias("Yearly_Avg_Precipitation"),
         _mean(f"s_{RAIN}", f"n_{RAIN}").alias("Avg_Daily_Precipitation"),
     ]
-    out += [ratio_half_even_int(F.sum(f"c_{m.name}"), ny).alias(m.name) for m in ranges]
+    out += [F.expr(f"CAST(bround(CAST(sum(c_{m.name}) AS DECIMAL(30, 8)) / "
+                   f"CAST(count(1) AS DECIMAL(20, 0)), 0) AS BIGINT) AS {m.name}")
+            for m in ranges]
     return out
 
 
@@ -180,8 +199,7 @@ def day_counts(daily: DataFrame, periods: DataFrame,
     """Average days per year in each range, per (station, period)."""
     _, py = _period_frame(daily, periods, ranges, [])
     ny = F.count(F.lit(1))
-    aggs = [ny.alias("n_years")] + \
-        [ratio_half_even_int(F.sum(f"c_{m.name}"), ny).alias(m.name) for m in ranges]
+    aggs = [ny.alias("n_years")] + _period_aggs(ranges)[6:]
     return py.groupBy("station", "period_id").agg(*aggs)
 
 
