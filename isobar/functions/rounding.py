@@ -50,3 +50,48 @@ def truncate_toward_zero(x: Column, scale: int = 1, to: T.DecimalType | None = N
 def half_up(x: Column, scale: int = 1, to: T.DecimalType | None = None) -> Column:
     """``printf %.1f``-style rounding in decimal (half away from zero)."""
     return F.round(x.cast(T.DecimalType(20, 6)), scale).cast(to or T.DecimalType(10, scale))
+
+
+# --- long-arithmetic means ---------------------------------------------------
+# Sums of unscaled longs stay in the fixed-width aggregation buffer (no
+# BigDecimal per row) and the rounding is integer division, so these are both
+# exact and cheap. The SQL text is parsed once per expression.
+
+def _sgn(x: str) -> str:
+    return f"(CASE WHEN {x} < 0 THEN -1 ELSE 1 END)"
+
+
+def half_up_div_sql(num: str, den: str) -> str:
+    """round_half_up(num / den) for longs, den > 0."""
+    return f"({_sgn(num)} * ((2 * abs({num}) + {den}) div (2 * {den})))"
+
+
+def _unscaled_sum(col: str, scale_in: int) -> str:
+    # unscaled value through a double: exact while |unscaled| < 2^50, far
+    # beyond any measure column, and much cheaper per row than decimal math
+    return f"sum(CAST(floor(CAST({col} AS DOUBLE) * {10 ** scale_in} + 0.5) AS BIGINT))"
+
+
+def mean_sql(col: str, scale_in: int, scale_out: int, to: str) -> str:
+    """``round(avg(col), scale_out)`` half up, exact; ``col`` has ``scale_in`` decimals."""
+    s, n = _unscaled_sum(col, scale_in), f"count({col})"
+    num = f"({s} * {10 ** scale_out})" if scale_out else s
+    den = f"({n} * {10 ** scale_in})" if scale_in else n
+    q = half_up_div_sql(num, den)
+    return (f"CAST(CASE WHEN {n} > 0 THEN CAST({q} AS DECIMAL(20, 0)) / {10 ** scale_out} END "
+            f"AS {to})")
+
+
+def avg_then_cast_sql(col: str, scale_in: int, scale_out: int, to: str) -> str:
+    """``CAST(AVG(col) AS decimal(_, scale_out))`` as Spark (and MySQL) compute it:
+    the mean is first rounded half up to ``scale_in + 4`` digits, then to
+    ``scale_out``."""
+    s, n = _unscaled_sum(col, scale_in), f"count({col})"
+    u = half_up_div_sql(f"({s} * 10000)", n)
+    r = half_up_div_sql(u, str(10 ** (scale_in + 4 - scale_out)))
+    return (f"CAST(CASE WHEN {n} > 0 THEN CAST({r} AS DECIMAL(20, 0)) / {10 ** scale_out} END "
+            f"AS {to})")
+
+
+def exact_mean_col(col: str, scale_in: int, scale_out: int = 1, to: str = "DECIMAL(10, 1)"):
+    return F.expr(mean_sql(col, scale_in, scale_out, to))

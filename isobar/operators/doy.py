@@ -76,7 +76,9 @@ def fixed_aggregates() -> list:
         trip = [("Avg", a), ("High", h), ("Low", lo)]
         is_int = isinstance(typ, T.IntegerType)
 
-        def avg(c):
+        def avg(c, typ=typ, is_int=is_int):
+            # Spark's decimal avg rounds the mean to scale + 4 digits, then the
+            # cast rounds to the column scale: the database's semantics
             if is_int:
                 return F.round(F.avg(F.col(c).cast(_INT_AS_DECIMAL)), 0).cast(T.IntegerType())
             return F.avg(c).cast(typ)

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import cleaning as C
-from ..functions.rounding import exact_mean
+from ..functions.rounding import exact_mean_col
 
 
 # --- observation messages -----------------------------------------------------
@@ -115,18 +115,18 @@ def _console_aggs() -> list:
     dbl = T.DoubleType()
     return [
         F.max("temp").cast(dbl).alias("temp_max"),
-        exact_mean("temp").cast(dbl).alias("temp_avg"),
+        exact_mean_col("temp", 2, 1, "DOUBLE").alias("temp_avg"),
         F.min("temp").cast(dbl).alias("temp_min"),
         F.max("humidity").cast(dbl).alias("humidity_max"),
-        exact_mean("humidity").cast(dbl).alias("humidity_avg"),
+        exact_mean_col("humidity", 2, 1, "DOUBLE").alias("humidity_avg"),
         F.min("humidity").cast(dbl).alias("humidity_min"),
         F.max("dewpt").cast(dbl).alias("dewpoint_max"),
-        exact_mean("dewpt").cast(dbl).alias("dewpoint_avg"),
+        exact_mean_col("dewpt", 2, 1, "DOUBLE").alias("dewpoint_avg"),
         F.min("dewpt").cast(dbl).alias("dewpoint_min"),
         F.max("pressure").cast(dbl).alias("pressure_max"),
         F.min("pressure").cast(dbl).alias("pressure_min"),
         F.max("wind").cast(dbl).alias("wind_max"),
-        exact_mean("wind").cast(dbl).alias("wind_avg"),
+        exact_mean_col("wind", 2, 1, "DOUBLE").alias("wind_avg"),
         F.max("gust").cast(dbl).alias("gust_max"),
         C.mm_to_cm(F.max("rain"), 2).cast(dbl).alias("rain_cm"),
     ]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.rounding import exact_mean
+from ..functions.rounding import exact_mean_col
 from ..functions.sun import sun_columns
 from .common import bounded_broadcast, check_date_range
 
@@ -33,16 +33,16 @@ def day_aggregates() -> list:
     """The 15 day measures of the observation roll-up, typed as the daily DDL."""
     d = dict((f.name, f.dataType) for f in schemas.DAILY.fields)
     return [
-        exact_mean("temp").cast(d["temp_avg"]).alias("temp_avg"),
+        exact_mean_col("temp", 1, 1, "DECIMAL(3, 1)").alias("temp_avg"),
         F.max("temp").cast(d["temp_high"]).alias("temp_high"),
         F.min("temp").cast(d["temp_low"]).alias("temp_low"),
-        exact_mean("dewpt").cast(d["dewpoint_avg"]).alias("dewpoint_avg"),
+        exact_mean_col("dewpt", 1, 1, "DECIMAL(3, 1)").alias("dewpoint_avg"),
         F.max("dewpt").cast(d["dewpoint_high"]).alias("dewpoint_high"),
         F.min("dewpt").cast(d["dewpoint_low"]).alias("dewpoint_low"),
-        exact_mean("humidity", 0).cast(T.IntegerType()).alias("humidity_avg"),
+        exact_mean_col("humidity", 0, 0, "INT").alias("humidity_avg"),
         F.max("humidity").alias("humidity_high"),
         F.min("humidity").alias("humidity_low"),
-        exact_mean("pressure").cast(d["pressure_avg"]).alias("pressure_avg"),
+        exact_mean_col("pressure", 2, 1, "DECIMAL(5, 1)").alias("pressure_avg"),
         F.round(F.max("pressure"), 1).cast(d["pressure_high"]).alias("pressure_high"),
         F.round(F.min("pressure"), 1).cast(d["pressure_low"]).alias("pressure_low"),
         F.max("wind_speed").cast(d["wind_speed_max"]).alias("wind_speed_max"),
@@ -59,8 +59,9 @@ def daily_rollup(obs: DataFrame, stations: DataFrame | None = None) -> DataFrame
     aggs = day_aggregates()
     src = obs
     if stations is not None:
-        src = _with_sun(obs, stations)
-        solar = exact_mean(F.when(F.col("_daylight"), F.col("solar_radiation")))
+        src = _with_sun(obs, stations).withColumn(
+            "_day_solar", F.when(F.col("_daylight"), F.col("solar_radiation")))
+        solar = exact_mean_col("_day_solar", 1, 1, "DECIMAL(5, 1)")
     else:
         solar = F.lit(None)
     aggs.append(solar.cast(schemas.D51).alias("solar_radiation_avg"))
@@ -70,12 +71,12 @@ def daily_rollup(obs: DataFrame, stations: DataFrame | None = None) -> DataFrame
 
 def daylight_solar(obs: DataFrame, stations: DataFrame) -> DataFrame:
     """A2 with its sun times: one row per station and day with observations."""
-    src = _with_sun(obs, stations)
+    src = _with_sun(obs, stations).withColumn(
+        "_day_solar", F.when(F.col("_daylight"), F.col("solar_radiation")))
     sun = sun_columns(F.col("date"), F.col("lat"), F.col("lon"), F.col("tz"))
     per_day = (src.groupBy("station", F.to_date("obs_ts").alias("date"),
                            "lat", "lon", "tz")
-               .agg(exact_mean(F.when(F.col("_daylight"), F.col("solar_radiation")))
-                    .cast(schemas.D51).alias("solar_radiation_avg"),
+               .agg(exact_mean_col("_day_solar", 1, 1, "DECIMAL(5, 1)").alias("solar_radiation_avg"),
                     F.count(F.when(F.col("_daylight"), 1)).alias("n_daylight_obs")))
     return per_day.select(
         "station", "date", sun["sunrise"].alias("sunrise"), sun["sunset"].alias("sunset"),
