@@ -1,8 +1,9 @@
 """Rounding rules.
 
-* Means of measures are computed in exact decimal arithmetic and rounded
-  half away from zero (``F.round`` on a decimal).  Casting to a wide decimal
-  before ``avg`` keeps Spark from rounding the mean to 5 digits first.
+* Means of measures are exact: long sums of unscaled values, divided and
+  rounded half away from zero in integer arithmetic (``exact_mean_col``).
+  Spark's own decimal ``avg`` first rounds the mean to scale + 4 digits,
+  which is kept only where that is the wanted semantics (day-of-year table).
 * Mean day counts follow Python's ``round``: half to even (``F.bround``).
 * Truncation toward zero (the shell ``bc scale=1`` behaviour) is
   ``sign(x) * floor(abs(x) * 10) / 10`` in decimal.
@@ -13,14 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
-WIDE = T.DecimalType(18, 8)
-
-
-def exact_mean(col: Column | str, scale: int = 1) -> Column:
-    """``round(avg(x), scale)`` without the intermediate 5-digit rounding."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(F.avg(c.cast(WIDE)), scale)
-
 
 def ratio_half_up(num: Column, den: Column, scale: int = 1) -> Column:
     """``round(num / den, scale)`` half away from zero, exact for decimals.
@@ -82,16 +75,6 @@ def mean_sql(col: str, scale_in: int, scale_out: int, to: str) -> str:
             f"AS {to})")
 
 
-def avg_then_cast_sql(col: str, scale_in: int, scale_out: int, to: str) -> str:
-    """``CAST(AVG(col) AS decimal(_, scale_out))`` as Spark (and MySQL) compute it:
-    the mean is first rounded half up to ``scale_in + 4`` digits, then to
-    ``scale_out``."""
-    s, n = _unscaled_sum(col, scale_in), f"count({col})"
-    u = half_up_div_sql(f"({s} * 10000)", n)
-    r = half_up_div_sql(u, str(10 ** (scale_in + 4 - scale_out)))
-    return (f"CAST(CASE WHEN {n} > 0 THEN CAST({r} AS DECIMAL(20, 0)) / {10 ** scale_out} END "
-            f"AS {to})")
-
-
-def exact_mean_col(col: str, scale_in: int, scale_out: int = 1, to: str = "DECIMAL(10, 1)"):
+def exact_mean_col(col: str, scale_in: int, scale_out: int = 1, to: str = "DECIMAL(10, 1)") -> Column:
+    """Aggregate: exact mean of ``col`` rounded half up (see :func:`mean_sql`)."""
     return F.expr(mean_sql(col, scale_in, scale_out, to))

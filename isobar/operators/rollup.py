@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.rounding import exact_mean_col
