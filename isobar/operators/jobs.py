@@ -16,9 +16,11 @@ from ..session import materialize
 from .common import check_date_range
 from .official import import_official
 from .rollup import daily_rollup_range
-from .upsert import write_upsert
+from .upsert import write_partitions, write_upsert
 
-DAILY_PARTITIONS = ["station", "year"]
+# Year directories, rows clustered by station inside: a station-level
+# directory split would create millions of tiny files with many stations.
+DAILY_PARTITIONS = ["year"]
 
 
 def today_range(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
@@ -34,14 +36,18 @@ def yesterday_range(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
 
 
 def write_daily_lake(daily: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The daily table as parquet partitioned by station and year.
+    """The daily table as parquet partitioned by year, clustered by station.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files per partition.
+    Rows are range-partitioned on (year, station) and sorted by (station,
+    date): each task writes a contiguous slice of one year, so parquet
+    statistics prune by station and date and no task holds a whole year.
     """
     d = daily.withColumn("year", F.year("date"))
-    (d.repartition(*DAILY_PARTITIONS).sortWithinPartitions("date").write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*DAILY_PARTITIONS).parquet(path))
+    if mode == "overwrite":
+        write_partitions(d, path, DAILY_PARTITIONS, ["station", "date"])
+    else:
+        (d.repartitionByRange(*DAILY_PARTITIONS, "station").sortWithinPartitions("station", "date")
+         .write.mode(mode).partitionBy(*DAILY_PARTITIONS).parquet(path))
 
 
 def refresh_days(spark: SparkSession, obs: DataFrame, daily_path: str, start: _dt.date,

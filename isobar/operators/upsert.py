@@ -145,18 +145,29 @@ def write_upsert(target_path: str, source: DataFrame, keys: list[str],
     from ..session import read_parquet_if_exists
     spark = source.sparkSession
     target = read_parquet_if_exists(spark, target_path)
+    clustering = [k for k in keys if k not in partition_cols]
     if target is None:  # first load: nothing to merge with
-        (source.repartition(*partition_cols).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_cols).parquet(target_path))
+        write_partitions(source, target_path, partition_cols, clustering)
         return
     merged = upsert(target, source, keys, fields, partition_cols, skip_empty)
     if checkpoint:
         from ..session import materialize
         merged = materialize(merged, "upsert")
-    (merged.repartition(*partition_cols).write.mode("overwrite")
+    write_partitions(merged, target_path, partition_cols, clustering)
+
+
+def write_partitions(df: DataFrame, path: str, partition_cols: list[str],
+                     clustering: list[str]) -> None:
+    """Dynamic partition overwrite of the partitions present in ``df``.
+
+    Rows are range-partitioned on (partition columns, first clustering key)
+    and sorted by the clustering keys: every task writes a contiguous slice,
+    files stay few per partition, and parquet statistics prune on the keys.
+    """
+    (df.repartitionByRange(*partition_cols, *clustering[:1])
+     .sortWithinPartitions(*clustering).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(target_path))
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def append_if_absent(target_path: str, new: DataFrame, keys: list[str],

@@ -73,7 +73,7 @@ def _upsert_q(fields):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         tgt, src = _upsert_inputs(spark, sf)
         out = upsert.upsert_table(tgt, src, schemas.DAILY_KEYS, fields,
-                                  partition_cols=["station", "year"])
+                                  partition_cols=["year"])
         return finalize(out.drop("year"))
     return run
 

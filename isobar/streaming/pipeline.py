@@ -1,8 +1,8 @@
 """Structured Streaming forms of the ingest and the daily roll-up.
 
 * T1 ``merge_observations``: each micro-batch keeps the earliest arrival per
-  (station, obs_ts), merges it with the stored rows of the same
-  (station, day) partitions and rewrites only those partitions. The rule is
+  (station, obs_ts), merges it with the stored rows of the same day
+  partitions and rewrites only those partitions. The rule is
   "smallest arrival wins", so the result does not depend on how files are
   cut into batches, and a replayed batch (after a failure) is a no-op.
 * T2/T5 ``refresh_daily``: the days a batch touched are recomputed from the
@@ -24,12 +24,15 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.ingest import flatten_observations
 from ..operators.rollup import day_aggregates, daily_rollup
-from ..operators.upsert import first_arrival, upsert
+from ..operators.upsert import first_arrival, upsert, write_partitions
 from ..session import materialize, read_parquet_if_exists
 
 OBS_KEYS = ["station", "obs_ts"]
-OBS_PARTS = ["station", "obs_date"]
-DAILY_PARTS = ["station", "year"]
+# Directory partitions are dates only: with many stations, (station, day)
+# directories would mean millions of tiny files. Rows are clustered by station
+# inside each partition so parquet min/max statistics still prune by station.
+OBS_PARTS = ["obs_date"]
+DAILY_PARTS = ["year"]
 
 # Landed message envelope: the feed message plus its arrival sequence.
 LANDED_MESSAGE = T.StructType(list(schemas.OBS_MESSAGE.fields) + [
@@ -49,7 +52,8 @@ def merge_observations(batch: DataFrame, target_path: str) -> DataFrame:
     Returns the (station, date) pairs the batch touched.
     """
     spark = batch.sparkSession
-    b = first_arrival(batch, OBS_KEYS, "arrival").withColumn("obs_date", F.to_date("obs_ts"))
+    b = materialize(first_arrival(batch, OBS_KEYS, "arrival")
+                    .withColumn("obs_date", F.to_date("obs_ts")), "obs-batch")
     tgt = read_parquet_if_exists(spark, target_path)
     if tgt is None:  # first batch: no table yet
         merged = b
@@ -57,16 +61,15 @@ def merge_observations(batch: DataFrame, target_path: str) -> DataFrame:
         touched = tgt.join(b.select(*OBS_PARTS).distinct(), OBS_PARTS, "left_semi")
         merged = first_arrival(touched.unionByName(b), OBS_KEYS, "arrival")
     merged = materialize(merged, "obs-merge")
-    (merged.repartition(*OBS_PARTS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*OBS_PARTS).parquet(target_path))
-    return merged.select(F.col("station"), F.col("obs_date").alias("date")).distinct()
+    write_partitions(merged, target_path, OBS_PARTS, ["station", "obs_ts"])
+    return b.select(F.col("station"), F.col("obs_date").alias("date")).distinct()
 
 
 def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_path: str,
                   stations: DataFrame | None) -> None:
     """Recompute the touched days from stored observations, upsert them."""
     obs = spark.read.parquet(obs_path)
-    cut = obs.join(touched.withColumnRenamed("date", "obs_date"), OBS_PARTS, "left_semi")
+    cut = obs.join(touched.withColumnRenamed("date", "obs_date"), ["station", "obs_date"], "left_semi")
     days = materialize(daily_rollup(cut.drop("obs_date", "arrival"), stations)
                        .withColumn("year", F.year("date")), "daily-refresh")
     target = read_parquet_if_exists(spark, daily_path)
@@ -74,8 +77,7 @@ def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_
         merged = days
     else:
         merged = materialize(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
-    (merged.repartition(*DAILY_PARTS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*DAILY_PARTS).parquet(daily_path))
+    write_partitions(merged, daily_path, DAILY_PARTS, ["station", "date"])
 
 
 def observation_rows(msgs: DataFrame, wind_factor: float = 1.5) -> DataFrame:
