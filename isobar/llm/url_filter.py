@@ -148,6 +148,23 @@ def build_cascade(listed: DataFrame, unlisted: DataFrame, n_listed: int, n_unlis
     return levels
 
 
+def _classifier(spark, is_listed: list[Level], is_block: list[Level], shard: int, shards: int):
+    """UDF: per key 0 unlisted, 1 allowed, 2 blocked (0 for keys of other shards)."""
+    both = spark.sparkContext.broadcast((is_listed, is_block))
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def classes(k1s: pd.Series, k2s: pd.Series) -> pd.Series:
+        lens = k1s.map(len).to_numpy()
+        if not lens.sum():
+            return pd.Series([np.empty(0, np.int32)] * len(k1s))
+        a = np.concatenate(k1s.to_list()).astype(np.int64).view(np.uint64)
+        b = np.concatenate(k2s.to_list()).astype(np.int64).view(np.uint64)
+        mine = b.view(np.int64) % shards == shard
+        c = np.where(member(both.value[0], a, b), 1 + member(both.value[1], a, b), 0) * mine
+        return pd.Series(np.split(c.astype(np.int32), np.cumsum(lens)[:-1]))
+    return classes
+
+
 def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
                  max_bytes: int = MAX_FILTER_BYTES, id_col: str = "page_id") -> DataFrame:
     """id, host, path, rule, verdict of every row.
@@ -177,18 +194,7 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame
         n_in, n_block = inn.agg(F.count("*"), F.count_if("blocked")).first()
         is_listed = build_cascade(inn, rest, n_in, mine.count() - n_in)
         is_block = build_cascade(inn.filter("blocked"), inn.filter("NOT blocked"), n_block, n_in - n_block)
-        both = spark.sparkContext.broadcast((is_listed, is_block))
-
-        @F.pandas_udf(T.ArrayType(T.IntegerType()))
-        def classes(k1s: pd.Series, k2s: pd.Series, both=both) -> pd.Series:
-            lens = k1s.map(len).to_numpy()
-            if not lens.sum():
-                return pd.Series([np.empty(0, np.int32)] * len(k1s))
-            a = np.concatenate(k1s.to_list()).astype(np.int64).view(np.uint64)
-            b = np.concatenate(k2s.to_list()).astype(np.int64).view(np.uint64)
-            mine_ = b.view(np.int64) % shards == s if shards > 1 else np.ones(len(a), bool)
-            c = np.where(member(both.value[0], a, b), 1 + member(both.value[1], a, b), 0) * mine_
-            return pd.Series(np.split(c.astype(np.int32), np.cumsum(lens)[:-1]))
+        classes = _classifier(spark, is_listed, is_block, s, shards)
         rows = rows.withColumn(f"c{s}", classes(F.transform("keys", lambda k: F.xxhash64(k)),
                                                 F.transform("keys", lambda k: F.xxhash64(F.lit("second"), k))))
         out = F.col(f"c{s}") if out is None else F.zip_with(out, F.col(f"c{s}"), lambda x, y: F.greatest(x, y))
