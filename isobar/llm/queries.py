@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, url_filter
+from . import ann, bpe, mixing, topk_search, url_filter
 from .common import table
 
 # The rules of the url query, as (verdict, host, path).
@@ -22,6 +22,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -30,7 +34,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op4_url_filter, op6_bpe)}
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_topk, op4_url_filter, op6_bpe, op9_ann)}
 
 
 def _rules_sql() -> str:
@@ -38,6 +46,20 @@ def _rules_sql() -> str:
 
 
 ORACLES = {
+    "op3_topk": """
+WITH terms AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(
+           CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM terms q JOIN terms d ON q.vec_id % 100 = 0 AND d.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 10
+""",
     "op4_url_filter": f"""
 WITH parts AS (
   SELECT page_id, url,
