@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, mixing, topk_search, url_filter
+from . import ann, bpe, mixing, suffix_dedup, topk_search, url_filter
 from .common import table
 
 # The rules of the url query, as (verdict, host, path).
@@ -34,11 +34,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_topk, op4_url_filter, op6_bpe, op9_ann)}
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_topk, op4_url_filter, op6_bpe, op8_suffix_dedup, op9_ann)}
 
 
 def _rules_sql() -> str:
