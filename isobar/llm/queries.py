@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, mixing, suffix_dedup, topk_search, url_filter
+from . import ann, bpe, line_dedup, mixing, ngram_join, suffix_dedup, topk_search, url_filter
 from .common import table
 
 # The rules of the url query, as (verdict, host, path).
@@ -34,6 +34,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,12 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_topk, op4_url_filter, op6_bpe, op8_suffix_dedup, op9_ann)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_topk, op4_url_filter, op6_bpe, op7_ngram_join,
+                               op8_suffix_dedup, op9_ann, op10_line_dedup)}
 
 
 def _rules_sql() -> str:
@@ -50,6 +59,7 @@ def _rules_sql() -> str:
 
 
 ORACLES = {
+    "op10_line_dedup": line_dedup.ORACLE,
     "op3_topk": """
 WITH terms AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
