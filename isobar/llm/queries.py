@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, line_dedup, mixing, ngram_join, suffix_dedup, topk_search, url_filter
+from . import ann, bpe, line_dedup, mixing, ngram_join, suffix_dedup, tool_calls, topk_search, toxicity, url_filter
 from .common import table
 
 # The rules of the url query, as (verdict, host, path).
@@ -22,6 +22,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -30,6 +34,44 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+# The tools of the derived calls.
+TOOLS = {"search": {"query": ("string", True), "limit": ("integer", False)},
+         "count": {"text": ("string", True), "words": ("integer", True)},
+         "note": {"done": ("boolean", True), "text": ("string", True)}}
+
+
+def tool_messages(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results derived from the turns: every assistant turn makes a call that
+    needs the one two turns before, every later user turn is the result of the turn before it."""
+    t = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL").withColumn("n", F.length("text"))
+    head = F.regexp_extract("text", r"^[A-Za-z]*", 0)
+    kind = F.expr("pmod(turn + conv_id, 4)")
+    name = F.when(kind == 0, "search").when(kind == 1, "count").when(kind == 2, "note").otherwise("lookup")
+    faulty = F.col("n") % 11 == 0
+    args = (F.when(F.col("n") % 13 == 0, F.lit("[1,"))
+            .when(kind == 0, F.concat(F.lit('{"query": "'), head, F.lit('", "limit": '),
+                                      F.when(faulty, F.lit('"x"')).otherwise(F.col("n").cast("string")), F.lit("}")))
+            .when(kind == 1, F.concat(F.lit('{"words": '), F.col("n").cast("string"),
+                                      F.when(faulty, F.lit("")).otherwise(F.concat(F.lit(', "text": "'), head, F.lit('"'))),
+                                      F.lit("}")))
+            .when(kind == 2, F.concat(F.lit('{"text": "'), head, F.lit('", "done": true'),
+                                      F.when(faulty, F.lit(', "extra": 1')).otherwise(F.lit("")), F.lit("}")))
+            .otherwise(F.lit("{}")))
+    call_id = F.concat(F.lit("call-"), F.col("turn").cast("string"))
+    calls = t.filter("role = 'assistant'").select(
+        "conv_id", "turn", call_id.alias("call_id"), name.alias("name"), args.alias("arguments"),
+        F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string")).alias("after"))
+    results = t.filter("role = 'user' AND turn > 0").select(
+        "conv_id", "turn", F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        F.concat(F.lit("chars "), F.col("n").cast("string")).alias("content"))
+    return calls, results
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_messages(table(spark, sf_dir, "conversations"))
+    return tool_calls.link_calls(calls, results, TOOLS)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -50,7 +92,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_mix_sources, op3_topk, op4_url_filter, op6_bpe, op7_ngram_join,
+QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_toxicity, op3_topk, op4_url_filter, op5_tool_calls, op6_bpe, op7_ngram_join,
                                op8_suffix_dedup, op9_ann, op10_line_dedup)}
 
 
