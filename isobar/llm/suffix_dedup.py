@@ -300,17 +300,19 @@ def segments(d: DataFrame, hashes: DataFrame, width: int, gram: int, filter_byte
     return d.join(listed, ["oid", "dh"]).mapInPandas(cut_listed, SEGMENT)
 
 
-def not_first(rows: DataFrame, key: list[str]) -> DataFrame:
+def first_places(rows: DataFrame, key: list[str], *more) -> DataFrame:
+    """Per key its first place, the number of rows, and further aggregates."""
+    return rows.groupBy(*key).agg(F.min(F.struct("oid", "dh", "start")).alias("first"),
+                                  F.count("*").alias("n"), *more)
+
+
+def not_first(rows: DataFrame, first: DataFrame, key: list[str]) -> DataFrame:
     """(oid, dh, start, cnt) of the rows that are not the first of their key.
 
-    The first is found with partial aggregation; keys of a single row leave the
-    join, and the join's sides can be split where a key is hot.
+    Keys of a single row leave the join, and its sides can be split where a key is hot.
     """
-    place = F.struct("oid", "dh", "start")
-    first = rows.groupBy(*key).agg(F.min(place).alias("first"), F.max(place).alias("last")) \
-        .filter("first <> last").select(*key, "first")
-    first = materialize(first, "first-of-key")
-    return rows.join(first, key).filter(place != F.col("first")).select("oid", "dh", "start", "cnt")
+    return rows.join(first.filter("n > 1").select(*key, "first"), key) \
+        .filter(F.struct("oid", "dh", "start") != F.col("first")).select("oid", "dh", "start", "cnt")
 
 
 def _sort_groups(width: int):
@@ -363,12 +365,11 @@ def repeats(d: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_segments: in
     segs = segments(d, hashes, width, gram, filter_bytes) \
         .withColumn("s1", F.xxhash64("seg")).withColumn("s2", F.xxhash64(F.lit("second"), F.col("seg")))
     segs = materialize(segs, "segments")
-    key = ["h", "s1", "s2"]
-    marked = not_first(segs.drop("seg"), key)
-    different = segs.groupBy(*key).agg(
-        F.min(F.struct("oid", "dh", "start")).alias("p"), F.first("seg").alias("seg")) \
-        .select("h", "p.oid", "p.dh", "p.start", "seg")
-    different = materialize(different, "different-segments")
+    key = ["s1", "s2"]
+    different = materialize(first_places(segs, key, F.first("h").alias("h"), F.first("seg").alias("seg")),
+                            "different-segments")
+    marked = not_first(segs.drop("seg", "h"), different, key)
+    different = different.select("h", "first.oid", "first.dh", "first.start", "seg")
     sizes = different.groupBy("h").count()
     hot = materialize(sizes.filter(F.col("count") > hot_segments).select("h"), "hot-anchors")
     calm = different.join(hot, "h", "left_anti")
@@ -377,7 +378,9 @@ def repeats(d: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_segments: in
         .mapInPandas(_sort_groups(width), "oid long, dh long, start long, cnt int")
     windows = different.join(hot, "h").mapInPandas(
         _windows(width), "h long, k1 long, k2 long, oid long, dh long, start long, cnt int")
-    hot_marks = not_first(windows, ["h", "k1", "k2"])
+    windows = materialize(windows, "hot-windows")
+    key = ["h", "k1", "k2"]
+    hot_marks = not_first(windows, materialize(first_places(windows, key), "first-windows"), key)
     return marked.unionByName(sorted_marks).unionByName(hot_marks)
 
 
