@@ -249,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, n_voters:
         .withColumn("gain", gain).orderBy(F.col("gain").desc(), "f").limit(FEATURES).collect()
     features = [r["f"] for r in picked]
     if not features:
-        return ToxicityModel([], np.zeros(0), -1e9, [], None)
+        return ToxicityModel([], np.zeros(0), 0.0, [], None)
     names = sc.broadcast(features)
 
     def matched(it):
@@ -302,6 +302,8 @@ def score_column(spark, model: ToxicityModel):
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
         features, w, bias = b.value
+        if not features:
+            return pd.Series(np.zeros(len(text)))
         m = Matcher(features)
         z = np.array([bias + float(w[h].sum()) if (h := m.hits(t)) else bias for t in text], dtype=np.float64)
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -700, 700))))
