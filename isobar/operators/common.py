@@ -7,31 +7,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-# Rows a broadcast side may have after its size check; beyond it the join
-# falls back to a shuffled hash/sort-merge join chosen by Catalyst.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the side turns out to be large; then no hint is added and Catalyst
-    plans a shuffle join.
-    """
-    if df.isLocal():
-        # a driver-side relation (configuration): its rows are already here
-        n = len(df.limit(max_rows + 1).collect())
-    else:
-        n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def period_years(periods: DataFrame) -> DataFrame:
     """One row per (period, year): turns the period range join into an equi-join.
 
-    Its size is the sum of period lengths, fixed by configuration; callers
-    still pass it through :func:`bounded_broadcast`.
+    Its size is the sum of period lengths. No broadcast hint is given: the
+    engine broadcasts it if its measured size allows that.
     """
     extra = ["station"] if "station" in periods.columns else []
     cols = extra + ["period_id", "year_start", "year_end"]
@@ -48,6 +28,23 @@ def period_years(periods: DataFrame) -> DataFrame:
         *cols, F.explode(F.sequence(F.col("year_start"), F.col("year_end"))).alias("year"))
 
 
+def year_span(periods: DataFrame) -> tuple[int, int] | None:
+    """First and last year of all periods (one row), None without periods."""
+    r = periods.agg(F.min("year_start"), F.max("year_end")).first()
+    return None if r[0] is None else (int(r[0]), int(r[1]))
+
+
+def in_years(daily: DataFrame, years: tuple[int, int] | None, date_col: str = "date") -> DataFrame:
+    """The rows of the years, as literal bounds on the date and, where the table
+    is partitioned by year, on the partition column, so that the scan prunes."""
+    if years is None:
+        return daily
+    cond = (F.col(date_col) >= F.lit(_dt.date(years[0], 1, 1))) & (F.col(date_col) <= F.lit(_dt.date(years[1], 12, 31)))
+    if "year" in daily.columns:
+        cond = cond & (F.col("year") >= years[0]) & (F.col("year") <= years[1])
+    return daily.filter(cond)
+
+
 def check_date_range(start: _dt.date, end: _dt.date, today: _dt.date | None = None) -> None:
     """Job date-range guards: start <= end and nothing in the future."""
     today = today or _dt.date.today()

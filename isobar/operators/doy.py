@@ -4,7 +4,7 @@
 map, field -> expression) with ``F.expr`` over a renaming view of the daily
 table; ``doy_normals_fixed`` is the fixed 43-measure variant typed as the
 normals DDL. Both group by (station, period, MM-DD) after an equi-join of
-the daily rows with the size-checked (period, year) pairs, so all periods of
+the daily rows with the (period, year) pairs, so all periods of
 all stations are one aggregation with map-side partial aggregation.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from .common import bounded_broadcast, period_years
+from .common import in_years, period_years, year_span
 
 # Column names the crossref expressions refer to, mapped to the
 # daily table (None = measure the daily table does not carry; NULL column).
@@ -46,7 +46,7 @@ def crossref_view(daily: DataFrame) -> DataFrame:
 
 
 def _with_periods(rows: DataFrame, periods: DataFrame, date_col: str) -> DataFrame:
-    py = bounded_broadcast(period_years(periods))
+    py = period_years(periods)
     keyed = rows.withColumn("year", F.year(date_col))
     keys = ["station", "year"] if "station" in periods.columns else ["year"]
     return keyed.join(py, keys, "inner")

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..config import DAY_COUNT_METRICS, MONTH_NAMES, RECORD_METRICS, RangeMetric, RecordMetric
 from ..functions.rounding import ratio_half_even_int, ratio_half_up
-from .common import bounded_broadcast, period_years
+from .common import in_years, period_years, year_span
 
 MEAN_COLUMNS = ["temp_avg", "temp_high", "temp_low", "precipitation_sum"]
 RAIN = "precipitation_sum"
@@ -123,7 +123,7 @@ def _join_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
     keys = ["year"]
     if "station" in periods.columns:
         keys = ["station", "year"]
-    return rows.join(bounded_broadcast(py), keys, "inner")
+    return rows.join(py, keys, "inner")
 
 
 def _mean(sum_col: str, n_col: str) -> Column:

@@ -2,7 +2,7 @@
 
 All measures of a day, including the daylight-only solar mean, come out of a
 single ``groupBy(station, date)``: sunrise/sunset are computed per row from
-the (broadcast, size-checked) station registry, so the daylight filter is a
+the station registry (broadcast by the engine if small), so the daylight filter is a
 conditional aggregate instead of a second query plus a join.  Partial
 aggregation runs before the shuffle, so a hot station costs one partial row
 per task and day.
@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, functions as F
 from .. import schemas
 from ..functions.rounding import exact_mean_col
 from ..functions.sun import sun_columns
-from .common import bounded_broadcast, check_date_range
+from .common import check_date_range
 
 
 def _with_sun(obs: DataFrame, stations: DataFrame) -> DataFrame:
-    reg = bounded_broadcast(stations.select("station", "lat", "lon", "tz"))
+    reg = stations.select("station", "lat", "lon", "tz")
     df = obs.join(reg, "station", "left")
     sun = sun_columns(F.to_date("obs_ts"), F.col("lat"), F.col("lon"), F.col("tz"))
     return df.withColumn("_daylight",

@@ -4,13 +4,13 @@ The driver only provides its own tables, so observation and daily tables
 are derived from them with integer arithmetic that DuckDB evaluates the same
 way (see ``oracle.py``, which reuses the formulas below). The derived tables
 grow with the given tables: every row of ``events`` becomes an observation,
-every order contributes to a daily row.
+every order contributes to a daily row, and stations come from users and
+customers.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -38,9 +38,11 @@ OBS_INT = {
     "winddir": "(event_id * 7) % 360",
     "elev10": "(user_id % 5) * 250 + 400",
 }
-OBS_STATION = "concat('S', CAST(user_id % 5 AS STRING))"
+OBS_STATION = "concat('S', CAST(user_id AS STRING))"
+# Every tenth message is sent twice; the second one arrives later with other measures.
+RESENT_MOD, RESENT_OFFSET = 10, 1_000_000_000
 
-# The station registry used with the derived observations.
+# Places and zones that the derived stations are dealt over.
 STATIONS = [
     ("S0", 50.57, 3.10, "Europe/Paris", "north"),
     ("S1", 48.82, 2.34, "Europe/Paris", "paris"),
@@ -53,7 +55,10 @@ STATIONS = [
 PERIODS = [Period(1995, 1997), Period(1996, 1998), Period(1997, 1999),
            Period(1998, 2000), Period(1999, 2001)]
 
-# Per (priority, order date) integer aggregates over ``orders`` that make up
+# The station of an order: ten customers each.
+DAILY_STATION = "concat('C', CAST(o_custkey div 10 AS STRING))"
+
+# Per (station, order date) integer aggregates over ``orders`` that make up
 # a daily row; ``_null`` marks the days that are all NULL.
 DAILY_AGG = {
     "a": "min(o_custkey % 451) - 100",
@@ -83,15 +88,14 @@ SOURCE_FROM = _dt.datetime(2024, 1, 15)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Each is a single parquet row group, which Spark cannot
-    split; when the scan has fewer partitions than cores the rows are spread
-    round-robin so per-row work runs on all cores. With many input files (the
-    production layout) the scan is already wide and this is a no-op."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if os.environ.get("ISOBAR_SPREAD", "1") == "1" and len(df.inputFiles()) < cores:
-        df = df.repartition(cores)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as messages: every `RESENT_MOD`-th one arrives a second time."""
+    ids = F.when(F.col("event_id") % RESENT_MOD == 3,
+                 F.array("event_id", F.col("event_id") + RESENT_OFFSET)).otherwise(F.array("event_id"))
+    return table(spark, sf_dir, "events").select("user_id", "ts", F.explode(ids).alias("event_id"))
 
 
 def _dec(expr: str, scale: int, to: T.DecimalType):
@@ -100,10 +104,10 @@ def _dec(expr: str, scale: int, to: T.DecimalType):
 
 def obs_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations with arrival order; (station, obs_ts) may repeat."""
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir)
     return ev.select(
         F.expr(OBS_STATION).alias("station"),
-        F.date_trunc("minute", F.col("ts")).cast(T.TimestampNTZType()).alias("obs_ts"),
+        F.date_trunc("second", F.col("ts")).cast(T.TimestampNTZType()).alias("obs_ts"),
         _dec(OBS_INT["temp10"], 1, schemas.D31).alias("temp"),
         F.expr(OBS_INT["humidity"]).cast(T.IntegerType()).alias("humidity"),
         _dec(OBS_INT["rate100"], 2, schemas.D52).alias("precip_rate"),
@@ -128,8 +132,13 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_arrival(obs_raw(spark, sf_dir), ["station", "obs_ts"], "arrival").drop("arrival")
 
 
-def stations(spark: SparkSession) -> DataFrame:
-    return stations_frame(spark, STATIONS)
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One station per user of ``events``, dealt over the places of `STATIONS`."""
+    place = F.element_at(F.array(*[F.struct(F.lit(lat).alias("lat"), F.lit(lon).alias("lon"), F.lit(tz).alias("tz"),
+                                            F.lit(region).alias("region")) for _, lat, lon, tz, region in STATIONS]),
+                         (F.col("user_id") % len(STATIONS) + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("user_id").distinct() \
+        .select(F.expr(OBS_STATION).alias("station"), place.alias("p")).select("station", "p.*")
 
 
 def periods(spark: SparkSession) -> DataFrame:
@@ -138,12 +147,12 @@ def periods(spark: SparkSession) -> DataFrame:
 
 def _orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
-        "o_orderpriority", "o_orderdate", "o_custkey", "o_orderkey")
+        F.expr(DAILY_STATION).alias("station"), "o_orderdate", "o_custkey", "o_orderkey")
 
 
 # Wide variant: one station per supplier over ``lineitem`` ship dates, so the
 # number of stations and daily rows grows with the scale factor.
-WIDE_SOURCE = {"o_orderpriority": "concat('L', CAST(l_suppkey AS STRING))",
+WIDE_SOURCE = {"station": "concat('L', CAST(l_suppkey AS STRING))",
                "o_orderdate": "l_shipdate", "o_custkey": "l_partkey", "o_orderkey": "l_orderkey"}
 
 
@@ -158,12 +167,12 @@ def daily_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily table from ``orders`` (5 stations x order dates)."""
+    """The daily table from ``orders``: stations and rows grow with the orders."""
     return _daily_from(_orders_source(spark, sf_dir))
 
 
 def _daily_from(o: DataFrame) -> DataFrame:
-    g = (o.groupBy(F.col("o_orderpriority").alias("station"),
+    g = (o.groupBy(F.col("station"),
                    F.to_date("o_orderdate").alias("date"))
          .agg(*[F.expr(v).alias(k) for k, v in DAILY_AGG.items()]))
     dead = (F.datediff(F.col("date"), F.lit(_dt.date(1970, 1, 1))) % 23) == 0
@@ -233,8 +242,8 @@ def observation_messages(spark: SparkSession, sf_dir: str, with_arrival: bool =
 
     ``with_arrival`` adds the landing sequence (the event id) to the envelope.
     """
-    ev = table(spark, sf_dir, "events")
-    ts = F.date_trunc("minute", F.col("ts")).cast(T.TimestampNTZType())
+    ev = events(spark, sf_dir)
+    ts = F.date_trunc("second", F.col("ts")).cast(T.TimestampNTZType())
     metric = F.struct(
         _tenths(OBS_INT["temp10"]).alias("temp"), _tenths(OBS_INT["heat10"]).alias("heatIndex"),
         _tenths(OBS_INT["dewpt10"]).alias("dewpt"), _tenths(OBS_INT["chill10"]).alias("windChill"),
@@ -334,7 +343,7 @@ def official_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     fxy = F.when(dn % OFFICIAL_FXY_INT_MOD == 0, F.expr("CAST(wind_speed_max * 10 AS BIGINT) div 10").cast("string")) \
         .otherwise((wind10.cast(T.DecimalType(18, 0)) / 10).cast(schemas.D41).cast("string"))
     fxi = (gust10.cast(T.DecimalType(18, 0)) / 10).cast(schemas.D41).cast("string")
-    num = F.concat(F.lit("5900"), F.substring("station", 1, 1))
+    num = F.concat(F.lit("59"), F.substring("station", 2, 20))
     rr_cols = {c: F.lit("") for c in schemas.OFFICIAL_RR_COLUMNS}
     rr_cols.update({
         "NUM_POSTE": num, "NOM_USUEL": F.col("station"), "LAT": F.lit("50.57"),

@@ -47,21 +47,32 @@ def mean_spark5(col: str, out_int: bool = False, as_type: str = "DOUBLE") -> str
 
 # --- bound inputs -------------------------------------------------------------
 
+def ev_cte() -> str:
+    return f"""ev AS (
+  SELECT event_id, user_id, ts FROM events
+  UNION ALL
+  SELECT event_id + {B.RESENT_OFFSET}, user_id, ts FROM events WHERE event_id % {B.RESENT_MOD} = 3)"""
+
+
 def obs_ctes() -> str:
     cols = ",\n    ".join(f"{v} AS {k}" for k, v in B.OBS_INT.items())
-    return f"""obs_raw AS (
-  SELECT {B.OBS_STATION} AS station, date_trunc('minute', ts) AS obs_ts,
+    return f"""{ev_cte()},
+obs_raw AS (
+  SELECT {B.OBS_STATION} AS station, date_trunc('second', ts) AS obs_ts,
     {cols},
     event_id AS arrival
-  FROM events),
+  FROM ev),
 obs AS (
   SELECT * FROM obs_raw
   QUALIFY row_number() OVER (PARTITION BY station, obs_ts ORDER BY arrival) = 1)"""
 
 
 def stations_cte() -> str:
-    rows = ", ".join(f"('{s}', {lat!r}, {lon!r}, '{tz}', '{r}')" for s, lat, lon, tz, r in B.STATIONS)
-    return f"stations(station, lat, lon, tz, region) AS (VALUES {rows})"
+    rows = ", ".join(f"({i}, {lat!r}, {lon!r}, '{tz}', '{r}')" for i, (_, lat, lon, tz, r) in enumerate(B.STATIONS))
+    return f"""stations AS (
+  SELECT {B.OBS_STATION} AS station, lat, lon, tz, region
+  FROM (SELECT DISTINCT user_id FROM events) u
+  JOIN (VALUES {rows}) AS places(i, lat, lon, tz, region) ON u.user_id % {len(B.STATIONS)} = places.i)"""
 
 
 def periods_cte() -> str:
@@ -71,8 +82,9 @@ def periods_cte() -> str:
 
 def daily_ctes(name: str = "daily", wide: bool = False) -> str:
     aggs = ",\n    ".join(f"{v} AS {k}" for k, v in B.DAILY_AGG.items())
-    src = "orders"
+    src, station = "orders", B.DAILY_STATION.replace("STRING", "VARCHAR").replace(" div ", " // ")
     if wide:
+        station = "station"
         cols = ", ".join(f"{v.replace('STRING', 'VARCHAR')} AS {k}" for k, v in B.WIDE_SOURCE.items())
         src = f"(SELECT {cols} FROM lineitem)"
     dead = "date_diff('day', DATE '1970-01-01', date) % 23 = 0"
@@ -80,7 +92,7 @@ def daily_ctes(name: str = "daily", wide: bool = False) -> str:
     def v(e):
         return f"CASE WHEN {dead} THEN NULL ELSE {e} END"
     return f"""d0 AS (
-  SELECT o_orderpriority AS station, CAST(o_orderdate AS DATE) AS date,
+  SELECT {station} AS station, CAST(o_orderdate AS DATE) AS date,
     {aggs}
   FROM {src} GROUP BY 1, 2),
 {name} AS (
@@ -499,7 +511,7 @@ def q_observation_flatten() -> str:
     w = "((event_id * 11) % 300)"
     g = "((event_id * 3) % 100)"
     o = B.OBS_INT
-    return f"""SELECT {B.OBS_STATION} AS station, date_trunc('minute', ts) AS obs_ts,
+    return with_(ev_cte()) + f"""SELECT {B.OBS_STATION} AS station, date_trunc('second', ts) AS obs_ts,
   {tenths(o['temp10'])} AS temp,
   CAST({o['humidity']} AS BIGINT) AS humidity,
   CAST({o['rate100']} AS DOUBLE) / 100 AS precip_rate,
@@ -514,9 +526,9 @@ def q_observation_flatten() -> str:
   {tenths(o['elev10'])} AS elev,
   {tenths(o['solar10'])} AS solar_radiation,
   {tenths(o['uv10'])} AS uv,
-  strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
-  CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS epoch
-FROM events WHERE event_id % {B.MSG_EMPTY_MOD} <> 0"""
+  strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
+  CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch
+FROM ev WHERE event_id % {B.MSG_EMPTY_MOD} <> 0"""
 
 
 def q_history_map() -> str:
@@ -673,16 +685,17 @@ def obs_msg_cte() -> str:
     o = B.OBS_INT
     w = "((event_id * 11) % 300)"
     g = "((event_id * 3) % 100)"
-    return f"""obs_msg AS (
-  SELECT {B.OBS_STATION} AS station, date_trunc('minute', ts) AS obs_ts,
+    return f"""{ev_cte()},
+obs_msg AS (
+  SELECT {B.OBS_STATION} AS station, date_trunc('second', ts) AS obs_ts,
     {o['temp10']} AS temp10, {o['humidity']} AS humidity, {o['rate100']} AS rate100,
     {o['rain100']} AS rain100, {o['pressure100']} AS pressure100, {o['heat10']} AS heat10,
     3 * {w} AS wind10, 3 * ({w} + {g}) AS gust10, {o['chill10']} AS chill10,
     {o['winddir']} AS winddir, {o['dewpt10']} AS dewpt10, {o['elev10']} AS elev10,
     {o['solar10']} AS solar10, {o['uv10']} AS uv10,
-    strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
-    CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS epoch
-  FROM events WHERE event_id % {B.MSG_EMPTY_MOD} <> 0
+    strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
+    CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch
+  FROM ev WHERE event_id % {B.MSG_EMPTY_MOD} <> 0
   QUALIFY row_number() OVER (PARTITION BY station, obs_ts ORDER BY event_id) = 1)"""
 
 

@@ -39,15 +39,15 @@ def q_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_daily_with_solar(spark: SparkSession, sf: str) -> DataFrame:
-    return finalize(rollup.daily_rollup(B.obs(spark, sf), B.stations(spark)))
+    return finalize(rollup.daily_rollup(B.obs(spark, sf), B.stations(spark, sf)))
 
 
 def q_daylight_solar(spark: SparkSession, sf: str) -> DataFrame:
-    return finalize(rollup.daylight_solar(B.obs(spark, sf), B.stations(spark)))
+    return finalize(rollup.daylight_solar(B.obs(spark, sf), B.stations(spark, sf)))
 
 
 def q_daily_rollup_spine(spark: SparkSession, sf: str) -> DataFrame:
-    st = B.stations(spark)
+    st = B.stations(spark, sf)
     return finalize(rollup.daily_rollup_range(B.obs(spark, sf), st.select("station"),
                                               B.SPINE_START, B.SPINE_END))
 
@@ -206,7 +206,7 @@ def _run_stream(spark: SparkSession, sf: str, with_daily: bool):
     (B.observation_messages(spark, sf, with_arrival=True)
      .repartition(STREAM_FILES).write.text(landing))
     q = pipeline.run_ingest(spark, landing, obs_path, f"{root}/_checkpoint", daily_path,
-                            B.stations(spark) if with_daily else None,
+                            B.stations(spark, sf) if with_daily else None,
                             files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return obs_path, daily_path
