@@ -183,6 +183,13 @@ _CONF_DIR = os.path.join(os.path.dirname(__file__), "conf")
 DEFAULT_NORMALS_CONFIG = os.path.join(_CONF_DIR, "normals.json")
 
 
+def _table_name(place: dict, default: str) -> str:
+    """``database.table`` of a source or destination entry."""
+    table = place.get("table") or place.get("table_name") or default
+    database = place.get("database") or place.get("db")
+    return f"{database}.{table}" if database else table
+
+
 def load_normals_config(path: str = DEFAULT_NORMALS_CONFIG) -> NormalsJob:
     """Read a normals job file; a missing file raises ``FileNotFoundError``."""
     with open(path, encoding="utf-8") as fh:
@@ -192,16 +199,18 @@ def load_normals_config(path: str = DEFAULT_NORMALS_CONFIG) -> NormalsJob:
         periods = [raw["period"]]
     plist = [Period(int(p["start_year"]), int(p["end_year"]), p.get("period_id"))
              for p in (periods or [])]
-    dest = raw.get("destination", {}).get("table", "climate_normals_<year_start>_<year_end>")
-    src = raw.get("source", {}).get("table", "daily")
+    dest = raw.get("destination") or raw.get("destination_db") or {}
+    src = raw.get("source") or raw.get("source_db") or {}
     return NormalsJob(periods=plist, crossref=dict(raw["crossref"]),
-                      source_table=src, target_template=dest)
+                      source_table=_table_name(src, "daily"),
+                      target_template=_table_name(dest, "climate_normals_<year_start>_<year_end>"))
 
 
 def load_station_config(path: str, station_key: str) -> dict:
     """One station entry of a JSON station registry; unknown key raises."""
     with open(path, encoding="utf-8") as fh:
         raw = json.load(fh)
+    raw = raw.get("dbConfigs", raw)
     if station_key not in raw:
         raise ValueError(f"no station {station_key!r} in the registry")
     return raw[station_key]

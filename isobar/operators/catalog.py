@@ -32,18 +32,22 @@ def consolidate(spark: SparkSession, names: list[str], prefix: str | None = None
 
 
 def save_table(df: DataFrame, name: str, mode: str = "create", keys: list[str] | None = None) -> None:
-    """``create`` (error if it exists), ``recreate`` (overwrite) or
-    ``append`` into an existing table with a duplicate-key check."""
+    """``create`` (only where absent, else an error), ``recreate`` (overwrite) or
+    ``append`` (creates the table where absent). ``keys`` is the primary key: it
+    must be complete and unique in the new rows, and new to the stored ones.
+    """
     spark = df.sparkSession
-    if mode == "recreate":
-        df.write.mode("overwrite").saveAsTable(name)
-    elif mode == "create":
-        df.write.mode("errorifexists").saveAsTable(name)
-    elif mode == "append":
-        if keys:
-            clash = df.select(*keys).join(spark.table(name).select(*keys), keys, "left_semi")
-            if clash.limit(1).count() > 0:
-                raise ValueError(f"duplicate key in {name}: {', '.join(keys)}")
-        df.write.mode("append").saveAsTable(name)
-    else:
+    if mode not in ("create", "recreate", "append"):
         raise ValueError(f"unknown mode {mode!r}")
+    exists = spark.catalog.tableExists(name)
+    if mode == "create" and exists:
+        raise ValueError(f"table {name} exists")
+    if keys:
+        if df.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).limit(1).count():
+            raise ValueError(f"NULL in the key of {name}: {', '.join(keys)}")
+        twice = df.groupBy(*keys).count().filter("count > 1").limit(1).count()
+        if not twice and mode == "append" and exists:
+            twice = df.select(*keys).join(spark.table(name).select(*keys), keys, "left_semi").limit(1).count()
+        if twice:
+            raise ValueError(f"duplicate key in {name}: {', '.join(keys)}")
+    df.write.mode({"create": "errorifexists", "recreate": "overwrite", "append": "append"}[mode]).saveAsTable(name)

@@ -18,8 +18,6 @@ PERIOD_FIELDS = (MEAN_FIELDS[:3] + ["Yearly_Avg_Precipitation", "Max_Daily_Preci
                                     "Avg_Daily_Precipitation"]
                  + [m.name for m in RECORD_METRICS if m.name != "Max_Daily_Precipitation"]
                  + [m.name for m in DAY_COUNT_METRICS])
-MONTH_FIELDS = ["Avg_TempAvg", "Avg_TempHigh", "Avg_TempLow", "Max_TempHigh", "Min_TempLow",
-                "Avg_Monthly_Precipitation", "Avg_Days_Precipitation_1"]
 
 
 def descriptions_frame(spark: SparkSession) -> DataFrame:
@@ -41,7 +39,7 @@ def build_documents(daily: DataFrame, periods: DataFrame) -> DataFrame:
     """
     from ..session import materialize
     from . import normals
-    months = materialize(normals.month_stats(daily), "month-stats")
+    months = materialize(normals.month_stats(daily, years=normals.year_span(periods) or (1, 0)), "month-stats")
     return statistics_documents(normals.period_summary(daily, periods, months=months),
                                 normals.monthly_normals(daily, periods, sort=False, months=months))
 
@@ -130,4 +128,4 @@ def flatten_document(docs: DataFrame, sep: str = "_") -> DataFrame:
 def describe(flat: DataFrame) -> DataFrame:
     """Attach the metric description (P23) where one exists."""
     desc = descriptions_frame(flat.sparkSession)
-    return flat.join(F.broadcast(desc), "metric", "left")
+    return flat.join(desc, "metric", "left")

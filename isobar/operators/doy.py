@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.rounding import half_up_div_sql
 from .common import in_years, period_years, year_span
 
 # Column names the crossref expressions refer to, mapped to the
@@ -32,9 +33,9 @@ CROSSREF_VIEW = {
 _INT_AS_DECIMAL = T.DecimalType(10, 0)
 
 
-def crossref_view(daily: DataFrame) -> DataFrame:
+def crossref_view(daily: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The daily table under the names the crossref expressions use."""
-    cols = [F.col("station"), F.col("date").alias("Date")]
+    cols = [F.col(c) for c in keep or []] + [F.col("station"), F.col("date").alias("Date")]
     for name, src in CROSSREF_VIEW.items():
         if src is None:
             cols.append(F.lit(None).cast(schemas.D31).alias(name))
@@ -45,16 +46,19 @@ def crossref_view(daily: DataFrame) -> DataFrame:
     return daily.select(*cols)
 
 
-def _with_periods(rows: DataFrame, periods: DataFrame, date_col: str) -> DataFrame:
-    py = period_years(periods)
-    keyed = rows.withColumn("year", F.year(date_col))
+def _with_periods(daily: DataFrame, periods: DataFrame, deal_by: list[str] | None = None) -> DataFrame:
+    """The daily rows of the periods' years, once per period."""
+    d = in_years(daily, year_span(periods) or (1, 0))
+    if deal_by:
+        d = d.repartition(*deal_by)
+    keyed = d.withColumn("year", F.col("year").cast("int") if "year" in daily.columns else F.year("date"))
     keys = ["station", "year"] if "station" in periods.columns else ["year"]
-    return keyed.join(py, keys, "inner")
+    return keyed.join(period_years(periods), keys, "inner")
 
 
 def doy_normals_config(daily: DataFrame, periods: DataFrame, crossref: dict[str, str]) -> DataFrame:
     """``SELECT MM-DD AS DayOfYear, <expr> AS <field> ... GROUP BY DayOfYear``."""
-    view = _with_periods(crossref_view(daily), periods, "Date")
+    view = crossref_view(_with_periods(daily, periods), ["period_id"])
     aggs = [F.expr(expr).alias(field) for field, expr in crossref.items()]
     return (view.groupBy("station", "period_id",
                          F.date_format("Date", "MM-dd").alias("DayOfYear"))
@@ -69,35 +73,53 @@ FIXED_GROUPS = [
 ]
 
 
-def fixed_aggregates() -> list:
-    """The 43 day-of-year measures, cast to the normals table types."""
+def _means() -> list[tuple[str, str, T.DataType]]:
     out = []
-    for name, (a, h, lo), typ in FIXED_GROUPS:
-        trip = [("Avg", a), ("High", h), ("Low", lo)]
-        is_int = isinstance(typ, T.IntegerType)
-
-        def avg(c, typ=typ, is_int=is_int):
-            # Spark's decimal avg rounds the mean to scale + 4 digits, then the
-            # cast rounds to the column scale: the database's semantics
-            if is_int:
-                return F.round(F.avg(F.col(c).cast(_INT_AS_DECIMAL)), 0).cast(T.IntegerType())
-            return F.avg(c).cast(typ)
-        for suf, c in trip:
-            out.append(avg(c).alias(f"Avg{name}{suf}"))
-        for suf, c in trip:
-            out.append(F.min(c).cast(typ).alias(f"Min{name}{suf}"))
-            out.append(F.max(c).cast(typ).alias(f"Max{name}{suf}"))
-    for nm, c in [("WindSpeedMax", "wind_speed_max"), ("GustSpeedMax", "gust_speed_max")]:
-        out.append(F.avg(c).cast(schemas.D41).alias(f"Avg{nm}"))
-        out.append(F.max(c).cast(schemas.D41).alias(f"Max{nm}"))
-    out.append(F.avg("precipitation_sum").cast(schemas.D41).alias("AvgPrecipitationSum"))
-    out.append(F.min("precipitation_sum").cast(schemas.D41).alias("MinPrecipitationSum"))
-    out.append(F.max("precipitation_sum").cast(schemas.D41).alias("MaxPrecipitationSum"))
+    for name, cols, typ in FIXED_GROUPS:
+        out += [(f"Avg{name}{suf}", c, typ) for suf, c in zip(("Avg", "High", "Low"), cols)]
+    out += [(f"Avg{nm}", c, schemas.D41) for nm, c in
+            (("WindSpeedMax", "wind_speed_max"), ("GustSpeedMax", "gust_speed_max"),
+             ("PrecipitationSum", "precipitation_sum"))]
+    return out
+
+
+def _extremes() -> list[tuple[str, str, str, T.DataType]]:
+    out = []
+    for name, cols, typ in FIXED_GROUPS:
+        for suf, c in zip(("Avg", "High", "Low"), cols):
+            out += [(f"Min{name}{suf}", "min", c, typ), (f"Max{name}{suf}", "max", c, typ)]
+    out += [("MaxWindSpeedMax", "max", "wind_speed_max", schemas.D41),
+            ("MaxGustSpeedMax", "max", "gust_speed_max", schemas.D41),
+            ("MinPrecipitationSum", "min", "precipitation_sum", schemas.D41),
+            ("MaxPrecipitationSum", "max", "precipitation_sum", schemas.D41)]
     return out
 
 
 def doy_normals_fixed(daily: DataFrame, periods: DataFrame) -> DataFrame:
-    """Fixed avg/min/max per day of year, typed as the normals DDL."""
-    d = _with_periods(daily, periods, "date")
-    return (d.groupBy("station", "period_id", F.date_format("date", "MM-dd").alias("DayOfYear"))
-            .agg(*fixed_aggregates()))
+    """Fixed avg/min/max per day of year, typed as the normals DDL.
+
+    Measures are summed as longs (tenths), which keeps the aggregation buffers
+    small; means are rounded like the database's, first to
+    four more digits, then to the column's scale.
+    """
+    means, extremes = _means(), _extremes()
+    used = sorted({c for _, c, _ in means})
+    ints = {f.name for f in schemas.DAILY.fields if isinstance(f.dataType, T.IntegerType)}
+    # The daily rows are dealt by day of year once, before they are repeated for
+    # overlapping periods: a key has one row a year, so nothing is hot, and the
+    # aggregation needs no second exchange of its wide buffers.
+    dealt = daily.withColumn("DayOfYear", F.substring(F.col("date").cast("string"), 6, 5))
+    d = _with_periods(dealt, periods, ["station", "DayOfYear"]).select(
+        "station", "period_id", "DayOfYear",
+        *used, *[(F.col(c) if c in ints else F.col(c) * 10).cast("long").alias(f"u_{c}") for c in used])
+    g = d.groupBy("station", "period_id", "DayOfYear").agg(
+        *[F.expr(f"sum(u_{c}) AS s_{c}") for c in used], *[F.expr(f"count(u_{c}) AS n_{c}") for c in used],
+        *[F.expr(f"CAST({kind}({c}) AS {typ.simpleString()}) AS {name}") for name, kind, c, typ in extremes])
+    keys = ["station", "period_id", "DayOfYear", *[name for name, *_ in extremes]]
+    # two projections: the first rounding is evaluated once, not inside the second
+    fine = g.selectExpr(*keys, *[
+        f"IF(n_{c} > 0, {half_up_div_sql(f'(s_{c} * 10000)', f'n_{c}')}, NULL) AS f_{c}" for c in used])
+    return fine.selectExpr("station", "period_id", "DayOfYear", *[
+        f"CAST({half_up_div_sql(f'f_{c}', '10000')} AS INT) AS {name}" if c in ints else
+        f"CAST(CAST({half_up_div_sql(f'f_{c}', '10000')} AS DECIMAL(18, 0)) / 10 AS {typ.simpleString()}) AS {name}"
+        for name, c, typ in means], *keys[3:])

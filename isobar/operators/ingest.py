@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
@@ -55,6 +55,29 @@ def flatten_observations(messages: DataFrame, wind_factor: float = 1.5,
     )
 
 
+_NUMBERS = {"metric.temp": "temp", "metric.precipRate": "precip_rate", "metric.precipTotal": "precip_total",
+            "metric.pressure": "pressure", "metric.heatIndex": "heat_index", "metric.windChill": "wind_chill",
+            "metric.dewpt": "dewpt", "metric.elev": "elev", "solarRadiation": "solar_radiation", "uv": "uv"}
+
+
+def out_of_range(wind_factor: float = 1.5) -> Column:
+    """Whether the first reading of a message has a value its column cannot hold."""
+    d = dict((f.name, f.dataType) for f in schemas.OBSERVATIONS.fields)
+    first = F.get(F.col("observations"), 0)
+
+    def field(path):
+        c = first
+        for part in path.split("."):
+            c = c.getField(part)
+        return c
+    pairs = [(field(src), name) for src, name in _NUMBERS.items()]
+    pairs += [(field("metric.windSpeed") * wind_factor, "wind_speed"), (field("metric.windGust") * wind_factor, "wind_gust")]
+    bad = F.lit(False)
+    for value, name in pairs:
+        bad = bad | (value.isNotNull() & value.try_cast(d[name]).isNull())
+    return F.coalesce(bad, F.lit(False))
+
+
 # --- daily-history messages ---------------------------------------------------
 
 def map_history(messages: DataFrame, station: str | None = None) -> DataFrame:
@@ -64,7 +87,7 @@ def map_history(messages: DataFrame, station: str | None = None) -> DataFrame:
     ``messages``; rain arrives in mm and is stored in cm.
     """
     first = F.slice(F.coalesce(F.col("observations"), F.array()), 1, 1)
-    st = F.col("station") if "station" in messages.columns else F.lit(station)
+    st = F.coalesce(F.col("station"), F.lit(station)) if "station" in messages.columns else F.lit(station)
     h = messages.select(st.alias("station"), F.col("request_date").alias("date"),
                         F.explode(first).alias("o"))
     d = dict((f.name, f.dataType) for f in schemas.DAILY_HISTORY.fields)
@@ -144,6 +167,37 @@ def stat_line(df: DataFrame) -> DataFrame:
     return df.withColumn("line", F.concat_ws(";", *fields))
 
 
+# Lines of a console file that are compared in one window group.
+RUN_LINES = 100_000
+
+
+def console_runs(parsed: DataFrame, part: list[str], lines: int = RUN_LINES) -> DataFrame:
+    """Adds ``run``, the number of date changes up to a line of its file.
+
+    A file is cut into stretches of ``lines`` line numbers, so a long file is
+    many window groups; the stretches are stitched by their first and last dates,
+    one row each.
+    """
+    p = parsed.withColumn("_stretch", F.coalesce(F.expr(f"No div {int(lines)}"), F.lit(-1).cast("long")))
+    w = Window.partitionBy(*part, "_stretch").orderBy("No")
+    p = p.withColumn("_first", F.row_number().over(w) == 1)
+    new = F.when(F.col("_first") | F.lag("date").over(w).eqNullSafe(F.col("date")), 0).otherwise(1)
+    p = p.withColumn("_new", new).withColumn("_in", F.sum("_new").over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = p.groupBy(*part, "_stretch").agg(
+        F.sum("_new").alias("_n"), F.min_by("date", F.struct("_in", "No")).alias("_from"),
+        F.max_by("date", F.struct("_in", "No")).alias("_to"))
+    along = Window.partitionBy(*part).orderBy("_stretch")
+    starts = F.when(F.lag("_to").over(along).eqNullSafe(F.col("_from")) & F.lag("_stretch").over(along).isNotNull(),
+                    0).otherwise(1)
+    ends = ends.withColumn("_s", starts)
+    base = F.sum(F.col("_n") + F.col("_s")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends = ends.select(*[F.col(c).alias(f"_k_{c}") for c in [*part, "_stretch"]],
+                       (base - F.col("_n")).alias("_base"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*part, "_stretch"]]
+    return p.join(ends, same).select(*parsed.columns, (F.col("_in") + F.col("_base")).alias("run"))
+
+
 def console_daily(parsed: DataFrame, by: str = "date") -> DataFrame:
     """A3 (+A4): console statistics per day.
 
@@ -157,11 +211,7 @@ def console_daily(parsed: DataFrame, by: str = "date") -> DataFrame:
         out = parsed.groupBy(*keys, "date").agg(*_console_aggs())
     elif by == "run":
         part = keys + (["source_file"] if "source_file" in parsed.columns else [])
-        w = Window.partitionBy(*part).orderBy("No")
-        flagged = parsed.withColumn(
-            "_new", F.when(F.lag("date").over(w).eqNullSafe(F.col("date")), 0).otherwise(1))
-        runs = flagged.withColumn("run", F.sum("_new").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        runs = console_runs(parsed, part)
         out = runs.groupBy(*part, "run", "date").agg(*_console_aggs())
     else:
         raise ValueError(f"unknown grouping: {by!r}")
@@ -169,5 +219,10 @@ def console_daily(parsed: DataFrame, by: str = "date") -> DataFrame:
 
 
 def write_console_stats(stats: DataFrame, path: str) -> None:
-    """The statistics lines as text, ordered by date, no header."""
-    stats.orderBy("date").select("line").write.mode("overwrite").text(path)
+    """The statistics lines as text without a header, one folder per station
+    (and file, where runs are given), in the order of the dates."""
+    parts = [c for c in ("station", "source_file") if c in stats.columns]
+    order = [c for c in ("run",) if c in stats.columns] + ["date"]
+    out = stats.repartitionByRange(*parts, *order) if parts else stats.repartitionByRange(*order)
+    w = out.sortWithinPartitions(*parts, *order).select(*parts, "line").write.mode("overwrite")
+    (w.partitionBy(*parts) if parts else w).text(path)

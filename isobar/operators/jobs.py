@@ -12,15 +12,20 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..session import materialize
+from ..config import NormalsJob, periods_frame
+from ..session import Scratch, materialize, read_parquet_if_exists
+from ..sources.tables import read_daily_lake
+from .catalog import save_table
 from .common import check_date_range
+from .doy import doy_normals_config
+from .ingest import map_history
 from .official import import_official
 from .rollup import daily_rollup_range
-from .upsert import write_partitions, write_upsert
+from .upsert import change_set, write_partitions, write_upsert
 
-# Year directories, rows clustered by station inside: a station-level
+# Year and month directories, rows clustered by station inside: a station-level
 # directory split would create millions of tiny files with many stations.
-DAILY_PARTITIONS = ["year"]
+DAILY_PARTITIONS = ["year", "month"]
 
 
 def today_range(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
@@ -35,14 +40,19 @@ def yesterday_range(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
     return d, d
 
 
+def by_month(daily: DataFrame) -> DataFrame:
+    """The rows with the partition columns of the daily lake."""
+    return daily.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
+
+
 def write_daily_lake(daily: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The daily table as parquet partitioned by year, clustered by station.
+    """The daily table as parquet partitioned by year and month, clustered by station.
 
-    Rows are range-partitioned on (year, station) and sorted by (station,
-    date): each task writes a contiguous slice of one year, so parquet
-    statistics prune by station and date and no task holds a whole year.
+    Rows are range-partitioned on (year, month, station) and sorted by (station,
+    date): each task writes a contiguous slice, so parquet statistics prune by
+    station and date and no task holds a whole year.
     """
-    d = daily.withColumn("year", F.year("date"))
+    d = by_month(daily)
     if mode == "overwrite":
         write_partitions(d, path, DAILY_PARTITIONS, ["station", "date"])
     else:
@@ -52,22 +62,55 @@ def write_daily_lake(daily: DataFrame, path: str, mode: str = "overwrite") -> No
 
 def refresh_days(spark: SparkSession, obs: DataFrame, daily_path: str, start: _dt.date,
                  end: _dt.date, stations: DataFrame, fields: list[str] | None = None,
-                 skip_empty: bool = False, today: _dt.date | None = None) -> None:
+                 skip_empty: bool = False, today: _dt.date | None = None,
+                 dry_run: bool = False) -> DataFrame | None:
     """Entry 1 / T4: roll a date range of observations up and upsert it.
 
     Every requested day of every station gets a row (J4); days without data
-    overwrite with NULLs unless ``skip_empty`` (D16).
+    overwrite with NULLs unless ``skip_empty`` (D16). ``dry_run`` writes nothing
+    and returns the change set instead (W4).
     """
     check_date_range(start, end, today)
-    days = daily_rollup_range(obs, stations.select("station"), start, end, stations, today)
-    src = materialize(days.withColumn("year", F.year("date")), "refresh-days")
-    write_upsert(daily_path, src, schemas.DAILY_KEYS, DAILY_PARTITIONS, fields, skip_empty)
+    days = by_month(daily_rollup_range(obs, stations.select("station"), start, end, stations, today))
+    if dry_run:
+        target = read_parquet_if_exists(spark, daily_path)
+        days = materialize(days, "refresh-days")
+        target = target if target is not None else days.limit(0)
+        return change_set(target, days, schemas.DAILY_KEYS, fields, DAILY_PARTITIONS)
+    write_upsert(daily_path, days, schemas.DAILY_KEYS, DAILY_PARTITIONS, fields, skip_empty)
+    return None
 
 
 def load_official(daily_path: str, rr: DataFrame, other: DataFrame | None = None,
                   stations: list[str] | None = None, years: tuple[int, int] | None = None,
-                  mean_fallback: str = "truncate") -> None:
-    """Official daily rows upserted into the daily table (no SQL text)."""
-    rows = import_official(rr, other, stations, years, mean_fallback)
-    src = materialize(rows.withColumn("year", F.year("date")), "official-load")
-    write_upsert(daily_path, src, schemas.DAILY_KEYS, DAILY_PARTITIONS)
+                  mean_fallback: str = "truncate", quality: tuple[int, ...] | None = None) -> int:
+    """Official daily rows upserted into the daily table (no SQL text);
+    returns the number of rows rejected for a missing station or date."""
+    rows = import_official(rr, other, stations, years, mean_fallback, quality)
+    return write_upsert(daily_path, by_month(rows), schemas.DAILY_KEYS, DAILY_PARTITIONS)
+
+
+HISTORY_KEYS = ["station", "date"]
+
+
+def load_history(history_path: str, messages: DataFrame, station: str | None = None) -> int:
+    """Daily-history replies upserted into the history table; returns the rejected rows."""
+    return write_upsert(history_path, by_month(map_history(messages, station)), HISTORY_KEYS, DAILY_PARTITIONS)
+
+
+def load_normals(spark: SparkSession, job: NormalsJob, mode: str = "create") -> list[str]:
+    """The normals job of a configuration: per period one table of day-of-year normals.
+
+    The configured daily table is read once; every period's rows go to the table
+    its name template gives (``create``: only if absent, ``recreate`` or ``append``).
+    """
+    daily = read_daily_lake(spark, job.source_table)
+    names = []
+    with Scratch(spark) as scratch:
+        rows = scratch.table(doy_normals_config(daily, periods_frame(spark, job.periods), job.crossref), "normals")
+        for p in job.periods:
+            name = job.target_name(p)
+            save_table(rows.filter(F.col("period_id") == p.period_id).drop("period_id"), name, mode,
+                       ["station", "DayOfYear"])
+            names.append(name)
+    return names

@@ -2,17 +2,15 @@
 
 Plan shape (the point of this module):
 
-1. One pass over ``daily``: a window partitioned by (station, year) gives
-   each year's extremes, and the same exchange feeds a ``groupBy(station,
-   year, month)`` that keeps only *sufficient statistics*: sums, counts,
-   range counts, monthly max/min and, for records, the dates reaching the
-   year's extreme. This is the only shuffle over daily-sized data; groups
-   are bounded by 366 rows, so one hot station is spread over its years.
+1. One pass over ``daily``, cut to the years of the periods by literal bounds
+   on the date and on the year partition: a ``groupBy(station, year, month)``
+   with partial aggregation keeps only *sufficient statistics* (sums, counts,
+   range counts, monthly extremes). No window over daily rows.
 2. Everything after works on month/year rows (stations x years x 12). The
-   periods are exploded to (period, year) pairs and joined on ``year``: an
-   equi-join against a small, size-checked broadcast side, instead of a
-   nested-loop range join. Overlapping periods therefore never duplicate
-   daily rows, only year summaries.
+   periods are expanded to (period, year) pairs and joined on ``year``: an
+   equi-join instead of a nested-loop range join. Overlapping periods never
+   duplicate daily rows, only year summaries.
+3. Records join back the days of just those months that reach an extreme.
 
 Semantics follow the executed statistics script: means ignore NULLs and round
 half up to 0.1 in exact decimal; yearly totals and day counts are divided by
@@ -24,11 +22,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from ..config import DAY_COUNT_METRICS, MONTH_NAMES, RECORD_METRICS, RangeMetric, RecordMetric
 from ..functions.rounding import ratio_half_even_int, ratio_half_up
+from ..session import materialize
 from .common import in_years, period_years, year_span
 
 MEAN_COLUMNS = ["temp_avg", "temp_high", "temp_low", "precipitation_sum"]
@@ -38,20 +37,6 @@ RECORD_ENTRY = T.ArrayType(T.StructType([
     T.StructField("Date", T.StringType()), T.StructField("Value", T.StringType())]))
 
 
-def _lit(v) -> Column:
-    return F.lit(Decimal(str(v)))
-
-
-def range_predicate(m: RangeMetric) -> Column:
-    c = F.col(m.column)
-    cond = c.isNotNull()
-    if m.lo is not None:
-        cond = cond & ((c >= _lit(m.lo)) if m.lo_closed else (c > _lit(m.lo)))
-    if m.hi is not None:
-        cond = cond & ((c <= _lit(m.hi)) if m.hi_closed else (c < _lit(m.hi)))
-    return cond
-
-
 def _num(v) -> str:
     """A decimal literal in Spark SQL (unsuffixed decimals parse as DECIMAL)."""
     t = f"{Decimal(str(v)):f}"
@@ -67,28 +52,21 @@ def range_predicate_sql(m: RangeMetric) -> str:
     return " AND ".join(parts)
 
 
-def _record_columns(records: list[RecordMetric]) -> list[str]:
-    return sorted({r.column for r in records})
+def _dated(daily: DataFrame) -> DataFrame:
+    """Daily rows with ``year`` and ``month``; a stored year (partition column) is kept."""
+    year = F.col("year").cast("int") if "year" in daily.columns else F.year("date")
+    return daily.select(*[c for c in daily.columns if c not in ("year", "month")],
+                        year.alias("year"), F.month("date").alias("month"))
 
 
 def month_stats(daily: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
                 records: list[RecordMetric] = RECORD_METRICS,
                 years: tuple[int, int] | None = None) -> DataFrame:
-    """Sufficient statistics per (station, year, month).
+    """Sufficient statistics per (station, year, month), one partial aggregation.
 
-    ``years`` (inclusive) is pushed to the scan as a date range.
+    ``years`` (inclusive) cuts the scan by date and year partition.
     """
-    d = daily
-    if years is not None:
-        import datetime as _dt
-        d = d.filter((F.col("date") >= F.lit(_dt.date(years[0], 1, 1)))
-                     & (F.col("date") <= F.lit(_dt.date(years[1], 12, 31))))
-    d = d.select("*", F.year("date").alias("year"), F.month("date").alias("month"))
-    w = Window.partitionBy("station", "year")
-    ext = [e for c in _record_columns(records)
-           for e in (F.max(c).over(w).alias(f"_ymax_{c}"), F.min(c).over(w).alias(f"_ymin_{c}"))]
-    if ext:
-        d = d.select("*", *ext)
+    d = _dated(in_years(daily, years))
     # aggregate list as SQL text: one parse per expression instead of a
     # chain of Column calls (plan construction stays cheap on the driver)
     aggs = ["count(1) AS n_rows"]
@@ -99,23 +77,15 @@ def month_stats(daily: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
     aggs.append(f"count_if({RAIN} >= 1.0) AS wet1")
     for c in ("temp_high", "temp_low"):
         aggs += [f"max({c}) AS mmax_{c}", f"min({c}) AS mmin_{c}"]
-    for r in records:
-        ext = f"_y{r.kind}_{r.column}"
-        aggs.append(f"max({ext}) AS rv_{r.name}")
-        aggs.append(f"collect_list(CASE WHEN {r.column} = {ext} THEN date END) AS rd_{r.name}")
+    aggs += [f"{r.kind}({r.column}) AS rv_{r.name}" for r in records]
     return d.groupBy("station", "year", "month").agg(*[F.expr(a) for a in aggs])
 
 
-def year_stats(months: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
-               records: list[RecordMetric] = RECORD_METRICS) -> DataFrame:
+def year_stats(months: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS) -> DataFrame:
     """Month rows folded to (station, year); the rows are already tiny."""
     sums = ["n_rows", "rain_total", "wet1"] + [f"s_{c}" for c in MEAN_COLUMNS] + \
         [f"n_{c}" for c in MEAN_COLUMNS] + [f"c_{m.name}" for m in ranges]
-    aggs = [f"sum({c}) AS {c}" for c in sums]
-    for r in records:
-        aggs.append(f"max(rv_{r.name}) AS rv_{r.name}")
-        aggs.append(f"flatten(collect_list(rd_{r.name})) AS rd_{r.name}")
-    return months.groupBy("station", "year").agg(*[F.expr(a) for a in aggs])
+    return months.groupBy("station", "year").agg(*[F.expr(f"sum({c}) AS {c}") for c in sums])
 
 
 def _join_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
@@ -130,9 +100,9 @@ def _mean(sum_col: str, n_col: str) -> Column:
     return ratio_half_up(F.sum(sum_col), F.sum(n_col), 1).cast(T.DoubleType())
 
 
-def _period_aggs(ranges: list[RangeMetric]) -> list[Column]:
+def _mean_aggs() -> list[Column]:
     ny = F.count(F.lit(1))
-    out = [
+    return [
         ny.alias("n_years"),
         _mean("s_temp_avg", "n_temp_avg").alias("Avg_TempAvg"),
         _mean("s_temp_high", "n_temp_high").alias("Avg_TempHigh"),
@@ -140,74 +110,69 @@ def _period_aggs(ranges: list[RangeMetric]) -> list[Column]:
         ratio_half_up(F.sum("rain_total"), ny, 1).cast(T.DoubleType()).alias("Yearly_Avg_Precipitation"),
         _mean(f"s_{RAIN}", f"n_{RAIN}").alias("Avg_Daily_Precipitation"),
     ]
-    out += [F.expr(f"CAST(bround(CAST(sum(c_{m.name}) AS DECIMAL(30, 8)) / "
-                   f"CAST(count(1) AS DECIMAL(20, 0)), 0) AS BIGINT) AS {m.name}")
-            for m in ranges]
-    return out
-
-
-def _entries(dates: Column, value: Column) -> Column:
-    """``array<date>`` to ``array<struct<Date, Value>>`` (both as text)."""
-    def entry(x):
-        return F.struct(x.cast(T.StringType()).alias("Date"), value.alias("Value"))
-    return F.transform(dates, entry)
 
 
-def _with_period_extremes(rows: DataFrame, keys: list[str], records: list[RecordMetric]) -> DataFrame:
-    """Each record's extreme over the ``keys`` group, as window columns."""
-    if not records:
-        return rows
-    w = Window.partitionBy(*keys)
-    return rows.select("*", *[(F.max if r.kind == "max" else F.min)(f"rv_{r.name}").over(w)
-                              .alias(f"_p_{r.name}") for r in records])
-
-
-def _record_aggs(records: list[RecordMetric]) -> list[Column]:
-    """All dates reaching the group extreme (sorted), as Date/Value entries."""
-    aggs = []
-    for r in records:
-        pv = F.col(f"_p_{r.name}")
-        dates = F.array_sort(F.flatten(F.collect_list(
-            F.when(F.col(f"rv_{r.name}") == pv, F.col(f"rd_{r.name}")))))
-        aggs.append(_entries(dates, F.first(pv).cast(T.StringType())).alias(r.name))
-    return aggs
-
+def _count_aggs(ranges: list[RangeMetric]) -> list[Column]:
+    return [F.expr(f"CAST(bround(CAST(sum(c_{m.name}) AS DECIMAL(30, 8)) / "
+                   f"CAST(count(1) AS DECIMAL(20, 0)), 0) AS BIGINT) AS {m.name}")
+            for m in ranges]
 
-def _records_over(rows: DataFrame, keys: list[str], records: list[RecordMetric]) -> DataFrame:
-    """Extreme over ``keys`` groups, with all dates that reach it (sorted).
 
-    The window and the aggregate share one exchange on ``keys``.
-    """
-    return _with_period_extremes(rows, keys, records).groupBy(*keys).agg(*_record_aggs(records))
+def _years(periods: DataFrame) -> tuple[int, int]:
+    """The span that the periods cover; an empty span without periods."""
+    return year_span(periods) or (1, 0)
 
 
-def _period_frame(daily: DataFrame, periods: DataFrame, ranges, records, months=None):
-    months = months if months is not None else month_stats(daily, ranges, records)
-    years = year_stats(months, ranges, records)
-    return months, _join_periods(years, periods)
+def _period_years(daily: DataFrame, periods: DataFrame, ranges, months=None) -> DataFrame:
+    months = months if months is not None else month_stats(daily, ranges, [], _years(periods))
+    return _join_periods(year_stats(months, ranges), periods)
 
 
 def period_means(daily: DataFrame, periods: DataFrame) -> DataFrame:
     """A5, A7, A17 per (station, period)."""
-    _, py = _period_frame(daily, periods, [], [])
-    aggs = _period_aggs([])
-    return py.groupBy("station", "period_id", "year_start", "year_end").agg(*aggs)
+    return _period_years(daily, periods, []) \
+        .groupBy("station", "period_id", "year_start", "year_end").agg(*_mean_aggs())
 
 
 def day_counts(daily: DataFrame, periods: DataFrame,
                ranges: list[RangeMetric] = DAY_COUNT_METRICS) -> DataFrame:
     """Average days per year in each range, per (station, period)."""
-    _, py = _period_frame(daily, periods, ranges, [])
-    ny = F.count(F.lit(1))
-    aggs = [ny.alias("n_years")] + _period_aggs(ranges)[6:]
-    return py.groupBy("station", "period_id").agg(*aggs)
+    return _period_years(daily, periods, ranges).groupBy("station", "period_id") \
+        .agg(F.count(F.lit(1)).alias("n_years"), *_count_aggs(ranges))
 
 
 def records(daily: DataFrame, periods: DataFrame,
-            metrics: list[RecordMetric] = RECORD_METRICS) -> DataFrame:
-    """Each record as ``array<struct<Date, Value>>`` per (station, period)."""
-    _, py = _period_frame(daily, periods, [], metrics)
-    return _records_over(py, ["station", "period_id"], metrics)
+            metrics: list[RecordMetric] = RECORD_METRICS, months: DataFrame | None = None) -> DataFrame:
+    """Each record as ``array<struct<Date, Value>>`` per (station, period).
+
+    Two stages: the extremes come from the month statistics (max and min with
+    partial aggregation); then only the days of the months that reach an
+    extreme are joined back, and those equal to it are kept, with all ties.
+    """
+    months = months if months is not None else month_stats(daily, [], metrics, _years(periods))
+    keys = ["station", "period_id"]
+    rows = _join_periods(months.select("station", "year", "month", *[f"rv_{m.name}" for m in metrics]), periods) \
+        .select(*keys, "year", "month", *[f"rv_{m.name}" for m in metrics])
+    best = rows.groupBy(*keys).agg(*[F.expr(f"{m.kind}(rv_{m.name}) AS x_{m.name}") for m in metrics])
+    reached = F.array_compact(F.array(*[
+        F.when(F.col(f"rv_{m.name}") == F.col(f"x_{m.name}"),
+               F.struct(F.lit(m.name).alias("metric"), F.col("period_id"),
+                        F.col(f"rv_{m.name}").cast(T.StringType()).alias("value"))) for m in metrics]))
+    wanted = rows.join(best, keys).select("station", "year", "month", F.explode(reached).alias("r")) \
+        .groupBy("station", "year", "month").agg(F.collect_list("r").alias("wanted"))
+    of_day = F.lit(None).cast("string")
+    for m in metrics:
+        of_day = F.when(F.col("w.metric") == m.name, F.col(m.column).cast(T.StringType())).otherwise(of_day)
+    days = _dated(in_years(daily, _years(periods))) \
+        .select("station", "year", "month", "date", *sorted({m.column for m in metrics})) \
+        .join(wanted, ["station", "year", "month"]).withColumn("w", F.explode("wanted")) \
+        .filter(of_day == F.col("w.value"))
+    entry = F.struct(F.col("date").cast(T.StringType()).alias("Date"), F.col("w.value").alias("Value"))
+    found = days.groupBy("station", F.col("w.period_id").alias("period_id")).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("w.metric") == m.name, entry))).alias(m.name) for m in metrics])
+    none = F.array().cast(RECORD_ENTRY)
+    return best.select(*keys).join(found, keys, "left") \
+        .select(*keys, *[F.coalesce(F.col(m.name), none).alias(m.name) for m in metrics])
 
 
 def records_long(daily: DataFrame, periods: DataFrame,
@@ -230,7 +195,7 @@ def monthly_normals(daily: DataFrame, periods: DataFrame, sort: bool = True,
     ``months`` may be a :func:`month_stats` frame shared with other outputs
     of the same job, so the daily table is aggregated once.
     """
-    months = months if months is not None else month_stats(daily, [], [])
+    months = months if months is not None else month_stats(daily, [], [], _years(periods))
     pm = _join_periods(months, periods)
     ny = F.count(F.lit(1))
     names = F.array(*[F.lit(n) for n in MONTH_NAMES])
@@ -254,8 +219,10 @@ def period_summary(daily: DataFrame, periods: DataFrame,
                    metrics: list[RecordMetric] = RECORD_METRICS,
                    months: DataFrame | None = None) -> DataFrame:
     """One wide row per (station, period): means, records, day counts."""
-    _, py = _period_frame(daily, periods, ranges, metrics, months)
+    if months is None:
+        # two branches read the month rows: written once, not aggregated twice
+        months = materialize(month_stats(daily, ranges, metrics, _years(periods)), "month-stats")
     keys = ["station", "period_id"]
-    rows = _with_period_extremes(py, keys, metrics)
-    return rows.groupBy(*keys, "year_start", "year_end").agg(
-        *_period_aggs(ranges), *_record_aggs(metrics))
+    means = _period_years(daily, periods, ranges, months) \
+        .groupBy(*keys, "year_start", "year_end").agg(*_mean_aggs(), *_count_aggs(ranges))
+    return means.join(records(daily, periods, metrics, months), keys)

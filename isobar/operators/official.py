@@ -33,16 +33,20 @@ def quality_filter(rr: DataFrame, measures: list[str], codes=(0, 1, 9)) -> DataF
 def import_official(rr: DataFrame, other: DataFrame | None = None,
                     stations: list[str] | None = None,
                     years: tuple[int, int] | None = None,
-                    mean_fallback: str = "truncate") -> DataFrame:
+                    mean_fallback: str = "truncate",
+                    quality: tuple[int, ...] | None = None) -> DataFrame:
     """Official rows to ``daily`` rows (dew point and solar stay NULL).
 
     TM falls back to (TX + TN) / 2 cut toward zero to 0.1 (``'round'`` for
     half-up); the daily high pressure is ``2*PMERM - PMERMIN``; FXY/FXI are
     m/s converted to km/h and cut to 0.1. The second parameter set is joined
     on (station number, date); a missing partner row gives NULL measures.
+    ``quality`` keeps only rows whose quality codes are among the given ones (F12).
     """
     d = dict((f.name, f.dataType) for f in schemas.DAILY.fields)
     base = select_station_years(rr, stations, years)
+    if quality is not None:
+        base = quality_filter(base, ["RR", "TN", "TX", "TM"], quality)
     x = base.select(
         F.trim("NUM_POSTE").alias("NUM_POSTE"),
         F.trim("NOM_USUEL").alias("station"),

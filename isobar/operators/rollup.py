@@ -20,6 +20,18 @@ from ..functions.sun import sun_columns
 from .common import check_date_range
 
 
+def with_daylight(obs: DataFrame, stations: DataFrame) -> DataFrame:
+    """Adds ``_day_solar``: the solar reading between sunrise and sunset, else NULL."""
+    return _with_sun(obs, stations).withColumn(
+        "_day_solar", F.when(F.col("_daylight"), F.col("solar_radiation")))
+
+
+def solar_aggregate(with_stations: bool):
+    """The daylight solar mean; NULL without a station registry."""
+    solar = exact_mean_col("_day_solar", 1, 1, "DECIMAL(5, 1)") if with_stations else F.lit(None)
+    return solar.cast(schemas.D51).alias("solar_radiation_avg")
+
+
 def _with_sun(obs: DataFrame, stations: DataFrame) -> DataFrame:
     reg = stations.select("station", "lat", "lon", "tz")
     df = obs.join(reg, "station", "left")
@@ -55,23 +67,15 @@ def daily_rollup(obs: DataFrame, stations: DataFrame | None = None) -> DataFrame
 
     Without a registry the daylight solar mean is NULL (missing -> NULL).
     """
-    aggs = day_aggregates()
-    src = obs
-    if stations is not None:
-        src = _with_sun(obs, stations).withColumn(
-            "_day_solar", F.when(F.col("_daylight"), F.col("solar_radiation")))
-        solar = exact_mean_col("_day_solar", 1, 1, "DECIMAL(5, 1)")
-    else:
-        solar = F.lit(None)
-    aggs.append(solar.cast(schemas.D51).alias("solar_radiation_avg"))
+    aggs = [*day_aggregates(), solar_aggregate(stations is not None)]
+    src = obs if stations is None else with_daylight(obs, stations)
     out = (src.groupBy("station", F.to_date("obs_ts").alias("date")).agg(*aggs))
     return out.select(*[f.name for f in schemas.DAILY.fields])
 
 
 def daylight_solar(obs: DataFrame, stations: DataFrame) -> DataFrame:
     """A2 with its sun times: one row per station and day with observations."""
-    src = _with_sun(obs, stations).withColumn(
-        "_day_solar", F.when(F.col("_daylight"), F.col("solar_radiation")))
+    src = with_daylight(obs, stations)
     sun = sun_columns(F.col("date"), F.col("lat"), F.col("lon"), F.col("tz"))
     per_day = (src.groupBy("station", F.to_date("obs_ts").alias("date"),
                            "lat", "lon", "tz")

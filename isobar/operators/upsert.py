@@ -13,25 +13,52 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import Scratch, read_parquet_if_exists
 from .common import validate_fields
 
 
-def first_arrival(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Keep the earliest arrival per key (ties broken by the order column)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc())
+def first_arrival(df: DataFrame, keys: list[str], order_col: str | list[str]) -> DataFrame:
+    """Keep the earliest arrival per key (ties broken by the further order columns)."""
+    order = [order_col] if isinstance(order_col, str) else order_col
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def last_by_key(df: DataFrame, keys: list[str], order_by: str | list[str]) -> DataFrame:
+    """One row per key: the last in the given order, as in a row-by-row upsert loop."""
+    order = [order_by] if isinstance(order_by, str) else order_by
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key is complete; a NULL key can match no stored row."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+
+
+def in_bounds(target: DataFrame, source: DataFrame, partition_cols: list[str] | None) -> DataFrame:
+    """Target rows within the source's smallest and largest partition values.
+
+    The bounds are literals (one row is read on the driver), so they prune the
+    target's partitions when it is scanned. ``source`` should be a written
+    table: it is read for them.
+    """
+    for c in partition_cols or []:
+        lo, hi = source.agg(F.min(c), F.max(c)).first()
+        target = target.filter(F.lit(False) if lo is None else F.col(c).between(F.lit(lo), F.lit(hi)))
+    return target
+
+
 def _touched(target: DataFrame, source: DataFrame, partition_cols: list[str] | None):
-    """Target rows in the partitions the source touches (semi join -> DPP)."""
+    """Target rows in the partitions the source touches."""
     if not partition_cols:
         return target
     parts = source.select(*partition_cols).distinct()
-    return target.join(parts, partition_cols, "left_semi")
+    return in_bounds(target, source, partition_cols).join(parts, partition_cols, "left_semi")
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str],
-                     order_col: str | None = None,
+                     order_col: str | list[str] | None = None,
                      partition_cols: list[str] | None = None) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``target`` (first wins).
 
@@ -40,7 +67,8 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str],
     new rows fall into are read for the anti join.
     """
     if order_col is not None:
-        new = first_arrival(new, keys, order_col).drop(order_col)
+        order = [order_col] if isinstance(order_col, str) else order_col
+        new = first_arrival(new, keys, order).drop(*order)
     else:
         new = new.dropDuplicates(keys)
     existing = _touched(target, new, partition_cols).select(*keys)
@@ -69,9 +97,13 @@ def _merge_columns(columns: list[str], keys: list[str], fields: list[str] | None
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            fields: list[str] | None = None, partition_cols: list[str] | None = None,
-           skip_empty: bool = False) -> DataFrame:
+           skip_empty: bool = False, order_by: str | list[str] | None = None) -> DataFrame:
     """Merged rows of the affected part of ``target``.
 
+    Of several source rows with one key the last by ``order_by`` counts; without
+    it the keys must be unique (:func:`write_upsert` checks that). Source rows
+    with a NULL in the key are rejected.
+
     ``fields`` restricts the columns written on a match (W3); an unknown
     field raises ``ValueError``. With ``partition_cols`` only the target
     partitions present in the source are read and returned, which is what a
@@ -83,7 +115,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     missing = [c for c in columns if c not in source.columns]
     if missing:
         raise ValueError(f"source lacks columns: {', '.join(missing)}")
-    src = source.select(*columns)
+    src = with_keys(source, keys)
+    src = (last_by_key(src, keys, order_by) if order_by else src).select(*columns)
     if skip_empty:
         measures = [c for c in columns if c not in keys and c not in (partition_cols or [])]
         src = src.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in measures]))
@@ -97,12 +130,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
 
 def upsert_table(target: DataFrame, source: DataFrame, keys: list[str],
                  fields: list[str] | None = None, partition_cols: list[str] | None = None,
-                 skip_empty: bool = False) -> DataFrame:
+                 skip_empty: bool = False, order_by: str | list[str] | None = None) -> DataFrame:
     """The whole table after the upsert: untouched partitions plus merged ones."""
-    merged = upsert(target, source, keys, fields, partition_cols, skip_empty)
+    merged = upsert(target, source, keys, fields, partition_cols, skip_empty, order_by)
     if not partition_cols:
         return merged
-    parts = source.select(*partition_cols).distinct()
+    parts = with_keys(source, keys).select(*partition_cols).distinct()
     untouched = target.join(parts, partition_cols, "left_anti")
     return untouched.unionByName(merged)
 
@@ -134,26 +167,35 @@ def change_set(target: DataFrame, source: DataFrame, keys: list[str],
 
 def write_upsert(target_path: str, source: DataFrame, keys: list[str],
                  partition_cols: list[str], fields: list[str] | None = None,
-                 skip_empty: bool = False, checkpoint: bool = True) -> None:
-    """Apply an upsert to a partitioned parquet table in place.
-
-    Only the partitions the source touches are rewritten (dynamic partition
-    overwrite). The merged rows are checkpointed first so the write never
-    reads the files it is replacing; a retried job recomputes the same rows,
-    so the write is idempotent.
+                 skip_empty: bool = False, order_by: str | list[str] | None = None) -> int:
+    """Apply an upsert to a partitioned parquet table in place; returns the
+    number of source rows rejected for a NULL in the key.
+
+    Only the partitions the source touches are read (literal bounds) and
+    rewritten (dynamic partition overwrite). The merged rows are written to
+    scratch first so the write never reads the files it is replacing; a retried
+    job recomputes the same rows, so the write is idempotent. Repeated source
+    keys need ``order_by`` (the last row wins), else they raise.
     """
-    from ..session import read_parquet_if_exists
     spark = source.sparkSession
-    target = read_parquet_if_exists(spark, target_path)
     clustering = [k for k in keys if k not in partition_cols]
-    if target is None:  # first load: nothing to merge with
-        write_partitions(source, target_path, partition_cols, clustering)
-        return
-    merged = upsert(target, source, keys, fields, partition_cols, skip_empty)
-    if checkpoint:
-        from ..session import materialize
-        merged = materialize(merged, "upsert")
-    write_partitions(merged, target_path, partition_cols, clustering)
+    with Scratch(spark) as scratch:
+        src = scratch.table(source, "upsert-source")
+        n, complete = src.count(), with_keys(src, keys)
+        rejected = n - complete.count()
+        if order_by is not None:
+            complete = scratch.table(last_by_key(complete, keys, order_by), "upsert-last")
+        elif complete.groupBy(*keys).count().filter("count > 1").limit(1).count():
+            raise ValueError(f"repeated keys ({', '.join(keys)}) in the source and no order to choose by")
+        target = read_parquet_if_exists(spark, target_path)
+        if target is None:  # first load: nothing to merge with
+            validate_fields(fields, complete.columns)
+            drop = [c for c in ([order_by] if isinstance(order_by, str) else order_by or []) if c not in keys]
+            write_partitions(complete.drop(*drop), target_path, partition_cols, clustering)
+        else:
+            merged = scratch.table(upsert(target, complete, keys, fields, partition_cols, skip_empty), "upsert")
+            write_partitions(merged, target_path, partition_cols, clustering)
+    return rejected
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: list[str],
@@ -170,18 +212,29 @@ def write_partitions(df: DataFrame, path: str, partition_cols: list[str],
      .partitionBy(*partition_cols).parquet(path))
 
 
+def append_rows(rows: DataFrame, path: str, partition_cols: list[str], clustering: list[str]) -> None:
+    """Append to a partitioned table without touching its files."""
+    (rows.repartitionByRange(*partition_cols, *clustering[:1]).sortWithinPartitions(*clustering)
+     .write.mode("append").partitionBy(*partition_cols).parquet(path))
+
+
 def append_if_absent(target_path: str, new: DataFrame, keys: list[str],
                      partition_cols: list[str] | None = None,
-                     order_col: str | None = None) -> int:
-    """W1 on a parquet table: append only unseen keys; returns rows appended."""
+                     order_col: str | list[str] | None = None) -> int:
+    """W1 on a parquet table: append only unseen keys; returns rows appended.
+
+    With ``partition_cols`` only the partitions the new rows fall into are read.
+    """
     spark = new.sparkSession
     target = spark.read.parquet(target_path)
-    rows = insert_if_absent(target, new, keys, order_col)
-    from ..session import materialize
-    rows = materialize(rows, "append")
-    n = rows.count()
-    w = rows.write.mode("append")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(target_path)
+    with Scratch(spark) as scratch:
+        new = scratch.table(with_keys(new, keys), "append-new")
+        rows = scratch.table(insert_if_absent(target, new, keys, order_col, partition_cols), "append")
+        n = rows.count()
+        if not n:
+            return 0
+        if partition_cols:
+            append_rows(rows, target_path, partition_cols, [k for k in keys if k not in partition_cols])
+        else:
+            rows.write.mode("append").parquet(target_path)
     return n

@@ -680,11 +680,12 @@ def q_normals_union() -> str:
 
 # --- streaming ----------------------------------------------------------------
 
-def obs_msg_cte() -> str:
+def obs_msg_cte(first_only: bool = False) -> str:
     """Observations as the message path delivers them (first element, wind x 1.5)."""
     o = B.OBS_INT
     w = "((event_id * 11) % 300)"
     g = "((event_id * 3) % 100)"
+    which = f" AND event_id < {B.RESENT_OFFSET}" if first_only else ""
     return f"""{ev_cte()},
 obs_msg AS (
   SELECT {B.OBS_STATION} AS station, date_trunc('second', ts) AS obs_ts,
@@ -695,7 +696,7 @@ obs_msg AS (
     {o['solar10']} AS solar10, {o['uv10']} AS uv10,
     strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
     CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch
-  FROM ev WHERE event_id % {B.MSG_EMPTY_MOD} <> 0
+  FROM ev WHERE event_id % {B.MSG_EMPTY_MOD} <> 0{which}
   QUALIFY row_number() OVER (PARTITION BY station, obs_ts ORDER BY event_id) = 1)"""
 
 
@@ -708,3 +709,30 @@ def q_stream_daily() -> str:
     return with_(obs_msg_cte(), stations_cte(), sun_cte("obs_msg"), _solar_cte("obs_msg")) + \
         f"""SELECT r.*, solar.solar_radiation_avg
 FROM ({rollup_select('obs_msg')}) r JOIN solar USING (station, date)"""
+
+
+def q_stream_final() -> str:
+    """The messages without the resent ones; the data has no other repeats of a key."""
+    return with_(obs_msg_cte(first_only=True), stations_cte(), sun_cte("obs_msg"), _solar_cte("obs_msg")) + \
+        f"""SELECT r.*, solar.solar_radiation_avg
+FROM ({rollup_select('obs_msg')}) r JOIN solar USING (station, date)"""
+
+
+# --- files and jobs ---------------------------------------------------------------
+
+def q_refresh_days() -> str:
+    return "SELECT * EXCLUDE (solar_radiation_avg) FROM (" + q_daily_rollup_spine() + ")"
+
+
+def q_console_files() -> str:
+    return "SELECT station, line FROM (" + q_console_daily() + ")"
+
+
+def q_documents_files() -> str:
+    ny = "count(DISTINCT year)"
+    return _base() + f"""SELECT j.station, j.period_id, {mean1('temp_avg')} AS Avg_TempAvg,
+  {tenths(hu('CAST(coalesce(sum(precipitation_sum), 0) AS BIGINT)', ny))} AS Yearly_Avg_Precipitation,
+  {mean1('CASE WHEN month = 1 THEN temp_avg END')} AS January_Avg_TempAvg,
+  count(CASE WHEN temp_high = m.top THEN 1 END) AS n_max_temp_high
+FROM j JOIN (SELECT station, period_id, max(temp_high) AS top FROM j GROUP BY 1, 2) m USING (station, period_id)
+GROUP BY j.station, j.period_id"""

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import RECORD_METRICS, closed_left_metrics, load_normals_config
-from ..operators import catalog, doy, document, ingest, normals, official, rollup, upsert
+from ..operators import catalog, doy, document, ingest, jobs, normals, official, rollup, upsert
+from ..sources import files, tables
 from ..session import materialize
 from . import bindings as B
 from . import oracle as O
@@ -64,17 +65,13 @@ def q_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 # --- upserts -----------------------------------------------------------------
 
 def _upsert_inputs(spark, sf):
-    tgt = B.daily(spark, sf).withColumn("year", F.year("date"))
-    src = B.daily2(spark, sf).withColumn("year", F.year("date"))
-    return tgt, src
+    return B.daily(spark, sf), B.daily2(spark, sf)
 
 
 def _upsert_q(fields):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         tgt, src = _upsert_inputs(spark, sf)
-        out = upsert.upsert_table(tgt, src, schemas.DAILY_KEYS, fields,
-                                  partition_cols=["year"])
-        return finalize(out.drop("year"))
+        return finalize(upsert.upsert_table(tgt, src, schemas.DAILY_KEYS, fields))
     return run
 
 
@@ -191,6 +188,136 @@ def q_normals_union(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Normals_"), F.substring_index("source_table", "_", -2))))
 
 
+# --- jobs over written tables and files -----------------------------------------------
+
+def _root(spark: SparkSession, name: str) -> str:
+    from ..session import scratch_path
+    return scratch_path(spark, name)
+
+
+def _lake(spark: SparkSession, sf: str) -> str:
+    """The daily rows as the partitioned lake that the library writes."""
+    path = _root(spark, "lake")
+    jobs.write_daily_lake(B.daily(spark, sf), path)
+    return path
+
+
+def q_period_summary_lake(spark: SparkSession, sf: str) -> DataFrame:
+    daily = tables.read_daily_lake(spark, _lake(spark, sf))
+    return finalize(flat_summary(normals.period_summary(daily, B.periods(spark))))
+
+
+def q_upsert_lake(spark: SparkSession, sf: str) -> DataFrame:
+    path = _lake(spark, sf)
+    upsert.write_upsert(path, jobs.by_month(B.daily2(spark, sf)), schemas.DAILY_KEYS, jobs.DAILY_PARTITIONS)
+    return finalize(tables.read_daily(spark, path))
+
+
+def q_upsert_dup_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated source keys (the later row wins) and rows without a date (rejected)."""
+    path, rows = _lake(spark, sf), jobs.by_month(B.daily2(spark, sf))
+    stale = rows.withColumn("temp_high", F.lit(-9.9).cast(schemas.D31))
+    undated = rows.withColumn("date", F.lit(None).cast("date"))
+    src = stale.withColumn("seq", F.lit(1)).unionByName(rows.withColumn("seq", F.lit(2))) \
+        .unionByName(undated.withColumn("seq", F.lit(3)))
+    upsert.write_upsert(path, src, schemas.DAILY_KEYS, jobs.DAILY_PARTITIONS, order_by="seq")
+    return finalize(tables.read_daily(spark, path))
+
+
+def q_append_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 on a written table, by days."""
+    path = _root(spark, "observations")
+    o = B.obs(spark, sf).withColumn("obs_date", F.to_date("obs_ts"))
+    old = o.filter(F.col("obs_ts") < F.lit(B.TARGET_BEFORE).cast("timestamp_ntz"))
+    upsert.write_partitions(old, path, ["obs_date"], ["station", "obs_ts"])
+    src = B.obs_raw(spark, sf).filter(F.col("obs_ts") >= F.lit(B.SOURCE_FROM).cast("timestamp_ntz")) \
+        .withColumn("obs_date", F.to_date("obs_ts"))
+    upsert.append_if_absent(path, src, ["station", "obs_ts"], ["obs_date"], "arrival")
+    return finalize(tables.read_observations(spark, path))
+
+
+def q_refresh_days(spark: SparkSession, sf: str) -> DataFrame:
+    """T4: the maintenance job over a date range; the second run changes nothing."""
+    path, st = _root(spark, "daily"), B.stations(spark, sf)
+    for _ in range(2):
+        jobs.refresh_days(spark, B.obs(spark, sf), path, B.SPINE_START, B.SPINE_END, st)
+    return finalize(tables.read_daily(spark, path).drop("solar_radiation_avg"))
+
+
+def q_official_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The two official files written as text, read and loaded."""
+    root, (rr, other) = _root(spark, "official"), B.official_files(spark, sf)
+    for df, name in ((rr, "rr"), (other, "other")):
+        df.write.option("sep", ";").option("header", True).option("emptyValue", "").csv(f"{root}/{name}")
+    jobs.load_official(f"{root}/daily", files.read_official_daily(spark, f"{root}/rr"),
+                       files.read_official_other(spark, f"{root}/other"))
+    return finalize(tables.read_daily(spark, f"{root}/daily"))
+
+
+def q_official_combined(spark: SparkSession, sf: str) -> DataFrame:
+    """Both column blocks in one wide file, date first."""
+    root, (rr, other) = _root(spark, "combined"), B.official_files(spark, sf)
+    left = ["AAAAMMJJ", *[c for c in schemas.OFFICIAL_RR_COLUMNS if c != "AAAAMMJJ"]]
+    right = [c for c in schemas.OFFICIAL_OTHER_COLUMNS if c not in ("AAAAMMJJ", "NUM_POSTE")]
+    wide = rr.join(other, ["NUM_POSTE", "AAAAMMJJ"])
+    line = F.concat_ws(";", *[F.coalesce(F.col(c), F.lit("")) for c in [*left, "NUM_POSTE", *right]])
+    header = ";".join([*left, "NUM_POSTE", *right])
+    wide.select(line.alias("line")).write.option("header", False).text(f"{root}/body")
+    # every file gets its own header line, as the collection script leaves it
+    body = spark.read.text(f"{root}/body").withColumn("file", F.spark_partition_id())
+    lines = body.groupBy("file").agg(F.concat_ws("\n", F.lit(header), F.collect_list("value")).alias("text"))
+    lines.select("text").write.text(f"{root}/wide")
+    a, b = files.read_official_combined(spark, f"{root}/wide")
+    return finalize(official.import_official(a, b))
+
+
+def q_console_files(spark: SparkSession, sf: str) -> DataFrame:
+    """UTF-16 console exports read, daily statistics written per station and read back."""
+    root = _root(spark, "console")
+    rows = B.console_rows(spark, sf)
+    rows.select("station", *schemas.CONSOLE_COLUMNS).repartition("station").sortWithinPartitions("station", "No") \
+        .write.partitionBy("station").option("sep", "\t").option("header", True).option("encoding", "UTF-16") \
+        .csv(f"{root}/export")
+    raw = files.read_console_export(spark, f"{root}/export")
+    station = F.regexp_extract("source_file", r"station=([^/]+)/", 1)
+    parsed = ingest.parse_console(raw.withColumn("station", station))
+    ingest.write_console_stats(ingest.console_daily(parsed, by="date"), f"{root}/stats")
+    return spark.read.text(f"{root}/stats").select(F.col("station").cast("string").alias("station"), F.col("value").alias("line"))
+
+
+def q_history_files(spark: SparkSession, sf: str) -> DataFrame:
+    """S2 and the history load: replies in one folder per request date, upserted twice."""
+    root = _root(spark, "history")
+    msgs = B.history_messages(spark, sf).withColumn("day", F.date_format("request_date", "'d'yyyyMMdd"))
+    lines = F.concat(F.lit('{"station":"'), F.col("station"), F.lit('",'), F.expr("substring(value, 2)"))
+    msgs.select("day", F.regexp_replace(lines, ",}$", "}").alias("line")).repartition("day") \
+        .write.partitionBy("day").text(f"{root}/replies")
+    replies = files.read_history_messages(spark, f"{root}/replies")
+    for _ in range(2):
+        jobs.load_history(f"{root}/history", replies)
+    return finalize(spark.read.parquet(f"{root}/history").select(*[f.name for f in schemas.DAILY_HISTORY.fields]))
+
+
+def q_documents_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics documents written as JSON files and read again."""
+    path = _root(spark, "documents")
+    document.write_documents(document.build_documents(B.daily(spark, sf), B.periods(spark)), path)
+    docs = files.read_statistics_document(spark, path)
+    return docs.select("station", "period_id", "Avg_TempAvg", "Yearly_Avg_Precipitation",
+                       F.col("January.Avg_TempAvg").alias("January_Avg_TempAvg"),
+                       F.size("Max_TempHigh").cast("long").alias("n_max_temp_high"))
+
+
+def q_normals_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The normals job end to end: configuration, lake, one target table per period."""
+    job = load_normals_config()
+    job.periods, job.source_table = B.PERIODS, _lake(spark, sf)
+    job.target_template = "isobar_normals_<year_start>_<year_end>"
+    names = jobs.load_normals(spark, job, mode="recreate")
+    out = catalog.consolidate(spark, names)
+    return finalize(out.withColumn("period_id", F.substring_index("source_table", "_", -2)).drop("source_table"))
+
+
 # --- streaming ---------------------------------------------------------------------
 
 STREAM_FILES = 8
@@ -198,9 +325,8 @@ STREAM_FILES_PER_TRIGGER = 3
 
 
 def _run_stream(spark: SparkSession, sf: str, with_daily: bool):
-    from ..session import scratch_path
     from ..streaming import pipeline
-    root = scratch_path(spark, "stream")
+    root = _root(spark, "stream")
     landing, obs_path = f"{root}/landing", f"{root}/observations"
     daily_path = f"{root}/daily" if with_daily else None
     (B.observation_messages(spark, sf, with_arrival=True)
@@ -212,10 +338,12 @@ def _run_stream(spark: SparkSession, sf: str, with_daily: bool):
     return obs_path, daily_path
 
 
+OBS_TEXT = ["obs_time_utc", "epoch"]
+
+
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     obs_path, _ = _run_stream(spark, sf, with_daily=False)
-    cols = [f.name for f in schemas.OBSERVATIONS.fields] + ["obs_time_utc", "epoch"]
-    return finalize(spark.read.parquet(obs_path).select(*cols))
+    return finalize(spark.read.parquet(obs_path).select(*[f.name for f in schemas.OBSERVATIONS.fields], *OBS_TEXT))
 
 
 def q_stream_daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -223,6 +351,39 @@ def q_stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     return finalize(spark.read.parquet(daily_path).select(*[f.name for f in schemas.DAILY.fields]))
 
 
+def q_stream_first_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 on messages as the feed sends them, without an arrival sequence: the
+    first messages land, then the second ones, then all land again."""
+    from ..streaming import pipeline
+    root = _root(spark, "first")
+    msgs = B.observation_messages(spark, sf, with_arrival=True)
+    resent = F.get_json_object("value", "$.arrival").cast("long") >= B.RESENT_OFFSET
+    bare = F.regexp_replace("value", r',"arrival":\d+\}$', "}").alias("value")
+    for step, part in enumerate((~resent, resent, F.lit(True))):
+        msgs.filter(part).select(bare).write.mode("append").text(f"{root}/landing")
+        pipeline.run_ingest(spark, f"{root}/landing", f"{root}/observations", f"{root}/_checkpoint").awaitTermination()
+    return finalize(spark.read.parquet(f"{root}/observations")
+                    .select(*[f.name for f in schemas.OBSERVATIONS.fields], *OBS_TEXT))
+
+
+def q_stream_final(spark: SparkSession, sf: str) -> DataFrame:
+    """The finalised days of a stream; a last message far ahead closes them all."""
+    from ..streaming import pipeline
+    root = _root(spark, "final")
+    first = B.observation_messages(spark, sf, with_arrival=True) \
+        .filter(F.get_json_object("value", "$.arrival").cast("long") < B.RESENT_OFFSET)
+    first.write.text(f"{root}/landing")
+    spark.range(1).select(F.lit('{"observations":[{"stationID":"end","obsTimeLocal":"2100-01-01T00:00:00"}]}')) \
+        .write.mode("append").text(f"{root}/landing")
+    rows = pipeline.observation_rows(pipeline.read_landed(spark, f"{root}/landing"))
+    days = pipeline.finalized_daily(rows, "20000 days", B.stations(spark, sf))
+    # the second run starts behind the first one's watermark and emits what it closed
+    for _ in range(2):
+        days.writeStream.outputMode("append").format("parquet").option("path", f"{root}/days") \
+            .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return finalize(spark.read.parquet(f"{root}/days").filter("station <> 'end'"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_rollup": q_daily_rollup,
     "daily_rollup_spine": q_daily_rollup_spine,
@@ -251,6 +412,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normals_union": q_normals_union,
     "stream_dedup": q_stream_dedup,
     "stream_daily": q_stream_daily,
+    "stream_first_wins": q_stream_first_wins,
+    "stream_final": q_stream_final,
+    "period_summary_lake": q_period_summary_lake,
+    "upsert_lake": q_upsert_lake,
+    "upsert_dup_keys": q_upsert_dup_keys,
+    "append_if_absent": q_append_if_absent,
+    "refresh_days": q_refresh_days,
+    "official_files": q_official_files,
+    "official_combined": q_official_combined,
+    "console_files": q_console_files,
+    "history_files": q_history_files,
+    "documents_files": q_documents_files,
+    "normals_job": q_normals_job,
 }
 
 
@@ -284,4 +458,17 @@ def oracles() -> dict[str, str]:
         "normals_union": O.q_normals_union(),
         "stream_dedup": O.q_stream_dedup(),
         "stream_daily": O.q_stream_daily(),
+        "stream_first_wins": O.q_stream_dedup(),
+        "stream_final": O.q_stream_final(),
+        "period_summary_lake": O.q_period_summary(),
+        "upsert_lake": O.q_upsert_full(),
+        "upsert_dup_keys": O.q_upsert_full(),
+        "append_if_absent": O.q_insert_if_absent(),
+        "refresh_days": O.q_refresh_days(),
+        "official_files": O.q_official_import(),
+        "official_combined": O.q_official_import(),
+        "console_files": O.q_console_files(),
+        "history_files": O.q_history_map(),
+        "documents_files": O.q_documents_files(),
+        "normals_job": O.q_doy_normals_config(job.crossref),
     }

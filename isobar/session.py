@@ -7,7 +7,6 @@ and the driver entry point.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,12 +44,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    Where it is unset (unit tests, a laptop) a fresh local folder is chosen.
+    On a cluster this setting points at shared storage and is only read; where
+    it is missing there, the job stops, because a folder of one machine is not
+    seen by the others. In local mode (unit tests, a laptop) a fresh local
+    folder is chosen.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         path = tempfile.mkdtemp(prefix="isobar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -64,15 +68,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/isobar-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def materialize(df, name: str):
     """Cut lineage: write ``df`` once as parquet under the shared checkpoint
     folder and return a DataFrame reading it back.
@@ -87,6 +82,31 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one job; they are deleted when the block ends.
+
+    Only for results that have been written on or counted by then.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df, name: str):
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        jvm = self.spark.sparkContext._jvm
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_parquet_if_exists(spark: SparkSession, path: str):
     """The parquet table at ``path``, or None when nothing was written there yet."""
     try:

@@ -8,26 +8,39 @@ allows it).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
 
-def read_observation_messages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """Current-observation JSON messages, one per line or file."""
+def read_observation_messages(spark: SparkSession, path: str, stream: bool = False,
+                              keep_corrupt: bool = False) -> DataFrame:
+    """Current-observation JSON messages, one per line or file.
+
+    A line that does not parse stops the job, unless ``keep_corrupt``: then it is
+    a row whose ``_corrupt`` column holds its text (NULL in good rows), so that
+    the caller can store and count it.
+    """
     reader = spark.readStream if stream else spark.read
-    return reader.schema(schemas.OBS_MESSAGE).option("mode", "PERMISSIVE").json(path)
+    if not keep_corrupt:
+        return reader.schema(schemas.OBS_MESSAGE).option("mode", "FAILFAST").json(path)
+    schema = T.StructType(list(schemas.OBS_MESSAGE.fields) + [T.StructField("_corrupt", T.StringType(), True)])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt").json(path)
 
 
 def read_history_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Daily-history JSON messages; the request date comes from the file.
+    """Daily-history JSON messages with ``request_date``.
 
-    Files are expected to be named ``..._<yyyyMMdd>.json`` (or carry a
-    ``date`` field); the date is taken from the file name.
+    The date comes from the file's name (``..._<yyyyMMdd>.json``) or its
+    folder's; a ``station`` that the landing job adds to the message is kept.
     """
-    df = spark.read.schema(schemas.HIST_MESSAGE).json(path)
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    ymd = F.regexp_extract(name, r"(\d{8})", 1)
-    return df.withColumn("request_date", F.to_date(ymd, "yyyyMMdd"))
+    fields = [f for f in schemas.HIST_MESSAGE.fields if f.name != "station"]
+    df = spark.read.schema(T.StructType(fields + [T.StructField("station", T.StringType(), True)])).json(path)
+    file = F.col("_metadata.file_path")
+    # the last date of the path: in the file's name, else in its folder's
+    ymd = F.coalesce(F.nullif(F.regexp_extract(file, r"(\d{8})[^/]*\.json[^/]*$", 1), F.lit("")),
+                     F.regexp_extract(file, r"(\d{8})/[^/]*$", 1))
+    return df.select("*", F.to_date(F.nullif(ymd, F.lit("")), "yyyyMMdd").alias("request_date"))
 
 
 def read_console_export(spark: SparkSession, path: str) -> DataFrame:
@@ -59,26 +72,28 @@ def read_official_other(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_official_combined(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The combined wide file (date first, two column blocks).
+    """Combined wide files (date first, two column blocks).
 
-    The second block repeats ``NUM_POSTE NOM_USUEL LAT LON ALTI``; columns
-    are taken by header name with duplicates suffixed, so both halves come
-    back as the two inputs of :func:`isobar.operators.official.import_official`.
+    The second block repeats ``NUM_POSTE NOM_USUEL LAT LON ALTI``. Every file has
+    its own header line (the one that names the date column), by which its values
+    are taken; of repeated names the first counts. The halves come back as the
+    two inputs of :func:`isobar.operators.official.import_official`.
     """
-    raw = spark.read.option("sep", ";").option("header", False).csv(path)
-    header = raw.first()
-    if header is None:
-        raise ValueError("empty official file")
-    names, seen = [], {}
-    for h in header:
-        h = (h or "").strip()
-        seen[h] = seen.get(h, 0) + 1
-        names.append(h if seen[h] == 1 else f"{h}_{seen[h]}")
-    body = raw.toDF(*names).filter(F.col(names[0]) != F.lit(header[0]))
-    rr = body.select(*[F.col(c) if c in names else F.lit(None).cast("string").alias(c)
-                       for c in schemas.OFFICIAL_RR_COLUMNS])
-    other = body.select(*[F.col(c) for c in schemas.OFFICIAL_OTHER_COLUMNS])
-    return rr, other
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    cells = F.transform(F.split("value", ";", -1), lambda x: F.nullif(F.trim(x), F.lit("")))
+    lines = lines.select("file", cells.alias("cells")) \
+        .withColumn("is_header", F.array_contains("cells", "AAAAMMJJ"))
+    headers = lines.filter("is_header").groupBy("file").agg(F.first("cells").alias("names"))
+    body = lines.filter(~F.coalesce("is_header", F.lit(False)) & F.exists("cells", lambda x: x.isNotNull())) \
+        .join(headers, "file", "left")
+
+    def value(name):
+        at = F.array_position("names", name)
+        return F.when(at > 0, F.get(F.col("cells"), (at - 1).cast("int"))).alias(name)
+    if body.filter("names IS NULL").limit(1).count():
+        raise ValueError("official file without a header line")
+    return (body.select(*[value(c) for c in schemas.OFFICIAL_RR_COLUMNS]),
+            body.select(*[value(c) for c in schemas.OFFICIAL_OTHER_COLUMNS]))
 
 
 def read_statistics_document(spark: SparkSession, path: str) -> DataFrame:

@@ -38,6 +38,13 @@ def read_daily(spark: SparkSession, source: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.DAILY.fields])
 
 
+def read_daily_lake(spark: SparkSession, source: str) -> DataFrame:
+    """The daily table with its partition columns, so that year filters prune."""
+    df = read_table(spark, source)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.DAILY.fields],
+                     *[c for c in ("year", "month") if c in df.columns])
+
+
 def read_observations(spark: SparkSession, source: str) -> DataFrame:
     """The observation table by column name, typed as DDL."""
     df = read_table(spark, source)
@@ -46,14 +53,16 @@ def read_observations(spark: SparkSession, source: str) -> DataFrame:
 
 
 def stations_from_json(spark: SparkSession, path: str) -> DataFrame:
-    """Station registry file ``{key: {weatherStation, latitude, longitude,
-    timezone, ...}}`` as a ``stations`` DataFrame (one row per entry)."""
-    raw = spark.read.option("multiLine", True).json(path)
-    entries = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"`{k}`").alias("v"))
-                        for k in raw.columns])
-    e = raw.select(F.explode(entries).alias("e")).select("e.key", "e.v.*")
-    name = F.coalesce(F.col("weatherStation"), F.col("key")) if "weatherStation" in e.columns \
-        else F.col("key")
-    return e.select(name.alias("station"), F.col("latitude").cast("double").alias("lat"),
-                    F.col("longitude").cast("double").alias("lon"),
-                    F.col("timezone").alias("tz"), F.col("key").alias("region"))
+    """Station registry file as a ``stations`` DataFrame, one row per entry.
+
+    The entries ``{weatherStation, latitude, longitude, timezone, ...}`` stand
+    under ``dbConfigs``, or at the top level. Any keys, any entry order: the
+    registry is parsed as a map of structs.
+    """
+    entry = "struct<weatherStation:string, latitude:double, longitude:double, timezone:string>"
+    text = spark.read.option("wholetext", True).text(path)
+    top = F.from_json("value", f"struct<dbConfigs:map<string, {entry}>>")["dbConfigs"]
+    entries = F.coalesce(top, F.from_json("value", f"map<string, {entry}>"))
+    e = text.select(F.explode(entries).alias("key", "v"))
+    return e.select(F.coalesce("v.weatherStation", "key").alias("station"), F.col("v.latitude").alias("lat"),
+                    F.col("v.longitude").alias("lon"), F.col("v.timezone").alias("tz"), F.col("key").alias("region"))

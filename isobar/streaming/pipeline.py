@@ -1,19 +1,24 @@
 """Structured Streaming forms of the ingest and the daily roll-up.
 
-* T1 ``merge_observations``: each micro-batch keeps the earliest arrival per
-  (station, obs_ts), merges it with the stored rows of the same day
-  partitions and rewrites only those partitions. The rule is
-  "smallest arrival wins", so the result does not depend on how files are
-  cut into batches, and a replayed batch (after a failure) is a no-op.
+* T1 ``merge_observations``: the first arrival of a (station, obs_ts) key wins.
+  Arrival is the message's own sequence if it has one, else the landing time of
+  its file, then the file name and the reading's epoch: a total order that does
+  not depend on how files are cut into batches. A batch appends the keys that
+  are not stored yet; stored files stay as they are. Only if a batch holds an
+  earlier arrival of a stored key (files read out of order) are the days of
+  those keys rewritten. A replayed batch changes nothing.
+* Messages that cannot be parsed, and readings outside their column's range, go
+  to a reject table beside the observations, one folder per batch.
 * T2/T5 ``refresh_daily``: the days a batch touched are recomputed from the
-  stored observations (including the daylight solar mean via the broadcast
-  station registry) and upserted into the daily table. Late rows simply
+  stored observations (including the daylight solar mean) and upserted into the
+  daily table, which is partitioned by year and month. Late rows simply
   re-touch their day, which is also the T4 backfill path.
 * T3 ``finalized_daily``: a pure streaming windowed aggregation in append
   mode; a day is emitted once the watermark passes its end.
 
-Intermediate results are written under ``spark.checkpoint.dir`` first so a job
-never reads the files it replaces and executor loss only costs a retry.
+Stored tables are read within the batch's smallest and largest partition value
+(literal bounds). Intermediate results are written under ``spark.checkpoint.dir``
+first, so a job never reads the files it replaces, and deleted after the batch.
 """
 
 from __future__ import annotations
@@ -22,67 +27,93 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.ingest import flatten_observations
-from ..operators.rollup import day_aggregates, daily_rollup
-from ..operators.upsert import first_arrival, upsert, write_partitions
-from ..session import materialize, read_parquet_if_exists
+from ..operators.ingest import flatten_observations, out_of_range
+from ..operators.rollup import daily_rollup, day_aggregates, solar_aggregate, with_daylight
+from ..operators.upsert import append_rows, first_arrival, in_bounds, upsert, write_partitions
+from ..session import Scratch, read_parquet_if_exists
 
 OBS_KEYS = ["station", "obs_ts"]
+ARRIVAL = ["arrival", "landed_file", "epoch"]
 # Directory partitions are dates only: with many stations, (station, day)
 # directories would mean millions of tiny files. Rows are clustered by station
 # inside each partition so parquet min/max statistics still prune by station.
 OBS_PARTS = ["obs_date"]
-DAILY_PARTS = ["year"]
+DAILY_PARTS = ["year", "month"]
 
-# Landed message envelope: the feed message plus its arrival sequence.
+# Landed message envelope: the feed message, with an arrival sequence if the
+# landing job adds one, and the text of lines that do not parse.
 LANDED_MESSAGE = T.StructType(list(schemas.OBS_MESSAGE.fields) + [
-    T.StructField("arrival", T.LongType(), True)])
+    T.StructField("arrival", T.LongType(), True), T.StructField("_corrupt", T.StringType(), True)])
 
 
 def read_landed(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(LANDED_MESSAGE)
+    """The landed messages with a total arrival order."""
+    r = spark.readStream.schema(LANDED_MESSAGE).option("columnNameOfCorruptRecord", "_corrupt")
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.json(landing)
+    return r.json(landing).select(
+        "observations", F.coalesce("arrival", F.unix_micros("_metadata.file_modification_time")).alias("arrival"),
+        F.col("_metadata.file_name").alias("landed_file"), "_corrupt")
 
 
-def merge_observations(batch: DataFrame, target_path: str) -> DataFrame:
-    """T1 micro-batch: earliest arrival per key merged into touched partitions.
+def merge_observations(batch: DataFrame, target_path: str, scratch: Scratch) -> DataFrame:
+    """T1 micro-batch: unseen keys are appended, earlier arrivals replace stored ones.
 
     Returns the (station, date) pairs the batch touched.
     """
     spark = batch.sparkSession
-    b = materialize(first_arrival(batch, OBS_KEYS, "arrival")
-                    .withColumn("obs_date", F.to_date("obs_ts")), "obs-batch")
-    tgt = read_parquet_if_exists(spark, target_path)
-    if tgt is None:  # first batch: no table yet
-        merged = b
-    else:
-        touched = tgt.join(b.select(*OBS_PARTS).distinct(), OBS_PARTS, "left_semi")
-        merged = first_arrival(touched.unionByName(b), OBS_KEYS, "arrival")
-    merged = materialize(merged, "obs-merge")
-    write_partitions(merged, target_path, OBS_PARTS, ["station", "obs_ts"])
-    return b.select(F.col("station"), F.col("obs_date").alias("date")).distinct()
+    b = scratch.table(first_arrival(batch, OBS_KEYS, ARRIVAL).withColumn("obs_date", F.to_date("obs_ts")), "obs-batch")
+    target = read_parquet_if_exists(spark, target_path)
+    if target is None:  # first batch: no table yet
+        write_partitions(b, target_path, OBS_PARTS, OBS_KEYS)
+        return b.select("station", F.col("obs_date").alias("date")).distinct()
+    near = in_bounds(target, b, OBS_PARTS)
+    order = F.struct(*ARRIVAL)
+    stored = near.select(*OBS_PARTS, *OBS_KEYS, order.alias("_stored"))
+    seen = scratch.table(b.join(stored, OBS_PARTS + OBS_KEYS, "left"), "obs-seen")
+    touched = seen.filter(F.col("_stored").isNull() | (order < F.col("_stored"))) \
+        .select("station", F.col("obs_date").alias("date")).distinct()
+    new = seen.filter("_stored IS NULL").drop("_stored")
+    earlier = seen.filter(order < F.col("_stored")).drop("_stored")
+    n_new, n_earlier = seen.agg(F.count_if(F.col("_stored").isNull()), F.count_if(order < F.col("_stored"))).first()
+    if n_earlier:
+        days = earlier.select(*OBS_PARTS).distinct()
+        rewritten = near.join(days, OBS_PARTS, "left_semi").unionByName(
+            b.join(days, OBS_PARTS, "left_semi").select(*near.columns))
+        merged = scratch.table(first_arrival(rewritten, OBS_KEYS, ARRIVAL), "obs-merge")
+        new = new.join(days, OBS_PARTS, "left_anti")
+        write_partitions(merged, target_path, OBS_PARTS, OBS_KEYS)
+    if n_new:
+        append_rows(new.select(*target.columns), target_path, OBS_PARTS, OBS_KEYS)
+    return touched
+
+
+def with_months(daily: DataFrame) -> DataFrame:
+    return daily.withColumn("year", F.year("date")).withColumn("month", F.month("date"))
 
 
 def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_path: str,
-                  stations: DataFrame | None) -> None:
+                  stations: DataFrame | None, scratch: Scratch) -> None:
     """Recompute the touched days from stored observations, upsert them."""
-    obs = spark.read.parquet(obs_path)
-    cut = obs.join(touched.withColumnRenamed("date", "obs_date"), ["station", "obs_date"], "left_semi")
-    days = materialize(daily_rollup(cut.drop("obs_date", "arrival"), stations)
-                       .withColumn("year", F.year("date")), "daily-refresh")
+    touched = touched.withColumnRenamed("date", "obs_date")
+    obs = in_bounds(spark.read.parquet(obs_path), touched, OBS_PARTS)
+    cut = obs.join(touched, ["station", "obs_date"], "left_semi")
+    days = scratch.table(with_months(daily_rollup(cut.drop("obs_date", *ARRIVAL), stations)), "daily-refresh")
     target = read_parquet_if_exists(spark, daily_path)
     if target is None:
         merged = days
     else:
-        merged = materialize(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
+        merged = scratch.table(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
     write_partitions(merged, daily_path, DAILY_PARTS, ["station", "date"])
 
 
 def observation_rows(msgs: DataFrame, wind_factor: float = 1.5) -> DataFrame:
-    """Landed messages -> observation rows with ``arrival`` (empty messages dropped)."""
-    return flatten_observations(msgs, wind_factor, keep=["arrival"])
+    """Landed messages -> observation rows with their arrival (empty messages dropped)."""
+    return flatten_observations(msgs, wind_factor, keep=["arrival", "landed_file"])
+
+
+def rejected_path(obs_path: str) -> str:
+    return obs_path.rstrip("/") + "_rejected"
 
 
 def run_ingest(spark: SparkSession, landing: str, obs_path: str, checkpoint: str,
@@ -90,30 +121,43 @@ def run_ingest(spark: SparkSession, landing: str, obs_path: str, checkpoint: str
                files_per_trigger: int | None = None, available_now: bool = True):
     """Start T1 (and T2 when ``daily_path`` is given) over landed message files."""
     msgs = read_landed(spark, landing, files_per_trigger)
-    rows = observation_rows(msgs)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        touched = materialize(merge_observations(batch, obs_path), "touched")
-        if daily_path is not None:
-            refresh_daily(batch.sparkSession, touched, obs_path, daily_path, stations)
-
-    w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+        session = batch.sparkSession
+        with Scratch(session) as scratch:
+            batch = scratch.table(batch, "messages")
+            bad = batch.filter(F.col("_corrupt").isNotNull() | out_of_range())
+            bad = bad.withColumn("reason", F.when(F.col("_corrupt").isNotNull(), "not parsed").otherwise("out of range"))
+            if bad.limit(1).count():
+                bad.write.mode("overwrite").parquet(f"{rejected_path(obs_path)}/batch={epoch_id}")
+            rows = observation_rows(batch.filter(F.col("_corrupt").isNull() & ~out_of_range()))
+            if not rows.limit(1).count():
+                return
+            touched = scratch.table(merge_observations(rows, obs_path, scratch), "touched")
+            if daily_path is not None and touched.limit(1).count():
+                refresh_daily(session, touched, obs_path, daily_path, stations, scratch)
+
+    w = msgs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def finalized_daily(obs_stream: DataFrame, watermark: str = "2 days") -> DataFrame:
+def finalized_daily(obs_stream: DataFrame, watermark: str = "2 days",
+                    stations: DataFrame | None = None) -> DataFrame:
     """Day rows emitted once the watermark passes the end of the day.
 
     Duplicate keys inside the watermark are dropped (survivor arbitrary
-    within one micro-batch; use the T1 table for first-wins semantics).
-    Event time is the local wall clock carried as a UTC timestamp.
+    within one micro-batch; use the T1 table for first-wins semantics). The
+    local wall clock is carried as the instant at which a UTC clock shows it, by
+    plain arithmetic, so the session's time zone plays no part. With
+    ``stations`` the daylight solar mean is given.
     """
-    ev = obs_stream.withColumn("event_time", F.col("obs_ts").cast(T.TimestampType()))
-    dedup = ev.withWatermark("event_time", watermark) \
+    zero = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    instant = F.timestamp_seconds(F.timestamp_diff("SECOND", zero, F.col("obs_ts")))
+    rows = obs_stream if stations is None else with_daylight(obs_stream, stations)
+    dedup = rows.withColumn("event_time", instant).withWatermark("event_time", watermark) \
         .dropDuplicatesWithinWatermark(["station", "obs_ts"])
-    agg = dedup.groupBy("station", F.window("event_time", "1 day").alias("w")).agg(*day_aggregates())
-    return agg.select("station", F.to_date(F.col("w.start")).alias("date"),
-                      *[c for c in schemas.DAILY_MEASURES if c != "solar_radiation_avg"])
+    agg = dedup.groupBy("station", F.window("event_time", "1 day").alias("w")) \
+        .agg(*day_aggregates(), solar_aggregate(stations is not None))
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.expr("CAST(unix_seconds(w.start) div 86400 AS INT)"))
+    return agg.select("station", date.alias("date"), *schemas.DAILY_MEASURES)

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from isobar.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -36,14 +37,11 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF)
-    oracle = E.oracle_sql().get(name)
+    oracle = E.oracle_sql()[name]      # every query of the library has one
     rows = [tuple(r) for r in sdf.collect()]
-    if oracle is None:
-        assert rows is not None
-        return
     rel = con.sql(oracle)
     assert sorted(rel.columns) == sorted(sdf.columns)
     idx = [rel.columns.index(c) for c in sdf.columns]
