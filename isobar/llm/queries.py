@@ -101,6 +101,40 @@ def _rules_sql() -> str:
 
 
 ORACLES = {
+    "op5_tool_calls": """
+WITH RECURSIVE t AS (
+  SELECT *, length(text) AS n, regexp_extract(text, '^[A-Za-z]*') AS head, (turn + conv_id) % 4 AS kind
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+calls AS (
+  SELECT conv_id, turn, 'call-' || turn AS call_id, 'call-' || (turn - 2) AS after, kind, n % 13 = 0 AS broken,
+         n % 11 = 0 AS faulty, ['search', 'count', 'note', 'lookup'][kind + 1] AS name,
+         CASE WHEN n % 13 = 0 THEN NULL
+              WHEN kind = 0 THEN '{"limit":' || CASE WHEN n % 11 = 0 THEN '"x"' ELSE CAST(n AS VARCHAR) END
+                                 || ',"query":"' || head || '"}'
+              WHEN kind = 1 THEN '{' || CASE WHEN n % 11 = 0 THEN '' ELSE '"text":"' || head || '",' END
+                                 || '"words":' || n || '}'
+              WHEN kind = 2 THEN '{"done":true,' || CASE WHEN n % 11 = 0 THEN '"extra":1,' ELSE '' END
+                                 || '"text":"' || head || '"}'
+              ELSE '{}' END AS args
+  FROM t WHERE role = 'assistant'),
+lv AS (
+  SELECT conv_id, call_id, 1 AS level FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+  UNION ALL
+  SELECT c.conv_id, c.call_id, lv.level + 1 FROM calls c JOIN lv ON lv.conv_id = c.conv_id AND lv.call_id = c.after),
+res AS (
+  SELECT conv_id, turn, 'call-' || (turn - 1) AS call_id, 'chars ' || n AS content
+  FROM t WHERE role = 'user' AND turn > 0)
+SELECT conv_id, call_id, CAST(lv.level AS BIGINT) AS level,
+  CASE WHEN c.turn IS NULL THEN 'orphan' WHEN kind = 3 THEN 'unknown_tool' WHEN broken THEN 'bad_json'
+       WHEN faulty AND kind = 1 THEN 'missing_field' WHEN faulty AND kind = 2 THEN 'unknown_field'
+       WHEN faulty THEN 'bad_type' WHEN r.turn IS NULL THEN 'missing_result' ELSE 'ok' END AS status,
+  CASE WHEN c.turn IS NULL THEN 0 ELSE 1 END AS calls, CASE WHEN r.turn IS NULL THEN 0 ELSE 1 END AS results,
+  '{' || CASE WHEN args IS NULL THEN '' ELSE '"arguments":' || args || ',' END || '"id":"' || call_id || '"'
+      || CASE WHEN name IS NULL THEN '' ELSE ',"name":"' || name || '"' END
+      || CASE WHEN content IS NULL THEN '' ELSE ',"result":"' || content || '"' END || '}' AS json
+FROM calls c FULL JOIN res r USING (conv_id, call_id) LEFT JOIN lv USING (conv_id, call_id)
+""",
     "op10_line_dedup": line_dedup.ORACLE,
     "op3_topk": """
 WITH terms AS (
