@@ -31,10 +31,12 @@ def consolidate(spark: SparkSession, names: list[str], prefix: str | None = None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "create", keys: list[str] | None = None) -> None:
+def save_table(df: DataFrame, name: str, mode: str = "create", keys: list[str] | None = None,
+               path: str | None = None) -> None:
     """``create`` (only where absent, else an error), ``recreate`` (overwrite) or
     ``append`` (creates the table where absent). ``keys`` is the primary key: it
     must be complete and unique in the new rows, and new to the stored ones.
+    ``path`` keeps the table's files there instead of in the warehouse.
     """
     spark = df.sparkSession
     if mode not in ("create", "recreate", "append"):
@@ -50,4 +52,5 @@ def save_table(df: DataFrame, name: str, mode: str = "create", keys: list[str] |
             twice = df.select(*keys).join(spark.table(name).select(*keys), keys, "left_semi").limit(1).count()
         if twice:
             raise ValueError(f"duplicate key in {name}: {', '.join(keys)}")
-    df.write.mode({"create": "errorifexists", "recreate": "overwrite", "append": "append"}[mode]).saveAsTable(name)
+    w = df.write.option("path", path) if path else df.write
+    w.mode({"create": "errorifexists", "recreate": "overwrite", "append": "append"}[mode]).saveAsTable(name)

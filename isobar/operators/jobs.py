@@ -98,11 +98,13 @@ def load_history(history_path: str, messages: DataFrame, station: str | None = N
     return write_upsert(history_path, by_month(map_history(messages, station)), HISTORY_KEYS, DAILY_PARTITIONS)
 
 
-def load_normals(spark: SparkSession, job: NormalsJob, mode: str = "create") -> list[str]:
+def load_normals(spark: SparkSession, job: NormalsJob, mode: str = "create",
+                 location: str | None = None) -> list[str]:
     """The normals job of a configuration: per period one table of day-of-year normals.
 
     The configured daily table is read once; every period's rows go to the table
-    its name template gives (``create``: only if absent, ``recreate`` or ``append``).
+    its name template gives (``create``: only if absent, ``recreate`` or ``append``), its files under
+    ``location`` where one is given.
     """
     daily = read_daily_lake(spark, job.source_table)
     names = []
@@ -111,6 +113,6 @@ def load_normals(spark: SparkSession, job: NormalsJob, mode: str = "create") ->
         for p in job.periods:
             name = job.target_name(p)
             save_table(rows.filter(F.col("period_id") == p.period_id).drop("period_id"), name, mode,
-                       ["station", "DayOfYear"])
+                       ["station", "DayOfYear"], f"{location.rstrip('/')}/{name}" if location else None)
             names.append(name)
     return names

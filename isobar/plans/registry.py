@@ -312,8 +312,9 @@ def q_normals_job(spark: SparkSession, sf: str) -> DataFrame:
     """The normals job end to end: configuration, lake, one target table per period."""
     job = load_normals_config()
     job.periods, job.source_table = B.PERIODS, _lake(spark, sf)
-    job.target_template = "isobar_normals_<year_start>_<year_end>"
-    names = jobs.load_normals(spark, job, mode="recreate")
+    root = _root(spark, "normals-job")
+    job.target_template = f"isobar_normals_{root[-8:]}_<year_start>_<year_end>"
+    names = jobs.load_normals(spark, job, location=root)
     out = catalog.consolidate(spark, names)
     return finalize(out.withColumn("period_id", F.substring_index("source_table", "_", -2)).drop("source_table"))
 
