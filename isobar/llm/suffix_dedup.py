@@ -47,7 +47,7 @@ from .common import ship
 from .hashing import BASE, CHUNK, U, hash_filter, in_filter, mix, rolling
 
 WIDTH = 100
-GRAM = 32
+GRAM = 24
 SORT_BYTES = 1 << 19       # bytes of segments sorted at once
 HOT_SEGMENTS = 1 << 14     # different segments of an anchor that one task may sort
 FILTER_BYTES = 32 << 20
