@@ -8,6 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from isobar.session import scratch_path
+
 # A word is a maximal run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -26,6 +28,13 @@ def source_key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), source.cast("string")))
 
 
+def packed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder, with zstd: for tables of texts."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python workers.
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from isobar.session import materialize
 
-from .common import ship
+from .common import packed, ship
 from .hashing import BASE, CHUNK, U, hash_filter, in_filter, mix, rolling
 
 WIDTH = 100
@@ -362,12 +362,11 @@ def repeats(d: DataFrame, width: int = WIDTH, gram: int = GRAM, hot_segments: in
             filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """(oid, dh, start, cnt): runs of ``cnt`` windows that also start earlier, copies of whole texts left out."""
     hashes = materialize(repeated_anchors(d, width, gram), "repeated-anchors")
-    segs = segments(d, hashes, width, gram, filter_bytes) \
+    segs = packed(segments(d, hashes, width, gram, filter_bytes), "segments") \
         .withColumn("s1", F.xxhash64("seg")).withColumn("s2", F.xxhash64(F.lit("second"), F.col("seg")))
-    segs = materialize(segs, "segments")
     key = ["s1", "s2"]
-    different = materialize(first_places(segs, key, F.first("h").alias("h"), F.first("seg").alias("seg")),
-                            "different-segments")
+    different = packed(first_places(segs, key, F.first("h").alias("h"), F.first("seg").alias("seg")),
+                       "different-segments")
     marked = not_first(segs.drop("seg", "h"), different, key)
     different = different.select("h", "first.oid", "first.dh", "first.start", "seg")
     sizes = different.groupBy("h").count()
