@@ -83,6 +83,14 @@ def write_documents(docs: DataFrame, path: str) -> None:
      .partitionBy("station", "period_id").text(path))
 
 
+def write_document_lines(docs: DataFrame, path: str) -> None:
+    """The documents as JSON lines with their station, in one folder per period:
+    for many stations, where a file per document would be too many files."""
+    line = F.to_json(F.struct("station", "doc.*")).alias("json")
+    (docs.select("period_id", "station", line).repartitionByRange("period_id", "station")
+     .select("period_id", "json").write.mode("overwrite").partitionBy("period_id").text(path))
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -299,10 +299,10 @@ def q_history_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_documents_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Statistics documents written as JSON files and read again."""
+    """Statistics documents written as JSON lines and read again."""
     path = _root(spark, "documents")
-    document.write_documents(document.build_documents(B.daily(spark, sf), B.periods(spark)), path)
-    docs = files.read_statistics_document(spark, path)
+    document.write_document_lines(document.build_documents(B.daily(spark, sf), B.periods(spark)), path)
+    docs = files.read_statistics_document(spark, path, lines=True)
     return docs.select("station", "period_id", "Avg_TempAvg", "Yearly_Avg_Precipitation",
                        F.col("January.Avg_TempAvg").alias("January_Avg_TempAvg"),
                        F.size("Max_TempHigh").cast("long").alias("n_max_temp_high"))

@@ -96,6 +96,6 @@ def read_official_combined(spark: SparkSession, path: str) -> tuple[DataFrame, D
             body.select(*[value(c) for c in schemas.OFFICIAL_OTHER_COLUMNS]))
 
 
-def read_statistics_document(spark: SparkSession, path: str) -> DataFrame:
-    """Statistics documents (one JSON object per file)."""
-    return spark.read.option("multiLine", True).json(path)
+def read_statistics_document(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Statistics documents, one JSON object per file, or one per line."""
+    return spark.read.option("multiLine", not lines).json(path)
