@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+
 def period_years(periods: DataFrame) -> DataFrame:
     """One row per (period, year): turns the period range join into an equi-join.
 

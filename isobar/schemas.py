@@ -20,6 +20,7 @@ def _fields(spec: list[tuple[str, T.DataType]]) -> T.StructType:
 
 
 # --- observation message (current conditions, JSON) -------------------------
+# The feed's field names, here and in the daily-history message.
 OBS_METRIC = _fields([
     ("temp", T.DoubleType()), ("heatIndex", T.DoubleType()), ("dewpt", T.DoubleType()),
     ("windChill", T.DoubleType()), ("windSpeed", T.DoubleType()), ("windGust", T.DoubleType()),
@@ -75,7 +76,6 @@ OFFICIAL_RR_COLUMNS = OFFICIAL_HEAD + [
 # Second parameter set, the subset the import uses.
 OFFICIAL_OTHER_COLUMNS = ["NUM_POSTE", "AAAAMMJJ", "PMERM", "PMERMIN", "UN", "UX", "UM"]
 OFFICIAL_RR_SCHEMA = _fields([(c, T.StringType()) for c in OFFICIAL_RR_COLUMNS])
-OFFICIAL_OTHER_SCHEMA = _fields([(c, T.StringType()) for c in OFFICIAL_OTHER_COLUMNS])
 
 # --- observation table ------------------------------------------------------
 OBSERVATIONS = _fields([
@@ -86,7 +86,6 @@ OBSERVATIONS = _fields([
     ("wind_dir", T.IntegerType()), ("dewpt", D31), ("elev", D41),
     ("solar_radiation", D51), ("uv", D21),
 ])
-OBS_MEASURES = [f.name for f in OBSERVATIONS.fields[2:]]
 
 # --- daily table (hub of the engine) ----------------------------------------
 DAILY = _fields([
