@@ -387,3 +387,25 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .agg(F.min(F.struct(F.col("d_doc_id").isNull(), "d_doc_id", "row")).alias("b")) \
         .select(F.col("b.row").alias("row"))
     return rows.join(best, "row", "left_semi").select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
+
+
+# The same in DuckDB SQL (ids unique): all pairs that share a gram, without signatures.
+ORACLE = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {GRAM} THEN list_transform(
+      generate_series(1, len(w) - {GRAM - 1}), lambda i: array_to_string(w[i:i + {GRAM - 1}], ' ')) ELSE [array_to_string(w, ' ')] END) AS g
+  FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+m AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+  SELECT m.a, m.b, shared = x.n AND shared = y.n AS same FROM m JOIN n x ON x.doc_id = m.a JOIN n y ON y.doc_id = m.b
+  WHERE shared >= {THRESHOLD} * (x.n + y.n - shared)),
+r(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a),
+l AS (SELECT a AS doc_id, count(*) AS k, min(CASE WHEN same THEN b END) AS twin FROM e GROUP BY a)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id, least(d.doc_id, coalesce(l.twin, d.doc_id)) AS copy_id,
+       CAST(coalesce(l.k, 0) AS BIGINT) AS n_links, CAST(coalesce(n.n, 0) AS INTEGER) AS n_grams
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -453,3 +453,30 @@ def dedup_digest(docs: DataFrame, width: int = WIDTH, **how) -> DataFrame:
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
     return _removal(docs, width, **how).mapInPandas(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+# The same in DuckDB SQL (ids unique): every window of every text as hexadecimal digits.
+ORACLE = f"""
+WITH d AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (
+  SELECT doc_id, unnest(generate_series(1, n - {WIDTH - 1})) AS s, x FROM d WHERE n >= {WIDTH}),
+k AS (SELECT doc_id, s, md5(substr(x, 2 * s - 1, {2 * WIDTH})) AS k FROM w),
+r AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS i FROM k) WHERE i > 1),
+g AS (
+  SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (
+    SELECT doc_id, s, CASE WHEN s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + {WIDTH} THEN 1 ELSE 0 END AS fresh FROM r)),
+c AS (SELECT doc_id, min(s) AS a, max(s) + {WIDTH - 1} AS b FROM g GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1 AS f, a - 1 AS t FROM c
+  UNION ALL SELECT d.doc_id, coalesce(max(c.b), 0) + 1, any_value(d.n) FROM d LEFT JOIN c USING (doc_id) GROUP BY d.doc_id),
+kept AS (
+  SELECT d.doc_id, string_agg(CASE WHEN t >= f THEN substr(x, 2 * f - 1, 2 * (t - f + 1)) ELSE '' END, '' ORDER BY f) AS h
+  FROM gaps JOIN d USING (doc_id) GROUP BY d.doc_id),
+spans AS (SELECT doc_id, sum(b - a + 1) AS gone, count(*) AS k FROM c GROUP BY doc_id)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k, 0) AS BIGINT) AS n_spans, sha256(unhex(h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)
+"""
