@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from isobar.session import materialize
 
-from .common import source_key, word_count
+from .common import WORD, source_key, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3
 BLOCK_WORDS = 256
-SHUFFLE_RANGES = 4096     # ranges of the shuffle key per source
+RANGE_DIGITS = 3          # hexadecimal digits of the shuffle key that make its ranges: 4096 per source
 SLOT_RANGE = 16384        # slots ranked together
+SEED = 17
+POINT_STEP = 1 << 20      # points are computed in steps, which keeps them exact
 CELLS = 4096              # cells of the unit interval in the point lookup
 GOLDEN = (math.sqrt(5) - 1) / 2
 
@@ -44,9 +46,10 @@ def sized(docs: DataFrame, seed: int, keep: list[str] | None = None) -> DataFram
     d = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id"), F.col("source"),
         source_key(F.col("source")).alias("skey"), word_count(F.col("text")).alias("size"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")).alias("k"),
+        F.substring(F.md5(F.concat_ws("\n", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text"))),
+                    1, 16).alias("k"),
         *[F.col(c).alias(f"keep_{c}") for c in keep])
-    d = d.withColumn("part", F.shiftright("k", 52) + F.lit(SHUFFLE_RANGES // 2))
+    d = d.withColumn("part", F.conv(F.substring("k", 1, RANGE_DIGITS), 16, 10).cast("int"))
     return materialize(d, "mix-sized")
 
 
@@ -103,7 +106,7 @@ def mix_schedule(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     plan = materialize(_slot_plan(targets, block), "mix-plan")
     n_slots = plan.agg(F.sum("n_slots")).first()[0] or 0
     # frac(j * golden) in two parts, so that it stays exact for very long schedules
-    step = 1 << 20
+    step = POINT_STEP
     big = math.modf(step * GOLDEN)[0]
     j = F.col("id")
     point = F.pmod(F.pmod(F.floor(j / step) * F.lit(big), F.lit(1.0))
@@ -157,7 +160,7 @@ def block_usage(schedule: DataFrame) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK_WORDS,
-                seed: int = 17) -> DataFrame:
+                seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken, source: words that the mix takes of each document."""
     d = sized(docs, seed)
     targets = materialize(source_targets(d, weights, cap), "mix-targets")
@@ -175,7 +178,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = B
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK_WORDS,
-                    seed: int = 17) -> DataFrame:
+                    seed: int = SEED) -> DataFrame:
     """The mix as whole documents: each is repeated as often as the block that
     holds its first word is taken (0 times: left out); texts are never cut."""
     d = sized(docs, seed, keep=docs.columns)
@@ -189,3 +192,70 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int
         .cast("int").alias("times")).filter("times > 0")
     return d.join(times, "rid").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))) \
         .select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
+
+
+# The same in DuckDB SQL (ids unique), with the weights, block length and seed above.
+ORACLE = rf"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS skey,
+         CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size,
+         substr(md5(concat_ws(chr(10), '{SEED}', CAST(doc_id AS VARCHAR), text)), 1, 16) AS k
+  FROM documents),
+s1 AS (
+  SELECT skey, any_value(source) AS source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY skey),
+s2 AS (
+  SELECT *, CAST([{', '.join(map(str, WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1)
+                 % {len(WEIGHTS)} + 1] AS DOUBLE) AS w, CAST(source_size AS DOUBLE) * {CAP} AS room FROM s1),
+s3 AS (
+  SELECT *, room / w AS full_at, row_number() OVER (ORDER BY room / w, source NULLS LAST) AS i FROM s2),
+s4 AS (
+  SELECT *, (sum(CAST(source_size AS DOUBLE)) OVER () - (sum(room) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) - room))
+            / sum(w) OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s3),
+targets AS (
+  SELECT skey, source_size, least(room, w * coalesce(
+           (SELECT arg_min(level, i) FROM s4 WHERE level <= full_at), 0)) AS target FROM s4),
+p1 AS (
+  SELECT skey, source_size, CAST(round(target) AS BIGINT) AS words,
+         (source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS n_blocks FROM targets),
+p2 AS (
+  SELECT *, words % source_size AS rest, (words // source_size) * n_blocks
+            + (words % source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS n_slots
+  FROM p1 WHERE words > 0 AND source_size > 0),
+plan AS (
+  SELECT *, CAST(sum(n_slots) OVER (ORDER BY skey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+         CAST(sum(n_slots) OVER () AS BIGINT) AS total FROM p2),
+points AS (
+  SELECT j AS slot, ((CAST(j // {POINT_STEP} AS DOUBLE) * CAST('{math.modf(POINT_STEP * GOLDEN)[0]!r}' AS DOUBLE)) % 1
+                     + CAST(j % {POINT_STEP} AS DOUBLE) * CAST('{GOLDEN!r}' AS DOUBLE)) % 1 AS u
+  FROM (SELECT unnest(range(0, (SELECT coalesce(max(total), 0) FROM plan))) AS j)),
+drawn AS (
+  SELECT skey, row_number() OVER (PARTITION BY skey ORDER BY slot) - 1 AS r
+  FROM points JOIN plan ON u >= (upto - n_slots) / total AND u < upto / total),
+ranks AS (
+  SELECT skey, r FROM drawn
+  UNION ALL
+  SELECT skey, unnest(range(got, n_slots)) FROM (
+    SELECT plan.skey, n_slots, count(drawn.r) AS got FROM plan LEFT JOIN drawn USING (skey) GROUP BY ALL)
+  WHERE got < n_slots),
+slots AS (
+  SELECT skey, r % n_blocks AS block, least({BLOCK_WORDS}, source_size - (r % n_blocks) * {BLOCK_WORDS}) AS length,
+         CASE WHEN r = n_slots - 1 AND rest > 0 THEN rest - (r % n_blocks) * {BLOCK_WORDS} END AS cut
+  FROM ranks JOIN plan USING (skey) WHERE r < n_slots),
+usage AS (
+  SELECT skey, block, count(*) FILTER (WHERE cut IS NULL OR cut >= length) AS whole,
+         coalesce(max(cut) FILTER (WHERE cut < length), 0) AS part FROM slots GROUP BY skey, block),
+placed AS (
+  SELECT doc_id, skey, size, sum(size) OVER (PARTITION BY skey ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM d WHERE size > 0),
+pieces AS (
+  SELECT *, unnest(range(CAST(start // {BLOCK_WORDS} AS BIGINT),
+                         CAST((start + size - 1) // {BLOCK_WORDS} + 1 AS BIGINT))) AS block FROM placed),
+cuts AS (
+  SELECT doc_id, skey, block, greatest(start - block * {BLOCK_WORDS}, 0) AS lo,
+         least(start + size - block * {BLOCK_WORDS}, {BLOCK_WORDS}) AS hi FROM pieces),
+t AS (
+  SELECT doc_id, sum((hi - lo) * whole + greatest(least(hi, part) - lo, 0)) AS taken
+  FROM cuts JOIN usage USING (skey, block) GROUP BY doc_id)
+SELECT d.doc_id, d.size, s.source_size, s.target, CAST(coalesce(t.taken, 0) AS BIGINT) AS taken, d.source
+FROM d JOIN targets s USING (skey) LEFT JOIN t ON t.doc_id = d.doc_id
+"""

@@ -135,6 +135,7 @@ SELECT conv_id, call_id, CAST(lv.level AS BIGINT) AS level,
       || CASE WHEN content IS NULL THEN '' ELSE ',"result":"' || content || '"' END || '}' AS json
 FROM calls c FULL JOIN res r USING (conv_id, call_id) LEFT JOIN lv USING (conv_id, call_id)
 """,
+    "op1_mix_sources": mixing.ORACLE,
     "op7_ngram_join": ngram_join.ORACLE,
     "op8_suffix_dedup": suffix_dedup.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
