@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from isobar.session import materialize
 
+from .common import packed
+
 ROLL = 2
 CUTS = ("0", "4", "8", "c", "e")   # first hexadecimal digits that end a chunk
 MIN_LINES = 2
@@ -88,7 +90,8 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def removal(docs: DataFrame) -> DataFrame:
     """The rows with ``lines`` and the compared, sorted chunks ``removed`` (first_line, last_line)."""
-    docs = docs.withColumn("rid", F.monotonically_increasing_id()) \
+    # written once: computed again, another order of the input would number the rows otherwise
+    docs = packed(docs.withColumn("rid", F.monotonically_increasing_id()), "line-rows") \
         .withColumn("oid", F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
     cand = repeated_chunks(docs.select("rid", "oid", "text"))
     rows = docs.drop("oid").join(cand, "rid", "left").withColumn("lines", _lines(F.col("text")))
