@@ -13,6 +13,16 @@ shuffled twice, to fetch the first places' texts and to remove the copies. The
 first place of a hash is found with partial aggregation, and the occurrences of
 a hot chunk meet it in a join that splits.
 
+`dedup_lines` (the pipeline's stage) removes every repeated passage, not only the
+whole chunks among them: each two successive lines that are not blank, with the
+blank lines between them, are a pair (`line_pairs`); a pair whose text occurs
+earlier is a copy of its first place, and pairs that continue each other at both
+places are joined to runs (`repeated_passages`), which are compared with the text
+of the first place byte by byte and removed. So every line goes that lies in a run
+of `MIN_LINES` or more such lines that also starts earlier, wherever chunks end.
+A run may overlap its first place ("a a a" leaves "a"); single lines that repeat stay.
+`dedup_digest` (the query) keeps to the chunks, as its SQL does.
+
 Defined results: a NULL text stays NULL and has no lines; an empty text is one
 blank line; repeated rows are separate rows, the later one loses its chunks;
 NULL ids come last; a document may lose all its lines and stays as an empty
@@ -24,7 +34,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isobar.session import materialize
+from isobar.session import Scratch, materialize
 
 from .common import packed
 
@@ -37,10 +47,14 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _blank(line: Column) -> Column:
+    return F.trim(F.translate(line, "\t\r\f\v", "    ")) == ""
+
+
 def line_hashes(docs: DataFrame) -> DataFrame:
     """(rid, oid, n, h): line hashes of each row with a text; blank lines hash to ''."""
     lines = _lines(F.col("text"))
-    h = F.transform(lines, lambda x: F.when(F.trim(F.translate(x, "\t\r\f\v", "    ")) == "", "").otherwise(F.md5(x)))
+    h = F.transform(lines, lambda x: F.when(_blank(x), "").otherwise(F.md5(x)))
     return materialize(docs.filter("text IS NOT NULL").select(
         "rid", "oid", h.alias("h")), "line-hashes").withColumn("n", F.size("h"))
 
@@ -88,12 +102,62 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("first_line", "last_line", "expected"))).alias("cand"))
 
 
-def removal(docs: DataFrame) -> DataFrame:
-    """The rows with ``lines`` and the compared, sorted chunks ``removed`` (first_line, last_line)."""
+def line_pairs(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rid, oid, a, b, ck): successive lines a and b that are not blank, with the blank ones between them."""
+    h = F.transform(_lines(F.col("text")), lambda x: F.concat(F.when(_blank(x), "-").otherwise(""), F.md5(x)))
+    # a written table, as in chunk_places
+    c = scratch.table(docs.filter("text IS NOT NULL").select("rid", "oid", h.alias("h")), "pair-hashes")
+    c = c.withColumn("solid", F.filter(F.sequence(F.lit(1), F.size("h")), lambda i: ~F.element_at("h", i).startswith("-")))
+    n = F.greatest(F.size("solid") - 1, F.lit(0))
+    c = c.select("rid", "oid", "h", F.explode(F.arrays_zip(
+        F.slice("solid", F.lit(1), n).alias("a"), F.slice("solid", F.lit(2), n).alias("b"))).alias("p"))
+    return c.select("rid", "oid", F.col("p.a").alias("a"), F.col("p.b").alias("b"), F.unhex(F.md5(F.array_join(
+        F.slice("h", F.col("p.a"), F.col("p.b") - F.col("p.a") + 1), ","))).alias("ck"))
+
+
+def _blocks(items: str, follows) -> Column:
+    """Structs (first, last) of the stretches of ``items`` in which each one follows the one before it."""
+    n = F.size(items)
+    starts = F.filter(items, lambda x, i: (i == 0) | ~F.coalesce(follows(F.get(items, i - 1), x), F.lit(False)))
+    ends = F.filter(items, lambda x, i: (i == n - 1) | ~F.coalesce(follows(x, F.get(items, i + 1)), F.lit(False)))
+    return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("first"), e.alias("last")))
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """(rid, cand): per row the passages that occur earlier, as sorted structs of first and last line
+    and the text of the first place; neighbours can share a line.
+
+    ``docs``: rid, oid, text.
+    """
+    with Scratch(docs.sparkSession) as scratch:
+        pairs = scratch.table(line_pairs(docs, scratch), "line-pairs")
+        place = F.struct("oid", "rid", "a")
+        firsts = pairs.groupBy("ck").agg(F.min(F.struct("oid", "rid", "a", "b")).alias("f"), F.max(place).alias("last")) \
+            .filter(F.struct("f.oid", "f.rid", "f.a") != F.col("last")) \
+            .select("ck", F.col("f.rid").alias("f_rid"), F.col("f.a").alias("f_a"), F.col("f.b").alias("f_b"))
+        copies = pairs.join(firsts, "ck").filter((F.col("rid") != F.col("f_rid")) | (F.col("a") != F.col("f_a")))
+        per_row = copies.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("a", "b", "f_rid", "f_a", "f_b"))).alias("w"))
+        runs = per_row.select("rid", F.explode(_blocks("w", lambda x, y: (x["b"] == y["a"]) & (x["f_rid"] == y["f_rid"])
+                                                       & (x["f_b"] == y["f_a"]))).alias("r"))
+        runs = materialize(runs.select("rid", F.col("r.first.a").alias("a"), F.col("r.last.b").alias("b"), F.col(
+            "r.first.f_rid").alias("f_rid"), F.col("r.first.f_a").alias("f_a"), F.col("r.last.f_b").alias("f_b")), "line-runs")
+    wanted = runs.select(F.col("f_rid").alias("rid"), "f_a", "f_b").distinct() \
+        .groupBy("rid").agg(F.collect_list(F.struct("f_a", "f_b")).alias("w"))
+    texts = docs.select("rid", "text").join(wanted, "rid").select(
+        "rid", _lines(F.col("text")).alias("lines"), F.explode("w").alias("w")) \
+        .select(F.col("rid").alias("f_rid"), "w.f_a", "w.f_b", F.array_join(
+            F.slice("lines", F.col("w.f_a"), F.col("w.f_b") - F.col("w.f_a") + 1), "\n").alias("expected"))
+    texts = packed(texts, "passage-texts")
+    return runs.join(texts, ["f_rid", "f_a", "f_b"]).groupBy("rid").agg(F.array_sort(F.collect_list(
+        F.struct(F.col("a").alias("first_line"), F.col("b").alias("last_line"), "expected"))).alias("cand"))
+
+
+def removal(docs: DataFrame, find=repeated_chunks) -> DataFrame:
+    """The rows with ``lines`` and the compared, sorted finds ``removed`` (first_line, last_line)."""
     # written once: computed again, another order of the input would number the rows otherwise
     docs = packed(docs.withColumn("rid", F.monotonically_increasing_id()), "line-rows") \
         .withColumn("oid", F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
-    cand = repeated_chunks(docs.select("rid", "oid", "text"))
+    cand = find(docs.select("rid", "oid", "text"))
     rows = docs.drop("oid").join(cand, "rid", "left").withColumn("lines", _lines(F.col("text")))
     # explode and regroup would shuffle the texts again; the candidates are compared in place
     same = F.filter("cand", lambda c: F.array_join(
@@ -115,15 +179,20 @@ def kept_text() -> Column:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with repeated chunks removed from ``text``; n_chars follows where it is given."""
+    """The documents with repeated passages removed from ``text``; n_chars follows where it is given."""
     own = docs.columns
-    out = removal(docs.select(*[F.col(c).alias(f"d_{c}") for c in own],
-                              F.col("doc_id"), F.col("text")))
+    out = removal(docs.select(*[F.col(c).alias(f"d_{c}") for c in own if c not in ("doc_id", "text")],
+                              F.col("doc_id"), F.col("text")), repeated_passages)
+    # passages that share a line are one gap in the text
+    blocks = _blocks("removed", lambda x, y: y["a"] <= x["b"])
+    out = out.withColumn("removed", F.transform(blocks, lambda r: F.struct(r["first"]["a"].alias("a"), r["last"]["b"].alias("b"))))
     changed = out.withColumn("kept", kept_text())
     cols = []
     for c in own:
         if c == "text":
             cols.append(F.col("kept").alias("text"))
+        elif c == "doc_id":
+            cols.append(F.col(c))
         elif c == "n_chars":
             cols.append(F.when(F.size("removed") == 0, F.col("d_n_chars"))
                         .otherwise(F.length("kept")).cast("long").alias("n_chars"))
