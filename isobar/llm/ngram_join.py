@@ -1,15 +1,15 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest (operator 7).
+"""N-gram Jaccard self-join by MinHash banding (operator 7).
 
 A document is the set of its word 5-grams; two documents link if the Jaccard
 similarity of their sets is at least 0.8.
 
 1. Equal sets are merged first (copies are one class, found by partial
    aggregation of a 128-bit set hash). Only one set per class goes on.
-2. Every class gets a MinHash signature of `TREES` x `LEVELS` values. In a tree
-   the classes are sorted by their signature's prefix; classes that share a
-   prefix are candidates. Prefixes are shortened level by level until a pair at
-   the threshold, the hardest to find, is found with the target recall
-   (`match_depth`).
+2. Every class gets a MinHash signature: in each of `TREES` trees a prefix of
+   `match_depth` values. Classes that share a tree's whole prefix are candidates.
+   The depth is one number for all documents, the longest of at most `LEVELS` at
+   which a pair at the threshold, the hardest to find, is met with the target
+   recall: 4, so that a pair at exactly 0.8 is missed with chance 2.2e-4.
 3. The classes under one prefix are verified exactly on their sets. Groups of
    more than `BLOCK` classes are split into blocks, each pair of blocks is its
    own task, and tasks return link counts and a spanning forest of the links,
