@@ -7,6 +7,10 @@ source, so any prefix of the schedule is close to the target mix. Slots are
 ranked per source; the r-th slot of a source takes block ``r mod n_blocks`` of
 its shuffled stream, cut into blocks of equally many words.
 
+The order of the slots is not part of the results: every source fills all its
+slots, so ``taken`` and the documents of the mix depend on their number alone, and
+both come in no mix order.
+
 No step needs one source in one task. Word offsets and slot ranks are prefix
 sums in two levels (hash ranges or slot ranges first, then inside a range),
 slots find their source by an equi-join on cells of the unit interval, and
