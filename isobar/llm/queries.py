@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, line_dedup, mixing, ngram_join, suffix_dedup, tool_calls, topk_search, toxicity, url_filter
+from . import ann, bpe, line_dedup, mixing, ngram_join, simhash, suffix_dedup, tool_calls, topk_search, toxicity, \
+    url_filter
 from .common import table
 
 # The rules of the url query, as (verdict, host, path).
@@ -92,8 +93,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_toxicity, op3_topk, op4_url_filter, op5_tool_calls, op6_bpe, op7_ngram_join,
-                               op8_suffix_dedup, op9_ann, op10_line_dedup)}
+                               op8_suffix_dedup, op9_ann, op10_line_dedup, op11_simhash)}
 
 
 def _rules_sql() -> str:
