@@ -14,10 +14,12 @@ merged stripes come
 * the subsumption maxima: the largest entry of a stripe is the most frequent phrase that
   continues the prefix.
 
-A phrase of at least `LEAST` occurrences has only parts of as many, so stripes of level
-k + 1 are built for prefixes (and rests) that occur so often on level k. A Bloom filter of
-at most `FILTER_BYTES` tells which; what it lets through in error is counted and falls out
-by its count, so a full filter costs time and changes nothing.
+A phrase of at least `LEAST` occurrences has only parts of as many, so entries are kept
+for phrases whose word pairs occur so often (a first pass counts the pairs by 64-bit hashes),
+and those of three-word prefixes only if the prefix and the rest do. What a one-word stripe
+leaves out is summed in its entry for the end of a piece, so its total stays exact. Bloom
+filters of at most `FILTER_BYTES` tell which phrases to go on with; what they let through in
+error is counted and falls out by its count, so a full filter costs time and changes nothing.
 
 A candidate's cuts need the counts of its first and last words: they grow along the
 levels, first parts by the join of a stripe with its prefix, rests by the join of an entry
@@ -113,22 +115,30 @@ def _numbered(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return first, number
 
 
-def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: int, bits: np.ndarray | None) -> pa.RecordBatch | None:
-    """The stripes of the prefixes of ``level`` words in the sequence ``words``."""
+def fitting(words: np.ndarray, hashes: np.ndarray, lang: str, size: int, bits: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` words from each place on are one piece's and, by the filter, frequent."""
+    fits = np.ones(max(0, len(words) - size + 1), bool)
+    for j in range(size):
+        fits &= words[j:j + len(fits)] != 0
+    at = np.flatnonzero(fits)
+    fits[at] = in_filter(bits, phrase_hashes(hashes[words], size, lang)[at])
+    return fits
+
+
+def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: int, fits: np.ndarray) -> pa.RecordBatch | None:
+    """The stripes of the prefixes of ``level`` words in the sequence ``words``; ``fits`` tells the
+    places of frequent pairs (levels 1 and 2) or frequent phrases of ``level`` words."""
     texts, hashes = vocabulary.words, np.array(vocabulary.hashes, np.uint64)
     n = len(words) - level
     if n <= 0:
         return None
     if level == 1:
         at = np.flatnonzero(words[:n] != 0)
+        following = np.where(fits[:n], words[1:], 0)[at]
     else:
-        inside = words != 0
-        fits = in_filter(bits, phrase_hashes(hashes[words], level, lang))
-        # the prefix, the rest and with them all words up to the next one
-        fits = fits[:n] & fits[1:n + 1]
-        for j in range(level + 1):
-            fits &= inside[j:j + n]
-        at = np.flatnonzero(fits)
+        # the prefix and the rest, and with them all words up to the next one
+        at = np.flatnonzero(fits[:n] & fits[1:n + 1])
+        following = words[at + level]
     if not len(at):
         return None
     size = len(texts)
@@ -139,7 +149,7 @@ def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: i
     if level == 1:
         _, one, prefix = np.unique(prefix, return_index=True, return_inverse=True)
         first = at[one]
-    key, n_key = np.unique(prefix * size + words[at + level], return_counts=True)
+    key, n_key = np.unique(prefix * size + following, return_counts=True)
     prefix, after = key // size, key % size
     part = (mix(hashes[after]) % U(PARTS)).astype(np.int64)
     order = np.lexsort((part, prefix))
@@ -157,32 +167,55 @@ def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: i
         names=["lang", "prefix", "part", "next", "n"])
 
 
-def stripes(texts: DataFrame, level: int, bits=None, tokens: int = TOKENS) -> DataFrame:
+def _each_stretch(batches, tokens: int, work):
+    """``work(words, vocabulary, lang)`` on stretches of about ``tokens`` words of whole texts."""
+    vocabulary, held, size = Vocabulary(), {}, 0
+
+    def flush():
+        for lang, parts in held.items():
+            yield from work(np.concatenate(parts), vocabulary, lang)
+    for batch in batches:
+        by_lang = {}
+        for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw")):
+            by_lang.setdefault(lang, []).append(raw.as_py())
+        for lang, raws in by_lang.items():
+            for numbers in word_numbers(raws, vocabulary):
+                held.setdefault(lang, []).append(numbers)
+                size += len(numbers)
+        if size >= tokens:
+            yield from flush()
+            vocabulary, held, size = Vocabulary(), {}, 0
+    yield from flush()
+
+
+def frequent_pairs(texts: DataFrame, least: int, tokens: int = TOKENS) -> DataFrame:
+    """(h): hashes of the word pairs that occur at least ``least`` times (and of few others)."""
+    def count(words, vocabulary, lang):
+        h = phrase_hashes(np.array(vocabulary.hashes, np.uint64)[words], 2, lang)
+        h, n = np.unique(h[(words[:-1] != 0) & (words[1:] != 0)], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    def run(batches):
+        return _each_stretch(batches, tokens, count)
+    return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")) \
+        .filter(F.col("n") >= least).select("h")
+
+
+def stripes(texts: DataFrame, levels: tuple[int, ...], bits, tokens: int = TOKENS) -> DataFrame:
     """(lang, prefix, part, next, n): the tasks' stripes; next '.' is the end of a piece.
 
-    ``texts``: lang, raw; ``bits``: broadcast filter of the phrases of ``level`` words to go on with.
+    ``texts``: lang, raw; ``bits``: broadcast filter of the word pairs (levels 1 and 2) or of the
+    phrases of the level's length to go on with.
     """
+    def build(words, vocabulary, lang):
+        fits = fitting(words, np.array(vocabulary.hashes, np.uint64), lang, max(2, levels[0]), bits.value)
+        for level in levels:
+            found = level_stripes(words, vocabulary, lang, level, fits)
+            if found is not None:
+                yield found
+
     def run(batches):
-        vocabulary, held, size = Vocabulary(), {}, 0
-        allowed = bits.value if bits is not None else None
-
-        def flush():
-            for lang, parts in held.items():
-                found = level_stripes(np.concatenate(parts), vocabulary, lang, level, allowed)
-                if found is not None:
-                    yield found
-        for batch in batches:
-            by_lang = {}
-            for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw")):
-                by_lang.setdefault(lang, []).append(raw.as_py())
-            for lang, raws in by_lang.items():
-                for numbers in word_numbers(raws, vocabulary):
-                    held.setdefault(lang, []).append(numbers)
-                    size += len(numbers)
-            if size >= tokens:
-                yield from flush()
-                vocabulary, held, size = Vocabulary(), {}, 0
-        yield from flush()
+        return _each_stretch(batches, tokens, build)
     return texts.mapInArrow(run, STRIPES)
 
 
@@ -198,8 +231,13 @@ def merged(found: DataFrame, least: int) -> DataFrame:
         .select("lang", F.col("prefix").cast("string").alias("prefix"), "total", "next")
 
 
-def phrase_filter(entries: DataFrame, limit: int = FILTER_BYTES) -> np.ndarray:
-    """Bits of the Bloom filter of the phrases, at most ``limit`` bytes (or one block)."""
+def bounded_filter(hashes: DataFrame, limit: int = FILTER_BYTES) -> np.ndarray:
+    """Bits of the Bloom filter of the hashes, at most ``limit`` bytes (or one block)."""
+    return hash_filter(hashes, min(hashes.count(), limit * 8 // 12))
+
+
+def hashed_phrases(entries: DataFrame) -> DataFrame:
+    """(h): the hashes of the phrases."""
     @F.pandas_udf("long")
     def hashed(lang: pd.Series, phrase: pd.Series) -> pd.Series:
         out = np.empty(len(phrase), np.uint64)
@@ -207,7 +245,7 @@ def phrase_filter(entries: DataFrame, limit: int = FILTER_BYTES) -> np.ndarray:
             h = np.array([xxhash.xxh64_intdigest(w.encode()) for w in p.split(" ")], np.uint64)
             out[i] = phrase_hashes(h, len(h), x)[0]
         return pd.Series(out.view(np.int64))
-    return hash_filter(entries.select(hashed("lang", "phrase").alias("h")), min(entries.count(), limit * 8 // 12))
+    return entries.select(hashed("lang", "phrase").alias("h"))
 
 
 def next_entries(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -248,18 +286,23 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                         F.col("text").cast("binary").alias("raw")).filter("length(raw) > 0")
     with Scratch(spark) as scratch:
-        found = {1: scratch.table(merged(stripes(texts, 1, tokens=tokens), least), "stripes-1")}
+        def filter_of(hashes):
+            return spark.sparkContext.broadcast(bounded_filter(hashes, filter_bytes))
+        pairs = filter_of(scratch.table(frequent_pairs(texts, least, tokens), "frequent-pairs"))
+        both = scratch.table(merged(stripes(texts, (1, 2) if longest > 2 else (1,), pairs, tokens), least), "stripes")
+        two = F.contains("prefix", F.lit(" "))
+        found = {1: both.filter(~two), 2: both.filter(two)}
         totals = scratch.table(found[1].groupBy("lang", F.col("prefix").alias("phrase"))
                                .agg(F.sum("total").alias("a")), "word-totals")
         sizes = totals.groupBy("lang").agg(F.sum("a").alias("n"))
         none = F.array().cast("array<long>")
         entries = {1: totals.filter(F.col("a") >= least).select("lang", "phrase", "a", none.alias("lefts"), none.alias("rights"))}
         for k in range(1, longest):
+            if k > 2:
+                bits = filter_of(hashed_phrases(entries[k]))
+                found[k] = scratch.table(merged(stripes(texts, (k,), bits, tokens), least), f"stripes-{k}")
             entries[k + 1] = scratch.table(next_entries(found[k], entries[k]), f"phrases-{k + 1}")
-            if k + 1 < longest:
-                bits = spark.sparkContext.broadcast(phrase_filter(entries[k + 1], filter_bytes))
-                found[k + 1] = scratch.table(merged(stripes(texts, k + 1, bits, tokens), least), f"stripes-{k + 1}")
-        parts = [_uncovered(entries[k], found.get(k), entries.get(k + 1)).drop("rest") for k in range(2, longest + 1)]
+        parts = [_uncovered(entries[k], found.get(k) if k < longest else None, entries.get(k + 1)).drop("rest") for k in range(2, longest + 1)]
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)

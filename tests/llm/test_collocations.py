@@ -83,9 +83,14 @@ def test_a_full_filter_only_lets_more_through():
     v = C.Vocabulary()
     words = next(C.word_numbers([b"a b c. a b c"], v))
     full, empty = (np.full(FILTER_BLOCK, x, np.uint8) for x in (255, 0))
-    found = C.level_stripes(words, v, "en", 2, full).to_pydict()
+    hashes = np.array(v.hashes, np.uint64)
+    fits = {name: C.fitting(words, hashes, "en", 2, bits) for name, bits in (("full", full), ("empty", empty))}
+    found = C.level_stripes(words, v, "en", 2, fits["full"]).to_pydict()
     assert found["prefix"] == [b"a b"] and found["next"] == [[b"c"]] and found["n"] == [[2]]
-    assert C.level_stripes(words, v, "en", 2, empty) is None
+    assert C.level_stripes(words, v, "en", 2, fits["empty"]) is None
+    # the totals of one word hold what its entries leave out
+    found = C.level_stripes(words, v, "en", 1, fits["empty"]).to_pydict()
+    assert sorted(found["prefix"]) == [b"a", b"b", b"c"] and found["next"] == [[b"."]] * 3 and found["n"] == [[2]] * 3
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
