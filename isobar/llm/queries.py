@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, collocations, line_dedup, mixing, ngram_join, simhash, suffix_dedup, tool_calls, topk_search, \
-    toxicity, url_filter
+from . import ann, bpe, collocations, hard_negatives, line_dedup, mixing, ngram_join, simhash, suffix_dedup, tool_calls, \
+    topk_search, toxicity, url_filter
 from .common import table
 
 # The rules of the url query, as (verdict, host, path).
@@ -101,8 +101,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # fixed rule: every seventh row counts as of the next label
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {q.__name__: q for q in (op1_mix_sources, op2_toxicity, op3_topk, op4_url_filter, op5_tool_calls, op6_bpe, op7_ngram_join,
-                               op8_suffix_dedup, op9_ann, op10_line_dedup, op11_simhash, op12_collocations)}
+                               op8_suffix_dedup, op9_ann, op10_line_dedup, op11_simhash, op12_collocations,
+                               op13_hard_negatives)}
 
 
 def _rules_sql() -> str:
@@ -149,6 +156,7 @@ FROM calls c FULL JOIN res r USING (conv_id, call_id) LEFT JOIN lv USING (conv_i
     "op8_suffix_dedup": suffix_dedup.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
     "op12_collocations": collocations.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
     "op3_topk": """
 WITH terms AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
