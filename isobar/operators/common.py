@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 
+# A span that holds no year.
+NO_YEARS = (2000, 1999)
+
+
 def period_years(periods: DataFrame) -> DataFrame:
     """One row per (period, year): turns the period range join into an equi-join.
 

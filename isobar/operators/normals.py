@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from ..config import DAY_COUNT_METRICS, MONTH_NAMES, RECORD_METRICS, RangeMetric, RecordMetric
 from ..functions.rounding import ratio_half_even_int, ratio_half_up
 from ..session import materialize
-from .common import in_years, period_years, year_span
+from .common import NO_YEARS, in_years, period_years, year_span
 
 MEAN_COLUMNS = ["temp_avg", "temp_high", "temp_low", "precipitation_sum"]
 RAIN = "precipitation_sum"
@@ -120,7 +120,7 @@ def _count_aggs(ranges: list[RangeMetric]) -> list[Column]:
 
 def _years(periods: DataFrame) -> tuple[int, int]:
     """The span that the periods cover; an empty span without periods."""
-    return year_span(periods) or (1, 0)
+    return year_span(periods) or NO_YEARS
 
 
 def _period_years(daily: DataFrame, periods: DataFrame, ranges, months=None) -> DataFrame:

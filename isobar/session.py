@@ -22,6 +22,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # generated methods beyond the JVM's compile limit stay interpreted, which makes plans of many
+    # columns several times slower; beyond this size expressions are compiled in smaller methods
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
