@@ -292,7 +292,9 @@ def hard_negatives(df: DataFrame, is_anchor: Column, positives: int = 5, negativ
         near = scratch.table(near.groupBy("anchor_id").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score"))).alias("p"))
                              .select(F.col("anchor_id").alias("vec_id"), F.col("p.vec_id").alias("pids"),
                                      F.col("p.score").alias("pscores")), "negatives-positives")
-        found = _cells(asked.join(near, "vec_id").withColumn("g", F.lit(0)), rows.withColumn("g", F.lit(0)),
+        # one group; not a literal, which would turn the joins by group into nested loops
+        whole = F.pmod("rid", F.lit(1)).cast("int")
+        found = _cells(asked.join(near, "vec_id").withColumn("g", whole), rows.withColumn("g", whole),
                        dim, scale, positives, find_negatives, 2 * cores)
         # the result is read by the caller and stays
         found = Scratch(spark).table(found, "negatives")
