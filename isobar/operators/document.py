@@ -39,7 +39,7 @@ def build_documents(daily: DataFrame, periods: DataFrame) -> DataFrame:
     """
     from ..session import materialize
     from . import normals
-    months = materialize(normals.month_stats(daily, years=normals.year_span(periods) or (1, 0)), "month-stats")
+    months = materialize(normals.month_stats(daily, years=normals.year_span(periods) or normals.NO_YEARS), "month-stats")
     return statistics_documents(normals.period_summary(daily, periods, months=months),
                                 normals.monthly_normals(daily, periods, sort=False, months=months))
 

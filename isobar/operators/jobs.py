@@ -76,7 +76,7 @@ def refresh_days(spark: SparkSession, obs: DataFrame, daily_path: str, start: _d
         target = read_parquet_if_exists(spark, daily_path)
         days = materialize(days, "refresh-days")
         target = target if target is not None else days.limit(0)
-        return change_set(target, days, schemas.DAILY_KEYS, fields, DAILY_PARTITIONS)
+        return change_set(target, days, schemas.DAILY_KEYS, fields, DAILY_PARTITIONS, skip_empty)
     write_upsert(daily_path, days, schemas.DAILY_KEYS, DAILY_PARTITIONS, fields, skip_empty)
     return None
 

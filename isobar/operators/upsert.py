@@ -95,6 +95,21 @@ def _merge_columns(columns: list[str], keys: list[str], fields: list[str] | None
     return exprs
 
 
+def prepared(source: DataFrame, columns: list[str], keys: list[str], partition_cols: list[str] | None = None,
+             skip_empty: bool = False, order_by: str | list[str] | None = None) -> DataFrame:
+    """The source rows that an upsert applies: complete keys, the last row per key by ``order_by``,
+    and with ``skip_empty`` only rows with a measure."""
+    missing = [c for c in columns if c not in source.columns]
+    if missing:
+        raise ValueError(f"source lacks columns: {', '.join(missing)}")
+    src = with_keys(source, keys)
+    src = (last_by_key(src, keys, order_by) if order_by else src).select(*columns)
+    if skip_empty:
+        measures = [c for c in columns if c not in keys and c not in (partition_cols or [])]
+        src = src.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in measures]))
+    return src
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str],
            fields: list[str] | None = None, partition_cols: list[str] | None = None,
            skip_empty: bool = False, order_by: str | list[str] | None = None) -> DataFrame:
@@ -112,14 +127,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     """
     columns = target.columns
     validate_fields(fields, columns)
-    missing = [c for c in columns if c not in source.columns]
-    if missing:
-        raise ValueError(f"source lacks columns: {', '.join(missing)}")
-    src = with_keys(source, keys)
-    src = (last_by_key(src, keys, order_by) if order_by else src).select(*columns)
-    if skip_empty:
-        measures = [c for c in columns if c not in keys and c not in (partition_cols or [])]
-        src = src.filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in measures]))
+    src = prepared(source, columns, keys, partition_cols, skip_empty, order_by)
     tgt = _touched(target, src, partition_cols)
     t = tgt.withColumn("_in_tgt", F.lit(True)).alias("t")
     s = src.withColumn("_in_src", F.lit(True)).alias("s")
@@ -142,20 +150,21 @@ def upsert_table(target: DataFrame, source: DataFrame, keys: list[str],
 
 def change_set(target: DataFrame, source: DataFrame, keys: list[str],
                fields: list[str] | None = None,
-               partition_cols: list[str] | None = None) -> DataFrame:
+               partition_cols: list[str] | None = None, skip_empty: bool = False,
+               order_by: str | list[str] | None = None) -> DataFrame:
     """W4 dry run: what an upsert would do, per source key; nothing is written.
 
-    ``action`` is ``insert`` for a new key and ``update`` for an existing
+    The source goes through the same preparation as in :func:`upsert`. ``action`` is ``insert`` for a new key and ``update`` for an existing
     one; ``changed`` lists the written columns whose value differs.
     """
     columns = target.columns
     validate_fields(fields, columns)
     written = [c for c in columns if c not in keys and c not in (partition_cols or [])
                and (fields is None or c in fields)]
-    t = _touched(target, source, partition_cols) \
+    s = prepared(source, columns, keys, partition_cols, skip_empty, order_by)
+    t = _touched(target, s, partition_cols) \
         .select(*keys, *[F.col(c).alias(f"_t_{c}") for c in written]) \
         .withColumn("_in_tgt", F.lit(True))
-    s = source.select(*columns)
     j = s.join(t, keys, "left")
     matched = F.coalesce(F.col("_in_tgt"), F.lit(False))
     diffs = F.filter(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"_t_{c}")), F.lit(c))
@@ -190,8 +199,9 @@ def write_upsert(target_path: str, source: DataFrame, keys: list[str],
         target = read_parquet_if_exists(spark, target_path)
         if target is None:  # first load: nothing to merge with
             validate_fields(fields, complete.columns)
-            drop = [c for c in ([order_by] if isinstance(order_by, str) else order_by or []) if c not in keys]
-            write_partitions(complete.drop(*drop), target_path, partition_cols, clustering)
+            order = [order_by] if isinstance(order_by, str) else order_by or []
+            columns = [c for c in complete.columns if c in keys or c not in order]
+            write_partitions(prepared(complete, columns, keys, partition_cols, skip_empty), target_path, partition_cols, clustering)
         else:
             merged = scratch.table(upsert(target, complete, keys, fields, partition_cols, skip_empty), "upsert")
             write_partitions(merged, target_path, partition_cols, clustering)

@@ -55,6 +55,10 @@ STATIONS = [
 PERIODS = [Period(1995, 1997), Period(1996, 1998), Period(1997, 1999),
            Period(1998, 2000), Period(1999, 2001)]
 
+# What the filtered official import keeps.
+OFFICIAL_STATIONS = ["C1", "C2", "C3", "C5", "C8", "C13", "C21"]
+OFFICIAL_YEARS = (1996, 1999)
+
 # The station of an order: ten customers each.
 DAILY_STATION = "concat('C', CAST(o_custkey div 10 AS STRING))"
 
@@ -145,6 +149,16 @@ def periods(spark: SparkSession) -> DataFrame:
     return periods_frame(spark, PERIODS)
 
 
+def station_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of the periods for every station, chosen by the station's number."""
+    number = F.expr("CAST(substring(station, 2) AS INT)")
+    stations_ = daily(spark, sf_dir).select("station").distinct()
+    each = F.array(*[F.struct(F.lit(p.period_id).alias("period_id"), F.lit(p.year_start).alias("year_start"),
+                              F.lit(p.year_end).alias("year_end")) for p in PERIODS])
+    pick = F.array(number % len(PERIODS), (number + 2) % len(PERIODS))
+    return stations_.select("station", F.explode(F.transform(pick, lambda i: F.get(each, i))).alias("p")).select("station", "p.*")
+
+
 def _orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.expr(DAILY_STATION).alias("station"), "o_orderdate", "o_custkey", "o_orderkey")

@@ -244,15 +244,19 @@ def q_daily_with_solar() -> str:
 FROM ({rollup_select()}) r JOIN solar USING (station, date)"""
 
 
+def _spine(start, end) -> str:
+    return f"""(SELECT station, CAST(g.d AS DATE) AS date FROM stations,
+      generate_series(DATE '{start.isoformat()}', DATE '{end.isoformat()}',
+                      INTERVAL 1 DAY) AS g(d)) sp"""
+
+
 def q_daily_rollup_spine() -> str:
     return with_(obs_ctes(), stations_cte()) + f"""SELECT sp.station, sp.date,
   r.temp_avg, r.temp_high, r.temp_low, r.dewpoint_avg, r.dewpoint_high, r.dewpoint_low,
   r.humidity_avg, r.humidity_high, r.humidity_low, r.pressure_avg, r.pressure_high,
   r.pressure_low, r.wind_speed_max, r.gust_speed_max, r.precipitation_sum,
   CAST(NULL AS DOUBLE) AS solar_radiation_avg
-FROM (SELECT station, CAST(g.d AS DATE) AS date FROM stations,
-      generate_series(DATE '{B.SPINE_START.isoformat()}', DATE '{B.SPINE_END.isoformat()}',
-                      INTERVAL 1 DAY) AS g(d)) sp
+FROM {_spine(B.SPINE_START, B.SPINE_END)}
 LEFT JOIN ({rollup_select()}) r ON r.station = sp.station AND r.date = sp.date"""
 
 
@@ -349,6 +353,20 @@ def q_period_means() -> str:
 FROM j GROUP BY station, period_id, year_start, year_end"""
 
 
+def q_station_periods() -> str:
+    """Period means and day counts of the periods that each station's number chooses."""
+    n = len(B.PERIODS)
+    order = ", ".join(f"('{p.period_id}', {i})" for i, p in enumerate(B.PERIODS))
+    mine = f"""o(period_id, i) AS (VALUES {order}),
+mine AS (SELECT j.* FROM j JOIN o USING (period_id)
+  WHERE i IN (CAST(substr(station, 2) AS INT) % {n}, (CAST(substr(station, 2) AS INT) + 2) % {n}))"""
+    body = q_period_means().split("SELECT station, period_id, CAST", 1)[1]
+    return with_(daily_ctes(), periods_cte(), _period_join(), mine) + f"""SELECT m.*, x.Max_TempHigh, x.n_days FROM (
+SELECT station, period_id, CAST{body.replace('FROM j GROUP', 'FROM mine GROUP')}) m
+JOIN (SELECT station, period_id, {tenths('max(temp_high)')} AS Max_TempHigh,
+             count(DISTINCT strftime(date, '%m-%d')) AS n_days FROM mine GROUP BY ALL) x USING (station, period_id)"""
+
+
 def _pred_sql(m) -> str:
     c = m.column
     parts = [f"{c} IS NOT NULL"]
@@ -605,10 +623,10 @@ st AS (
   FROM rn GROUP BY station, source_file, run, date)""") + f"SELECT *, {_line()} FROM st"
 
 
-def q_official_import() -> str:
+def q_official_import(where: str = "", half: str | None = None) -> str:
     dn = "date_diff('day', DATE '1970-01-01', date)"
     tm = (f"CASE WHEN {dn} % {B.OFFICIAL_TM_GAP_MOD} = 0 THEN "
-          f"(CASE WHEN temp_high IS NOT NULL AND temp_low IS NOT NULL THEN (temp_high + temp_low) // 2 END) "
+          f"(CASE WHEN temp_high IS NOT NULL AND temp_low IS NOT NULL THEN {half or '(temp_high + temp_low) // 2'} END) "
           f"ELSE temp_avg END")
     pavg = f"CASE WHEN {dn} % {B.OFFICIAL_PMERM_GAP_MOD} = 0 THEN NULL ELSE pressure_avg END"
     fxy = (f"CASE WHEN {dn} % {B.OFFICIAL_FXY_INT_MOD} = 0 THEN 36 * (wind_speed_max // 10) "
@@ -623,7 +641,15 @@ def q_official_import() -> str:
   {tenths('pressure_low')} AS pressure_low,
   {tenths(fxy)} AS wind_speed_max, {tenths('(gust_speed_max * 36) // 10')} AS gust_speed_max,
   {tenths('precipitation_sum')} AS precipitation_sum, CAST(NULL AS DOUBLE) AS solar_radiation_avg
-FROM daily"""
+FROM daily{where}"""
+
+
+def q_official_filtered() -> str:
+    names = ", ".join(f"'{s}'" for s in B.OFFICIAL_STATIONS)
+    lo, hi = B.OFFICIAL_YEARS
+    half = hu("(temp_high + temp_low)", "2")
+    return q_official_import(f""" WHERE station IN ({names}) AND year(date) BETWEEN {lo} AND {hi}
+  AND day(date) % 10 <> 7""", half)
 
 
 # --- documents -----------------------------------------------------------------
@@ -680,12 +706,11 @@ def q_normals_union() -> str:
 
 # --- streaming ----------------------------------------------------------------
 
-def obs_msg_cte(first_only: bool = False) -> str:
+def obs_msg_cte() -> str:
     """Observations as the message path delivers them (first element, wind x 1.5)."""
     o = B.OBS_INT
     w = "((event_id * 11) % 300)"
     g = "((event_id * 3) % 100)"
-    which = f" AND event_id < {B.RESENT_OFFSET}" if first_only else ""
     return f"""{ev_cte()},
 obs_msg AS (
   SELECT {B.OBS_STATION} AS station, date_trunc('second', ts) AS obs_ts,
@@ -696,7 +721,7 @@ obs_msg AS (
     {o['solar10']} AS solar10, {o['uv10']} AS uv10,
     strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS obs_time_utc,
     CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch
-  FROM ev WHERE event_id % {B.MSG_EMPTY_MOD} <> 0{which}
+  FROM ev WHERE event_id % {B.MSG_EMPTY_MOD} <> 0
   QUALIFY row_number() OVER (PARTITION BY station, obs_ts ORDER BY event_id) = 1)"""
 
 
@@ -712,16 +737,23 @@ FROM ({rollup_select('obs_msg')}) r JOIN solar USING (station, date)"""
 
 
 def q_stream_final() -> str:
-    """The messages without the resent ones; the data has no other repeats of a key."""
-    return with_(obs_msg_cte(first_only=True), stations_cte(), sun_cte("obs_msg"), _solar_cte("obs_msg")) + \
+    return with_(obs_msg_cte(), stations_cte(), sun_cte("obs_msg"), _solar_cte("obs_msg")) + \
         f"""SELECT r.*, solar.solar_radiation_avg
 FROM ({rollup_select('obs_msg')}) r JOIN solar USING (station, date)"""
 
 
 # --- files and jobs ---------------------------------------------------------------
 
-def q_refresh_days() -> str:
-    return "SELECT * EXCLUDE (solar_radiation_avg) FROM (" + q_daily_rollup_spine() + ")"
+def q_refresh_days(start=B.SPINE_START, end=B.SPINE_END) -> str:
+    return with_(obs_ctes(), stations_cte(), sun_cte(), _solar_cte()) + f"""SELECT sp.station, sp.date,
+  r.* EXCLUDE (station, date), solar.solar_radiation_avg
+FROM {_spine(start, end)}
+LEFT JOIN ({rollup_select()}) r ON r.station = sp.station AND r.date = sp.date
+LEFT JOIN solar ON solar.station = sp.station AND solar.date = sp.date"""
+
+
+def q_stations() -> str:
+    return with_(stations_cte()) + "SELECT station, CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, tz, region FROM stations"
 
 
 def q_console_files() -> str:

@@ -7,6 +7,7 @@ doubles and small integers become longs.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -241,7 +242,37 @@ def q_refresh_days(spark: SparkSession, sf: str) -> DataFrame:
     path, st = _root(spark, "daily"), B.stations(spark, sf)
     for _ in range(2):
         jobs.refresh_days(spark, B.obs(spark, sf), path, B.SPINE_START, B.SPINE_END, st)
-    return finalize(tables.read_daily(spark, path).drop("solar_radiation_avg"))
+    return finalize(tables.read_daily(spark, path))
+
+
+def q_refresh_yesterday(spark: SparkSession, sf: str) -> DataFrame:
+    """the day before a given one is refreshed first, then that day itself."""
+    path, st, today = _root(spark, "yesterday"), B.stations(spark, sf), B.SPINE_END
+    for span in (jobs.yesterday_range(today), jobs.today_range(today)):
+        jobs.refresh_days(spark, B.obs(spark, sf), path, *span, st, today=today)
+    return finalize(tables.read_daily(spark, path))
+
+
+def q_stations_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The station registry written as configuration files of about a thousand entries and read."""
+    root, st = _root(spark, "registry"), B.stations(spark, sf)
+    n = max(1, st.count() // 1000)
+    entry = F.struct(F.col("station").alias("weatherStation"), F.col("lat").alias("latitude"),
+                     F.col("lon").alias("longitude"), F.col("tz").alias("timezone"))
+    st.groupBy(F.pmod(F.xxhash64("station"), F.lit(n)).alias("part")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.concat("station", F.lit("|"), "region"), entry))).alias("dbConfigs")) \
+        .select("part", F.to_json(F.struct("dbConfigs")).alias("value")).write.partitionBy("part").text(f"{root}/files")
+    return tables.stations_from_json(spark, f"{root}/files").select(
+        "station", "lat", "lon", "tz", F.substring_index("region", "|", -1).alias("region"))
+
+
+def q_station_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Every station has a list of periods of its own."""
+    daily, periods = B.daily(spark, sf), B.station_periods(spark, sf)
+    means = normals.period_means(daily, periods)
+    hottest = doy.doy_normals_fixed(daily, periods).groupBy("station", "period_id") \
+        .agg(F.max("MaxTempHigh").alias("Max_TempHigh"), F.count("*").alias("n_days"))
+    return finalize(means.join(hottest, ["station", "period_id"]))
 
 
 def q_official_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,19 +285,39 @@ def q_official_files(spark: SparkSession, sf: str) -> DataFrame:
     return finalize(tables.read_daily(spark, f"{root}/daily"))
 
 
+def _write_official(df: DataFrame, path: str, names: list[str], mode: str = "append") -> None:
+    """Official text files: the columns in the given order under their header, in every file."""
+    line = F.concat_ws(";", *[F.coalesce(F.col(c), F.lit("")) for c in names])
+    df.select(line.alias(";".join(names))).write.mode(mode).option("header", True) \
+        .option("sep", "\u0001").option("quote", "").option("emptyValue", "").csv(path)
+
+
+def q_official_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 and J5 by header: folders whose files have different column orders and one name printed otherwise."""
+    root, (rr, other) = _root(spark, "orders"), B.official_files(spark, sf)
+    for df, name in ((rr, "rr"), (other, "other")):
+        odd = F.pmod(F.xxhash64("AAAAMMJJ"), F.lit(2)) == 1
+        _write_official(df.filter(~odd), f"{root}/{name}", df.columns)
+        _write_official(df.filter(odd).withColumnRenamed("NUM_POSTE", "UM_POSTE"), f"{root}/{name}",
+                        [c.replace("NUM_", "UM_") for c in reversed(df.columns)])
+    return finalize(official.import_official(files.read_official_daily(spark, f"{root}/rr"),
+                                             files.read_official_other(spark, f"{root}/other")))
+
+
+def q_official_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Chosen stations and years, accepted quality codes, means rounded half up."""
+    rr, other = B.official_files(spark, sf)
+    coded = rr.withColumn("QTN", F.when(F.substring("AAAAMMJJ", 8, 1) == "7", "4").otherwise(F.col("QTN")))
+    return finalize(official.import_official(coded, other, B.OFFICIAL_STATIONS, B.OFFICIAL_YEARS, "round", (0, 1, 9)))
+
+
 def q_official_combined(spark: SparkSession, sf: str) -> DataFrame:
     """Both column blocks in one wide file, date first."""
     root, (rr, other) = _root(spark, "combined"), B.official_files(spark, sf)
     left = ["AAAAMMJJ", *[c for c in schemas.OFFICIAL_RR_COLUMNS if c != "AAAAMMJJ"]]
     right = [c for c in schemas.OFFICIAL_OTHER_COLUMNS if c not in ("AAAAMMJJ", "NUM_POSTE")]
     wide = rr.join(other, ["NUM_POSTE", "AAAAMMJJ"])
-    line = F.concat_ws(";", *[F.coalesce(F.col(c), F.lit("")) for c in [*left, "NUM_POSTE", *right]])
-    header = ";".join([*left, "NUM_POSTE", *right])
-    wide.select(line.alias("line")).write.option("header", False).text(f"{root}/body")
-    # every file gets its own header line, as the collection script leaves it
-    body = spark.read.text(f"{root}/body").withColumn("file", F.spark_partition_id())
-    lines = body.groupBy("file").agg(F.concat_ws("\n", F.lit(header), F.collect_list("value")).alias("text"))
-    lines.select("text").write.text(f"{root}/wide")
+    _write_official(wide, f"{root}/wide", [*left, "NUM_POSTE", *right])
     a, b = files.read_official_combined(spark, f"{root}/wide")
     return finalize(official.import_official(a, b))
 
@@ -368,12 +419,12 @@ def q_stream_first_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_final(spark: SparkSession, sf: str) -> DataFrame:
-    """The finalised days of a stream; a last message far ahead closes them all."""
+    """The finalised days of a stream, first arrivals only; a last message far ahead closes them all."""
     from ..streaming import pipeline
     root = _root(spark, "final")
-    first = B.observation_messages(spark, sf, with_arrival=True) \
-        .filter(F.get_json_object("value", "$.arrival").cast("long") < B.RESENT_OFFSET)
-    first.write.text(f"{root}/landing")
+    # resent messages too, in files whose order is not that of their arrival
+    B.observation_messages(spark, sf, with_arrival=True).repartition(STREAM_FILES, F.xxhash64("value")) \
+        .write.text(f"{root}/landing")
     spark.range(1).select(F.lit('{"observations":[{"stationID":"end","obsTimeLocal":"2100-01-01T00:00:00"}]}')) \
         .write.mode("append").text(f"{root}/landing")
     rows = pipeline.observation_rows(pipeline.read_landed(spark, f"{root}/landing"))
@@ -422,6 +473,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_days": q_refresh_days,
     "official_files": q_official_files,
     "official_combined": q_official_combined,
+    "official_orders": q_official_orders,
+    "official_filtered": q_official_filtered,
+    "refresh_yesterday": q_refresh_yesterday,
+    "stations_files": q_stations_files,
+    "station_periods": q_station_periods,
     "console_files": q_console_files,
     "history_files": q_history_files,
     "documents_files": q_documents_files,
@@ -468,6 +524,11 @@ def oracles() -> dict[str, str]:
         "refresh_days": O.q_refresh_days(),
         "official_files": O.q_official_import(),
         "official_combined": O.q_official_import(),
+        "official_orders": O.q_official_import(),
+        "official_filtered": O.q_official_filtered(),
+        "refresh_yesterday": O.q_refresh_days(B.SPINE_END - _dt.timedelta(days=1), B.SPINE_END),
+        "stations_files": O.q_stations(),
+        "station_periods": O.q_station_periods(),
         "console_files": O.q_console_files(),
         "history_files": O.q_history_map(),
         "documents_files": O.q_documents_files(),

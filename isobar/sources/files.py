@@ -56,44 +56,55 @@ def read_console_export(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("source_file", F.input_file_name())
 
 
+# The station number's column is also printed under this name.
+_PRINTED_AS = {"UM_POSTE": "NUM_POSTE"}
+
+
+def read_by_header(spark: SparkSession, path: str, columns: list[str], marker: str = "AAAAMMJJ") -> DataFrame:
+    """';' separated text files as string columns, taken by the names of each file's own header.
+
+    A header line is one that holds ``marker``; of repeated names the first counts, columns that
+    are not asked for are left out, empty values are NULL. A file without a header, or whose header
+    lacks a column, stops the job that reads its rows with an error naming them.
+    """
+    text = F.translate("value", "\ufeff\r", "")
+    cells = F.transform(F.split(text, ";", -1), lambda x: F.nullif(F.trim(x), F.lit("")))
+    lines = spark.read.text(path).select(cells.alias("cells"), F.col("_metadata.file_path").alias("file"))
+    is_header = F.array_contains("cells", marker)
+    named = F.transform("cells", lambda x: F.coalesce(
+        F.element_at(F.create_map(*[F.lit(n) for kv in _PRINTED_AS.items() for n in kv]), x), x))
+    headers = lines.filter(is_header).groupBy("file").agg(F.first(named).alias("names")).select(
+        "file", F.array(*[F.array_position("names", c).cast("int") for c in columns]).alias("at"),
+        F.array_except(F.array(*[F.lit(c) for c in columns]), "names").alias("missing"))
+    body = lines.filter(~F.coalesce(is_header, F.lit(False)) & F.exists("cells", lambda x: x.isNotNull())) \
+        .join(headers, "file", "left")
+    # every value goes through the check, so that no choice of columns leaves it out
+    at = F.when(F.col("at").isNull(), F.raise_error(F.concat(F.lit("official file without a header line: "), "file"))) \
+        .when(F.size("missing") > 0, F.raise_error(F.concat(
+            F.lit("official file lacks columns: "), F.array_join("missing", ", "), F.lit(" in "), "file"))) \
+        .otherwise(F.col("at"))
+    return body.select("cells", at.alias("at")).select(*[
+        F.get("cells", F.get("at", F.lit(i)) - 1).alias(c) for i, c in enumerate(columns)])
+
+
 def read_official_daily(spark: SparkSession, path: str) -> DataFrame:
-    """Official daily file (temperature/rain/wind), ';' separated, text."""
-    return (spark.read.option("sep", ";").option("header", True)
-            .option("enforceSchema", True).schema(schemas.OFFICIAL_RR_SCHEMA).csv(path))
+    """Official daily files (temperature, rain, wind), by each file's header."""
+    return read_by_header(spark, path, schemas.OFFICIAL_RR_COLUMNS)
 
 
 def read_official_other(spark: SparkSession, path: str) -> DataFrame:
-    """Second parameter set (pressure, humidity) of the official files."""
-    df = spark.read.option("sep", ";").option("header", True).csv(path)
-    missing = [c for c in schemas.OFFICIAL_OTHER_COLUMNS if c not in df.columns]
-    if missing:
-        raise ValueError(f"official file lacks columns: {', '.join(missing)}")
-    return df.select(*schemas.OFFICIAL_OTHER_COLUMNS)
+    """Second parameter set (pressure, humidity) of the official files, by each file's header."""
+    return read_by_header(spark, path, schemas.OFFICIAL_OTHER_COLUMNS)
 
 
 def read_official_combined(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Combined wide files (date first, two column blocks).
 
-    The second block repeats ``NUM_POSTE NOM_USUEL LAT LON ALTI``. Every file has
-    its own header line (the one that names the date column), by which its values
-    are taken; of repeated names the first counts. The halves come back as the
-    two inputs of :func:`isobar.operators.official.import_official`.
+    The second block repeats ``NUM_POSTE NOM_USUEL LAT LON ALTI``; the first of repeated names
+    counts. The halves come back as the two inputs of
+    :func:`isobar.operators.official.import_official`.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    cells = F.transform(F.split("value", ";", -1), lambda x: F.nullif(F.trim(x), F.lit("")))
-    lines = lines.select("file", cells.alias("cells")) \
-        .withColumn("is_header", F.array_contains("cells", "AAAAMMJJ"))
-    headers = lines.filter("is_header").groupBy("file").agg(F.first("cells").alias("names"))
-    body = lines.filter(~F.coalesce("is_header", F.lit(False)) & F.exists("cells", lambda x: x.isNotNull())) \
-        .join(headers, "file", "left")
-
-    def value(name):
-        at = F.array_position("names", name)
-        return F.when(at > 0, F.get(F.col("cells"), (at - 1).cast("int"))).alias(name)
-    if body.filter("names IS NULL").limit(1).count():
-        raise ValueError("official file without a header line")
-    return (body.select(*[value(c) for c in schemas.OFFICIAL_RR_COLUMNS]),
-            body.select(*[value(c) for c in schemas.OFFICIAL_OTHER_COLUMNS]))
+    return read_official_daily(spark, path), read_official_other(spark, path)
 
 
 def read_statistics_document(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:

@@ -13,8 +13,8 @@
   stored observations (including the daylight solar mean) and upserted into the
   daily table, which is partitioned by year and month. Late rows simply
   re-touch their day, which is also the T4 backfill path.
-* T3 ``finalized_daily``: a pure streaming windowed aggregation in append
-  mode; a day is emitted once the watermark passes its end.
+* T3 ``finalized_daily``: pure streaming aggregations in append mode, the first
+  arrival per key and then the day, emitted once the watermark passes its end.
 
 Stored tables are read within the batch's smallest and largest partition value
 (literal bounds). Intermediate results are written under ``spark.checkpoint.dir``
@@ -146,18 +146,24 @@ def finalized_daily(obs_stream: DataFrame, watermark: str = "2 days",
                     stations: DataFrame | None = None) -> DataFrame:
     """Day rows emitted once the watermark passes the end of the day.
 
-    Duplicate keys inside the watermark are dropped (survivor arbitrary
-    within one micro-batch; use the T1 table for first-wins semantics). The
-    local wall clock is carried as the instant at which a UTC clock shows it, by
-    plain arithmetic, so the session's time zone plays no part. With
+    Two chained aggregations: the first keeps the earliest arrival of every (station, obs_ts), as T1
+    does, and passes it on once the watermark is beyond it; the second rolls the day up. What comes
+    later than the watermark is dropped. The local wall clock is carried as the instant at which a
+    UTC clock shows it, by plain arithmetic, so the session's time zone plays no part. With
     ``stations`` the daylight solar mean is given.
     """
+    order = [c for c in ARRIVAL if c in obs_stream.columns]
+    if not order:
+        raise ValueError(f"first arrivals need one of the columns: {', '.join(ARRIVAL)}")
     zero = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
     instant = F.timestamp_seconds(F.timestamp_diff("SECOND", zero, F.col("obs_ts")))
-    rows = obs_stream if stations is None else with_daylight(obs_stream, stations)
-    dedup = rows.withColumn("event_time", instant).withWatermark("event_time", watermark) \
-        .dropDuplicatesWithinWatermark(["station", "obs_ts"])
-    agg = dedup.groupBy("station", F.window("event_time", "1 day").alias("w")) \
+    values = F.struct(*[c for c in obs_stream.columns if c not in OBS_KEYS])
+    first = obs_stream.withColumn("event_time", instant).withWatermark("event_time", watermark) \
+        .groupBy(*OBS_KEYS, F.window("event_time", "1 second").alias("k")) \
+        .agg(F.min_by(values, F.struct(*order)).alias("r")) \
+        .select(*OBS_KEYS, F.window_time("k").alias("event_time"), "r.*")
+    rows = first if stations is None else with_daylight(first, stations)
+    agg = rows.groupBy("station", F.window("event_time", "1 day").alias("w")) \
         .agg(*day_aggregates(), solar_aggregate(stations is not None))
     date = F.date_add(F.lit("1970-01-01").cast("date"), F.expr("CAST(unix_seconds(w.start) div 86400 AS INT)"))
     return agg.select("station", date.alias("date"), *schemas.DAILY_MEASURES)

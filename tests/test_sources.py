@@ -135,3 +135,43 @@ def test_config_loaders(tmpdir_path):
         config.load_station_config(p, "db9")
     with pytest.raises(ValueError):
         config.Period(2001, 2000)
+
+
+def _official(path, names, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as fh:
+        fh.write("\n".join([";".join(names)] + [";".join(r.get(n, "") for n in names) for r in rows]) + "\n")
+
+
+def test_official_files_of_several_column_orders(spark, tmpdir_path):
+    from isobar import schemas
+    names = list(schemas.OFFICIAL_RR_COLUMNS)
+    swapped = [{"TN": "TX", "TX": "TN"}.get(n, n) for n in names]
+    a = {"NUM_POSTE": "1", "NOM_USUEL": "A", "AAAAMMJJ": "20200101", "TN": "2.5", "TX": "9.5"}
+    b = dict(a, AAAAMMJJ="20200102", TN="1.5", TX="8.5")
+    c = dict(a, AAAAMMJJ="20200103", EXTRA="x", UM_POSTE="2")
+    _official(f"{tmpdir_path}/rr/a.csv", names, [a])
+    _official(f"{tmpdir_path}/rr/b.csv", swapped, [b])
+    # reversed, with a column more and the printed name of the station number, behind a byte-order mark
+    _official(f"{tmpdir_path}/rr/c.csv", ["﻿EXTRA", *["UM_POSTE" if n == "NUM_POSTE" else n for n in reversed(names)]], [c])
+    got = {r.AAAAMMJJ: (r.NUM_POSTE, r.TN, r.TX, r.RR) for r in files.read_official_daily(spark, f"{tmpdir_path}/rr").collect()}
+    assert got == {"20200101": ("1", "2.5", "9.5", None), "20200102": ("1", "1.5", "8.5", None), "20200103": ("2", "2.5", "9.5", None)}
+    other = list(schemas.OFFICIAL_OTHER_COLUMNS)
+    _official(f"{tmpdir_path}/o/a.csv", other, [{"NUM_POSTE": "1", "AAAAMMJJ": "20200101", "PMERM": "1015.0"}])
+    _official(f"{tmpdir_path}/o/b.csv", other[::-1], [{"NUM_POSTE": "1", "AAAAMMJJ": "20200102", "PMERM": "1013.0"}])
+    assert {r.AAAAMMJJ: r.PMERM for r in files.read_official_other(spark, f"{tmpdir_path}/o").collect()} == \
+        {"20200101": "1015.0", "20200102": "1013.0"}
+
+
+def test_official_file_without_a_column_or_header_raises(spark, tmpdir_path):
+    from isobar import schemas
+    other = list(schemas.OFFICIAL_OTHER_COLUMNS)
+    _official(f"{tmpdir_path}/o/a.csv", other, [{"NUM_POSTE": "1", "AAAAMMJJ": "20200101"}])
+    _official(f"{tmpdir_path}/o/b.csv", [n for n in other if n != "UM"], [{"NUM_POSTE": "1", "AAAAMMJJ": "20200101"}])
+    with pytest.raises(Exception, match="lacks columns: UM in .*b.csv"):
+        # whatever columns are asked for
+        files.read_official_other(spark, f"{tmpdir_path}/o").select("NUM_POSTE").collect()
+    with open(f"{tmpdir_path}/bare.csv", "w") as fh:
+        fh.write("1;20200101;;;;;\n")
+    with pytest.raises(Exception, match="without a header"):
+        files.read_official_other(spark, f"{tmpdir_path}/bare.csv").collect()

@@ -154,3 +154,31 @@ def test_dry_run_returns_changes_and_writes_nothing(spark, tmpdir_path):
     again = spark.createDataFrame([("P", dt.datetime(2024, 1, 1, 10), D("3.0")) + (None,) * 13], schemas.OBSERVATIONS)
     changes = {r.date.day: (r.action, r.changed) for r in jobs.refresh_days(spark, again, daily, *args, dry_run=True).collect()}
     assert changes == {1: ("update", "temp_avg,temp_high,temp_low"), 2: ("update", "")}
+
+
+def test_dry_run_names_what_the_run_does(spark, tmpdir_path):
+    from decimal import Decimal as D
+    st = stations_frame(spark, [("P", 48.85, 2.35, "Europe/Paris", "x")])
+    daily = os.path.join(tmpdir_path, "daily")
+    obs = spark.createDataFrame([("P", dt.datetime(2024, 1, 2, 10), D("2.0")) + (None,) * 13], schemas.OBSERVATIONS)
+    args = (spark, obs, daily, dt.date(2024, 1, 1), dt.date(2024, 1, 4), st)
+    promised = jobs.refresh_days(*args, skip_empty=True, dry_run=True)
+    assert [(r.date.day, r.action) for r in promised.collect()] == [(2, "insert")]
+    jobs.refresh_days(*args, skip_empty=True)
+    assert [r.date.day for r in spark.read.parquet(daily).collect()] == [2]
+
+
+def test_finalized_days_keep_the_first_arrival(spark, tmpdir_path):
+    land = os.path.join(tmpdir_path, "landing")
+    # the earliest arrival comes last, in a later file; its copies differ
+    _land(land, "a.json", [dict(_msg("2024-01-02 12:00:00", 7.0), arrival=30), dict(_msg("2024-01-02 12:00:00", 9.0), arrival=20)])
+    _land(land, "b.json", [dict(_msg("2024-01-02 12:00:00", 3.0), arrival=10), dict(_msg("2024-01-02 13:00:00", 5.0), arrival=40)])
+    _land(land, "c.json", [dict(_msg("2024-02-01 00:00:00", 0.0), arrival=50)])
+    rows = pipeline.observation_rows(pipeline.read_landed(spark, land, files_per_trigger=1))
+    out = os.path.join(tmpdir_path, "days")
+    for _ in range(2):
+        (pipeline.finalized_daily(rows, "20 days").writeStream.outputMode("append").format("parquet").option("path", out)
+         .trigger(availableNow=True).option("checkpointLocation", os.path.join(tmpdir_path, "ck")).start().awaitTermination())
+    assert [(str(r.date), float(r.temp_low), float(r.temp_high)) for r in spark.read.parquet(out).collect()] == [("2024-01-02", 3.0, 5.0)]
+    with pytest.raises(ValueError, match="arrival"):
+        pipeline.finalized_daily(rows.drop("arrival", "landed_file", "epoch"))
