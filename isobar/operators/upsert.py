@@ -36,25 +36,35 @@ def with_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
-def in_bounds(target: DataFrame, source: DataFrame, partition_cols: list[str] | None) -> DataFrame:
-    """Target rows within the source's smallest and largest partition values.
+# Partitions named one by one in a filter; beyond, their bounds are given.
+MAX_PARTITIONS = 2000
 
-    The bounds are literals (one row is read on the driver), so they prune the
-    target's partitions when it is scanned. ``source`` should be a written
-    table: it is read for them.
-    """
-    for c in partition_cols or []:
-        lo, hi = source.agg(F.min(c), F.max(c)).first()
-        target = target.filter(F.lit(False) if lo is None else F.col(c).between(F.lit(lo), F.lit(hi)))
-    return target
 
+def in_partitions(target: DataFrame, source: DataFrame, partition_cols: list[str] | None,
+                  limit: int = MAX_PARTITIONS) -> DataFrame:
+    """Target rows in the partitions the source has rows in.
 
-def _touched(target: DataFrame, source: DataFrame, partition_cols: list[str] | None):
-    """Target rows in the partitions the source touches."""
+    The distinct partition values come to the driver (days or months, at most ``limit``) and
+    become literals, so that a scan of the target lists just those partitions. Beyond the limit the
+    columns' bounds prune and a join settles the rest. ``source`` should be a written table: it is
+    read for the values.
+    """
     if not partition_cols:
         return target
-    parts = source.select(*partition_cols).distinct()
-    return in_bounds(target, source, partition_cols).join(parts, partition_cols, "left_semi")
+    parts = with_keys(source.select(*partition_cols), partition_cols).distinct()
+    found = parts.limit(limit + 1).collect()
+    if len(found) > limit:
+        for c in partition_cols:
+            lo, hi = parts.agg(F.min(c), F.max(c)).first()
+            target = target.filter(F.col(c).between(F.lit(lo), F.lit(hi)))
+        return target.join(parts, partition_cols, "left_semi")
+    # values of the last column, per values of those before it
+    groups: dict[tuple, list] = {}
+    for r in sorted(found):
+        groups.setdefault(tuple(r)[:-1], []).append(r[-1])
+    cases = [reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in zip(partition_cols, head)]
+                    + [F.col(partition_cols[-1]).isin(last)]) for head, last in groups.items()]
+    return target.filter(reduce(lambda a, b: a | b, cases) if cases else F.lit(False))
 
 
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str],
@@ -71,7 +81,7 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str],
         new = first_arrival(new, keys, order).drop(*order)
     else:
         new = new.dropDuplicates(keys)
-    existing = _touched(target, new, partition_cols).select(*keys)
+    existing = in_partitions(target, new, partition_cols).select(*keys)
     return new.join(existing, keys, "left_anti")
 
 
@@ -128,7 +138,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     columns = target.columns
     validate_fields(fields, columns)
     src = prepared(source, columns, keys, partition_cols, skip_empty, order_by)
-    tgt = _touched(target, src, partition_cols)
+    tgt = in_partitions(target, src, partition_cols)
     t = tgt.withColumn("_in_tgt", F.lit(True)).alias("t")
     s = src.withColumn("_in_src", F.lit(True)).alias("s")
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
@@ -162,7 +172,7 @@ def change_set(target: DataFrame, source: DataFrame, keys: list[str],
     written = [c for c in columns if c not in keys and c not in (partition_cols or [])
                and (fields is None or c in fields)]
     s = prepared(source, columns, keys, partition_cols, skip_empty, order_by)
-    t = _touched(target, s, partition_cols) \
+    t = in_partitions(target, s, partition_cols) \
         .select(*keys, *[F.col(c).alias(f"_t_{c}") for c in written]) \
         .withColumn("_in_tgt", F.lit(True))
     j = s.join(t, keys, "left")
@@ -180,7 +190,7 @@ def write_upsert(target_path: str, source: DataFrame, keys: list[str],
     """Apply an upsert to a partitioned parquet table in place; returns the
     number of source rows rejected for a NULL in the key.
 
-    Only the partitions the source touches are read (literal bounds) and
+    Only the partitions the source touches are read (named by literals) and
     rewritten (dynamic partition overwrite). The merged rows are written to
     scratch first so the write never reads the files it is replacing; a retried
     job recomputes the same rows, so the write is idempotent. Repeated source

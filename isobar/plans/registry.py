@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import RECORD_METRICS, closed_left_metrics, load_normals_config
-from ..operators import catalog, doy, document, ingest, jobs, normals, official, rollup, upsert
+from ..operators import catalog, changes, doy, document, ingest, jobs, normals, official, rollup, upsert
 from ..sources import files, tables
 from ..session import materialize
 from . import bindings as B
@@ -385,7 +385,7 @@ def _run_stream(spark: SparkSession, sf: str, with_daily: bool):
      .repartition(STREAM_FILES).write.text(landing))
     q = pipeline.run_ingest(spark, landing, obs_path, f"{root}/_checkpoint", daily_path,
                             B.stations(spark, sf) if with_daily else None,
-                            files_per_trigger=STREAM_FILES_PER_TRIGGER)
+                            files_per_trigger=STREAM_FILES_PER_TRIGGER, compact_every=2)
     q.awaitTermination()
     return obs_path, daily_path
 
@@ -399,8 +399,33 @@ def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily table from its change files, some of them compacted on the way."""
     _, daily_path = _run_stream(spark, sf, with_daily=True)
-    return finalize(spark.read.parquet(daily_path).select(*[f.name for f in schemas.DAILY.fields]))
+    days = changes.read_merged(spark, daily_path, schemas.DAILY_KEYS, jobs.DAILY_PARTITIONS)
+    return finalize(days.select(*[f.name for f in schemas.DAILY.fields]))
+
+
+def _upsert_by_changes(spark: SparkSession, sf: str, compacted: bool) -> DataFrame:
+    """The upsert in change batches: the source's even and odd days, all of it again, one batch replayed."""
+    path, rows = _lake(spark, sf), jobs.by_month(B.daily2(spark, sf))
+    odd = F.dayofmonth("date") % 2 == 1
+    args = (schemas.DAILY_KEYS, jobs.DAILY_PARTITIONS)
+    for batch, part in (("even", rows.filter(~odd)), ("odd", rows.filter(odd)), ("even", rows.filter(~odd))):
+        changes.write_changes(path, part, *args, batch=batch)
+    if compacted:
+        changes.compact(spark, path, *args)
+    changes.write_changes(path, rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name == "temp_high" else f.name
+                                              for f in rows.schema.fields]), *args, fields=O.UPSERT_FIELDS, batch="fields")
+    out = changes.read_merged(spark, path, *args)
+    return finalize(out.select(*[f.name for f in schemas.DAILY.fields]))
+
+
+def q_upsert_changefiles(spark: SparkSession, sf: str) -> DataFrame:
+    return _upsert_by_changes(spark, sf, compacted=False)
+
+
+def q_upsert_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    return _upsert_by_changes(spark, sf, compacted=True)
 
 
 def q_stream_first_wins(spark: SparkSession, sf: str) -> DataFrame:
@@ -470,6 +495,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_lake": q_upsert_lake,
     "upsert_dup_keys": q_upsert_dup_keys,
     "append_if_absent": q_append_if_absent,
+    "upsert_changefiles": q_upsert_changefiles,
+    "upsert_compacted": q_upsert_compacted,
     "refresh_days": q_refresh_days,
     "official_files": q_official_files,
     "official_combined": q_official_combined,
@@ -521,6 +548,8 @@ def oracles() -> dict[str, str]:
         "upsert_lake": O.q_upsert_full(),
         "upsert_dup_keys": O.q_upsert_full(),
         "append_if_absent": O.q_insert_if_absent(),
+        "upsert_changefiles": O.q_upsert_full(),
+        "upsert_compacted": O.q_upsert_full(),
         "refresh_days": O.q_refresh_days(),
         "official_files": O.q_official_import(),
         "official_combined": O.q_official_import(),

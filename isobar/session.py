@@ -85,6 +85,22 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 class Scratch:
     """Intermediate tables of one job; they are deleted when the block ends.
 
@@ -104,10 +120,8 @@ class Scratch:
         return self
 
     def __exit__(self, *exc):
-        jvm = self.spark.sparkContext._jvm
         for path in self.paths:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            delete_path(self.spark, path)
 
 
 def read_parquet_if_exists(spark: SparkSession, path: str):

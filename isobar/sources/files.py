@@ -60,12 +60,14 @@ def read_console_export(spark: SparkSession, path: str) -> DataFrame:
 _PRINTED_AS = {"UM_POSTE": "NUM_POSTE"}
 
 
-def read_by_header(spark: SparkSession, path: str, columns: list[str], marker: str = "AAAAMMJJ") -> DataFrame:
+def read_by_header(spark: SparkSession, path: str, columns: list[str], required: list[str] | None = None,
+                   marker: str = "AAAAMMJJ") -> DataFrame:
     """';' separated text files as string columns, taken by the names of each file's own header.
 
     A header line is one that holds ``marker``; of repeated names the first counts, columns that
     are not asked for are left out, empty values are NULL. A file without a header, or whose header
-    lacks a column, stops the job that reads its rows with an error naming them.
+    lacks one of the ``required`` columns (all, unless given), stops the job that reads its rows with an
+    error naming them.
     """
     text = F.translate("value", "\ufeff\r", "")
     cells = F.transform(F.split(text, ";", -1), lambda x: F.nullif(F.trim(x), F.lit("")))
@@ -75,7 +77,7 @@ def read_by_header(spark: SparkSession, path: str, columns: list[str], marker: s
         F.element_at(F.create_map(*[F.lit(n) for kv in _PRINTED_AS.items() for n in kv]), x), x))
     headers = lines.filter(is_header).groupBy("file").agg(F.first(named).alias("names")).select(
         "file", F.array(*[F.array_position("names", c).cast("int") for c in columns]).alias("at"),
-        F.array_except(F.array(*[F.lit(c) for c in columns]), "names").alias("missing"))
+        F.array_except(F.array(*[F.lit(c) for c in required or columns]), "names").alias("missing"))
     body = lines.filter(~F.coalesce(is_header, F.lit(False)) & F.exists("cells", lambda x: x.isNotNull())) \
         .join(headers, "file", "left")
     # every value goes through the check, so that no choice of columns leaves it out
@@ -84,7 +86,7 @@ def read_by_header(spark: SparkSession, path: str, columns: list[str], marker: s
             F.lit("official file lacks columns: "), F.array_join("missing", ", "), F.lit(" in "), "file"))) \
         .otherwise(F.col("at"))
     return body.select("cells", at.alias("at")).select(*[
-        F.get("cells", F.get("at", F.lit(i)) - 1).alias(c) for i, c in enumerate(columns)])
+        F.get("cells", F.nullif(F.get("at", F.lit(i)), F.lit(0)) - 1).alias(c) for i, c in enumerate(columns)])
 
 
 def read_official_daily(spark: SparkSession, path: str) -> DataFrame:
@@ -101,10 +103,12 @@ def read_official_combined(spark: SparkSession, path: str) -> tuple[DataFrame, D
     """Combined wide files (date first, two column blocks).
 
     The second block repeats ``NUM_POSTE NOM_USUEL LAT LON ALTI``; the first of repeated names
-    counts. The halves come back as the two inputs of
-    :func:`isobar.operators.official.import_official`.
+    counts, and a measure that a file does not have is NULL. The halves come back as the two inputs
+    of :func:`isobar.operators.official.import_official`.
     """
-    return read_official_daily(spark, path), read_official_other(spark, path)
+    keys = ["NUM_POSTE", "AAAAMMJJ"]
+    return (read_by_header(spark, path, schemas.OFFICIAL_RR_COLUMNS, keys),
+            read_by_header(spark, path, schemas.OFFICIAL_OTHER_COLUMNS, keys))
 
 
 def read_statistics_document(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:

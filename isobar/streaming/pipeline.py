@@ -10,26 +10,28 @@
 * Messages that cannot be parsed, and readings outside their column's range, go
   to a reject table beside the observations, one folder per batch.
 * T2/T5 ``refresh_daily``: the days a batch touched are recomputed from the
-  stored observations (including the daylight solar mean) and upserted into the
-  daily table, which is partitioned by year and month. Late rows simply
-  re-touch their day, which is also the T4 backfill path.
+  stored observations (including the daylight solar mean) and appended as change
+  files of the daily table, which a compaction takes in now and then. Late rows
+  simply re-touch their day, which is also the T4 backfill path.
 * T3 ``finalized_daily``: pure streaming aggregations in append mode, the first
   arrival per key and then the day, emitted once the watermark passes its end.
 
-Stored tables are read within the batch's smallest and largest partition value
-(literal bounds). Intermediate results are written under ``spark.checkpoint.dir``
+Stored tables are read in the partitions that the batch has rows in, named by literals. Intermediate results are written under ``spark.checkpoint.dir``
 first, so a job never reads the files it replaces, and deleted after the batch.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..operators.changes import compact, write_changes
 from ..operators.ingest import flatten_observations, out_of_range
 from ..operators.rollup import daily_rollup, day_aggregates, solar_aggregate, with_daylight
-from ..operators.upsert import append_rows, first_arrival, in_bounds, upsert, write_partitions
+from ..operators.upsert import append_rows, first_arrival, in_partitions, write_partitions
 from ..session import Scratch, read_parquet_if_exists
 
 OBS_KEYS = ["station", "obs_ts"]
@@ -39,6 +41,7 @@ ARRIVAL = ["arrival", "landed_file", "epoch"]
 # inside each partition so parquet min/max statistics still prune by station.
 OBS_PARTS = ["obs_date"]
 DAILY_PARTS = ["year", "month"]
+COMPACT_EVERY = 32      # micro-batches whose daily rows are change files
 
 # Landed message envelope: the feed message, with an arrival sequence if the
 # landing job adds one, and the text of lines that do not parse.
@@ -67,7 +70,7 @@ def merge_observations(batch: DataFrame, target_path: str, scratch: Scratch) ->
     if target is None:  # first batch: no table yet
         write_partitions(b, target_path, OBS_PARTS, OBS_KEYS)
         return b.select("station", F.col("obs_date").alias("date")).distinct()
-    near = in_bounds(target, b, OBS_PARTS)
+    near = in_partitions(target, b, OBS_PARTS)
     order = F.struct(*ARRIVAL)
     stored = near.select(*OBS_PARTS, *OBS_KEYS, order.alias("_stored"))
     seen = scratch.table(b.join(stored, OBS_PARTS + OBS_KEYS, "left"), "obs-seen")
@@ -93,18 +96,13 @@ def with_months(daily: DataFrame) -> DataFrame:
 
 
 def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_path: str,
-                  stations: DataFrame | None, scratch: Scratch) -> None:
-    """Recompute the touched days from stored observations, upsert them."""
+                  stations: DataFrame | None, batch: str) -> None:
+    """Recompute the touched days from stored observations and write them as a change batch."""
     touched = touched.withColumnRenamed("date", "obs_date")
-    obs = in_bounds(spark.read.parquet(obs_path), touched, OBS_PARTS)
+    obs = in_partitions(spark.read.parquet(obs_path), touched, OBS_PARTS)
     cut = obs.join(touched, ["station", "obs_date"], "left_semi")
-    days = scratch.table(with_months(daily_rollup(cut.drop("obs_date", *ARRIVAL), stations)), "daily-refresh")
-    target = read_parquet_if_exists(spark, daily_path)
-    if target is None:
-        merged = days
-    else:
-        merged = scratch.table(upsert(target, days, schemas.DAILY_KEYS, None, DAILY_PARTS), "daily-merge")
-    write_partitions(merged, daily_path, DAILY_PARTS, ["station", "date"])
+    days = with_months(daily_rollup(cut.drop("obs_date", *ARRIVAL), stations))
+    write_changes(daily_path, days, schemas.DAILY_KEYS, DAILY_PARTS, batch=batch)
 
 
 def observation_rows(msgs: DataFrame, wind_factor: float = 1.5) -> DataFrame:
@@ -118,8 +116,14 @@ def rejected_path(obs_path: str) -> str:
 
 def run_ingest(spark: SparkSession, landing: str, obs_path: str, checkpoint: str,
                daily_path: str | None = None, stations: DataFrame | None = None,
-               files_per_trigger: int | None = None, available_now: bool = True):
-    """Start T1 (and T2 when ``daily_path`` is given) over landed message files."""
+               files_per_trigger: int | None = None, available_now: bool = True,
+               compact_every: int = COMPACT_EVERY):
+    """Start T1 (and T2 when ``daily_path`` is given) over landed message files.
+
+    The daily rows are change batches beside ``daily_path`` (``changes.read_merged`` gives the table);
+    every ``compact_every`` batches they are taken into it.
+    """
+    writer = zlib.crc32(checkpoint.encode())
     msgs = read_landed(spark, landing, files_per_trigger)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -135,7 +139,9 @@ def run_ingest(spark: SparkSession, landing: str, obs_path: str, checkpoint: str
                 return
             touched = scratch.table(merge_observations(rows, obs_path, scratch), "touched")
             if daily_path is not None and touched.limit(1).count():
-                refresh_daily(session, touched, obs_path, daily_path, stations, scratch)
+                refresh_daily(session, touched, obs_path, daily_path, stations, f"{writer:08x}-{epoch_id}")
+            if daily_path is not None and epoch_id % compact_every == compact_every - 1:
+                compact(session, daily_path, schemas.DAILY_KEYS, DAILY_PARTS)
 
     w = msgs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
