@@ -16,8 +16,11 @@ lists are split by key hash into shards, tested in one pass each.
 
 Defined results: NULL urls and urls without ``://`` have an empty host and path
 and match no rule; only A-Z is lower-cased; repeated rows are judged alike; an
-empty table gives no rows; an empty rule list allows everything; columns other
-than the id and url are ignored.
+empty table gives no rows; an empty rule list allows everything; repeated rules count
+once, and a key listed both as block and allow is blocked; rules without a host
+or path match nothing, other verdicts raise; urls of any length are judged whole;
+two rules that fit with equal length are one key; columns other than the id and
+url are ignored.
 """
 
 from __future__ import annotations
@@ -86,9 +89,22 @@ def split_url(df: DataFrame, url: str = "url") -> DataFrame:
              .withColumn("path", F.regexp_extract(u, URL_PARTS, 2))
 
 
-def key_array(rules: list[tuple[str, str, str]]):
-    """Column: the keys of a row that could be listed, longest first."""
-    shapes = sorted({(h.count(".") + 1, len(p)) for _, h, p in rules}, reverse=True)
+def listed_keys(spark, rules: list[tuple[str, str, str]] | DataFrame) -> DataFrame:
+    """(key, blocked, labels, length), one row per key: repeated rules are one, and a key that is
+    listed both ways is blocked. Rules without a host or a path are left out."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
+    rules = rules.select(*[F.col(c).cast("string").alias(c) for c in ("verdict", "host", "path")])
+    known = F.col("verdict").isin("allow", "block")
+    blocked = F.when(known, F.col("verdict") == "block").otherwise(
+        F.raise_error(F.concat(F.lit("verdict is neither allow nor block: "), F.coalesce("verdict", F.lit("NULL")))))
+    return rules.filter("host IS NOT NULL AND path IS NOT NULL").groupBy(F.concat("host", "path").alias("key")).agg(
+        F.max(blocked).alias("blocked"), F.min(F.size(F.split("host", r"\."))).alias("labels"), F.min(F.length("path")).alias("length"))
+
+
+def key_array(shapes: list[tuple[int, int]]):
+    """Column: the keys of a row that could be listed, longest first; ``shapes``: the rules' numbers of
+    labels and path lengths."""
     if not shapes:
         return F.array().cast("array<string>")
     # a suffix of n labels exists only where the host has as many
@@ -171,14 +187,15 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame
 
     ``rules``: (verdict, host, path) with verdict allow or block. A rule fits
     its host and all subdomains if the path starts with the rule's; the longest
-    wins. Urls with no listed key are allowed.
+    wins. Urls with no listed key are allowed. A table of rules (verdict, host, path) stays a table;
+    only the distinct shapes of its keys reach the driver.
     """
     spark = pages.sparkSession
     ship(spark)
-    rules = [tuple(r) for r in rules]
-    rows = split_url(pages.select(F.col(id_col), F.col("url"))).withColumn("keys", key_array(rules))
-    listed = spark.createDataFrame([(h + p, v == "block") for v, h, p in rules],
-                                   "key string, blocked boolean")
+    listed = materialize(listed_keys(spark, rules), "url-rules")
+    shapes = sorted((tuple(r) for r in listed.select("labels", "length").distinct().collect()), reverse=True)
+    listed = listed.select("key", "blocked")
+    rows = split_url(pages.select(F.col(id_col), F.col("url"))).withColumn("keys", key_array(shapes))
     universe = rows.select(F.explode("keys").alias("key")).distinct() \
         .join(listed, "key", "left") \
         .select(F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("second"), F.col("key")).alias("k2"),

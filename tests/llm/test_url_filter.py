@@ -70,3 +70,22 @@ def test_empty(spark):
     assert uf.url_verdicts(df, URL_RULES).collect() == []
     df = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     assert [tuple(r) for r in uf.url_verdicts(df, []).collect()] == [(1, "a.com", "/", None, "allow")]
+
+
+def test_contradictory_and_repeated_rules_end(spark):
+    rules = [("allow", "com", "/"), ("block", "com", "/"), ("allow", "a.com", "/x"), ("allow", "a.com", "/x"),
+             ("block", "b.com", "/"), ("allow", "b.com", "/"), ("block", "b.com", "/")]
+    once = [("block", "com", "/"), ("allow", "a.com", "/x"), ("block", "b.com", "/")]
+    urls = [(1, "http://com/"), (2, "http://a.com/xy"), (3, "http://z.b.com/q"), (4, "http://net/")]
+    df = spark.createDataFrame(urls, "page_id long, url string")
+    assert sorted(tuple(r) for r in uf.url_verdicts(df, rules).collect()) == sorted((i, *judge(u, once)) for i, u in urls)
+
+
+def test_rules_as_a_table(spark):
+    table = spark.createDataFrame([*URL_RULES, ("block", None, "/"), ("allow", "com", None)], "verdict string, host string, path string") \
+        .selectExpr("'x' AS key", "path", "host", "verdict")
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)] + [(99, "http://example.com/en/" + "x" * 100_000)], "page_id long, url string")
+    got = sorted((tuple(r) for r in uf.url_verdicts(df, table).collect()), key=str)
+    assert got == sorted((tuple(r) for r in uf.url_verdicts(df, URL_RULES).collect()), key=str)
+    with pytest.raises(Exception, match="neither allow nor block: deny"):
+        uf.url_verdicts(df, [("deny", "com", "/")])
