@@ -9,7 +9,8 @@ row, then line); it is removed after its text was compared with the text of the
 first place byte by byte.
 
 Only line hashes and chunk positions take part in the grouping; the texts are
-shuffled twice, to fetch the first places' texts and to remove the copies. The
+shuffled once, into a table bucketed by row, in which the first places' texts are
+fetched and the copies removed. The
 first place of a hash is found with partial aggregation, and the occurrences of
 a hot chunk meet it in a join that splits.
 
@@ -34,7 +35,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from isobar.session import Scratch, materialize
+from isobar.session import Scratch, materialize, scratch_path
 
 from .common import packed
 
@@ -152,11 +153,27 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         F.struct(F.col("a").alias("first_line"), F.col("b").alias("last_line"), "expected"))).alias("cand"))
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """The rows with their number ``rid``, written once as a table bucketed by it.
+
+    The texts are exchanged here and never again: joins by ``rid`` read the buckets as they lie.
+    Rows of files keep their order when a task is repeated; what comes out of a shuffle may not, and
+    would be numbered otherwise, so such an input is written before it is numbered.
+    """
+    spark = docs.sparkSession
+    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+        docs = packed(docs, "line-input")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "line-rows")
+    name = "isobar_line_rows_" + path.rsplit("-", 1)[1]
+    docs.withColumn("rid", F.monotonically_increasing_id()).repartition(n, "rid").write.format("parquet") \
+        .option("compression", "zstd").option("path", path).bucketBy(n, "rid").sortBy("rid").saveAsTable(name)
+    return spark.table(name)
+
+
 def removal(docs: DataFrame, find=repeated_chunks) -> DataFrame:
     """The rows with ``lines`` and the compared, sorted finds ``removed`` (first_line, last_line)."""
-    # written once: computed again, another order of the input would number the rows otherwise
-    docs = packed(docs.withColumn("rid", F.monotonically_increasing_id()), "line-rows") \
-        .withColumn("oid", F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
+    docs = numbered_rows(docs).withColumn("oid", F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
     cand = find(docs.select("rid", "oid", "text"))
     rows = docs.drop("oid").join(cand, "rid", "left").withColumn("lines", _lines(F.col("text")))
     # explode and regroup would shuffle the texts again; the candidates are compared in place
