@@ -22,6 +22,10 @@ places are joined to runs (`repeated_passages`), which are compared with the tex
 of the first place byte by byte and removed. So every line goes that lies in a run
 of `MIN_LINES` or more such lines that also starts earlier, wherever chunks end.
 A run may overlap its first place ("a a a" leaves "a"); single lines that repeat stay.
+With `keep_copies` (the pipeline) a document that as a whole is a copy of an earlier
+one (`document_copies`) is no passage: what it shares with its original and the
+original's other copies stays, so that the stage after this one finds the copy whole.
+What both have from other documents is cut from both.
 `dedup_digest` (the query) keeps to the chunks, as its SQL does.
 
 Defined results: a NULL text stays NULL and has no lines; an empty text is one
@@ -37,11 +41,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from isobar.session import Scratch, materialize, scratch_path
 
-from .common import packed
+from .common import WORD, packed
 
 ROLL = 2
 CUTS = ("0", "4", "8", "c", "e")   # first hexadecimal digits that end a chunk
 MIN_LINES = 2
+GRAM = 5
+COPY_LINES = 0.25
+COPY_SIMILARITY = 0.8
 
 
 def _lines(text: Column) -> Column:
@@ -103,16 +110,18 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("first_line", "last_line", "expected"))).alias("cand"))
 
 
-def line_pairs(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(rid, oid, a, b, ck): successive lines a and b that are not blank, with the blank ones between them."""
+def line_pairs(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(rid, n): the rows' numbers of lines, and
+    (rid, oid, a, b, ck): successive lines a and b that are not blank, with the blank ones between them."""
     h = F.transform(_lines(F.col("text")), lambda x: F.concat(F.when(_blank(x), "-").otherwise(""), F.md5(x)))
     # a written table, as in chunk_places
     c = scratch.table(docs.filter("text IS NOT NULL").select("rid", "oid", h.alias("h")), "pair-hashes")
     c = c.withColumn("solid", F.filter(F.sequence(F.lit(1), F.size("h")), lambda i: ~F.element_at("h", i).startswith("-")))
     n = F.greatest(F.size("solid") - 1, F.lit(0))
+    sizes = c.select("rid", F.size("h").alias("n"))
     c = c.select("rid", "oid", "h", F.explode(F.arrays_zip(
         F.slice("solid", F.lit(1), n).alias("a"), F.slice("solid", F.lit(2), n).alias("b"))).alias("p"))
-    return c.select("rid", "oid", F.col("p.a").alias("a"), F.col("p.b").alias("b"), F.unhex(F.md5(F.array_join(
+    return sizes, c.select("rid", "oid", F.col("p.a").alias("a"), F.col("p.b").alias("b"), F.unhex(F.md5(F.array_join(
         F.slice("h", F.col("p.a"), F.col("p.b") - F.col("p.a") + 1), ","))).alias("ck"))
 
 
@@ -124,14 +133,57 @@ def _blocks(items: str, follows) -> Column:
     return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("first"), e.alias("last")))
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def _grams(text: Column) -> Column:
+    """The different runs of `GRAM` words (fewer words: the whole text), hashed."""
+    w = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(0))
+    n = F.size(w)
+    zipped = F.arrays_zip(w, *[F.slice(w, F.lit(j + 1), F.greatest(n, F.lit(1))) for j in range(1, GRAM)])
+    hashes = F.transform(zipped, lambda x: F.xxhash64(*[x[str(j)] for j in range(GRAM)]))
+    return F.array_distinct(F.slice(hashes, F.lit(1), F.greatest(n - (GRAM - 1), F.lit(1))))
+
+
+def document_copies(docs: DataFrame, sizes: DataFrame, runs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rid, of): rows that are copies, as whole documents, of an earlier row they repeat lines of.
+
+    Runs that cover at least `COPY_LINES` of both documents' lines make a candidate. It is a copy if one
+    run covers both, or if the sets of word n-grams have a Jaccard similarity of `COPY_SIMILARITY`.
+    """
+    cover = runs.groupBy("rid", "f_rid").agg(F.sum(F.col("b") - F.col("a") + 1).alias("k"), F.max(F.col("b") - F.col("a") + 1).alias("top"))
+    cand = cover.join(sizes.withColumnRenamed("n", "nx"), "rid") \
+        .join(sizes.select(F.col("rid").alias("f_rid"), F.col("n").alias("ny")), "f_rid") \
+        .filter((F.col("rid") != F.col("f_rid")) & (F.col("k") >= COPY_LINES * F.greatest("nx", "ny")))
+    cand = scratch.table(cand.withColumn("whole", (F.col("top") == F.col("nx")) & (F.col("nx") == F.col("ny"))), "copy-candidates")
+    near = cand.filter("NOT whole").select("rid", "f_rid")
+    needed = near.select("rid").union(near.select("f_rid")).distinct()
+    grams = scratch.table(docs.select("rid", "text").join(needed, "rid").select("rid", _grams(F.col("text")).alias("g")), "copy-grams")
+    both = near.join(grams.withColumnRenamed("g", "x"), "rid") \
+        .join(grams.select(F.col("rid").alias("f_rid"), F.col("g").alias("y")), "f_rid")
+    shared = F.size(F.array_intersect("x", "y"))
+    alike = both.withColumn("s", shared).filter(
+        F.col("s") >= COPY_SIMILARITY * (F.size("x") + F.size("y") - F.col("s")) - 1e-9)
+    found = cand.filter("whole").select("rid", "f_rid").unionByName(alike.select("rid", "f_rid"))
+    return scratch.table(found.groupBy("rid").agg(F.min("f_rid").alias("of")), "copies")
+
+
+def without_copies(runs: DataFrame, copies: DataFrame) -> DataFrame:
+    """The runs but those that a copy shares with its original or with other copies of it."""
+    own = copies.withColumnRenamed("of", "x_of")
+    first = copies.select(F.col("rid").alias("f_rid"), F.col("of").alias("y_of"))
+    same = (F.col("x_of") == F.col("f_rid")) | (F.col("x_of") == F.col("y_of"))
+    return runs.join(own, "rid", "left").join(first, "f_rid", "left").filter(~F.coalesce(same, F.lit(False))).drop("x_of", "y_of")
+
+
+def repeated_passages(docs: DataFrame, keep_copies: bool = False) -> DataFrame:
     """(rid, cand): per row the passages that occur earlier, as sorted structs of first and last line
     and the text of the first place; neighbours can share a line.
 
+    With ``keep_copies`` what makes a document a copy of another one is no passage.
+
     ``docs``: rid, oid, text.
     """
     with Scratch(docs.sparkSession) as scratch:
-        pairs = scratch.table(line_pairs(docs, scratch), "line-pairs")
+        sizes, pairs = line_pairs(docs, scratch)
+        pairs = scratch.table(pairs, "line-pairs")
         place = F.struct("oid", "rid", "a")
         firsts = pairs.groupBy("ck").agg(F.min(F.struct("oid", "rid", "a", "b")).alias("f"), F.max(place).alias("last")) \
             .filter(F.struct("f.oid", "f.rid", "f.a") != F.col("last")) \
@@ -142,6 +194,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                                                        & (x["f_b"] == y["f_a"]))).alias("r"))
         runs = materialize(runs.select("rid", F.col("r.first.a").alias("a"), F.col("r.last.b").alias("b"), F.col(
             "r.first.f_rid").alias("f_rid"), F.col("r.first.f_a").alias("f_a"), F.col("r.last.f_b").alias("f_b")), "line-runs")
+        if keep_copies:
+            runs = materialize(without_copies(runs, document_copies(docs, sizes, runs, scratch)), "passage-runs")
     wanted = runs.select(F.col("f_rid").alias("rid"), "f_a", "f_b").distinct() \
         .groupBy("rid").agg(F.collect_list(F.struct("f_a", "f_b")).alias("w"))
     texts = docs.select("rid", "text").join(wanted, "rid").select(
@@ -195,11 +249,14 @@ def kept_text() -> Column:
     return F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(parts, "\n"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages removed from ``text``; n_chars follows where it is given."""
+def dedup_lines(docs: DataFrame, keep_copies: bool = False) -> DataFrame:
+    """The documents with repeated passages removed from ``text``; n_chars follows where it is given.
+
+    ``keep_copies`` leaves copies of whole documents to a later search for near duplicates.
+    """
     own = docs.columns
     out = removal(docs.select(*[F.col(c).alias(f"d_{c}") for c in own if c not in ("doc_id", "text")],
-                              F.col("doc_id"), F.col("text")), repeated_passages)
+                              F.col("doc_id"), F.col("text")), lambda d: repeated_passages(d, keep_copies))
     # passages that share a line are one gap in the text
     blocks = _blocks("removed", lambda x, y: y["a"] <= x["b"])
     out = out.withColumn("removed", F.transform(blocks, lambda r: F.struct(r["first"]["a"].alias("a"), r["last"]["b"].alias("b"))))

@@ -63,3 +63,23 @@ def test_passages_against_loop(spark):
     got = dedup(spark, rows)
     assert got == kept(rows)
     assert (got[902], got[904], got[906]) == ("z", "r", "t")
+
+
+def test_copies_of_whole_documents_stay_whole(spark):
+    r = random.Random(9)
+    shared = [f"shared passage {k} " + " ".join(str(r.random()) for _ in range(8)) for k in range(3)]
+    text = [" ".join(str(r.random()) for _ in range(20)) for _ in range(10)]
+    near = text[:4] + [text[4].rsplit(" ", 1)[0] + " changed"] + text[5:]
+    far = text[:5] + own(r, 5, 6)
+    rows = [(1, own(r, 1, 3) + shared), (2, text[:5] + shared + text[5:]), (3, text[:5] + shared + text[5:]),
+            (4, near[:5] + shared + near[5:]), (5, far), (6, near), (7, own(r, 7, 2) + shared)]
+    rows = [(i, "\n".join(x)) for i, x in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: x["text"].split("\n") for x in ld.dedup_lines(df, keep_copies=True).collect()}
+    # what all copies have from document 1 is cut from all; what they have from document 2 stays
+    assert got[2] == got[3] == text and got[4] == got[6] == near
+    # half a document is a passage
+    assert got[5] == far[5:] and got[7] == rows[6][1].split("\n")[:2]
+    assert {x["doc_id"]: x["text"] for x in ld.dedup_lines(df).collect()} == kept(rows)
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert ld.dedup_lines(empty, keep_copies=True).collect() == []
