@@ -21,8 +21,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Multi-line chunks that occur earlier are cut from the texts."""
-    return line_dedup.dedup_lines(docs)
+    """Passages of several lines that occur earlier are cut from the texts. Copies of whole documents
+    stay whole for the next stage, which keeps one of each group."""
+    return line_dedup.dedup_lines(docs, keep_copies=True)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
