@@ -8,26 +8,36 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def discover_tables(spark: SparkSession, pattern: str) -> list[str]:
+def discover_tables(spark: SparkSession, pattern: str, databases: str | None = None) -> list[str]:
     """Catalog tables/views whose name matches a glob; none is an error.
 
-    ``_`` is matched literally (unlike a SQL LIKE pattern).
+    With ``databases``, a glob too, the tables of all matching databases, as ``database.table``;
+    else those of the current one. ``_`` is matched literally (unlike a SQL LIKE pattern).
     """
-    pat = pattern.lower()
-    names = sorted(t.name for t in spark.catalog.listTables()
-                   if fnmatch.fnmatchcase(t.name.lower(), pat))
+    def fits(name, glob):
+        return fnmatch.fnmatchcase(name.lower(), glob.lower())
+    if databases is None:
+        names = sorted(t.name for t in spark.catalog.listTables() if fits(t.name, pattern))
+    else:
+        names = sorted(f"{d.name}.{t.name}" for d in spark.catalog.listDatabases() if fits(d.name, databases)
+                       for t in spark.catalog.listTables(d.name) if not t.isTemporary and fits(t.name, pattern))
     if not names:
-        raise ValueError(f"no table matches {pattern!r}")
+        raise ValueError(f"no table matches {pattern!r}" + (f" in {databases!r}" if databases else ""))
     return names
 
 
 def consolidate(spark: SparkSession, names: list[str], prefix: str | None = None) -> DataFrame:
-    """Union of same-shaped tables with their source name (and prefix).
+    """Union of same-shaped tables with their source name.
 
-    The list comes from the catalog (a handful of tables), so the driver-side
-    ``reduce`` builds one Union node, not a data loop.
+    The source name is ``prefix`` and the table's name; without a prefix a table of another
+    database (``database.table``) has the database's name and ``_`` before its own. The list comes
+    from the catalog (a handful of tables), so the driver-side ``reduce`` builds one Union node, not
+    a data loop.
     """
-    parts = [spark.table(n).withColumn("source_table", F.lit((prefix or "") + n)) for n in names]
+    def source(name):
+        database, _, table = name.rpartition(".")
+        return prefix + table if prefix is not None else f"{database}_{table}" if database else table
+    parts = [spark.table(n).withColumn("source_table", F.lit(source(n))) for n in names]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

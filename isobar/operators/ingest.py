@@ -220,9 +220,30 @@ def console_daily(parsed: DataFrame, by: str = "date") -> DataFrame:
 
 def write_console_stats(stats: DataFrame, path: str) -> None:
     """The statistics lines as text without a header, one folder per station
-    (and file, where runs are given), in the order of the dates."""
+    (and file, where runs are given), in the order of the dates: for few stations."""
     parts = [c for c in ("station", "source_file") if c in stats.columns]
     order = [c for c in ("run",) if c in stats.columns] + ["date"]
     out = stats.repartitionByRange(*parts, *order) if parts else stats.repartitionByRange(*order)
     w = out.sortWithinPartitions(*parts, *order).select(*parts, "line").write.mode("overwrite")
     (w.partitionBy(*parts) if parts else w).text(path)
+
+
+STAT_FILE = "station string, source_file string, line string"
+LINES_PER_FILE = 5_000_000
+
+
+def write_console_lines(stats: DataFrame, path: str) -> None:
+    """W7 for many stations: lines that carry their station (and file, where runs are given) in front,
+    separated by tabs, dealt by range in the order of the stations and dates. The number of files
+    follows the bytes and not the stations."""
+    parts = [c for c in ("station", "source_file") if c in stats.columns]
+    order = [c for c in ("run",) if c in stats.columns] + ["date"]
+    (stats.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
+     .select(*[F.col(c) if c in parts else F.lit(None).cast("string").alias(c) for c in ("station", "source_file")], "line")
+     .write.mode("overwrite").option("sep", "\t").option("quote", "").option("emptyValue", "")
+     .option("maxRecordsPerFile", LINES_PER_FILE).csv(path))
+
+
+def read_console_lines(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_console_lines` wrote: station, source_file, line."""
+    return spark.read.schema(STAT_FILE).option("sep", "\t").option("quote", "").csv(path)

@@ -109,7 +109,7 @@ def load_normals(spark: SparkSession, job: NormalsJob, mode: str = "create",
     daily = read_daily_lake(spark, job.source_table)
     names = []
     with Scratch(spark) as scratch:
-        rows = scratch.table(doy_normals_config(daily, periods_frame(spark, job.periods), job.crossref), "normals")
+        rows = scratch.table(doy_normals_config(daily, periods_frame(spark, job.periods), job.crossref), "normals", ["period_id"])
         for p in job.periods:
             name = job.target_name(p)
             save_table(rows.filter(F.col("period_id") == p.period_id).drop("period_id"), name, mode,

@@ -136,6 +136,11 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_arrival(obs_raw(spark, sf_dir), ["station", "obs_ts"], "arrival").drop("arrival")
 
 
+def event_days(spark: SparkSession, sf_dir: str) -> tuple[_dt.date, _dt.date]:
+    """First and last day of the events."""
+    return tuple(table(spark, sf_dir, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first())
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One station per user of ``events``, dealt over the places of `STATIONS`."""
     place = F.element_at(F.array(*[F.struct(F.lit(lat).alias("lat"), F.lit(lon).alias("lon"), F.lit(tz).alias("tz"),

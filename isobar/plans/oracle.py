@@ -13,7 +13,6 @@ import math
 from decimal import Decimal
 
 from ..config import DAY_COUNT_METRICS, RECORD_METRICS, closed_left_metrics
-from ..functions import sun as sunf
 from . import bindings as B
 
 # --- rounding helpers (SQL text) ---------------------------------------------
@@ -184,26 +183,33 @@ def q_daily_rollup() -> str:
 FROM ({rollup_select()}) r"""
 
 
+# The published sunrise equation, stated here again so that the oracle does not
+# follow the library.
+SUN = {"MEAN_ANOMALY_0": 357.5291, "MEAN_ANOMALY_RATE": 0.98560028, "CENTRE_1": 1.9148, "CENTRE_2": 0.02,
+       "CENTRE_3": 0.0003, "PERIHELION": 102.9372, "J2000": 2451545.0, "TRANSIT_M": 0.0053, "TRANSIT_L": 0.0069,
+       "OBLIQUITY": 23.4397, "HORIZON": -0.833, "UNIX_EPOCH_JD": 2440587.5}
+
+
 def sun_sql(date: str, lat: str, lon: str) -> tuple[str, str]:
     """Same published equation as ``functions.sun``, as DuckDB SQL."""
     n = f"CAST(date_diff('day', DATE '2000-01-01', {date}) AS DOUBLE)"
     jstar = f"({n} - {lon} / 360.0)"
-    m = f"({sunf.MEAN_ANOMALY_0!r} + {sunf.MEAN_ANOMALY_RATE!r} * {jstar})"
+    m = f"({SUN['MEAN_ANOMALY_0']!r} + {SUN['MEAN_ANOMALY_RATE']!r} * {jstar})"
 
     def sd(x):
         return f"sin(radians({x}))"
-    c = (f"({sunf.CENTRE_1!r} * {sd(m)} + {sunf.CENTRE_2!r} * {sd(f'{m} * 2')}"
-         f" + {sunf.CENTRE_3!r} * {sd(f'{m} * 3')})")
-    lam = f"({m} + {c} + {180.0 + sunf.PERIHELION!r})"
-    transit = (f"({sunf.J2000!r} + {jstar} + {sunf.TRANSIT_M!r} * {sd(m)}"
-               f" - {sunf.TRANSIT_L!r} * {sd(f'{lam} * 2')})")
-    sin_d = f"({sd(lam)} * {math.sin(math.radians(sunf.OBLIQUITY))!r})"
+    c = (f"({SUN['CENTRE_1']!r} * {sd(m)} + {SUN['CENTRE_2']!r} * {sd(f'{m} * 2')}"
+         f" + {SUN['CENTRE_3']!r} * {sd(f'{m} * 3')})")
+    lam = f"({m} + {c} + {180.0 + SUN['PERIHELION']!r})"
+    transit = (f"({SUN['J2000']!r} + {jstar} + {SUN['TRANSIT_M']!r} * {sd(m)}"
+               f" - {SUN['TRANSIT_L']!r} * {sd(f'{lam} * 2')})")
+    sin_d = f"({sd(lam)} * {math.sin(math.radians(SUN['OBLIQUITY']))!r})"
     cos_d = f"cos(asin({sin_d}))"
-    cos_w = (f"(({math.sin(math.radians(sunf.HORIZON))!r} - {sd(lat)} * {sin_d})"
+    cos_w = (f"(({math.sin(math.radians(SUN['HORIZON']))!r} - {sd(lat)} * {sin_d})"
              f" / (cos(radians({lat})) * {cos_d}))")
     w = f"(CASE WHEN abs({cos_w}) <= 1.0 THEN degrees(acos({cos_w})) END)"
-    rise = f"(({transit} - {w} / 360.0 - {sunf.UNIX_EPOCH_JD!r}) * 86400.0)"
-    sset = f"(({transit} + {w} / 360.0 - {sunf.UNIX_EPOCH_JD!r}) * 86400.0)"
+    rise = f"(({transit} - {w} / 360.0 - {SUN['UNIX_EPOCH_JD']!r}) * 86400.0)"
+    sset = f"(({transit} + {w} / 360.0 - {SUN['UNIX_EPOCH_JD']!r}) * 86400.0)"
     return f"CAST(floor({rise}) AS BIGINT)", f"CAST(floor({sset}) AS BIGINT)"
 
 
@@ -704,6 +710,13 @@ def q_normals_union() -> str:
     return body[0] + "\nSELECT " + sel
 
 
+def q_normals_databases() -> str:
+    body = q_doy_normals_fixed().split("\nSELECT ", 1)
+    sel = body[1].replace("strftime(date, '%m-%d') AS DayOfYear,", "strftime(date, '%m-%d') AS DayOfYear, "
+                          "(CAST(substr(station, 2) AS INT) % 3) || '_Normals_' || period_id AS source_table,", 1)
+    return body[0] + "\nSELECT " + sel
+
+
 # --- streaming ----------------------------------------------------------------
 
 def obs_msg_cte() -> str:

@@ -41,11 +41,11 @@ def q_daily_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_daily_with_solar(spark: SparkSession, sf: str) -> DataFrame:
-    return finalize(rollup.daily_rollup(B.obs(spark, sf), B.stations(spark, sf)))
+    return finalize(rollup.daily_rollup(B.obs(spark, sf), B.stations(spark, sf), B.event_days(spark, sf)))
 
 
 def q_daylight_solar(spark: SparkSession, sf: str) -> DataFrame:
-    return finalize(rollup.daylight_solar(B.obs(spark, sf), B.stations(spark, sf)))
+    return finalize(rollup.daylight_solar(B.obs(spark, sf), B.stations(spark, sf), B.event_days(spark, sf)))
 
 
 def q_daily_rollup_spine(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,6 +189,25 @@ def q_normals_union(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Normals_"), F.substring_index("source_table", "_", -2))))
 
 
+def q_normals_databases(spark: SparkSession, sf: str) -> DataFrame:
+    """S12 and U2 over several databases: the stations are dealt over three, each with a table per period."""
+    root, n = _root(spark, "databases"), 3
+    daily = B.daily(spark, sf).withColumn("db", F.expr("CAST(substring(station, 2) AS INT)") % n)
+    tag = root[-8:]
+    for i in range(n):
+        spark.sql(f"CREATE DATABASE isobar_{tag}_{i} LOCATION '{root}/{i}'")
+        normals_ = doy.doy_normals_fixed(daily.filter(F.col("db") == i).drop("db"), B.periods(spark))
+        normals_.write.partitionBy("period_id").parquet(f"{root}/all{i}")
+        stored = spark.read.option("basePath", f"{root}/all{i}")
+        for p in B.PERIODS:
+            catalog.save_table(stored.parquet(f"{root}/all{i}/period_id={p.period_id}"),
+                               f"isobar_{tag}_{i}.Normals_{p.period_id}", "create", ["station", "DayOfYear"])
+    names = catalog.discover_tables(spark, "normals_*", f"isobar_{tag}_*")
+    out = catalog.consolidate(spark, names)
+    return finalize(out.withColumn("source_table", F.concat(
+        F.regexp_extract("source_table", r"^isobar_[0-9a-f]+_(\d+)_", 1), F.lit("_Normals_"), F.col("period_id"))))
+
+
 # --- jobs over written tables and files -----------------------------------------------
 
 def _root(spark: SparkSession, name: str) -> str:
@@ -323,7 +342,7 @@ def q_official_combined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_console_files(spark: SparkSession, sf: str) -> DataFrame:
-    """UTF-16 console exports read, daily statistics written per station and read back."""
+    """UTF-16 console exports read, daily statistics lines written and read back."""
     root = _root(spark, "console")
     rows = B.console_rows(spark, sf)
     rows.select("station", *schemas.CONSOLE_COLUMNS).repartition("station").sortWithinPartitions("station", "No") \
@@ -332,8 +351,8 @@ def q_console_files(spark: SparkSession, sf: str) -> DataFrame:
     raw = files.read_console_export(spark, f"{root}/export")
     station = F.regexp_extract("source_file", r"station=([^/]+)/", 1)
     parsed = ingest.parse_console(raw.withColumn("station", station))
-    ingest.write_console_stats(ingest.console_daily(parsed, by="date"), f"{root}/stats")
-    return spark.read.text(f"{root}/stats").select(F.col("station").cast("string").alias("station"), F.col("value").alias("line"))
+    ingest.write_console_lines(ingest.console_daily(parsed, by="date"), f"{root}/stats")
+    return ingest.read_console_lines(spark, f"{root}/stats").select("station", "line")
 
 
 def q_history_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -453,7 +472,8 @@ def q_stream_final(spark: SparkSession, sf: str) -> DataFrame:
     spark.range(1).select(F.lit('{"observations":[{"stationID":"end","obsTimeLocal":"2100-01-01T00:00:00"}]}')) \
         .write.mode("append").text(f"{root}/landing")
     rows = pipeline.observation_rows(pipeline.read_landed(spark, f"{root}/landing"))
-    days = pipeline.finalized_daily(rows, "20000 days", B.stations(spark, sf))
+    sun = rollup.sun_times(B.stations(spark, sf), *B.event_days(spark, sf))
+    days = pipeline.finalized_daily(rows, "20000 days", sun)
     # the second run starts behind the first one's watermark and emits what it closed
     for _ in range(2):
         days.writeStream.outputMode("append").format("parquet").option("path", f"{root}/days") \
@@ -487,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "official_import": q_official_import,
     "summary_long": q_summary_long,
     "normals_union": q_normals_union,
+    "normals_databases": q_normals_databases,
     "stream_dedup": q_stream_dedup,
     "stream_daily": q_stream_daily,
     "stream_first_wins": q_stream_first_wins,
@@ -540,6 +561,7 @@ def oracles() -> dict[str, str]:
         "official_import": O.q_official_import(),
         "summary_long": O.q_summary_long(),
         "normals_union": O.q_normals_union(),
+        "normals_databases": O.q_normals_databases(),
         "stream_dedup": O.q_stream_dedup(),
         "stream_daily": O.q_stream_daily(),
         "stream_first_wins": O.q_stream_dedup(),

@@ -110,10 +110,11 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
-    def table(self, df, name: str):
+    def table(self, df, name: str, partition_by: list[str] | None = None):
         path = scratch_path(self.spark, name)
         self.paths.append(path)
-        df.write.mode("errorifexists").parquet(path)
+        w = df.write.mode("errorifexists")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
         return self.spark.read.parquet(path)
 
     def __enter__(self):

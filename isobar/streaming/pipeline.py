@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.changes import compact, write_changes
 from ..operators.ingest import flatten_observations, out_of_range
-from ..operators.rollup import daily_rollup, day_aggregates, solar_aggregate, with_daylight
+from ..operators.rollup import daily_rollup, day_aggregates, solar_aggregate, sun_of_days, with_daylight
 from ..operators.upsert import append_rows, first_arrival, in_partitions, write_partitions
 from ..session import Scratch, read_parquet_if_exists
 
@@ -98,10 +98,12 @@ def with_months(daily: DataFrame) -> DataFrame:
 def refresh_daily(spark: SparkSession, touched: DataFrame, obs_path: str, daily_path: str,
                   stations: DataFrame | None, batch: str) -> None:
     """Recompute the touched days from stored observations and write them as a change batch."""
+    # the sun times of the touched days only
+    sun = None if stations is None else sun_of_days(touched, stations)
     touched = touched.withColumnRenamed("date", "obs_date")
     obs = in_partitions(spark.read.parquet(obs_path), touched, OBS_PARTS)
     cut = obs.join(touched, ["station", "obs_date"], "left_semi")
-    days = with_months(daily_rollup(cut.drop("obs_date", *ARRIVAL), stations))
+    days = with_months(daily_rollup(cut.drop("obs_date", *ARRIVAL), sun=sun))
     write_changes(daily_path, days, schemas.DAILY_KEYS, DAILY_PARTS, batch=batch)
 
 
@@ -149,14 +151,14 @@ def run_ingest(spark: SparkSession, landing: str, obs_path: str, checkpoint: str
 
 
 def finalized_daily(obs_stream: DataFrame, watermark: str = "2 days",
-                    stations: DataFrame | None = None) -> DataFrame:
+                    sun: DataFrame | None = None) -> DataFrame:
     """Day rows emitted once the watermark passes the end of the day.
 
     Two chained aggregations: the first keeps the earliest arrival of every (station, obs_ts), as T1
     does, and passes it on once the watermark is beyond it; the second rolls the day up. What comes
     later than the watermark is dropped. The local wall clock is carried as the instant at which a
     UTC clock shows it, by plain arithmetic, so the session's time zone plays no part. With
-    ``stations`` the daylight solar mean is given.
+    ``sun``, a static table of :func:`isobar.operators.rollup.sun_times`, the daylight solar mean is given.
     """
     order = [c for c in ARRIVAL if c in obs_stream.columns]
     if not order:
@@ -168,8 +170,8 @@ def finalized_daily(obs_stream: DataFrame, watermark: str = "2 days",
         .groupBy(*OBS_KEYS, F.window("event_time", "1 second").alias("k")) \
         .agg(F.min_by(values, F.struct(*order)).alias("r")) \
         .select(*OBS_KEYS, F.window_time("k").alias("event_time"), "r.*")
-    rows = first if stations is None else with_daylight(first, stations)
+    rows = first if sun is None else with_daylight(first, sun)
     agg = rows.groupBy("station", F.window("event_time", "1 day").alias("w")) \
-        .agg(*day_aggregates(), solar_aggregate(stations is not None))
+        .agg(*day_aggregates(), solar_aggregate(sun is not None))
     date = F.date_add(F.lit("1970-01-01").cast("date"), F.expr("CAST(unix_seconds(w.start) div 86400 AS INT)"))
     return agg.select("station", date.alias("date"), *schemas.DAILY_MEASURES)

@@ -57,3 +57,19 @@ def test_discover_and_consolidate(spark):
                                                              "lille_normals_2001_2002"}
     for v in ("Normals_2000_2001", "Normals_2001_2002", "NormalsX"):
         spark.catalog.dropTempView(v)
+
+
+def test_tables_of_several_databases(spark, tmpdir_path):
+    import uuid
+    tag = uuid.uuid4().hex[:6]
+    for i, name in enumerate(("lille", "paris", "other")):
+        spark.sql(f"CREATE DATABASE {name}_{tag} LOCATION '{tmpdir_path}/{name}'")
+        catalog.save_table(spark.createDataFrame([(i, "a")], "k int, v string"), f"{name}_{tag}.Normals_1991_2020", keys=["k"])
+    catalog.save_table(spark.createDataFrame([(7, "b")], "k int, v string"), f"lille_{tag}.daily", keys=["k"])
+    names = catalog.discover_tables(spark, "normals_*", f"*_{tag}")
+    assert len(names) == 3
+    out = {(r.source_table.lower(), r.k) for r in catalog.consolidate(spark, names).collect()}
+    assert out == {(f"{n}_{tag}_normals_1991_2020", i) for i, n in enumerate(("lille", "paris", "other"))}
+    assert {r.source_table.lower() for r in catalog.consolidate(spark, names[:1], "x_").collect()} == {"x_normals_1991_2020"}
+    with pytest.raises(ValueError, match="no table matches"):
+        catalog.discover_tables(spark, "normals_*", "nowhere_*")

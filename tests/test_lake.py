@@ -151,6 +151,18 @@ def test_console_lines_keep_their_station(spark, tmpdir_path):
     assert got == {("S1", "a"), ("S1", "b"), ("S2", "c")}
 
 
+def test_console_lines_of_many_stations_in_few_files(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    df = spark.range(5000).select(F.concat(F.lit("S"), F.col("id")).alias("station"), F.lit("2024-01-01").cast("date").alias("date"),
+                                  F.concat(F.lit('1;2,5;"q"'), F.col("id")).alias("line"))
+    path = os.path.join(tmpdir_path, "lines")
+    ingest.write_console_lines(df, path)
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) <= 8
+    got = ingest.read_console_lines(spark, path)
+    assert got.filter("source_file IS NOT NULL").count() == 0
+    assert sorted(map(tuple, got.select("station", "line").collect())) == sorted((f"S{i}", f'1;2,5;"q"{i}') for i in range(5000))
+
+
 def test_registry_and_job_files_in_both_shapes(spark, tmpdir_path):
     e = {"a": {"weatherStation": "W1", "latitude": 1.0, "longitude": 2.0, "timezone": "UTC"},
          "b": {"latitude": 3.0, "longitude": 4.0, "timezone": "Europe/Paris", "other": [1]}}

@@ -138,7 +138,7 @@ def test_finalized_days_in_append_mode(spark, tmpdir_path, zone):
         rows = pipeline.observation_rows(pipeline.read_landed(spark, land))
         out = os.path.join(tmpdir_path, "days")
         for _ in range(2):    # the second run emits what the first one's watermark closed
-            (pipeline.finalized_daily(rows, "2 days", st).writeStream.outputMode("append")
+            (pipeline.finalized_daily(rows, "2 days", rollup.sun_times(st, dt.date(2024, 1, 1), dt.date(2024, 1, 10))).writeStream.outputMode("append")
              .format("parquet").option("path", out).trigger(availableNow=True)
              .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).start().awaitTermination())
         got = spark.read.parquet(out).orderBy("date").collect()
