@@ -346,9 +346,9 @@ def q_console_files(spark: SparkSession, sf: str) -> DataFrame:
     root = _root(spark, "console")
     rows = B.console_rows(spark, sf)
     rows.select("station", *schemas.CONSOLE_COLUMNS).repartition("station").sortWithinPartitions("station", "No") \
-        .write.partitionBy("station").option("sep", "\t").option("header", True).option("encoding", "UTF-16") \
+        .write.partitionBy("station").option("sep", "\t").option("header", True).option("encoding", "UTF-16LE") \
         .csv(f"{root}/export")
-    raw = files.read_console_export(spark, f"{root}/export")
+    raw = files.read_console_export(spark, f"{root}/export", "UTF-16LE")
     station = F.regexp_extract("source_file", r"station=([^/]+)/", 1)
     parsed = ingest.parse_console(raw.withColumn("station", station))
     ingest.write_console_lines(ingest.console_daily(parsed, by="date"), f"{root}/stats")

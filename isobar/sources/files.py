@@ -43,16 +43,24 @@ def read_history_messages(spark: SparkSession, path: str) -> DataFrame:
     return df.select("*", F.to_date(F.nullif(ymd, F.lit("")), "yyyyMMdd").alias("request_date"))
 
 
-def read_console_export(spark: SparkSession, path: str) -> DataFrame:
+def read_console_export(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
     """S3: console export, UTF-16, tab separated, one header line.
 
-    ``multiLine`` is needed for UTF-16 decoding; such files are not
-    splittable, so parallelism comes from many files. The file name is kept
-    as ``source_file`` for per-file run grouping.
+    With the byte order given (``UTF-16LE`` or ``UTF-16BE``, with or without a mark) lines are found
+    by their encoded end, so that a file is read by as many tasks as its size asks for; the mark goes
+    with the header. Without it the mark decides per file, which takes one task for each file. The
+    file name is kept as ``source_file`` for per-file run grouping.
     """
-    df = (spark.read.option("sep", "\t").option("encoding", "UTF-16")
-          .option("header", True).option("enforceSchema", True)
-          .option("multiLine", True).schema(schemas.CONSOLE_SCHEMA).csv(path))
+    r = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", True).schema(schemas.CONSOLE_SCHEMA)
+    if encoding is None:
+        df = r.option("encoding", "UTF-16").option("multiLine", True).csv(path)
+    elif encoding.upper() in ("UTF-16LE", "UTF-16BE"):
+        df = r.option("encoding", encoding.upper()).option("lineSep", "\n").csv(path)
+        last = df.columns[-1]
+        # lines may end with a carriage return as well
+        df = df.withColumn(last, F.rtrim(F.col(last), F.lit("\r")))
+    else:
+        raise ValueError(f"not a UTF-16 byte order: {encoding}")
     return df.withColumn("source_file", F.input_file_name())
 
 

@@ -175,3 +175,27 @@ def test_official_file_without_a_column_or_header_raises(spark, tmpdir_path):
         fh.write("1;20200101;;;;;\n")
     with pytest.raises(Exception, match="without a header"):
         files.read_official_other(spark, f"{tmpdir_path}/bare.csv").collect()
+
+
+@pytest.mark.parametrize("order, mark, end", [("UTF-16LE", b"\xff\xfe", "\r\n"), ("UTF-16LE", b"", "\n"), ("UTF-16BE", b"\xfe\xff", "\n")])
+def test_console_file_read_by_several_tasks(spark, tmpdir_path, order, mark, end):
+    from isobar import schemas
+    n, names = 4000, schemas.CONSOLE_COLUMNS
+    for f in range(2):
+        with open(f"{tmpdir_path}/export{f}.txt", "wb") as fh:
+            lines = ["\t".join(names)] + ["\t".join([str(i), f"2024-01-{1 + i % 28:02d} 12:30", *[f"v{f}.{i}é"] * (len(names) - 2)]) for i in range(n)]
+            fh.write(mark + (end.join(lines) + end).encode(order))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50001")     # an odd number of bytes cuts characters too
+    try:
+        split = files.read_console_export(spark, tmpdir_path, order)
+        assert split.rdd.getNumPartitions() > 10
+        got = sorted(map(tuple, split.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 2 * n and len({r[:2] + r[-1:] for r in got}) == 2 * n
+    assert all(x == r[2] for r in got for x in r[3:len(names)]) and got[0][2].endswith("é")
+    if mark:       # the same rows as by the mark
+        assert got == sorted(map(tuple, files.read_console_export(spark, tmpdir_path).collect()))
+    with pytest.raises(ValueError, match="byte order"):
+        files.read_console_export(spark, tmpdir_path, "UTF-8")
