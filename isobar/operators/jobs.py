@@ -60,6 +60,23 @@ def write_daily_lake(daily: DataFrame, path: str, mode: str = "overwrite") -> No
          .write.mode(mode).partitionBy(*DAILY_PARTITIONS).parquet(path))
 
 
+# Lets a join by (station, date) use a table that is bucketed by station alone.
+CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def write_daily_buckets(daily: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """W9 as a catalog table in ``buckets`` buckets by station, sorted by station and date.
+
+    For tables that are mostly read: aggregations by station and more (month statistics, records, days
+    of the year) and joins by station and date read the buckets as they lie, without an exchange of the
+    table; joins need `CO_PARTITION` set to false. A bucket holds whole stations, so choose so many that
+    one fits a task. No partitions by year: each would hold a file per bucket.
+    """
+    w = daily.select(*[f.name for f in schemas.DAILY.fields]).repartition(buckets, "station") \
+        .sortWithinPartitions("station", "date").write.mode("overwrite").bucketBy(buckets, "station").sortBy("station", "date")
+    (w.option("path", path) if path else w).saveAsTable(name)
+
+
 def refresh_days(spark: SparkSession, obs: DataFrame, daily_path: str, start: _dt.date,
                  end: _dt.date, stations: DataFrame, fields: list[str] | None = None,
                  skip_empty: bool = False, today: _dt.date | None = None,

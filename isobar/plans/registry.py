@@ -256,6 +256,25 @@ def q_append_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     return finalize(tables.read_observations(spark, path))
 
 
+def _buckets(spark: SparkSession, sf: str) -> str:
+    """The daily rows as a table bucketed by station."""
+    root = _root(spark, "buckets")
+    name = f"isobar_daily_{root[-8:]}"
+    jobs.write_daily_buckets(B.daily(spark, sf), name, 8, f"{root}/daily")
+    return name
+
+
+def q_records_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """A9 over the bucketed table: its rows are not exchanged."""
+    return normals.records_long(tables.read_daily_lake(spark, _buckets(spark, sf)), B.periods(spark))
+
+
+def q_upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 with the bucketed table as the target."""
+    target = tables.read_daily(spark, _buckets(spark, sf))
+    return finalize(upsert.upsert_table(target, B.daily2(spark, sf), schemas.DAILY_KEYS))
+
+
 def q_refresh_days(spark: SparkSession, sf: str) -> DataFrame:
     """T4: the maintenance job over a date range; the second run changes nothing."""
     path, st = _root(spark, "daily"), B.stations(spark, sf)
@@ -518,6 +537,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_if_absent": q_append_if_absent,
     "upsert_changefiles": q_upsert_changefiles,
     "upsert_compacted": q_upsert_compacted,
+    "records_buckets": q_records_buckets,
+    "upsert_buckets": q_upsert_buckets,
     "refresh_days": q_refresh_days,
     "official_files": q_official_files,
     "official_combined": q_official_combined,
@@ -572,6 +593,8 @@ def oracles() -> dict[str, str]:
         "append_if_absent": O.q_insert_if_absent(),
         "upsert_changefiles": O.q_upsert_full(),
         "upsert_compacted": O.q_upsert_full(),
+        "records_buckets": O.q_records(),
+        "upsert_buckets": O.q_upsert_full(),
         "refresh_days": O.q_refresh_days(),
         "official_files": O.q_official_import(),
         "official_combined": O.q_official_import(),
