@@ -93,11 +93,11 @@ def test_stored_files_stay_and_scratch_goes(spark, tmpdir_path):
     scratch = spark.conf.get("spark.checkpoint.dir").replace("file:", "") + "/isobar-*"
     before = set(glob.glob(scratch))
     _land(land, "a.json", [_msg("2024-01-10 12:00:00", 5.0), _msg("2024-03-11 12:00:00", 6.0)])
-    _run(spark, land, obs, ck, daily_path=daily, stations=st)
+    _run(spark, land, obs, ck, daily_path=daily, stations=st, compact_every=1)
     stored = set(glob.glob(f"{obs}/*/*.parquet"))
     january = set(glob.glob(f"{daily}/year=2024/month=1/*.parquet"))
     _land(land, "b.json", [_msg("2024-03-11 13:00:00", 8.0), _msg("2024-01-10 12:00:00", 1.0)])
-    _run(spark, land, obs, ck, daily_path=daily, stations=st)
+    _run(spark, land, obs, ck, daily_path=daily, stations=st, compact_every=1)
     assert stored < set(glob.glob(f"{obs}/*/*.parquet"))
     assert january == set(glob.glob(f"{daily}/year=2024/month=1/*.parquet")) and january
     assert {r.date.month: float(r.temp_avg) for r in spark.read.parquet(daily).collect()} == {1: 5.0, 3: 7.0}
