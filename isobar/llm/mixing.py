@@ -7,9 +7,9 @@ source, so any prefix of the schedule is close to the target mix. Slots are
 ranked per source; the r-th slot of a source takes block ``r mod n_blocks`` of
 its shuffled stream, cut into blocks of equally many words.
 
-The order of the slots is not part of the results: every source fills all its
-slots, so ``taken`` and the documents of the mix depend on their number alone, and
-both come in no mix order.
+`mix_pieces` gives the mix itself in the order of the slots. That order is no part of
+the other results: every source fills all its slots, so ``taken`` and the documents of
+the mix depend on their number alone, and both come in no mix order.
 
 No step needs one source in one task. Word offsets and slot ranks are prefix
 sums in two levels (hash ranges or slot ranges first, then inside a range),
@@ -181,6 +181,24 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = B
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
 
 
+def mix_pieces(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """slot, doc_id, source, first_word, words: the mix itself, as stretches of the documents' words.
+
+    Read in the order of the slots (inside one, of the source's stream), every prefix is near the target
+    shares. The pieces of a document add up to its ``taken`` of :func:`mix_sources`.
+    """
+    d = sized(docs, seed)
+    targets = materialize(source_targets(d, weights, cap), "mix-targets")
+    schedule = mix_schedule(targets, block).select("skey", "block", "slot", F.col("words").alias("until"))
+    pos = stream_positions(d).filter("size > 0")
+    pieces = pos.select("rid", "doc_id", "source", "skey", "start", "size", F.explode(F.sequence(
+        F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))).alias("block"))
+    lo = F.greatest(F.col("start") - F.col("block") * block, F.lit(0).cast("long"))
+    hi = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.col("until"))
+    return pieces.join(schedule, ["skey", "block"]).filter(hi > lo).select(
+        "slot", "doc_id", "source", (F.col("block") * block + lo - F.col("start")).alias("first_word"), (hi - lo).alias("words"))
+
+
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK_WORDS,
                     seed: int = SEED) -> DataFrame:
     """The mix as whole documents: each is repeated as often as the block that

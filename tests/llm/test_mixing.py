@@ -104,3 +104,29 @@ def test_words_are_runs_without_ascii_white_space(spark):
     df = spark.createDataFrame([(" a\tb\x0bc\x0c d e \r\n",), ("",), (None,)], "text string")
     from pyspark.sql import functions as F
     assert [r[0] for r in df.select(word_count(F.col("text"))).collect()] == [4, 0, 0]
+
+
+def test_pieces_in_slot_order_are_near_the_targets_at_every_prefix(spark):
+    docs = spark.createDataFrame(rows(seed=4, n=400), "doc_id long, text string, source string")
+    pieces = sorted(tuple(r) for r in mx.mix_pieces(docs, block=16).select("slot", "first_word", "words", "source", "doc_id").collect()
+                    if r["words"] > 0)
+    taken = mx.mix_sources(docs, block=16).collect()
+    # the pieces are the words that the query counts
+    per_source, want = defaultdict(int), defaultdict(int)
+    for _, first, words, source, _ in pieces:
+        assert first >= 0 and words <= 16
+        per_source[source] += words
+    for r in taken:
+        want[r["source"]] += r["taken"]
+    assert {k: v for k, v in want.items() if v} == dict(per_source)
+    share = {s: n / sum(want.values()) for s, n in want.items()}
+    so_far, total, slots = defaultdict(int), 0, 0
+    for slot, _, words, source, _ in pieces:
+        so_far[source] += words
+        total += words
+        if slot > slots and slot % 50 == 0:
+            slots = slot
+            for s in share:
+                # a few blocks away from the target, at every prefix
+                assert abs(so_far[s] - share[s] * total) <= 16 * 6, (slot, s)
+    assert slots > 500
