@@ -14,9 +14,11 @@ Defined results: one row per (conversation, call id) that occurs as a call or a
 result. Of several rows with one id the first counts (turn, then content);
 ``calls`` and ``results`` tell how many there were. ``status`` is the first that
 applies of: orphan (a result without a call), cycle (the references run in a
-circle), unknown_tool, bad_json (not an object), missing_field, unknown_field,
+circle), unknown_tool, bad_json (not an object, or one that has a key twice; the
+JSON then has no arguments), missing_field, unknown_field,
 bad_type, missing_result, early_result (before its call), ok. A reference to an
-unknown call counts as none. Rows with a NULL conversation, id or turn are left
+unknown call counts as none. Objects and arrays are checked by their kind, not by
+what they hold. Arguments and contents of any length are kept whole. Rows with a NULL conversation, id or turn are left
 out. An empty table gives no rows; other columns are ignored.
 """
 
@@ -28,7 +30,7 @@ from isobar.session import materialize
 
 # Variant type names per schema type.
 TYPES = {"integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "DECIMAL"), "string": ("STRING",),
-         "boolean": ("BOOLEAN",)}
+         "boolean": ("BOOLEAN",), "object": ("OBJECT",), "array": ("ARRAY",), "null": ("VOID",)}
 
 
 def _first_rows(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -58,7 +60,11 @@ def levels(calls: DataFrame) -> DataFrame:
 
 
 def _field_type(args: Column, name: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(args, f"$.{name}", "variant"))
+    """Type of a top-level field; its name is taken as it is, dots and blanks included."""
+    if "'" in name and '"' in name:
+        raise ValueError(f"a field name cannot hold both kinds of quotes: {name}")
+    quote = '"' if "'" in name else "'"
+    return F.schema_of_variant(F.try_variant_get(args, f"$[{quote}{name}{quote}]", "variant"))
 
 
 def _checks(tools: dict[str, dict[str, tuple[str, bool]]]):

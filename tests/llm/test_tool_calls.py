@@ -121,3 +121,18 @@ def test_long_chain_and_hot_conversation(spark):
 
 def test_empty(spark):
     assert got(spark, [], []) == {}
+
+
+def test_field_names_kinds_repeated_keys_and_long_texts(spark):
+    tools = {"t": {"a.b": ("string", True), "it's": ("array", False), "o p": ("object", False), "z": ("null", False)}}
+    long = "x" * 200_000
+    args = {1: '{"a.b": "x"}', 2: '{"a.b": 1}', 3: '{"a.b": "x", "it\'s": [1, {"k": 2}], "o p": {"q": null}, "z": null}',
+            4: '{"a.b": "x", "o p": [1]}', 5: '{"a.b": "x", "a.b": "y"}', 6: '{"a": {"b": "x"}}', 7: '{"a.b": "%s"}' % long}
+    calls = spark.createDataFrame([(1, 2 * i, f"c{i}", "t", a, None) for i, a in args.items()],
+                                  "conv_id long, turn int, call_id string, name string, arguments string, after string")
+    results = spark.createDataFrame([(1, 2 * i + 1, f"c{i}", long) for i in args], "conv_id long, turn int, call_id string, content string")
+    got = {r["call_id"]: r for r in tc.link_calls(calls, results, tools).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {"c1": "ok", "c2": "bad_type", "c3": "ok", "c4": "bad_type", "c5": "bad_json",
+                                                        "c6": "missing_field", "c7": "ok"}
+    assert json.loads(got["c7"]["json"]) == {"arguments": {"a.b": long}, "id": "c7", "name": "t", "result": long}
+    assert "arguments" not in json.loads(got["c5"]["json"])
