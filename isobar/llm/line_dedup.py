@@ -1,38 +1,33 @@
 """Removal of repeated multi-line chunks (operator 10, Column expressions only).
 
-Every line is hashed; a rolling hash over `ROLL` successive line hashes ends a
-chunk where it falls into one of `CUTS` out of 16 classes. Boundaries depend on
-the lines around them alone, so an insertion shifts no chunk but its own. A
-chunk with at least `MIN_LINES` lines that are not blank and whose hash occurs
-at several places is a candidate at every place but the first (smallest id, then
-row, then line); it is removed after its text was compared with the text of the
-first place byte by byte.
-
-Only line hashes and chunk positions take part in the grouping; the texts are
-shuffled once, into a table bucketed by row, in which the first places' texts are
-fetched and the copies removed. The
-first place of a hash is found with partial aggregation, and the occurrences of
-a hot chunk meet it in a join that splits.
-
-`dedup_lines` (the pipeline's stage) removes every repeated passage, not only the
-whole chunks among them: each two successive lines that are not blank, with the
-blank lines between them, are a pair (`line_pairs`); a pair whose text occurs
-earlier is a copy of its first place, and pairs that continue each other at both
-places are joined to runs (`repeated_passages`), which are compared with the text
-of the first place byte by byte and removed. So every line goes that lies in a run
-of `MIN_LINES` or more such lines that also starts earlier, wherever chunks end.
-A run may overlap its first place ("a a a" leaves "a"); single lines that repeat stay.
+Every line is hashed; a window of `MIN_LINES` successive lines that are not blank, with the
+blank lines between them, rolls over the line hashes and every window is an anchor
+(`line_pairs`). An anchor whose window starts earlier too (smallest id, then row, then
+line) is a copy of that first place, and anchors that continue each other at both places
+are grown line by line to one chunk (`repeated_passages`). So the content alone decides
+where a chunk begins and ends: where the repetition does. Boundaries shift with an insertion
+and need no sparse cut classes, whose chunks missed passages of a few lines. A chunk is
+removed after its text was compared with the text of the first place byte by byte.
+
+So every line goes that lies in a run of `MIN_LINES` or more such lines that also starts
+earlier. A run may overlap its first place ("a a a" leaves "a"); single lines that repeat stay.
+The query (`dedup_digest`) and the pipeline's stage (`dedup_lines`) share this.
 With `keep_copies` (the pipeline) a document that as a whole is a copy of an earlier
 one (`document_copies`) is no passage: what it shares with its original and the
 original's other copies stays, so that the stage after this one finds the copy whole.
 What both have from other documents is cut from both.
-`dedup_digest` (the query) keeps to the chunks, as its SQL does.
+
+Only hashes and positions take part in the grouping; the texts are shuffled once, into a
+table bucketed by row, in which the first places' texts are fetched and the copies
+removed. The first place of a hash is found with partial aggregation, and the
+occurrences of a hot window meet it in a join that splits.
 
 Defined results: a NULL text stays NULL and has no lines; an empty text is one
 blank line; repeated rows are separate rows, the later one loses its chunks;
 NULL ids come last; a document may lose all its lines and stays as an empty
-text; an empty table gives no rows. Lines end at "\\n" alone. Other columns are
-ignored by the digest and kept by `dedup_lines`.
+text; very long texts and lines are compared whole; an empty table gives no rows.
+Lines end at "\\n" alone. Other columns, whatever their names, are ignored by the
+digest and kept by `dedup_lines`.
 """
 
 from __future__ import annotations
@@ -43,8 +38,6 @@ from isobar.session import Scratch, materialize, scratch_path
 
 from .common import WORD, packed
 
-ROLL = 2
-CUTS = ("0", "4", "8", "c", "e")   # first hexadecimal digits that end a chunk
 MIN_LINES = 2
 GRAM = 5
 COPY_LINES = 0.25
@@ -59,62 +52,11 @@ def _blank(line: Column) -> Column:
     return F.trim(F.translate(line, "\t\r\f\v", "    ")) == ""
 
 
-def line_hashes(docs: DataFrame) -> DataFrame:
-    """(rid, oid, n, h): line hashes of each row with a text; blank lines hash to ''."""
-    lines = _lines(F.col("text"))
-    h = F.transform(lines, lambda x: F.when(_blank(x), "").otherwise(F.md5(x)))
-    return materialize(docs.filter("text IS NOT NULL").select(
-        "rid", "oid", h.alias("h")), "line-hashes").withColumn("n", F.size("h"))
-
-
-def chunk_places(hashes: DataFrame) -> DataFrame:
-    """(rid, oid, first_line, last_line, ck): the multi-line chunks, lines counted from 1."""
-    def ends(i):
-        window = F.concat(*[F.try_element_at("h", i - k) for k in reversed(range(ROLL))])
-        return (i == F.col("n")) | ((i >= ROLL) & F.substring(F.md5(window), 1, 1).isin(*CUTS))
-    c = hashes.withColumn("ends", F.filter(F.sequence(F.lit(1), F.col("n")), ends))
-    c = c.withColumn("starts", F.concat(F.array(F.lit(1)), F.transform(
-        F.slice("ends", F.lit(1), F.greatest(F.size("ends") - 1, F.lit(0))), lambda e: e + 1)))
-    # a written table: the arrays are columns now and not formulas inside the lambdas below
-    c = c.select("rid", "oid", "h", F.explode(F.arrays_zip("starts", "ends")).alias("c"))
-    c = c.select("rid", "oid", F.col("c.starts").alias("first_line"), F.col("c.ends").alias("last_line"),
-                 F.slice("h", F.col("c.starts"), F.col("c.ends") - F.col("c.starts") + 1).alias("part"))
-    return c.filter(F.size(F.array_remove("part", "")) >= MIN_LINES) \
-        .select("rid", "oid", "first_line", "last_line", F.md5(F.array_join("part", ",")).alias("ck"))
-
-
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(rid, removed): per row the chunks to remove, as sorted structs of first and last line.
-
-    ``docs``: rid, oid, text.
-    """
-    chunks = materialize(chunk_places(line_hashes(docs)), "chunk-places")
-    place = F.struct("oid", "rid", "first_line")
-    firsts = chunks.groupBy("ck").agg(F.min(F.struct("oid", "rid", "first_line", "last_line")).alias("f"),
-                                      F.max(place).alias("last")) \
-        .filter(F.struct("f.oid", "f.rid", "f.first_line") != F.col("last")) \
-        .select("ck", F.col("f.oid").alias("f_oid"), F.col("f.rid").alias("f_rid"),
-                F.col("f.first_line").alias("f_first"), F.col("f.last_line").alias("f_last"))
-    firsts = materialize(firsts, "first-chunks")
-    wanted = firsts.groupBy(F.col("f_rid").alias("rid")).agg(
-        F.collect_list(F.struct("ck", "f_first", "f_last")).alias("w"))
-    texts = docs.select("rid", "text").join(wanted, "rid").select(
-        _lines(F.col("text")).alias("lines"), F.explode("w").alias("w")) \
-        .select(F.col("w.ck").alias("ck"), F.array_join(
-            F.slice("lines", F.col("w.f_first"), F.col("w.f_last") - F.col("w.f_first") + 1), "\n").alias("expected"))
-    texts = materialize(texts, "first-chunk-texts")
-    copies = chunks.join(firsts.drop("f_last"), "ck") \
-        .filter(place != F.struct("f_oid", "f_rid", "f_first")) \
-        .select("ck", "rid", "first_line", "last_line")
-    return copies.join(texts, "ck").groupBy("rid").agg(
-        F.array_sort(F.collect_list(F.struct("first_line", "last_line", "expected"))).alias("cand"))
-
-
 def line_pairs(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(rid, n): the rows' numbers of lines, and
     (rid, oid, a, b, ck): successive lines a and b that are not blank, with the blank ones between them."""
     h = F.transform(_lines(F.col("text")), lambda x: F.concat(F.when(_blank(x), "-").otherwise(""), F.md5(x)))
-    # a written table, as in chunk_places
+    # a written table: the arrays are columns below and not formulas inside the lambdas
     c = scratch.table(docs.filter("text IS NOT NULL").select("rid", "oid", h.alias("h")), "pair-hashes")
     c = c.withColumn("solid", F.filter(F.sequence(F.lit(1), F.size("h")), lambda i: ~F.element_at("h", i).startswith("-")))
     n = F.greatest(F.size("solid") - 1, F.lit(0))
@@ -225,17 +167,20 @@ def numbered_rows(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
-def removal(docs: DataFrame, find=repeated_chunks) -> DataFrame:
-    """The rows with ``lines`` and the compared, sorted finds ``removed`` (first_line, last_line)."""
+def removal(docs: DataFrame, keep_copies: bool = False) -> DataFrame:
+    """The rows with ``lines`` and ``removed``: the lines to remove, as sorted, separate stretches (a, b)."""
     docs = numbered_rows(docs).withColumn("oid", F.struct(F.col("doc_id").isNull(), F.col("doc_id")))
-    cand = find(docs.select("rid", "oid", "text"))
+    cand = repeated_passages(docs.select("rid", "oid", "text"), keep_copies)
     rows = docs.drop("oid").join(cand, "rid", "left").withColumn("lines", _lines(F.col("text")))
     # explode and regroup would shuffle the texts again; the candidates are compared in place
     same = F.filter("cand", lambda c: F.array_join(
         F.slice("lines", c["first_line"], c["last_line"] - c["first_line"] + 1), "\n") == c["expected"])
-    return rows.withColumn("removed", F.coalesce(
+    out = rows.withColumn("removed", F.coalesce(
         F.transform(same, lambda c: F.struct(c["first_line"].alias("a"), c["last_line"].alias("b"))),
         F.array().cast("array<struct<a:int,b:int>>"))).drop("cand")
+    # chunks that share a line or touch are one gap in the text
+    blocks = _blocks("removed", lambda x, y: y["a"] <= x["b"] + 1)
+    return out.withColumn("removed", F.transform(blocks, lambda r: F.struct(r["first"]["a"].alias("a"), r["last"]["b"].alias("b"))))
 
 
 def kept_text() -> Column:
@@ -256,10 +201,7 @@ def dedup_lines(docs: DataFrame, keep_copies: bool = False) -> DataFrame:
     """
     own = docs.columns
     out = removal(docs.select(*[F.col(c).alias(f"d_{c}") for c in own if c not in ("doc_id", "text")],
-                              F.col("doc_id"), F.col("text")), lambda d: repeated_passages(d, keep_copies))
-    # passages that share a line are one gap in the text
-    blocks = _blocks("removed", lambda x, y: y["a"] <= x["b"])
-    out = out.withColumn("removed", F.transform(blocks, lambda r: F.struct(r["first"]["a"].alias("a"), r["last"]["b"].alias("b"))))
+                              F.col("doc_id"), F.col("text")), keep_copies)
     changed = out.withColumn("kept", kept_text())
     cols = []
     for c in own:
@@ -276,38 +218,33 @@ def dedup_lines(docs: DataFrame, keep_copies: bool = False) -> DataFrame:
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_chunks_removed, n_lines_removed, kept_sha256."""
+    """doc_id, n_lines, n_runs_removed, n_lines_removed, kept_sha256."""
     out = removal(docs.select("doc_id", "text")).withColumn("kept", kept_text())
     lines = F.aggregate("removed", F.lit(0).cast("long"), lambda s, r: s + r["b"] - r["a"] + 1)
     return out.select(
         "doc_id", F.coalesce(F.when(F.col("text").isNotNull(), F.size("lines")), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("removed").cast("long").alias("n_chunks_removed"), lines.alias("n_lines_removed"),
+        F.size("removed").cast("long").alias("n_runs_removed"), lines.alias("n_lines_removed"),
         F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
-# The same in DuckDB SQL (ids unique), fixed classes and sizes as above.
-ORACLE = f"""
+# The same in DuckDB SQL (ids unique): all windows by their texts, without hashes and growing.
+ORACLE = """
 WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS i,
-         len(string_split(text, chr(10))) AS n
+         generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM documents WHERE text IS NOT NULL),
-h AS (SELECT *, CASE WHEN trim(translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    ')) = '' THEN ''
-                     ELSE md5(line) END AS m FROM l),
-cuts AS (
-  SELECT *, (i = n OR (i >= 2 AND substr(md5(lag(m) OVER (PARTITION BY doc_id ORDER BY i) || m), 1, 1)
-             IN ({', '.join(f"'{c}'" for c in CUTS)}))) AS is_end FROM h),
-numbered AS (
-  SELECT *, coalesce(sum(CAST(is_end AS INT)) OVER (PARTITION BY doc_id ORDER BY i
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM cuts),
-chunks AS (
-  SELECT doc_id, chunk, min(i) AS i, count(*) AS n_lines, sum(CASE WHEN m = '' THEN 0 ELSE 1 END) AS solid,
-         string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk),
-marked AS (
-  SELECT *, solid >= {MIN_LINES} AND row_number() OVER (PARTITION BY body ORDER BY doc_id, i) > 1 AS gone FROM chunks)
-SELECT d.doc_id, CAST(coalesce(sum(c.n_lines), 0) AS BIGINT) AS n_lines,
-       CAST(coalesce(sum(CASE WHEN gone THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_chunks_removed,
-       CAST(coalesce(sum(CASE WHEN gone THEN c.n_lines ELSE 0 END), 0) AS BIGINT) AS n_lines_removed,
-       sha256(coalesce(string_agg(CASE WHEN gone THEN NULL ELSE body END, chr(10) ORDER BY i), '')) AS kept_sha256
-FROM documents d LEFT JOIN marked c ON d.doc_id = c.doc_id GROUP BY d.doc_id
+s AS (
+  SELECT doc_id, i AS a, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM l
+  WHERE trim(translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    ')) <> ''),
+w AS (
+  SELECT doc_id, a, b, array_to_string(string_split(text, chr(10))[a:b], chr(10)) AS body
+  FROM s JOIN documents USING (doc_id) WHERE b IS NOT NULL),
+c AS (SELECT doc_id, a, b FROM w QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, a) > 1),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(a, b)) AS i FROM c),
+m AS (SELECT l.*, g.i IS NOT NULL AS gone FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.i = g.i),
+r AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM m)
+SELECT d.doc_id, count(r.i) AS n_lines, count(*) FILTER (WHERE r.begins) AS n_runs_removed,
+       count(*) FILTER (WHERE r.gone) AS n_lines_removed,
+       sha256(coalesce(string_agg(CASE WHEN r.gone THEN NULL ELSE r.line END, chr(10) ORDER BY r.i), '')) AS kept_sha256
+FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id GROUP BY d.doc_id
 """

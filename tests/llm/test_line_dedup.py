@@ -6,10 +6,6 @@ from pyspark.sql import functions as F
 from isobar.llm import line_dedup as ld
 
 
-def md5(s):
-    return hashlib.md5(s.encode()).hexdigest()
-
-
 def brute(rows):
     """rows: (doc_id, text) in input order; ties of an id by position."""
     seen, out = set(), {}
@@ -17,25 +13,16 @@ def brute(rows):
         if t is None:
             out[at] = (i, 0, 0, 0, hashlib.sha256(b"").hexdigest())
             continue
-        lines = t.split("\n")
-        h = ["" if not x.strip(" \t\r\f\v") else md5(x) for x in lines]
-        chunks, cur = [], []
-        for k in range(len(lines)):
-            cur.append(k)
-            if k == len(lines) - 1 or (k >= 1 and md5(h[k - 1] + h[k])[0] in ld.CUTS):
-                chunks.append(cur)
-                cur = []
-        kept, gone, gone_lines = [], 0, 0
-        for c in chunks:
-            body = "\n".join(lines[k] for k in c)
-            if sum(h[k] != "" for k in c) >= 2:
-                if body in seen:
-                    gone, gone_lines = gone + 1, gone_lines + len(c)
-                    continue
-                seen.add(body)
-            kept += [lines[k] for k in c]
-        text = t if not gone else "\n".join(kept)
-        out[at] = (i, len(lines), gone, gone_lines, hashlib.sha256(text.encode()).hexdigest())
+        lines, gone = t.split("\n"), set()
+        solid = [k for k, x in enumerate(lines) if x.strip(" \t\r\f\v")]
+        for a, b in zip(solid, solid[1:]):
+            body = tuple(lines[a:b + 1])
+            if body in seen:
+                gone |= set(range(a, b + 1))
+            seen.add(body)
+        text = t if not gone else "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        runs = sum(k - 1 not in gone for k in gone)
+        out[at] = (i, len(lines), runs, len(gone), hashlib.sha256(text.encode()).hexdigest())
     return sorted(out.values(), key=str)
 
 
@@ -58,6 +45,36 @@ def test_against_loop(spark):
     assert sorted([tuple(r) for r in ld.dedup_digest(df).collect()], key=str) == brute(rows)
 
 
+def test_query_and_stage_remove_the_same(spark):
+    df = spark.createDataFrame(corpus(), "doc_id long, text string")
+    texts = {r["doc_id"]: hashlib.sha256(r["text"].encode()).hexdigest() for r in ld.dedup_lines(df).collect()}
+    assert texts == {r["doc_id"]: r["kept_sha256"] for r in ld.dedup_digest(df).collect()}
+
+
+def test_short_passages_wherever_they_stand(spark):
+    """Passages of two to five lines between lines of their own, at other offsets in every document."""
+    passages = [[f"passage {k} line {j} " + "word " * 14 for j in range(2 + k % 4)] for k in range(24)]
+    rows = []
+    for i in range(3):
+        for k, p in enumerate(passages):
+            own = [f"own {i} {k} {j}" for j in range((7 * i + 3 * k) % 5 + 1)]
+            rows.append((i * 100 + k, "\n".join([*own, *p, f"end {i} {k}"])))
+    out = {r["doc_id"]: r for r in ld.dedup_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in range(3):
+        for k, p in enumerate(passages):
+            assert out[i * 100 + k]["n_lines_removed"] == (len(p) if i else 0)
+
+
+def test_clashing_columns_and_long_text(spark):
+    """Extra columns named like the working ones; a text of 60,000 lines and a line of 1 MB."""
+    long = "\n".join(f"row {i}" for i in range(60000))
+    rows = [(1, long + "\n" + "x" * 1_000_000), (2, "own\n" + long), (3, "a\n" + "x" * 1_000_000)]
+    df = spark.createDataFrame([(i, t, 7, "c", [1], "k") for i, t in rows],
+                               "doc_id long, text string, rid int, cand string, removed array<int>, ck string")
+    got = sorted([tuple(r) for r in ld.dedup_digest(df).collect()], key=str)
+    assert got == brute(rows) and [g[3] for g in got] == [0, 60000, 0]
+
+
 def test_documents_keep_columns(spark):
     rows = corpus()
     df = spark.createDataFrame([(i, t, "en", None, len(t), "x") for i, t in rows],
