@@ -1,27 +1,38 @@
-"""N-gram Jaccard self-join by MinHash banding (operator 7).
+"""N-gram Jaccard self-join by a MinHash LSH forest (operator 7).
 
 A document is the set of its word 5-grams; two documents link if the Jaccard
 similarity of their sets is at least 0.8.
 
 1. Equal sets are merged first (copies are one class, found by partial
    aggregation of a 128-bit set hash). Only one set per class goes on.
-2. Every class gets a MinHash signature: in each of `TREES` trees a prefix of
-   `match_depth` values. Classes that share a tree's whole prefix are candidates.
-   The depth is one number for all documents, the longest of at most `LEVELS` at
-   which a pair at the threshold, the hardest to find, is met with the target
-   recall: 4, so that a pair at exactly 0.8 is missed with chance 2.2e-4.
-3. The classes under one prefix are verified exactly on their sets. Groups of
-   more than `BLOCK` classes are split into blocks, each pair of blocks is its
-   own task, and tasks return link counts and a spanning forest of the links,
+2. Every class gets `TREES` signatures of MinHash values; a tree is the prefix trie
+   of one of them. Trie nodes are keys (tree, prefix), their sizes are counted with
+   partial aggregation, and only classes that share a prefix of `FIRST` values with
+   another one go below it, so no task holds a node.
+3. Prefixes start at `LEVELS` values and are shortened, the longest first, until a pair at
+   the threshold, the hardest to find, is met in some tree with chance `RECALL` (`deepest`).
+   That holds for any data, as it is settled before data are seen. From there each class
+   shortens its prefix in each tree on its own, as long as the trie node above has at
+   most `SPARE` classes: most classes are searched by shorter prefixes and miss less, crowded
+   nodes stay at the depth of the target. How many classes a node has is the same for all
+   of them, so both ends of a pair see the same group. (Trading long prefixes in crowded trees
+   for short ones elsewhere would stay long just where the partners are, and lose links.)
+4. The classes of one group are verified exactly on their sets. Groups of
+   more than `BLOCK` classes or `BLOCK_BYTES` are split into blocks, each pair of blocks
+   is its own task, and tasks return link counts and a spanning forest of the links,
    never pairs. A pair is counted in the first tree in which it meets; groups
    with the same members in several trees are verified once.
-4. The forests are joined to connected components by label propagation with
+5. The forests are joined to connected components by label propagation with
    pointer jumping over written tables.
 
+A pair at exactly 0.8 is missed with chance 1 - `RECALL` at most, more similar ones less often.
+Sets are compared as 64-bit hashes of their grams.
+
 Defined results: words are maximal runs without ASCII white space, compared by
 their bytes; texts of 1-4 words have one gram, the whole text; NULL, empty and
 blank texts have no grams and are alone (no links, own class); repeated rows are
-copies of each other; an empty table gives no rows; other columns are ignored.
+copies of each other; very long texts are hashed in parts, whole; an empty table gives no
+rows; other columns, whatever their names, are ignored.
 ``n_links`` counts the other documents with similarity >= 0.8, copies included;
 ``class_id`` is the smallest id of the connected component, ``copy_id`` that of
 the documents with the same grams.
@@ -33,7 +44,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from isobar.session import materialize
+from isobar.session import Scratch, materialize
 
 from .common import ship
 from .hashing import BASE, CHUNK, Tables, U, mix
@@ -41,19 +52,23 @@ from .hashing import BASE, CHUNK, Tables, U, mix
 GRAM = 5
 THRESHOLD = 0.8
 TREES = 16
-LEVELS = 6
-RECALL = 0.9995
+FIRST = 2                # values of the shortest prefix
+LEVELS = 6               # values of the longest prefix
+RECALL = 0.9999
+SPARE = 8                # classes of a node that is searched by a shorter prefix
 BLOCK = 256
+BLOCK_BYTES = 16 << 20   # grams of a block
 COLUMNS = 1 << 14        # gram columns of one matrix product
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def match_depth(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """The longest prefix at which a pair at the threshold is met in some tree with the target recall."""
-    depth = LEVELS
-    while depth > 1 and 1 - (1 - threshold ** depth) ** TREES < recall:
-        depth -= 1
+def deepest(threshold: float = THRESHOLD, recall: float = RECALL) -> list[int]:
+    """The longest prefix to stop at in each tree: two sets at the threshold agree in k values with chance
+    threshold ** k, so they meet in some tree with the target recall."""
+    depth = [LEVELS] * TREES
+    while max(depth) > FIRST and 1 - np.prod([1 - threshold ** d for d in depth]) < recall:
+        depth[depth.index(max(depth))] -= 1
     return depth
 
 
@@ -145,36 +160,31 @@ def gram_sets(texts: list[bytes], gram: int = GRAM):
 
 
 class Signer:
-    """Prefix hashes of the signature in every tree, at one depth."""
+    """The MinHash values of all trees, tree by tree."""
 
-    def __init__(self, depth: int, seed: int = 5):
+    def __init__(self, width: int, seed: int = 5):
         rng = np.random.default_rng(seed)
-        # the values of all levels are drawn, so that a tree is the same at any depth
-        self.flip = rng.integers(0, 1 << 63, size=(TREES, LEVELS), dtype=np.uint64)
-        self.times = rng.integers(0, 1 << 63, size=(TREES, LEVELS), dtype=np.uint64) * U(2) + U(1)
-        self.depth = depth
-
-    def prefixes(self, g: np.ndarray, heads: np.ndarray) -> np.ndarray:
-        """texts x trees; ``heads``: the first gram of each text."""
-        out = np.empty((len(heads), TREES), np.uint64)
+        self.flip = rng.integers(0, 1 << 63, size=TREES * width, dtype=np.uint64)
+        self.times = rng.integers(0, 1 << 63, size=TREES * width, dtype=np.uint64) * U(2) + U(1)
+
+    def values(self, g: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """texts x (trees * width), 32 bits each; ``heads``: the first gram of each text."""
+        out = np.empty((len(heads), len(self.flip)), np.int32)
         with np.errstate(over="ignore"):
-            for t in range(TREES):
-                key = np.full(len(heads), t + 1, np.uint64)
-                for level in range(self.depth):
-                    low = np.minimum.reduceat((g ^ self.flip[t, level]) * self.times[t, level], heads)
-                    key = mix(key * U(BASE) + low)
-                out[:, t] = key
+            for i in range(len(self.flip)):
+                low = np.minimum.reduceat((g ^ self.flip[i]) * self.times[i], heads)
+                out[:, i] = (mix(low) >> U(32)).astype(np.uint32).view(np.int32)
         return out
 
 
-def signatures(docs: DataFrame, depth: int) -> DataFrame:
-    """(rid, doc_id, dh, n, k1, k2, prefix array<long>) of every row; n = 0: no grams."""
+def signatures(docs: DataFrame, width: int) -> DataFrame:
+    """(rid, doc_id, dh, dg, n, k1, k2, sig array<int>) of every row, ``width`` values a tree; n = 0: no grams."""
     def run(it):
-        signer = Signer(depth)
+        signer = Signer(width)
         for pdf in it:
             m = len(pdf)
             n, k1, k2 = np.zeros(m, np.int32), np.zeros(m, np.int64), np.zeros(m, np.int64)
-            prefix = [None] * m
+            sig = [None] * m
             for rows, g, d in gram_sets([bytes(x) for x in pdf["raw"]]):
                 if not len(g):
                     continue
@@ -184,12 +194,12 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
                     k1[at] = np.add.reduceat(mix(g ^ U(BASE)), heads).view(np.int64)
                     k2[at] = np.add.reduceat(mix(g * U(BASE) + U(7)), heads).view(np.int64)
                 n[at] = np.diff(np.append(heads, len(d)))
-                for i, p in zip(at, signer.prefixes(g, heads).view(np.int64)):
-                    prefix[i] = p
-            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"], "dh": pdf["dh"],
-                                "n": n, "k1": k1, "k2": k2, "prefix": prefix})
+                for i, v in zip(at, signer.values(g, heads)):
+                    sig[i] = v
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"], "dh": pdf["dh"], "dg": pdf["dg"],
+                                "n": n, "k1": k1, "k2": k2, "sig": sig})
     kind = dict(docs.select("doc_id").dtypes)["doc_id"]
-    return docs.mapInPandas(run, f"rid long, doc_id {kind}, dh long, n int, k1 long, k2 long, prefix array<long>")
+    return docs.mapInPandas(run, f"rid long, doc_id {kind}, dh long, dg long, n int, k1 long, k2 long, sig array<int>")
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -290,9 +300,10 @@ def _verify(threshold: float):
         for side, *m in members:
             if all(m[0] != x[0] for x in sides[side][-1:]):
                 sides[side].append(m)
-        if len(sides[0]) + len(sides[1]) < 2:
-            return None
-        return verify_group(key[0], sides[0], sides[1] or None, threshold)
+        if key[2] == key[3]:
+            return verify_group(key[0], sides[0], None, threshold) if len(sides[0]) > 1 else None
+        # blocks are dealt by hash: one of two may hold nothing
+        return verify_group(key[0], sides[0], sides[1], threshold) if sides[0] and sides[1] else None
 
     def run(it):
         key, members = None, []
@@ -310,11 +321,15 @@ def _verify(threshold: float):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): smallest node of each connected component of edges (node, root)."""
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """(node, label): smallest node of each connected component of edges (node, root).
+
+    The tables of the rounds go with ``scratch`` where it is given, else they stay.
+    """
+    scratch = scratch or Scratch(edges.sparkSession)
     edges = edges.filter("node <> root").distinct()
-    both = materialize(edges.union(edges.select("root", "node")).toDF("node", "other"), "edges")
-    labels = materialize(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
+    both = scratch.table(edges.union(edges.select("root", "node")).toDF("node", "other"), "edges")
+    labels = scratch.table(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     while True:
         # the smallest label of the neighbours, then the label of the label
         near = both.join(labels.select(F.col("node").alias("other"), "label"), "other") \
@@ -322,52 +337,84 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, "node").select("node", F.col("label").alias("old"),
                                                 F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = materialize(step.join(up, "label").select("node", "old", F.least("label", "up").alias("label")), "labels")
+        new = scratch.table(step.join(up, "label").select("node", "old", F.least("label", "up").alias("label")), "labels")
         if new.filter("old <> label").limit(1).count() == 0:
             return new.select("node", "label")
         labels = new.select("node", "label")
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def forest_members(classes: DataFrame, depths: list[int], spare: int) -> DataFrame:
+    """(node, t, p): the trie node p in which each class is searched in tree t, for the trees in which
+    it shares `FIRST` values with another class.
+
+    ``depths``: the longest prefix of each tree; the values of a tree stand together in ``sig``.
+    """
+    width = max(depths)
+
+    def prefix(k):
+        return F.xxhash64("t", F.slice("sig", F.col("t") * width + 1, k))
+    top = classes.select("node", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t")) \
+        .select("node", "t", prefix(FIRST).alias("p"))
+    shared = top.groupBy("t", "p").agg(F.count("*").alias("size")).filter("size > 1").drop("size")
+    trees = top.join(shared, ["t", "p"]).groupBy("node").agg(F.collect_list("t").alias("ts"))
+    limit = F.element_at(F.array(*[F.lit(d) for d in depths]), F.col("t") + 1)
+    nodes = classes.select("node", "sig").join(trees, "node").select("node", "sig", F.explode("ts").alias("t")) \
+        .select("node", "t", limit.alias("limit"), F.posexplode(F.array(*[prefix(k) for k in range(FIRST, width + 1)])).alias("k", "p")) \
+        .withColumn("k", F.col("k") + FIRST).filter("k <= limit")
+    sizes = nodes.groupBy("t", "p").agg(F.count("*").alias("size"))
+    return nodes.join(sizes, ["t", "p"]).filter((F.col("size") <= spare) | (F.col("k") == F.col("limit"))) \
+        .groupBy("node", "t").agg(F.min(F.struct("k", "p")).alias("g")).select("node", "t", F.col("g.p").alias("p"))
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK,
+                 block_bytes: int = BLOCK_BYTES, recall: float = RECALL, spare: int = SPARE) -> DataFrame:
     """doc_id, class_id, copy_id, n_links, n_grams of every document."""
     spark = docs.sparkSession
     ship(spark)
-    depth = match_depth(threshold)
+    depths = deepest(threshold, recall)
     text = F.coalesce(F.col("text"), F.lit(""))
+    # 128 bits find a class's text again; row numbers might differ when the input is read a second time
     d = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id"),
-                    F.xxhash64(F.col("doc_id"), text).alias("dh"), text.cast("binary").alias("raw"))
-    sig = materialize(signatures(d, depth), "signatures")
-    # one class per gram set; its text is that of its smallest row
-    classes = sig.filter("n > 0").groupBy("k1", "k2").agg(
-        F.count("*").alias("w"), F.min("doc_id").alias("copy_id"), F.min("rid").alias("node"),
-        F.min_by(F.struct("dh", "prefix"), "rid").alias("r"))
-    classes = materialize(classes.select("k1", "k2", "w", "copy_id", "node", "r.dh", "r.prefix"), "classes")
-    members = classes.select("node", F.posexplode("prefix").alias("t", "p"))
-    groups = members.groupBy("t", "p").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("lo")) \
-        .filter("size > 1") \
-        .groupBy("size", "x", "lo").agg(F.min(F.struct("t", "p")).alias("g")) \
-        .select("g.t", "g.p", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    groups = materialize(groups, "groups")
-    inside = materialize(members.join(groups, ["t", "p"]), "group-members")
-    needed = inside.select("node").distinct()
-    wanted = classes.join(needed, "node").select("node", "w", "prefix", "dh")
-    sets = sets_of(d.select("dh", "raw").join(wanted, "dh"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = inside.withColumn("own", own).withColumn(
-        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("t", "p", "node", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"),
-                (F.col("own") > F.col("with")).cast("int").alias("side"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = placed.join(sets, "node").repartition(n, "t", "p", "bi", "bj") \
-        .sortWithinPartitions("t", "p", "bi", "bj", "side", "node") \
-        .mapInPandas(_verify(threshold), "node long, texts long, documents long, root long")
-    links = materialize(links, "links")
-    label = components(links.select("node", "root"))
-    counts = links.groupBy("node").agg(F.sum("documents").alias("linked"))
-    c = classes.select("k1", "k2", "w", "copy_id", "node").join(label, "node", "left").join(counts, "node", "left") \
-        .withColumn("label", F.coalesce("label", "node"))
-    c = materialize(c, "class-labels")
+                    F.xxhash64(F.col("doc_id"), text).alias("dh"), F.xxhash64(F.lit(7), text, F.col("doc_id")).alias("dg"),
+                    text.cast("binary").alias("raw"))
+    sig = materialize(signatures(d, max(depths)), "signatures")
+    with Scratch(spark) as scratch:
+        # one class per gram set; its text is that of its smallest row
+        classes = sig.filter("n > 0").groupBy("k1", "k2").agg(
+            F.count("*").alias("w"), F.min("doc_id").alias("copy_id"), F.min("rid").alias("node"),
+            F.min_by(F.struct("dh", "dg", "sig", "n"), "rid").alias("r"))
+        classes = scratch.table(classes.select("k1", "k2", "w", "copy_id", "node", "r.*"), "classes")
+        members = scratch.table(forest_members(classes, depths, spare)
+                                .join(classes.select("node", "n"), "node"), "members")
+        groups = members.groupBy("t", "p").agg(
+            F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("lo"),
+            (F.sum("n") * 8).alias("bytes")).filter("size > 1") \
+            .groupBy("size", "x", "lo", "bytes").agg(F.min(F.struct("t", "p")).alias("g")) \
+            .select("g.t", "g.p", F.least(F.col("size"), F.greatest(
+                F.ceil(F.col("size") / block), F.ceil(F.col("bytes") / block_bytes))).cast("int").alias("blocks"))
+        inside = scratch.table(members.drop("n").join(groups, ["t", "p"]), "group-members")
+        # the class's groups by tree; where it is alone, a value of its own
+        places = members.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("t", "p"))).alias("m")) \
+            .join(inside.select("node").distinct(), "node").select("node", F.array(*[
+                F.coalesce(F.try_element_at("m", F.lit(t)), F.xxhash64("node", F.lit(t), F.lit("alone"))) for t in range(TREES)])
+                .alias("prefix"))
+        wanted = classes.join(places, "node").select("node", "w", "prefix", "dh", "dg")
+        sets = sets_of(d.select("dh", "dg", "raw").join(wanted, ["dh", "dg"]))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        placed = inside.withColumn("own", own).withColumn(
+            "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+            .select("t", "p", "node", F.least("own", "with").alias("bi"), F.greatest("own", "with").alias("bj"),
+                    (F.col("own") > F.col("with")).cast("int").alias("side"))
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        links = placed.join(sets, "node").repartition(n, "t", "p", "bi", "bj") \
+            .sortWithinPartitions("t", "p", "bi", "bj", "side", "node") \
+            .mapInPandas(_verify(threshold), "node long, texts long, documents long, root long")
+        links = scratch.table(links, "links")
+        label = components(links.select("node", "root"), scratch)
+        counts = links.groupBy("node").agg(F.sum("documents").alias("linked"))
+        c = classes.select("k1", "k2", "w", "copy_id", "node").join(label, "node", "left").join(counts, "node", "left") \
+            .withColumn("label", F.coalesce("label", "node"))
+        c = materialize(c, "class-labels")
     ids = c.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     c = c.join(ids, "label").select("k1", "k2", "copy_id", "class_id",
                                     (F.col("w") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from isobar.llm import ngram_join as nj
@@ -103,6 +104,63 @@ def test_empty_table(spark):
     assert got(spark, []) == []
 
 
-def test_depth_reaches_recall():
-    d = nj.match_depth(0.8, 0.9995)
-    assert 1 - (1 - 0.8 ** d) ** nj.TREES >= 0.9995 > 1 - (1 - 0.8 ** (d + 1)) ** nj.TREES
+def test_depths_reach_the_recall():
+    for threshold, recall in ((0.8, nj.RECALL), (0.8, 0.99), (0.9, nj.RECALL)):
+        d = nj.deepest(threshold, recall)
+        assert 1 - np.prod([1 - threshold ** k for k in d]) >= recall and max(d) - min(d) <= 1
+        i = d.index(min(d))                         # one step less would not do
+        assert min(d) == nj.LEVELS or 1 - np.prod([1 - threshold ** (k + (j == i)) for j, k in enumerate(d)]) < recall
+
+
+def test_prefixes_are_shortened_where_few_classes_meet(spark):
+    """Sig values by hand: a pair that shares 2 values, and 30 classes that share 3."""
+    width, depths = 4, [4] * nj.TREES
+    rows = [(i, [7, 7, 100 + i, i] + [1000 + i] * (4 * nj.TREES - 4)) for i in range(2)]
+    rows += [(10 + i, [8, 8, 8, i // 3] + [2000 + i] * (4 * nj.TREES - 4)) for i in range(30)]
+    classes = spark.createDataFrame(rows, "node long, sig array<int>")
+    groups = {}
+    for r in nj.forest_members(classes, depths, spare=8).collect():
+        groups.setdefault((r["t"], r["p"]), set()).add(r["node"])
+    assert sorted(map(sorted, groups.values())) == [[0, 1]] + [[10 + 3 * i, 11 + 3 * i, 12 + 3 * i] for i in range(10)]
+    whole = nj.forest_members(classes, depths, spare=30).select("t", "p").distinct().count()
+    assert whole == 2
+
+
+def test_boilerplate_crowds_the_short_prefixes(spark):
+    """Unrelated texts around one long common passage share short prefixes; the links are the same."""
+    r = random.Random(5)
+    common = [f"licence{i}" for i in range(120)]
+    rows = []
+    for i in range(120):
+        own = [f"o{i}x{j}" for j in range(r.randint(40, 80))]
+        rows.append((i, " ".join(common + own)))
+        if i % 3 == 0:
+            t = common + own
+            t[r.randrange(len(t))] = "changed"
+            rows.append((1000 + i, " ".join(t)))
+    assert got(spark, rows) == brute(rows)
+
+
+def test_blocks_by_bytes(spark):
+    rows = corpus(6, 60)
+    assert got(spark, rows, block_bytes=4096) == brute(rows)
+
+
+def test_very_long_texts_repeated_rows_and_clashing_columns(spark):
+    long = [f"v{i}" for i in range(100_000)]
+    near = long[:50_000] + ["other"] * 7 + long[50_000:]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (2, " ".join(near)), (3, " ".join(long[:100])), (None, " ".join(long[:100]))]
+    df = spark.createDataFrame([(a, b, 1, "k", [2], 3) for a, b in rows],
+                               "doc_id long, text string, node int, p string, sig array<int>, dh long")
+    out = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in nj.near_classes(df).collect()), key=str)
+    assert out == sorted([(1, 1, 2), (2, 1, 2), (2, 1, 2), (3, 3, 1), (None, 3, 1)], key=str)
+
+
+def test_links_at_the_threshold_are_found(spark):
+    """200 pairs of which each shares exactly 0.8 of its grams."""
+    rows = []
+    for i in range(200):
+        t = [f"p{i}w{j}" for j in range(40)]        # 36 grams; 32 of both, 4 of each
+        rows += [(2 * i, " ".join(t)), (2 * i + 1, " ".join(t[:-4] + [f"q{i}w{j}" for j in range(4)]))]
+    assert all(len(grams(a[1]) & grams(b[1])) == 0.8 * len(grams(a[1]) | grams(b[1])) for a, b in zip(rows[::2], rows[1::2]))
+    assert got(spark, rows) == brute(rows)
