@@ -30,6 +30,13 @@ BASE_CONF = {
 }
 
 
+def small_methods(spark: SparkSession) -> None:
+    """Sets the limit of generated methods in a session that was built elsewhere, whose default keeps wide
+    plans interpreted."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(name, BASE_CONF[name])
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "isobar", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
