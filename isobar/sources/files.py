@@ -43,15 +43,18 @@ def read_history_messages(spark: SparkSession, path: str) -> DataFrame:
     return df.select("*", F.to_date(F.nullif(ymd, F.lit("")), "yyyyMMdd").alias("request_date"))
 
 
-def read_console_export(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+def read_console_export(spark: SparkSession, path: str, encoding: str | None = None,
+                        front: list[str] | None = None) -> DataFrame:
     """S3: console export, UTF-16, tab separated, one header line.
 
     With the byte order given (``UTF-16LE`` or ``UTF-16BE``, with or without a mark) lines are found
     by their encoded end, so that a file is read by as many tasks as its size asks for; the mark goes
     with the header. Without it the mark decides per file, which takes one task for each file. The
-    file name is kept as ``source_file`` for per-file run grouping.
+    file name is kept as ``source_file`` for per-file run grouping. ``front`` names text columns that
+    stand before the export's own, as in files that hold many stations.
     """
-    r = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", True).schema(schemas.CONSOLE_SCHEMA)
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in front or []] + list(schemas.CONSOLE_SCHEMA.fields))
+    r = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", True).schema(schema)
     if encoding is None:
         df = r.option("encoding", "UTF-16").option("multiLine", True).csv(path)
     elif encoding.upper() in ("UTF-16LE", "UTF-16BE"):
