@@ -15,9 +15,16 @@ NO_YEARS = (2000, 1999)
 def period_years(periods: DataFrame) -> DataFrame:
     """One row per (period, year): turns the period range join into an equi-join.
 
-    Its size is the sum of period lengths. No broadcast hint is given: the
-    engine broadcasts it if its measured size allows that.
+    Its size is the sum of period lengths. Periods of all stations alike are
+    a few rows of configuration and broadcast: dealt by year, the rows they are
+    joined with would be as many tasks as there are years. For periods by
+    station the engine decides by the measured size.
     """
+    rows = _period_years(periods)
+    return rows if "station" in periods.columns else F.broadcast(rows)
+
+
+def _period_years(periods: DataFrame) -> DataFrame:
     extra = ["station"] if "station" in periods.columns else []
     cols = extra + ["period_id", "year_start", "year_end"]
     if periods.isLocal():

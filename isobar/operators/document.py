@@ -37,9 +37,8 @@ def build_documents(daily: DataFrame, periods: DataFrame) -> DataFrame:
     of ``daily``) feed two outputs; they are checkpointed to the shared
     checkpoint folder so the daily table is scanned once, not per output.
     """
-    from ..session import materialize
     from . import normals
-    months = materialize(normals.month_stats(daily, years=normals.year_span(periods) or normals.NO_YEARS), "month-stats")
+    months = normals.stored_months(normals.month_stats(daily, years=normals.year_span(periods) or normals.NO_YEARS))
     return statistics_documents(normals.period_summary(daily, periods, months=months),
                                 normals.monthly_normals(daily, periods, sort=False, months=months))
 

@@ -81,6 +81,18 @@ def month_stats(daily: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS,
     return d.groupBy("station", "year", "month").agg(*[F.expr(a) for a in aggs])
 
 
+# Month rows of one task of what follows from them.
+MONTH_ROWS = 50_000
+
+
+def stored_months(months: DataFrame) -> DataFrame:
+    """The month rows written once and dealt by station in parts of a bounded number of rows: the tasks
+    that read them hold no groups, and years, periods and months are grouped without another exchange."""
+    stored = materialize(months, "month-stats")
+    n = max(months.sparkSession.sparkContext.defaultParallelism, -(-stored.count() // MONTH_ROWS))
+    return stored.repartition(n, "station")
+
+
 def year_stats(months: DataFrame, ranges: list[RangeMetric] = DAY_COUNT_METRICS) -> DataFrame:
     """Month rows folded to (station, year); the rows are already tiny."""
     sums = ["n_rows", "rain_total", "wet1"] + [f"s_{c}" for c in MEAN_COLUMNS] + \
@@ -221,7 +233,7 @@ def period_summary(daily: DataFrame, periods: DataFrame,
     """One wide row per (station, period): means, records, day counts."""
     if months is None:
         # two branches read the month rows: written once, not aggregated twice
-        months = materialize(month_stats(daily, ranges, metrics, _years(periods)), "month-stats")
+        months = stored_months(month_stats(daily, ranges, metrics, _years(periods)))
     keys = ["station", "period_id"]
     means = _period_years(daily, periods, ranges, months) \
         .groupBy(*keys, "year_start", "year_end").agg(*_mean_aggs(), *_count_aggs(ranges))

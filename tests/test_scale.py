@@ -93,3 +93,13 @@ def test_stripes_are_sent_in_bounded_batches():
 def test_months_are_not_dealt_by_year_to_meet_the_periods(spark, orders):
     out = normals.monthly_normals(B.daily(spark, orders), periods_frame(spark, [Period(1995, 1997), Period(1996, 1998)]), sort=False)
     assert "BroadcastHashJoin" in plan(out) and "hashpartitioning(year" not in plan(out)
+
+
+def test_stored_months_are_dealt_in_bounded_parts(spark, orders, monkeypatch):
+    monkeypatch.setattr(normals, "MONTH_ROWS", 100)
+    months = normals.month_stats(B.daily(spark, orders))
+    stored = normals.stored_months(months)
+    n = months.count()
+    assert stored.rdd.getNumPartitions() == max(-(-n // 100), spark.sparkContext.defaultParallelism)
+    assert plan(normals.year_stats(stored)).count("Exchange") == 1
+    assert sorted(map(str, stored.collect())) == sorted(map(str, months.collect()))
