@@ -4,7 +4,7 @@ Texts are cut at `[.,;:!?]` and line ends into pieces, those into words. A strip
 prefix of 1 to 3 words with an associative counter of the words that follow it. Tasks
 build the stripes of their texts in memory (bounded by `TOKENS` words and the longest
 text), Spark deals them by language, prefix and a part of the next word's hash, and the
-parts are merged elementwise. A prefix's stripe is cut into `PARTS` parts, so that the
+parts are merged elementwise. A prefix's stripe is cut into `PARTS` (or `FEW_PARTS`) parts, so that the
 stripe of a word that everything follows is neither one task's nor one row's. From the
 merged stripes come
 
@@ -36,6 +36,7 @@ an empty table give no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -57,8 +58,11 @@ SCALE = 2_000_000
 SUBSUMED = 80        # percent
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 
-PARTS = 16
-TOKENS = 1 << 21     # words whose stripes a task holds
+PARTS = {1: 16}       # parts of a stripe by the words of its prefix
+FEW_PARTS = 4         # of longer prefixes
+TOKENS = 1 << 20     # words whose stripes a task holds
+TEXTS = 1 << 9       # texts read at once
+ROWS = 1 << 14       # rows of stripes or hashes sent at once
 SLICE = 1 << 20      # bytes split at once
 FILTER_BYTES = 32 << 20
 _ONE_SEPARATOR = bytes.maketrans(SEPARATORS, b"." * len(SEPARATORS))
@@ -70,7 +74,7 @@ class Vocabulary(dict):
     """Numbers of words in the order of their first use; 0 is the end of a piece."""
 
     def __init__(self):
-        self.words, self.hashes = [], []
+        self.words, self.hashes = [], array("Q")
         self[b"."]
 
     def __missing__(self, word: bytes) -> int:
@@ -96,7 +100,7 @@ def word_numbers(texts: list[bytes], vocabulary: Vocabulary):
     """Arrays of word numbers of the texts; pieces end with a 0."""
     for part in _slices(b".".join(texts).lower().translate(_ONE_SEPARATOR) + b"."):
         tokens = part.replace(b".", b" . ").split()
-        yield np.fromiter(map(vocabulary.__getitem__, tokens), np.int64, len(tokens))
+        yield np.fromiter(map(vocabulary.__getitem__, tokens), np.int32, len(tokens))
 
 
 def phrase_hashes(hashes: np.ndarray, size: int, lang: str) -> np.ndarray:
@@ -111,7 +115,7 @@ def phrase_hashes(hashes: np.ndarray, size: int, lang: str) -> np.ndarray:
 
 def _numbered(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(first places, numbers) of the different pairs (a, b), with b < size."""
-    _, first, number = np.unique(a * size + b, return_index=True, return_inverse=True)
+    _, first, number = np.unique(a.astype(np.int64) * size + b, return_index=True, return_inverse=True)
     return first, number
 
 
@@ -149,9 +153,9 @@ def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: i
     if level == 1:
         _, one, prefix = np.unique(prefix, return_index=True, return_inverse=True)
         first = at[one]
-    key, n_key = np.unique(prefix * size + following, return_counts=True)
+    key, n_key = np.unique(prefix.astype(np.int64) * size + following, return_counts=True)
     prefix, after = key // size, key % size
-    part = (mix(hashes[after]) % U(PARTS)).astype(np.int64)
+    part = (mix(hashes[after]) % U(PARTS.get(level, FEW_PARTS))).astype(np.int64)
     order = np.lexsort((part, prefix))
     prefix, after, part, n_key = prefix[order], after[order], part[order], n_key[order]
     head = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]))
@@ -172,9 +176,11 @@ def _each_stretch(batches, tokens: int, work):
     vocabulary, held, size = Vocabulary(), {}, 0
 
     def flush():
-        for lang, parts in held.items():
-            yield from work(np.concatenate(parts), vocabulary, lang)
-    for batch in batches:
+        for lang in list(held):
+            for found in work(np.concatenate(held.pop(lang)), vocabulary, lang):
+                for at in range(0, found.num_rows, ROWS):
+                    yield found.slice(at, ROWS)
+    for batch in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
         by_lang = {}
         for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw")):
             by_lang.setdefault(lang, []).append(raw.as_py())
@@ -182,9 +188,9 @@ def _each_stretch(batches, tokens: int, work):
             for numbers in word_numbers(raws, vocabulary):
                 held.setdefault(lang, []).append(numbers)
                 size += len(numbers)
-        if size >= tokens:
-            yield from flush()
-            vocabulary, held, size = Vocabulary(), {}, 0
+            if size >= tokens:
+                yield from flush()
+                vocabulary, held, size = Vocabulary(), {}, 0
     yield from flush()
 
 
