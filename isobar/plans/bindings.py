@@ -264,12 +264,16 @@ def _tenths(expr: str, scale: int = 1):
     return F.expr(expr).cast("double") / F.lit(float(10 ** scale))
 
 
-def observation_messages(spark: SparkSession, sf_dir: str, with_arrival: bool = False) -> DataFrame:
+def observation_messages(spark: SparkSession, sf_dir: str, with_arrival: bool = False,
+                         files: int | None = None) -> DataFrame:
     """One JSON message per event (``value``), shaped like the live feed.
 
-    ``with_arrival`` adds the landing sequence (the event id) to the envelope.
+    ``with_arrival`` adds the landing sequence (the event id) to the envelope. ``files`` deals the events
+    evenly to so many tasks, before their texts are made: an event is a tenth of its message.
     """
     ev = events(spark, sf_dir)
+    if files:
+        ev = ev.repartition(files)
     ts = F.date_trunc("second", F.col("ts")).cast(T.TimestampNTZType())
     metric = F.struct(
         _tenths(OBS_INT["temp10"]).alias("temp"), _tenths(OBS_INT["heat10"]).alias("heatIndex"),

@@ -188,3 +188,36 @@ def test_finalized_days_keep_the_first_arrival(spark, tmpdir_path):
     assert [(str(r.date), float(r.temp_low), float(r.temp_high)) for r in spark.read.parquet(out).collect()] == [("2024-01-02", 3.0, 5.0)]
     with pytest.raises(ValueError, match="arrival"):
         pipeline.finalized_daily(rows.drop("arrival", "landed_file", "epoch"))
+
+
+def test_messages_are_judged_once_and_days_only_for_the_daily_table(spark, tmpdir_path, monkeypatch):
+    tables = {}
+
+    class Recorded(pipeline.Scratch):
+        def table(self, df, name, *args):
+            tables[name] = df.columns
+            return super().table(df, name, *args)
+    monkeypatch.setattr(pipeline, "Scratch", Recorded)
+    land, obs = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "obs")
+    _land(land, "a.json", [_msg("2024-01-10 12:00:00", 5.0), "not json", _msg("2024-01-10 13:00:00", 1e9)])
+    _run(spark, land, obs, os.path.join(tmpdir_path, "ck"))
+    assert "reason" in tables["messages"] and "touched" not in tables
+    assert _temps(spark, obs) == {(10, 12): 5.0}
+    reasons = [r.reason for r in spark.read.parquet(pipeline.rejected_path(obs)).orderBy("reason").collect()]
+    assert reasons == ["not parsed", "out of range"]
+    st = stations_frame(spark, [("P", 48.85, 2.35, "Europe/Paris", "x")])
+    daily = os.path.join(tmpdir_path, "daily")
+    _run(spark, land, obs + "2", os.path.join(tmpdir_path, "ck2"), daily_path=daily, stations=st)
+    assert "touched" in tables and _daily(spark, daily).count() == 1
+
+
+def test_landed_texts_are_made_by_the_tasks_that_write_them(spark, tmpdir_path):
+    from isobar.plans import bindings
+    spark.sql("SELECT id AS event_id, id % 7 AS user_id, TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts "
+              "FROM range(200)").coalesce(1).write.parquet(f"{tmpdir_path}/events.parquet")
+    dealt = bindings.observation_messages(spark, tmpdir_path, with_arrival=True, files=3)
+    assert dealt.rdd.getNumPartitions() == 3
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("json(") < plan.index("Repartition")
+    whole = bindings.observation_messages(spark, tmpdir_path, with_arrival=True)
+    assert sorted(r.value for r in dealt.collect()) == sorted(r.value for r in whole.collect())
