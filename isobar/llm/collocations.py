@@ -4,9 +4,9 @@ Texts are cut at `[.,;:!?]` and line ends into pieces, those into words. A strip
 prefix of 1 to 3 words with an associative counter of the words that follow it. Tasks
 build the stripes of their texts in memory (bounded by `TOKENS` words and the longest
 text), Spark deals them by language, prefix and a part of the next word's hash, and the
-parts are merged elementwise. The stripe of a prefix of `HOT` occurrences is cut into `PARTS` parts, so
-that the stripe of a word that everything follows is neither one task's nor one row's; the
-others are whole. From the merged stripes come
+parts are merged elementwise. A prefix's stripe is cut into `PARTS` (or `FEW_PARTS`) parts, so that the
+stripe of a word that everything follows is neither one task's nor one row's. From the
+merged stripes come
 
 * the extensions: each entry is a phrase with its count;
 * the prefix totals: the sum of a one-word stripe, the end of a piece included, is the
@@ -18,7 +18,7 @@ A phrase of at least `LEAST` occurrences has only parts of as many, so entries a
 for phrases whose word pairs occur so often (a first pass counts the pairs by 64-bit hashes),
 those of two-word prefixes only if the three words do (a second pass counts by hashes the
 triples of such pairs), and those of three-word prefixes only if the prefix and the rest do.
-A hash and its count take a quarter of the bytes of a stripe of one entry. What a one-word stripe
+A hash and its count take a third of the bytes of a stripe of few entries. What a one-word stripe
 leaves out is summed in its entry for the end of a piece, so its total stays exact. Bloom
 filters of at most `FILTER_BYTES` tell which phrases to go on with; what they let through in
 error is counted and falls out by its count, so a full filter costs time and changes nothing.
@@ -60,9 +60,8 @@ SCALE = 2_000_000
 SUBSUMED = 80        # percent
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 
-PARTS = 16           # parts of the stripe of a hot prefix
-HOT = 1 << 16        # occurrences of a hot prefix
-OFTEN = 64           # occurrences of a word in a stretch that are counted towards those
+PARTS = {1: 16}       # parts of a stripe by the words of its prefix
+FEW_PARTS = 4         # of longer prefixes
 TOKENS = 1 << 20     # words whose stripes a task holds
 TEXTS = 1 << 9       # texts read at once
 ROWS = 1 << 14       # rows of stripes or hashes sent at once
@@ -133,10 +132,10 @@ def fitting(words: np.ndarray, hashes: np.ndarray, lang: str, size: int, bits: n
 
 
 def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: int, fits: np.ndarray,
-                  whole: np.ndarray | None = None, hot: np.ndarray | None = None) -> pa.RecordBatch | None:
+                  whole: np.ndarray | None = None) -> pa.RecordBatch | None:
     """The stripes of the prefixes of ``level`` words in the sequence ``words``; ``fits`` tells the
     places of frequent pairs (levels 1 and 2) or frequent phrases of ``level`` words, ``whole`` (from
-    level 2 on) those of frequent phrases of one word more; ``hot`` is the filter of the hot prefixes."""
+    level 2 on) those of frequent phrases of one word more."""
     texts, hashes = vocabulary.words, np.array(vocabulary.hashes, np.uint64)
     n = len(words) - level
     if n <= 0:
@@ -160,10 +159,7 @@ def level_stripes(words: np.ndarray, vocabulary: Vocabulary, lang: str, level: i
         first = at[one]
     key, n_key = np.unique(prefix.astype(np.int64) * size + following, return_counts=True)
     prefix, after = key // size, key % size
-    parts = np.ones(len(first), np.uint64)
-    if hot is not None:
-        parts[in_filter(hot, phrase_hashes(hashes[words], level, lang)[first])] = PARTS
-    part = (mix(hashes[after]) % parts[prefix]).astype(np.int64)
+    part = (mix(hashes[after]) % U(PARTS.get(level, FEW_PARTS))).astype(np.int64)
     order = np.lexsort((part, prefix))
     prefix, after, part, n_key = prefix[order], after[order], part[order], n_key[order]
     head = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])]))
@@ -203,43 +199,34 @@ def _each_stretch(batches, tokens: int, work):
 
 
 def frequent_phrases(texts: DataFrame, size: int, least: int, tokens: int = TOKENS, bits=None) -> DataFrame:
-    """(h, n): hashes of the phrases of ``size`` words that occur at least ``least`` times (and of few others).
+    """(h): hashes of the phrases of ``size`` words that occur at least ``least`` times (and of few others).
 
-    ``bits``: broadcast filter of the phrases of one word less; pairs have none, and with them come the
-    words that occur often in a stretch.
+    ``bits``: broadcast filter of the phrases of one word less; pairs have none.
     """
     def count(words, vocabulary, lang):
         hashes = np.array(vocabulary.hashes, np.uint64)
         fits = words != 0 if bits is None else fitting(words, hashes, lang, size - 1, bits.value)
         h = phrase_hashes(hashes[words], size, lang)
         h, n = np.unique(h[fits[:-1] & fits[1:]], return_counts=True)
-        if bits is None:
-            n_word = np.bincount(words)
-            often = np.flatnonzero(n_word >= OFTEN)
-            often = often[often != 0]
-            h = np.concatenate([h, phrase_hashes(hashes[often], 1, lang)])
-            n = np.concatenate([n, n_word[often]])
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
     def run(batches):
         return _each_stretch(batches, tokens, count)
     return texts.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")) \
-        .filter(F.col("n") >= least)
+        .filter(F.col("n") >= least).select("h")
 
 
-def stripes(texts: DataFrame, levels: tuple[int, ...], bits: dict, hot, tokens: int = TOKENS) -> DataFrame:
+def stripes(texts: DataFrame, levels: tuple[int, ...], bits: dict, tokens: int = TOKENS) -> DataFrame:
     """(lang, prefix, part, next, n): the tasks' stripes; next '.' is the end of a piece.
 
     ``texts``: lang, raw; ``bits``: broadcast filters of the phrases to go on with by their words, of
     pairs for levels 1 and 2, of phrases of the level's length beyond; one of a word more is used too.
-    ``hot``: broadcast filter of the prefixes whose stripes are cut.
     """
     def build(words, vocabulary, lang):
         hashes = np.array(vocabulary.hashes, np.uint64)
         fits = {k: fitting(words, hashes, lang, k, b.value) for k, b in bits.items()}
         for level in levels:
-            found = level_stripes(words, vocabulary, lang, level, fits[max(2, level)],
-                                  fits.get(level + 1) if level > 1 else None, hot.value)
+            found = level_stripes(words, vocabulary, lang, level, fits[max(2, level)], fits.get(level + 1) if level > 1 else None)
             if found is not None:
                 yield found
 
@@ -317,15 +304,11 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
     with Scratch(spark) as scratch:
         def filter_of(hashes):
             return spark.sparkContext.broadcast(bounded_filter(hashes, filter_bytes))
-        often = scratch.table(frequent_phrases(texts, 2, least, tokens), "frequent-pairs")
-        bits = {2: filter_of(often.select("h"))}
+        bits = {2: filter_of(scratch.table(frequent_phrases(texts, 2, least, tokens), "frequent-pairs"))}
         if longest > 2:
-            triples = scratch.table(frequent_phrases(texts, 3, least, tokens, bits[2]), "frequent-triples")
-            bits[3] = filter_of(triples.select("h"))
-            often = often.unionByName(triples)
-        hot = filter_of(often.filter(F.col("n") >= HOT).select("h"))
+            bits[3] = filter_of(scratch.table(frequent_phrases(texts, 3, least, tokens, bits[2]), "frequent-triples"))
         levels = tuple(range(1, min(longest, 4)))
-        all_found = scratch.table(merged(stripes(texts, levels, bits, hot, tokens), least), "stripes")
+        all_found = scratch.table(merged(stripes(texts, levels, bits, tokens), least), "stripes")
         blanks = F.expr("length(prefix) - length(replace(prefix, ' ', ''))")
         found = {k: all_found.filter(blanks == k - 1) for k in levels}
         totals = scratch.table(found[1].groupBy("lang", F.col("prefix").alias("phrase"))
@@ -336,7 +319,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
         for k in range(1, longest):
             if k not in found:
                 bits = {k: filter_of(hashed_phrases(entries[k]))}
-                found[k] = scratch.table(merged(stripes(texts, (k,), bits, hot, tokens), least), f"stripes-{k}")
+                found[k] = scratch.table(merged(stripes(texts, (k,), bits, tokens), least), f"stripes-{k}")
             entries[k + 1] = scratch.table(next_entries(found[k], entries[k]), f"phrases-{k + 1}")
         parts = [_uncovered(entries[k], found.get(k) if k < longest else None, entries.get(k + 1)).drop("rest") for k in range(2, longest + 1)]
         rows = parts[0]
